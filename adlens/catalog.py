@@ -27,3 +27,108 @@ def register(name: str):
 @register("google_campaign_top10")
 def google_campaign_top10(spark, sf_dir):
     return weekly.google_top(fx.google_ads(spark, sf_dir))
+
+
+# ---- shared inputs ------------------------------------------------------
+
+from .functions.dates import last_week  # noqa: E402
+from .operators import aggregates as agg  # noqa: E402
+from .operators.filters import filter_report, search  # noqa: E402
+from .operators.sets import unify_media  # noqa: E402
+from .plans import dashboard as dash  # noqa: E402
+from .plans import sheets  # noqa: E402
+
+W0, W1 = weekly.WEEK_START, weekly.WEEK_END
+MONTH = ("1998-03-01", "1998-03-31")
+AS_OF = "1998-03-10 00:00:00"          # UTC instant; Tuesday in Asia/Seoul
+
+
+def _unified(spark, sf_dir):
+    return unify_media(fx.google_ads(spark, sf_dir), fx.kakao_facts(spark, sf_dir))
+
+
+@register("kakao_campaign_top10")
+def kakao_campaign_top10(spark, sf_dir):
+    return weekly.kakao_top(fx.kakao_facts(spark, sf_dir), fx.kakao_master(spark, sf_dir))
+
+
+@register("overall_by_media")
+def overall_by_media(spark, sf_dir):
+    return agg.overall_by_media(fx.google_ads(spark, sf_dir), fx.kakao_facts(spark, sf_dir), W0, W1)
+
+
+@register("unified_daily")
+def unified_daily(spark, sf_dir):
+    return sheets.daily_table(_unified(spark, sf_dir), W0, W1)
+
+
+@register("daily_with_totals")
+def daily_with_totals(spark, sf_dir):
+    return sheets.daily_sheet(_unified(spark, sf_dir), W0, W1)
+
+
+@register("media_share")
+def media_share(spark, sf_dir):
+    return sheets.media_spend(_unified(spark, sf_dir), W0, W1)
+
+
+@register("kpi_totals")
+def kpi_totals(spark, sf_dir):
+    u = _unified(spark, sf_dir)
+    return sheets.kpi(sheets.media_spend(u, W0, W1), sheets.daily_table(u, W0, W1))
+
+
+@register("week_of_month")
+def week_of_month(spark, sf_dir):
+    return sheets.week_of_month(sheets.daily_table(_unified(spark, sf_dir), *MONTH))
+
+
+@register("week_over_week")
+def week_over_week(spark, sf_dir):
+    from pyspark.sql import functions as F
+    s, e = last_week(AS_OF)
+    return sheets.week_over_week(_unified(spark, sf_dir), s, e, F.date_sub(s, 7), F.date_sub(s, 1))
+
+
+@register("campaign_detail")
+def campaign_detail(spark, sf_dir):
+    return sheets.campaign_detail(fx.google_ads(spark, sf_dir), W0, W1)
+
+
+@register("google_sheet")
+def google_sheet(spark, sf_dir):
+    return sheets.google_sheet(fx.google_ads(spark, sf_dir), W0, W1)
+
+
+@register("kakao_sheet")
+def kakao_sheet(spark, sf_dir):
+    return sheets.kakao_sheet(fx.kakao_facts(spark, sf_dir), fx.kakao_master(spark, sf_dir), W0, W1)
+
+
+@register("dashboard")
+def dashboard(spark, sf_dir):
+    return dash.dashboard_media(_unified(spark, sf_dir), AS_OF)
+
+
+@register("dashboard_trend")
+def dashboard_trend(spark, sf_dir):
+    return dash.conversion_trend(_unified(spark, sf_dir), AS_OF)
+
+
+@register("report_filter")
+def report_filter(spark, sf_dir):
+    from pyspark.sql import functions as F
+    f = filter_report(_unified(spark, sf_dir), media=["google"], start=W0, end=W1)
+    return f.select("media", "report_date", "campaign", "keyword", "impressions", "clicks",
+                    F.col("cost").cast("double").alias("cost"), "conversions")
+
+
+@register("detail_search")
+def detail_search(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from .functions.dates import in_range
+    from .functions.ratios import count_sum, round_half_up
+    g = search(in_range(fx.google_ads(spark, sf_dir), W0, W1), "keyword_text", "Red")
+    return g.groupBy(F.col("keyword_text").alias("keyword")).agg(
+        count_sum("impressions").alias("impressions"), count_sum("clicks").alias("clicks"),
+        round_half_up(F.sum(F.col("cost_micros").cast("decimal(38,0)")) / F.lit(1000000), 0).alias("cost"))

@@ -34,8 +34,8 @@ def parse_report_date(col) -> Column:
     Both text forms written by the two ingest paths land on one DATE
     column, so range filters work on either (deviation Q1)."""
     c = F.trim(_c(col).cast("string"))
-    return F.coalesce(F.try_to_date(c, F.lit("yyyyMMdd")),
-                      F.try_to_date(c, F.lit("yyyy-M-d")))
+    return F.coalesce(F.try_to_date(c, "yyyyMMdd"),
+                      F.try_to_date(c, "yyyy-M-d"))
 
 
 def compact_date_text(col) -> Column:
@@ -113,7 +113,7 @@ def week_of_month_label(date_text) -> Column:
     """SC7: ``M월 N주차`` from ``yyyy-MM-dd`` text with week = (day-1) div 7 + 1;
     unreadable text is kept as the label; empty or missing text is ``기타``."""
     t = _c(date_text).cast("string")
-    d = F.try_to_date(t, F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(t, "yyyy-MM-dd")
     wk = F.floor((F.dayofmonth(d) - 1) / 7) + 1
     label = F.concat(F.month(d).cast("string"), F.lit(WEEK_MONTH_SUFFIX),
                      wk.cast("string"), F.lit(WEEK_SUFFIX))

@@ -109,6 +109,8 @@ def with_totals(df: DataFrame, keys: list[str], sums: list[str],
     # rollup over k>1 keys also yields partial subtotals; keep detail + grand.
     if len(keys) > 1:
         out = out.filter((F.col("_g") == 1) | F.col(keys[-1]).isNotNull())
+    for c in keep:
+        out = out.withColumn(c, F.when(F.col("_g") == 1, F.lit(None)).otherwise(F.col(c)))
     return (out.withColumn("row_type", F.when(F.col("_g") == 1, F.lit("total")).otherwise(F.lit("detail")))
                .drop("_g"))
 

@@ -73,3 +73,209 @@ FROM google_ads WHERE report_date BETWEEN {WEEK}
 GROUP BY camp_name
 ORDER BY conversions_value DESC NULLS LAST, camp_name ASC NULLS LAST
 LIMIT 10"""
+
+UNIFIED = """unified AS (
+  SELECT 'google' AS media, report_date, camp_name AS campaign, keyword_text AS keyword,
+         CAST(impressions AS BIGINT) AS impressions, CAST(clicks AS BIGINT) AS clicks,
+         CAST(CAST(cost_micros AS DECIMAL(38,0)) / 1000000 AS DECIMAL(38,6)) AS cost,
+         CAST(conversions AS BIGINT) AS conversions, CAST(conversions_value AS DECIMAL(38,6)) AS conv_value
+  FROM google_ads
+  UNION ALL
+  SELECT 'kakao', report_date, NULL, NULL, CAST(imp AS BIGINT), CAST(click AS BIGINT),
+         CAST(spending AS DECIMAL(38,6)), CAST(conv_purchase_7d AS BIGINT), CAST(NULL AS DECIMAL(38,6))
+  FROM kakao_facts)"""
+
+
+def daily_cte(lo: str, hi: str, name: str = "daily") -> str:
+    return f"""{name}_raw AS (
+  SELECT report_date,
+         CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN media = 'google' THEN cost END), 0), 0) AS DOUBLE) AS google_cost,
+         CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN media = 'kakao' THEN cost END), 0), 0) AS DOUBLE) AS kakao_cost,
+         CAST(COALESCE(SUM(CASE WHEN media = 'google' THEN impressions END), 0) AS BIGINT) AS google_impressions,
+         CAST(COALESCE(SUM(CASE WHEN media = 'google' THEN clicks END), 0) AS BIGINT) AS google_clicks,
+         CAST(COALESCE(SUM(CASE WHEN media = 'kakao' THEN impressions END), 0) AS BIGINT) AS kakao_impressions,
+         CAST(COALESCE(SUM(CASE WHEN media = 'kakao' THEN clicks END), 0) AS BIGINT) AS kakao_clicks
+  FROM unified WHERE report_date BETWEEN DATE '{lo}' AND DATE '{hi}' GROUP BY report_date),
+{name} AS (
+  SELECT report_date, google_cost, kakao_cost, google_cost + kakao_cost AS total_cost,
+         google_impressions, google_clicks, kakao_impressions, kakao_clicks,
+         google_impressions + kakao_impressions AS total_impressions,
+         google_clicks + kakao_clicks AS total_clicks
+  FROM {name}_raw)"""
+
+
+PIE = """pie AS (
+  SELECT media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost
+  FROM unified WHERE report_date BETWEEN DATE '1998-03-02' AND DATE '1998-03-08' GROUP BY media)"""
+
+BASE = (GOOGLE_ADS, KAKAO_FACTS, UNIFIED)
+
+QUERIES["kakao_campaign_top10"] = with_(KAKAO_FACTS, KAKAO_MASTER) + f"""
+SELECT camp_name,
+       CAST(SUM(imp) AS BIGINT) AS impressions,
+       CAST(SUM(click) AS BIGINT) AS clicks,
+       CAST((SUM(click) * 20000 + SUM(imp)) // NULLIF(2 * SUM(imp), 0) AS DOUBLE) / 100.0 AS ctr,
+       CAST(ROUND(SUM(CAST(spending AS DECIMAL(38,6))), 0) AS DOUBLE) AS cost,
+       CAST(SUM(conv_purchase_1d) AS BIGINT) AS conversions_1d,
+       CAST(SUM(conv_purchase_7d) AS BIGINT) AS conversions_7d
+FROM kakao_ads WHERE report_date BETWEEN {WEEK}
+GROUP BY camp_name
+ORDER BY cost DESC NULLS LAST, camp_name ASC NULLS LAST
+LIMIT 10"""
+
+QUERIES["overall_by_media"] = with_(GOOGLE_ADS, KAKAO_FACTS) + f"""
+SELECT 'google' AS media, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       CAST(ROUND(SUM(CAST(cost_micros AS DECIMAL(38,0))) / 1000000.0, 0) AS DOUBLE) AS cost,
+       CAST(SUM(conversions) AS BIGINT) AS conversions,
+       CAST(ROUND(SUM(CAST(conversions_value AS DECIMAL(38,6))), 0) AS DOUBLE) AS conversions_value
+FROM google_ads WHERE report_date BETWEEN {WEEK}
+UNION ALL
+SELECT 'kakao', CAST(SUM(imp) AS BIGINT), CAST(SUM(click) AS BIGINT),
+       CAST(ROUND(SUM(CAST(spending AS DECIMAL(38,6))), 0) AS DOUBLE),
+       CAST(SUM(conv_purchase_7d) AS BIGINT), CAST(NULL AS DOUBLE)
+FROM kakao_facts WHERE report_date BETWEEN {WEEK}"""
+
+QUERIES["unified_daily"] = with_(*BASE, daily_cte("1998-03-02", "1998-03-08")) + "SELECT * FROM daily"
+
+QUERIES["daily_with_totals"] = with_(*BASE, daily_cte("1998-03-02", "1998-03-08")) + """
+SELECT report_date, SUM(google_cost) AS google_cost, SUM(kakao_cost) AS kakao_cost, SUM(total_cost) AS total_cost,
+       CAST(SUM(google_impressions) AS BIGINT) AS google_impressions, CAST(SUM(google_clicks) AS BIGINT) AS google_clicks,
+       CAST(SUM(kakao_impressions) AS BIGINT) AS kakao_impressions, CAST(SUM(kakao_clicks) AS BIGINT) AS kakao_clicks,
+       CAST(SUM(total_impressions) AS BIGINT) AS total_impressions, CAST(SUM(total_clicks) AS BIGINT) AS total_clicks,
+       CASE WHEN GROUPING(report_date) = 1 THEN 'total' ELSE 'detail' END AS row_type
+FROM daily GROUP BY GROUPING SETS ((report_date), ())"""
+
+QUERIES["media_share"] = with_(*BASE, PIE) + """
+SELECT media, cost, cost / NULLIF(SUM(cost) OVER (), 0) AS share FROM pie"""
+
+QUERIES["kpi_totals"] = with_(*BASE, PIE, daily_cte("1998-03-02", "1998-03-08")) + """,
+s AS (
+  SELECT (SELECT COALESCE(SUM(CASE WHEN media = 'google' THEN cost ELSE 0 END), 0) FROM pie) AS g_pie,
+         (SELECT COALESCE(SUM(CASE WHEN media = 'kakao' THEN cost ELSE 0 END), 0) FROM pie) AS k_pie,
+         (SELECT COALESCE(SUM(google_cost), 0) FROM daily) AS g_tab,
+         (SELECT COALESCE(SUM(kakao_cost), 0) FROM daily) AS k_tab,
+         (SELECT COALESCE(SUM(total_impressions), 0) FROM daily) AS imp,
+         (SELECT COALESCE(SUM(total_clicks), 0) FROM daily) AS clk),
+v AS (
+  SELECT CASE WHEN g_pie = 0 AND k_pie = 0 THEN g_tab ELSE g_pie END AS g,
+         CASE WHEN g_pie = 0 AND k_pie = 0 THEN k_tab ELSE k_pie END AS k, imp, clk FROM s)
+SELECT 'total_cost' AS metric, g + k AS value FROM v
+UNION ALL SELECT 'total_impressions', CAST(imp AS DOUBLE) FROM v
+UNION ALL SELECT 'total_clicks', CAST(clk AS DOUBLE) FROM v
+UNION ALL SELECT 'avg_ctr', CASE WHEN imp > 0 THEN CAST((clk * 20000 + imp) // (2 * imp) AS DOUBLE) / 10000.0 ELSE 0.0 END FROM v
+UNION ALL SELECT 'google_cost', g FROM v
+UNION ALL SELECT 'kakao_cost', k FROM v"""
+
+QUERIES["week_of_month"] = with_(*BASE, daily_cte("1998-03-01", "1998-03-31")) + """,
+lab AS (
+  SELECT CAST(month(report_date) AS VARCHAR) || '월 ' || CAST((day(report_date) - 1) // 7 + 1 AS VARCHAR) || '주차' AS week_label,
+         report_date, google_cost, kakao_cost, google_clicks, kakao_clicks FROM daily),
+g AS (
+  SELECT week_label, SUM(google_cost) AS google_cost, SUM(kakao_cost) AS kakao_cost,
+         CAST(SUM(google_clicks) AS DOUBLE) AS google_clicks, CAST(SUM(kakao_clicks) AS DOUBLE) AS kakao_clicks,
+         MIN(report_date) AS first_date
+  FROM lab GROUP BY week_label ORDER BY first_date LIMIT 5)
+SELECT week_label, google_cost, kakao_cost, google_cost + kakao_cost AS total_cost,
+       google_clicks, kakao_clicks, google_clicks + kakao_clicks AS total_clicks, first_date,
+       (google_cost + kakao_cost) / NULLIF(SUM(google_cost + kakao_cost) OVER (), 0) AS share
+FROM g"""
+
+QUERIES["week_over_week"] = with_(*BASE) + """,
+a AS (
+  SELECT CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN report_date >= DATE '1998-03-02' AND media = 'google' THEN cost END), 0), 0) AS DOUBLE) AS tg,
+         CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN report_date >= DATE '1998-03-02' AND media = 'kakao' THEN cost END), 0), 0) AS DOUBLE) AS tk,
+         CAST(COALESCE(SUM(CASE WHEN report_date >= DATE '1998-03-02' THEN impressions END), 0) AS DOUBLE) AS ti,
+         CAST(COALESCE(SUM(CASE WHEN report_date >= DATE '1998-03-02' THEN clicks END), 0) AS DOUBLE) AS tc,
+         CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN report_date < DATE '1998-03-02' AND media = 'google' THEN cost END), 0), 0) AS DOUBLE) AS pg,
+         CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN report_date < DATE '1998-03-02' AND media = 'kakao' THEN cost END), 0), 0) AS DOUBLE) AS pk,
+         CAST(COALESCE(SUM(CASE WHEN report_date < DATE '1998-03-02' THEN impressions END), 0) AS DOUBLE) AS pi,
+         CAST(COALESCE(SUM(CASE WHEN report_date < DATE '1998-03-02' THEN clicks END), 0) AS DOUBLE) AS pc
+  FROM unified WHERE report_date BETWEEN DATE '1998-02-23' AND DATE '1998-03-08'),
+m AS (
+  SELECT 'total_cost' AS metric, tg + tk AS this_week, pg + pk AS prev_week FROM a
+  UNION ALL SELECT 'google_cost', tg, pg FROM a
+  UNION ALL SELECT 'kakao_cost', tk, pk FROM a
+  UNION ALL SELECT 'total_impressions', ti, pi FROM a
+  UNION ALL SELECT 'total_clicks', tc, pc FROM a)
+SELECT metric, this_week, prev_week, this_week - prev_week AS change,
+       (this_week - prev_week) / NULLIF(prev_week, 0) AS change_rate FROM m"""
+
+CAMPAIGN_DETAIL = f"""cg AS (
+  SELECT camp_name, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+         CAST(ROUND_EVEN(SUM(CAST(cost_micros AS DECIMAL(38,0))) / 1000000.0, 0) AS DOUBLE) AS cost,
+         CAST(SUM(conversions) AS BIGINT) AS conversions,
+         CAST(ROUND_EVEN(SUM(CAST(conversions_value AS DECIMAL(38,6))), 0) AS DOUBLE) AS conv_value
+  FROM google_ads WHERE report_date BETWEEN {WEEK} GROUP BY camp_name),
+detail AS (
+  SELECT COALESCE(camp_name, '(미분류)') AS campaign, impressions, clicks,
+         CASE WHEN impressions = 0 THEN 0.0 ELSE CAST(clicks AS DOUBLE) / impressions END AS ctr,
+         cost, cost / NULLIF(CAST(clicks AS DOUBLE), 0) AS cpc, conversions, conv_value,
+         conv_value / NULLIF(cost, 0) AS roas
+  FROM cg)"""
+
+QUERIES["campaign_detail"] = with_(GOOGLE_ADS, CAMPAIGN_DETAIL) + "SELECT * FROM detail"
+
+QUERIES["google_sheet"] = with_(GOOGLE_ADS, CAMPAIGN_DETAIL) + """
+SELECT campaign, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       SUM(cost) AS cost, CAST(SUM(conversions) AS BIGINT) AS conversions, SUM(conv_value) AS conv_value,
+       CASE WHEN GROUPING(campaign) = 1 THEN NULL ELSE MAX(ctr) END AS ctr,
+       CASE WHEN GROUPING(campaign) = 1 THEN NULL ELSE MAX(cpc) END AS cpc,
+       CASE WHEN GROUPING(campaign) = 1 THEN NULL ELSE MAX(roas) END AS roas,
+       CASE WHEN GROUPING(campaign) = 1 THEN 'total' ELSE 'detail' END AS row_type
+FROM detail GROUP BY GROUPING SETS ((campaign), ())"""
+
+QUERIES["kakao_sheet"] = with_(KAKAO_FACTS, KAKAO_MASTER) + f""",
+kw AS (
+  SELECT kwd_id, SUM(imp) AS imp, SUM(click) AS click, SUM(CAST(spending AS DECIMAL(38,6))) AS spending
+  FROM kakao_facts WHERE report_date BETWEEN {WEEK} GROUP BY kwd_id),
+c AS (
+  SELECT m.camp_name, CAST(SUM(imp) AS BIGINT) AS impressions, CAST(SUM(click) AS BIGINT) AS clicks,
+         CAST(ROUND_EVEN(SUM(spending), 0) AS DOUBLE) AS cost
+  FROM kw LEFT JOIN latest_master m ON kw.kwd_id = m.kwd_id GROUP BY m.camp_name),
+d AS (
+  SELECT COALESCE(camp_name, '(미분류)') AS campaign, impressions, clicks,
+         CASE WHEN impressions = 0 THEN 0.0 ELSE CAST(clicks AS DOUBLE) / impressions END AS ctr,
+         cost, cost / NULLIF(CAST(clicks AS DOUBLE), 0) AS cpc,
+         cost * 1000 / NULLIF(CAST(impressions AS DOUBLE), 0) AS cpm
+  FROM c)
+SELECT campaign, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       SUM(cost) AS cost,
+       CASE WHEN GROUPING(campaign) = 1 THEN NULL ELSE MAX(ctr) END AS ctr,
+       CASE WHEN GROUPING(campaign) = 1 THEN NULL ELSE MAX(cpc) END AS cpc,
+       CASE WHEN GROUPING(campaign) = 1 THEN NULL ELSE MAX(cpm) END AS cpm,
+       CASE WHEN GROUPING(campaign) = 1 THEN 'total' ELSE 'detail' END AS row_type
+FROM d GROUP BY GROUPING SETS ((campaign), ())"""
+
+QUERIES["dashboard"] = with_(*BASE) + """,
+a AS (
+  SELECT media,
+         CAST(ROUND_EVEN(SUM(CASE WHEN report_date = DATE '1998-03-10' THEN cost ELSE 0 END), 0) AS DOUBLE) AS today_cost,
+         CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS week_cost,
+         CAST(ROUND_EVEN(SUM(conv_value), 0) AS DOUBLE) AS week_conv_value,
+         SUM(impressions) AS impressions, SUM(clicks) AS clicks
+  FROM unified WHERE report_date BETWEEN DATE '1998-03-09' AND DATE '1998-03-10' GROUP BY media)
+SELECT media, today_cost, week_cost, week_conv_value / NULLIF(week_cost, 0) AS roas,
+       week_cost / NULLIF(CAST(clicks AS DOUBLE), 0) AS cpc,
+       CAST((clicks * 20000 + impressions) // NULLIF(2 * impressions, 0) AS DOUBLE) / 100.0 AS ctr,
+       week_cost / NULLIF(SUM(week_cost) OVER (), 0) AS share
+FROM a"""
+
+QUERIES["dashboard_trend"] = with_(*BASE) + """,
+spine AS (SELECT CAST(d AS DATE) AS report_date
+          FROM generate_series(DATE '1998-03-04', DATE '1998-03-10', INTERVAL 1 DAY) t(d)),
+pd AS (
+  SELECT report_date, SUM(conversions) AS conversions, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost
+  FROM unified WHERE report_date BETWEEN DATE '1998-03-04' AND DATE '1998-03-10' GROUP BY report_date)
+SELECT s.report_date, CAST(COALESCE(pd.conversions, 0) AS BIGINT) AS conversions, COALESCE(pd.cost, 0.0) AS cost
+FROM spine s LEFT JOIN pd ON s.report_date = pd.report_date"""
+
+QUERIES["report_filter"] = with_(*BASE) + f"""
+SELECT media, report_date, campaign, keyword, impressions, clicks, CAST(cost AS DOUBLE) AS cost, conversions
+FROM unified WHERE media IN ('google') AND report_date BETWEEN {WEEK}"""
+
+QUERIES["detail_search"] = with_(GOOGLE_ADS) + f"""
+SELECT keyword_text AS keyword, CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       CAST(ROUND(SUM(CAST(cost_micros AS DECIMAL(38,0))) / 1000000.0, 0) AS DOUBLE) AS cost
+FROM google_ads
+WHERE report_date BETWEEN {WEEK} AND contains(lower(keyword_text), lower('Red'))
+GROUP BY keyword_text"""
