@@ -132,3 +132,108 @@ def detail_search(spark, sf_dir):
     return g.groupBy(F.col("keyword_text").alias("keyword")).agg(
         count_sum("impressions").alias("impressions"), count_sum("clicks").alias("clicks"),
         round_half_up(F.sum(F.col("cost_micros").cast("decimal(38,0)")) / F.lit(1000000), 0).alias("cost"))
+
+
+# ---- ingest typing, quarantine, routing, dead letters --------------------
+
+from pyspark.sql import functions as _F  # noqa: E402
+
+from .functions.dates import epoch_ms_text_to_time  # noqa: E402
+from .operators import ingest, lookups  # noqa: E402
+from .operators.filters import route, split_valid  # noqa: E402
+
+TYPED_COLUMNS = ["kwd_id", "adv_id", "imp", "click", "spending", "basic_date", "report_date",
+                 "year", "month_p", "day"]
+
+
+@register("typed_bulk")
+def typed_bulk(spark, sf_dir):
+    return ingest.type_bulk(fx.raw_extract(spark, sf_dir), "kakao").select(*TYPED_COLUMNS)
+
+
+@register("typed_batch")
+def typed_batch(spark, sf_dir):
+    return ingest.type_batch(fx.raw_extract(spark, sf_dir), "kakao").select(*TYPED_COLUMNS)
+
+
+@register("valid_rows")
+def valid_rows(spark, sf_dir):
+    good, _ = split_valid(ingest.type_bulk(fx.raw_extract(spark, sf_dir), "kakao"))
+    return good.select("kwd_id", "report_date", "year", "month_p", "day")
+
+
+@register("quarantine_rows")
+def quarantine_rows(spark, sf_dir):
+    _, bad = split_valid(ingest.type_bulk(fx.raw_extract(spark, sf_dir), "kakao"))
+    return bad.select("kwd_id", "imp", "click", "spending")
+
+
+@register("routed")
+def routed(spark, sf_dir):
+    return route(fx.queue_messages(spark, sf_dir)).select("event_id", "platform")
+
+
+@register("failed_counts")
+def failed_counts(spark, sf_dir):
+    return agg.failed_counts(route(fx.queue_messages(spark, sf_dir)))
+
+
+@register("dead_letters")
+def dead_letters(spark, sf_dir):
+    m = route(fx.queue_messages(spark, sf_dir))
+    return m.select("event_id", "platform",
+                    epoch_ms_text_to_time("sent_ms").alias("sent_time"),
+                    _F.coalesce(_F.col("receive_count"), _F.lit("unknown")).alias("receive_count"))
+
+
+# ---- conversations, messages, reports -----------------------------------
+
+def _items(spark, sf_dir):
+    return lookups.conversation_items(fx.chat_messages(spark, sf_dir), fx.user_of_conversation())
+
+
+def _reports(spark, sf_dir):
+    return lookups.report_row(fx.report_items(spark, sf_dir))
+
+
+@register("messages_in_order")
+def messages_in_order(spark, sf_dir):
+    return lookups.messages_of(fx.chat_messages(spark, sf_dir)).select(
+        "message_id", "conversation_id", "seq", "role", "position")
+
+
+@register("latest_message")
+def latest_message(spark, sf_dir):
+    return lookups.latest_message(fx.chat_messages(spark, sf_dir))
+
+
+@register("conversations_by_user")
+def conversations_by_user(spark, sf_dir):
+    return lookups.conversations_of(_items(spark, sf_dir)).select(
+        "conversation_id", "user_id", "n_messages", "last_seq", "position")
+
+
+@register("title_search")
+def title_search(spark, sf_dir):
+    return lookups.title_search(_items(spark, sf_dir), "Pour").select("conversation_id", "title")
+
+
+@register("conversations_with_report")
+def conversations_with_report(spark, sf_dir):
+    items = _items(spark, sf_dir).withColumn(
+        "report_key", _F.when(_F.col("conversation_id").cast("bigint") % 3 == 0,
+                              _F.concat(_F.lit("r"), _F.col("conversation_id"))))
+    return lookups.with_report_key(items, _reports(spark, sf_dir)).select(
+        "conversation_id", "report_key", "period_start", "period_end", "created_at")
+
+
+@register("reports_by_month")
+def reports_by_month(spark, sf_dir):
+    r = lookups.reports_by_month(_reports(spark, sf_dir))
+    return r.withColumn("year", _F.col("year").cast("bigint")).withColumn("month", _F.col("month").cast("bigint"))
+
+
+@register("active_reports")
+def active_reports(spark, sf_dir):
+    return lookups.active_reports(_reports(spark, sf_dir), "1999-06-01 00:00:00").select(
+        "user_id", "report_id", "expires_at", "position")

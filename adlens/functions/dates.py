@@ -136,7 +136,7 @@ def epoch_ms_text_to_time(col, tz: str = "UTC",
     """SC11: epoch milliseconds as text to local time text, else 'unknown'."""
     ms = _c(col).try_cast("bigint")
     utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (ms / F.lit(1000)).cast("decimal(18,6)"))
+        F.lit(0), F.lit(0), F.lit(0), (ms.cast("decimal(20,0)") / F.lit(1000)).cast("decimal(18,6)"))
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
     return F.coalesce(F.date_format(local, fmt), F.lit("unknown"))
 

@@ -49,3 +49,27 @@ def with_previous(df: DataFrame, keys: list[str], order_col: str, value: str,
               .withColumn("change", F.col(value) - F.col(prefix + value))
               .withColumn("change_rate", F.try_divide(F.col("change").cast("double"),
                           F.nullif(F.col(prefix + value).cast("double"), F.lit(0.0)))))
+
+
+def position_within(df: DataFrame, keys: list[str], order: list, out: str = "position") -> DataFrame:
+    """Row position (1, 2, ...) within each key in the given order, without
+    putting a whole key into one task.
+
+    The rows are range-partitioned on (keys, order), so a key that holds a
+    large share of the rows spans several tasks. Each task numbers its rows
+    in sorted order; a small table with one row per (task, key) gives, by a
+    running sum over tasks, the count of the same key in earlier tasks,
+    which is added as an offset. ``order`` must make rows of a key distinct
+    (add a unique column as the last key), so recomputation after a lost
+    executor numbers rows the same way."""
+    ordered = [o if not isinstance(o, str) else F.col(o) for o in order]
+    sort_cols = [F.col(k) for k in keys] + ordered
+    s = (df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_rid", F.monotonically_increasing_id()))
+    blocks = s.groupBy("_pid", *keys).agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    j = s.join(blocks, on=["_pid", *keys], how="inner")
+    return (j.withColumn(out, F.col("_rid") - F.col("_first") + F.col("_off") + 1)
+             .drop("_pid", "_rid", "_first", "_n", "_off"))

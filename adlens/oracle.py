@@ -42,7 +42,8 @@ QUEUE_MESSAGES = """queue_messages AS (
   SELECT event_id, ts AS sent,
          CASE event_type WHEN 'click' THEN '{"platform": "google"}' WHEN 'view' THEN '{"platform": "kakao"}'
                          WHEN 'error' THEN 'not json' ELSE props END AS body,
-         CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(1 + event_id % 3 AS VARCHAR) END AS receive_count
+         CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(1 + event_id % 3 AS VARCHAR) END AS receive_count,
+         CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END AS sent_ms
   FROM events)"""
 
 CHAT_MESSAGES = """chat_messages AS (
@@ -279,3 +280,113 @@ SELECT keyword_text AS keyword, CAST(SUM(impressions) AS BIGINT) AS impressions,
 FROM google_ads
 WHERE report_date BETWEEN {WEEK} AND contains(lower(keyword_text), lower('Red'))
 GROUP BY keyword_text"""
+
+RAW = """raw AS (
+  SELECT CAST(event_id AS VARCHAR) AS kwd_id,
+         CAST(user_id AS VARCHAR) || '-' || CAST(event_id % 1000 AS VARCHAR) AS adv_id,
+         CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 7 = 1 THEN '' WHEN event_id % 7 = 2 THEN 'x'
+              WHEN event_id % 7 = 3 THEN ' ' || CAST(user_id AS VARCHAR) || ' ' WHEN event_id % 7 = 4 THEN 'NaN'
+              ELSE CAST(user_id AS VARCHAR) || '.5' END AS imp,
+         CAST(event_id % 13 AS VARCHAR) || '.' || CAST(event_id % 10 AS VARCHAR) AS click,
+         CASE WHEN event_id % 11 = 0 THEN '-' ELSE CAST(user_id * 1000 + event_id % 100 AS VARCHAR) || '.25' END AS spending,
+         CASE WHEN event_id % 5 = 0 THEN REPLACE(CAST(CAST(ts AS DATE) AS VARCHAR), '-', '')
+              WHEN event_id % 5 = 1 THEN CAST(CAST(ts AS DATE) AS VARCHAR)
+              WHEN event_id % 5 = 2 THEN CAST(year(ts) AS VARCHAR) || '-' || CAST(month(ts) AS VARCHAR) || '-' || CAST(day(ts) AS VARCHAR)
+              WHEN event_id % 5 = 3 THEN '2024-13-' || CAST(day(ts) AS VARCHAR)
+              ELSE '' END AS basic_date
+  FROM events),
+rawd AS (
+  SELECT *, CAST(COALESCE(TRY_STRPTIME(TRIM(basic_date), '%Y%m%d'), TRY_STRPTIME(TRIM(basic_date), '%Y-%m-%d')) AS DATE) AS rd
+  FROM raw),
+bulk AS (
+  SELECT kwd_id, adv_id,
+         TRY_CAST(ROUND_EVEN(TRY_CAST(imp AS DOUBLE), 0) AS BIGINT) AS imp,
+         TRY_CAST(ROUND_EVEN(TRY_CAST(click AS DOUBLE), 0) AS BIGINT) AS click,
+         CASE WHEN isnan(TRY_CAST(spending AS DOUBLE)) THEN NULL ELSE TRY_CAST(spending AS DOUBLE) END AS spending,
+         strftime(rd, '%Y-%m-%d') AS basic_date, rd AS report_date,
+         strftime(rd, '%Y') AS year, strftime(rd, '%m') AS month_p, strftime(rd, '%d') AS day
+  FROM rawd)"""
+
+QUERIES["typed_bulk"] = with_(RAW) + "SELECT * FROM bulk"
+
+QUERIES["typed_batch"] = with_(RAW) + """
+SELECT COALESCE(kwd_id, '') AS kwd_id, REPLACE(COALESCE(adv_id, ''), '-', '') AS adv_id,
+       COALESCE(TRY_CAST(TRUNC(TRY_CAST(imp AS DOUBLE)) AS BIGINT), 0) AS imp,
+       COALESCE(TRY_CAST(TRUNC(TRY_CAST(click AS DOUBLE)) AS BIGINT), 0) AS click,
+       COALESCE(TRY_CAST(spending AS DOUBLE), 0.0) AS spending,
+       COALESCE(strftime(rd, '%Y%m%d'), COALESCE(basic_date, '')) AS basic_date, rd AS report_date,
+       strftime(rd, '%Y') AS year, strftime(rd, '%m') AS month_p, strftime(rd, '%d') AS day
+FROM rawd"""
+
+QUERIES["valid_rows"] = with_(RAW) + """
+SELECT kwd_id, report_date, year, month_p, day FROM bulk WHERE report_date IS NOT NULL"""
+
+QUERIES["quarantine_rows"] = with_(RAW) + """
+SELECT kwd_id, imp, click, spending FROM bulk WHERE report_date IS NULL"""
+
+ROUTED = """routed AS (
+  SELECT *, CASE WHEN json_valid(body) AND json_extract_string(body, '$.platform') IN ('google', 'kakao')
+                 THEN json_extract_string(body, '$.platform') ELSE 'unknown' END AS platform
+  FROM queue_messages)"""
+
+QUERIES["routed"] = with_(QUEUE_MESSAGES, ROUTED) + "SELECT event_id, platform FROM routed"
+
+QUERIES["failed_counts"] = with_(QUEUE_MESSAGES, ROUTED) + """
+SELECT platform, COUNT(*) AS n FROM routed GROUP BY platform"""
+
+QUERIES["dead_letters"] = with_(QUEUE_MESSAGES, ROUTED) + """
+SELECT event_id, platform,
+       COALESCE(strftime(make_timestamp(TRY_CAST(sent_ms AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S'), 'unknown') AS sent_time,
+       COALESCE(receive_count, 'unknown') AS receive_count
+FROM routed"""
+
+ITEMS = """items AS (
+  SELECT conversation_id,
+         arg_min(content, seq) FILTER (WHERE role = 'user') AS title,
+         COUNT(*) AS n_messages, MAX(seq) AS last_seq,
+         'u' || CAST(CAST(conversation_id AS BIGINT) % 23 AS VARCHAR) AS user_id
+  FROM chat_messages GROUP BY conversation_id)"""
+
+REPORTS = """reports AS (
+  SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS report_id,
+         'u' || CAST(o_custkey % 23 AS VARCHAR) AS user_id,
+         'weekly' AS type,
+         CAST(o_orderdate AS DATE) - (CAST(isodow(o_orderdate) AS INTEGER) - 1 + 7) AS period_start,
+         CAST(o_orderdate AS DATE) - (CAST(isodow(o_orderdate) AS INTEGER) - 1 + 7) + 6 AS period_end,
+         o_orderdate AS created_at,
+         o_orderdate + INTERVAL 90 DAY AS expires_at
+  FROM orders)"""
+
+QUERIES["messages_in_order"] = with_(CHAT_MESSAGES) + """
+SELECT message_id, conversation_id, seq, role,
+       ROW_NUMBER() OVER (PARTITION BY conversation_id ORDER BY seq, message_id) AS position
+FROM chat_messages"""
+
+QUERIES["latest_message"] = with_(CHAT_MESSAGES) + """
+SELECT conversation_id, seq, message_id, role, content FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY conversation_id ORDER BY seq DESC) AS rn FROM chat_messages)
+WHERE rn = 1"""
+
+QUERIES["conversations_by_user"] = with_(CHAT_MESSAGES, ITEMS) + """
+SELECT conversation_id, user_id, n_messages, last_seq,
+       ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY last_seq DESC, conversation_id ASC) AS position
+FROM items"""
+
+QUERIES["title_search"] = with_(CHAT_MESSAGES, ITEMS) + """
+SELECT conversation_id, title FROM items WHERE contains(lower(title), lower('Pour'))"""
+
+QUERIES["conversations_with_report"] = with_(CHAT_MESSAGES, ITEMS, REPORTS) + """
+SELECT i.conversation_id, i.report_key, r.period_start, r.period_end, r.created_at
+FROM (SELECT *, CASE WHEN CAST(conversation_id AS BIGINT) % 3 = 0 THEN 'r' || conversation_id END AS report_key
+      FROM items) i
+LEFT JOIN reports r ON i.report_key = r.report_id"""
+
+QUERIES["reports_by_month"] = with_(REPORTS) + """
+SELECT year(created_at) AS year, month(created_at) AS month, COUNT(*) AS n_reports,
+       MIN(created_at) AS first_created, MAX(created_at) AS last_created
+FROM reports GROUP BY 1, 2"""
+
+QUERIES["active_reports"] = with_(REPORTS) + """
+SELECT user_id, report_id, expires_at,
+       ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY expires_at, report_id) AS position
+FROM reports WHERE expires_at > TIMESTAMP '1999-06-01 00:00:00'"""

@@ -85,8 +85,10 @@ def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.col("props")))
     rc = F.when(F.col("event_id") % 50 == 0, F.lit(None).cast("string")) \
           .otherwise((F.lit(1) + F.col("event_id") % 3).cast("string"))
+    ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    sent_ms = F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("string")).otherwise(ms.cast("string"))
     return e.select("event_id", F.col("ts").alias("sent"), body.alias("body"),
-                    rc.alias("receive_count"))
+                    rc.alias("receive_count"), sent_ms.alias("sent_ms"))
 
 
 def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,3 +98,45 @@ def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("message_id"),
         F.col("conv_id").cast("string").alias("conversation_id"),
         F.col("turn").alias("seq"), "role", F.col("text").alias("content"))
+
+
+def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword extract with every field as text (bulk CSV / response
+    values), from events: half values, blanks, junk, spaces, NaN, both date
+    forms, unpadded dates and impossible dates."""
+    e = table(spark, sf_dir, "events")
+    eid, uid = F.col("event_id"), F.col("user_id").cast("string")
+    d = F.col("ts").cast("date")
+    imp = (F.when(eid % 7 == 0, F.lit(None).cast("string")).when(eid % 7 == 1, F.lit(""))
+            .when(eid % 7 == 2, F.lit("x")).when(eid % 7 == 3, F.concat(F.lit(" "), uid, F.lit(" ")))
+            .when(eid % 7 == 4, F.lit("NaN")).otherwise(F.concat(uid, F.lit(".5"))))
+    click = F.concat((eid % 13).cast("string"), F.lit("."), (eid % 10).cast("string"))
+    spend = F.when(eid % 11 == 0, F.lit("-")).otherwise(
+        F.concat((F.col("user_id") * 1000 + eid % 100).cast("string"), F.lit(".25")))
+    date_text = (F.when(eid % 5 == 0, F.regexp_replace(d.cast("string"), "-", ""))
+                  .when(eid % 5 == 1, d.cast("string"))
+                  .when(eid % 5 == 2, F.concat_ws("-", F.year(d).cast("string"), F.month(d).cast("string"),
+                                                  F.dayofmonth(d).cast("string")))
+                  .when(eid % 5 == 3, F.concat(F.lit("2024-13-"), F.dayofmonth(d).cast("string")))
+                  .otherwise(F.lit("")))
+    adv = F.concat(uid, F.lit("-"), (eid % 1000).cast("string"))
+    return e.select(eid.cast("string").alias("kwd_id"), adv.alias("adv_id"), imp.alias("imp"),
+                    click.alias("click"), spend.alias("spending"), date_text.alias("basic_date"))
+
+
+def user_of_conversation():
+    """Owner of a conversation item (derived from its id)."""
+    return F.concat(F.lit("u"), (F.col("conversation_id").cast("bigint") % 23).cast("string"))
+
+
+def report_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved weekly report items: orders."""
+    o = table(spark, sf_dir, "orders")
+    created = F.col("o_orderdate")
+    start = F.date_sub(created.cast("date"), F.weekday(created.cast("date")) + 7)
+    return o.select(
+        F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("report_id"),
+        F.concat(F.lit("u"), (F.col("o_custkey") % 23).cast("string")).alias("user_id"),
+        F.lit("weekly").alias("type"),
+        start.alias("period_start"), F.date_add(start, 6).alias("period_end"),
+        created.alias("created_at"))
