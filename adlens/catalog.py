@@ -237,3 +237,93 @@ def reports_by_month(spark, sf_dir):
 def active_reports(spark, sf_dir):
     return lookups.active_reports(_reports(spark, sf_dir), "1999-06-01 00:00:00").select(
         "user_id", "report_id", "expires_at", "position")
+
+
+# ---- sources and sinks: write, then read back ----------------------------
+
+from .functions.dates import partition_keys  # noqa: E402
+from .operators.joins import latest_master  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sinks import tables as sinks  # noqa: E402
+from .sources import landed, readers  # noqa: E402
+
+KAKAO_TABLE_COLUMNS = ["kwd_id", "agroup_id", "adv_id", "basic_date", "imp", "click", "spending",
+                       "conv_purchase_1d", "conv_purchase_7d"]
+REWRITE_DAY = "1998-03-05"
+
+
+def _kakao_rows(spark, sf_dir):
+    f = fx.kakao_facts(spark, sf_dir)
+    return f.select(*KAKAO_TABLE_COLUMNS, *partition_keys("report_date"))
+
+
+def _read_back(spark, path):
+    return readers.scan_table(spark, path, "kakao").select(*KAKAO_TABLE_COLUMNS, "report_date",
+                                                           "year", "month_p", "day")
+
+
+@register("parquet_roundtrip")
+def parquet_roundtrip(spark, sf_dir):
+    rows = _kakao_rows(spark, sf_dir)
+    path = scratch_path(spark, "kakao_ad_performance")
+    sinks.write_partitions(rows, path)
+    sinks.write_partitions(rows.filter(_F.lit(False)), path)   # empty extract: no change
+    return _read_back(spark, path)
+
+
+@register("rewrite_day")
+def rewrite_day(spark, sf_dir):
+    rows = _kakao_rows(spark, sf_dir)
+    path = scratch_path(spark, "kakao_ad_performance")
+    sinks.write_partitions(rows, path)
+    day = rows.filter(_F.col("basic_date") == REWRITE_DAY.replace("-", "")).withColumn("imp", _F.col("imp") * 2)
+    sinks.write_partitions(day, path)     # rerun of one day replaces that day only
+    sinks.write_partitions(day, path)     # and is idempotent
+    return _read_back(spark, path)
+
+
+@register("catalog_scan")
+def catalog_scan(spark, sf_dir):
+    from .functions.ratios import money_sum, round_half_up
+    root = scratch_path(spark, "tables")
+    sinks.write_partitions(_kakao_rows(spark, sf_dir), f"{root}/kakao")
+    db = "ad_report"
+    (name,) = sinks.create_tables(spark, root, db, drop_first=True, platforms=("kakao",))
+    sinks.register_partitions(spark, name)
+    t = readers.sql(spark, f"SELECT * FROM {name}")
+    return (t.groupBy("year", "month_p")
+             .agg(_F.count(_F.lit(1)).alias("n"), _F.sum("imp").alias("imp"),
+                  round_half_up(money_sum("spending"), 0).alias("spending")))
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "kakao_master_csv")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    (landed.master_rows(spark, sf_dir).write.option("header", True).option("encoding", "MS949")
+           .csv(path))
+    text = readers.read_csv_text(spark, path)
+    m = latest_master(text.withColumn("seq", _F.col("seq").cast("int")), "seq")
+    return m.select("kwd_id", "kwd_name", "camp_name", "label")
+
+
+@register("json_flatten")
+def json_flatten(spark, sf_dir):
+    path = scratch_path(spark, "google_responses")
+    landed.google_documents(spark, sf_dir).write.json(path)
+    flat = readers.flatten_google(readers.read_responses(spark, path, "google"), landed.CUSTOMER_ID)
+    return flat.select("camp_name", "keyword_id", "keyword_text", "device", "network_type", "date",
+                       "basic_date", "adv_id", "impressions", "clicks", "cost_micros", "conversions",
+                       "conversions_value", "ctr", "video_views")
+
+
+@register("accounts")
+def accounts(spark, sf_dir):
+    docs_path = scratch_path(spark, "kakao_responses")
+    list_path = scratch_path(spark, "kakao_accounts")
+    landed.kakao_documents(spark, sf_dir).write.json(docs_path)
+    landed.account_list(spark, sf_dir).write.json(list_path)
+    acc = readers.explode_accounts(readers.read_responses(spark, list_path, "accounts"))
+    flat = readers.flatten_kakao(readers.read_responses(spark, docs_path, "kakao"), accounts=acc)
+    return flat.select("kwd_id", "agroup_id", "adv_id", "basic_date", "imp", "click", "spending",
+                       "conv_purchase_1d", "conv_purchase_7d", "rank", "ctr")

@@ -390,3 +390,42 @@ QUERIES["active_reports"] = with_(REPORTS) + """
 SELECT user_id, report_id, expires_at,
        ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY expires_at, report_id) AS position
 FROM reports WHERE expires_at > TIMESTAMP '1999-06-01 00:00:00'"""
+
+KAKAO_ROWS = """krows AS (
+  SELECT kwd_id, agroup_id, adv_id, basic_date, imp, click, spending, conv_purchase_1d, conv_purchase_7d,
+         report_date, strftime(report_date, '%Y') AS year, strftime(report_date, '%m') AS month_p,
+         strftime(report_date, '%d') AS day
+  FROM kakao_facts)"""
+
+QUERIES["parquet_roundtrip"] = with_(KAKAO_FACTS, KAKAO_ROWS) + "SELECT * FROM krows"
+
+QUERIES["rewrite_day"] = with_(KAKAO_FACTS, KAKAO_ROWS) + """
+SELECT kwd_id, agroup_id, adv_id, basic_date,
+       CASE WHEN report_date = DATE '1998-03-05' THEN imp * 2 ELSE imp END AS imp,
+       click, spending, conv_purchase_1d, conv_purchase_7d, report_date, year, month_p, day
+FROM krows"""
+
+QUERIES["catalog_scan"] = with_(KAKAO_FACTS, KAKAO_ROWS) + """
+SELECT year, month_p, COUNT(*) AS n, CAST(SUM(imp) AS BIGINT) AS imp,
+       CAST(ROUND(SUM(CAST(spending AS DECIMAL(38,6))), 0) AS DOUBLE) AS spending
+FROM krows GROUP BY year, month_p"""
+
+QUERIES["csv_roundtrip"] = with_(KAKAO_MASTER) + """
+SELECT kwd_id, kwd_name, camp_name, '캠페인 ' || camp_name AS label FROM latest_master"""
+
+QUERIES["json_flatten"] = """
+SELECT p_brand AS camp_name, CAST(l_partkey AS VARCHAR) AS keyword_id, p_name AS keyword_text,
+       l_returnflag AS device, l_linestatus AS network_type, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date,
+       REPLACE(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), '-', '') AS basic_date, '1234567890' AS adv_id,
+       CAST(TRUNC(l_quantity * 100) AS BIGINT) AS impressions, CAST(TRUNC(l_quantity) AS BIGINT) AS clicks,
+       l_extendedprice * 1000000 AS cost_micros, CAST(l_linenumber - 1 AS BIGINT) AS conversions,
+       l_extendedprice * (1 - l_discount) AS conversions_value, 0.0 AS ctr, CAST(0 AS BIGINT) AS video_views
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+QUERIES["accounts"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS kwd_id, o_orderpriority AS agroup_id, o_orderstatus AS adv_id,
+       REPLACE(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '') AS basic_date,
+       o_orderkey % 1000 AS imp, o_orderkey % 37 AS click, o_totalprice AS spending,
+       o_orderkey % 5 AS conv_purchase_1d, o_orderkey % 11 AS conv_purchase_7d,
+       CAST(0 AS BIGINT) AS rank, 0.0 AS ctr
+FROM orders WHERE o_orderstatus <> 'P'"""

@@ -73,6 +73,7 @@ _K_METRICS = ["imp", "click", "spending", "ctr", "rimp", "ppc", "rank", "convCmp
               "convAppInstall1d", "convAppInstall7d"]
 KAKAO_RESPONSE = T.StructType([
     T.StructField("account_id", S),
+    T.StructField("date", S),
     T.StructField("ok", T.BooleanType()),
     T.StructField("data", T.ArrayType(T.StructType([
         T.StructField("keywordId", S), T.StructField("adGroupId", S),
