@@ -327,3 +327,44 @@ def accounts(spark, sf_dir):
     flat = readers.flatten_kakao(readers.read_responses(spark, docs_path, "kakao"), accounts=acc)
     return flat.select("kwd_id", "agroup_id", "adv_id", "basic_date", "imp", "click", "spending",
                        "conv_purchase_1d", "conv_purchase_7d", "rank", "ctr")
+
+
+# ---- streaming: run to completion (availableNow), read the sink ---------
+
+from .streaming import jobs as streams  # noqa: E402
+
+
+@register("stream_failed_counts")
+def stream_failed_counts(spark, sf_dir):
+    landing = scratch_path(spark, "queue")
+    landed.queue_documents(spark, sf_dir).write.json(landing)
+    sink, ckpt = scratch_path(spark, "dlq_counts"), scratch_path(spark, "dlq_ckpt")
+    q = streams.run_update_stream(streams.dead_letter_counts(streams.queue_stream(spark, landing)), sink, ckpt)
+    q.awaitTermination()
+    return streams.read_latest(spark, sink, ["window_start_ms", "window_end_ms", "platform"])
+
+
+@register("stream_routes")
+def stream_routes(spark, sf_dir):
+    landing = scratch_path(spark, "queue")
+    landed.queue_documents(spark, sf_dir).write.json(landing)
+    good, bad, ckpt = (scratch_path(spark, n) for n in ("routed_good", "routed_bad", "routes_ckpt"))
+    streams.route_stream(streams.queue_stream(spark, landing), good, bad, ckpt).awaitTermination()
+    g = spark.read.parquet(good).withColumn("route", _F.lit("good"))
+    b = spark.read.parquet(bad).withColumn("route", _F.lit("quarantine"))
+    return g.unionByName(b).select("message_id", "platform", "receive_count", "route")
+
+
+@register("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    landing = scratch_path(spark, "google_landing")
+    sinks.write_partitions(landed.google_day_documents(spark, sf_dir), f"{landing}/run=001",
+                           keys=("date",), fmt="json", dynamic=False)
+    sinks.write_partitions(landed.google_day_documents(spark, sf_dir, REWRITE_DAY), f"{landing}/run=002",
+                           keys=("date",), fmt="json", dynamic=False)
+    table, ckpt = scratch_path(spark, "google_ad_performance"), scratch_path(spark, "ingest_ckpt")
+    streams.ingest_stream(spark, f"{landing}/run=*/date=*/", "google", table, ckpt,
+                          customer_id=landed.CUSTOMER_ID).awaitTermination()
+    t = readers.scan_table(spark, table, "google")
+    return t.select("camp_name", "keyword_id", "keyword_text", "basic_date", "report_date", "adv_id",
+                    "impressions", "clicks", "cost_micros", "conversions_value", "year", "month_p", "day")

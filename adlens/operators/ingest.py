@@ -48,13 +48,16 @@ def type_bulk(df: DataFrame, platform: str, date_col: str | None = None) -> Data
     return typed.select("*", *partition_keys("report_date"))
 
 
-def type_batch(df: DataFrame, platform: str, date_col: str = "basic_date") -> DataFrame:
+def type_batch(df: DataFrame, platform: str, date_col: str = "basic_date",
+               passthrough: tuple[str, ...] = ()) -> DataFrame:
     """Batch (response) typing: '' for missing text, 0 / 0.0 for missing
     numbers, integers truncated toward zero; dashes removed from ids."""
     longs, doubles = _numeric(platform)
     out = []
     for c in df.columns:
-        if c in longs:
+        if c in passthrough:
+            out.append(F.col(c))
+        elif c in longs:
             out.append(long_trunc_or_zero(c).alias(c))
         elif c in doubles:
             out.append(double_or_zero(c).alias(c))

@@ -429,3 +429,24 @@ SELECT CAST(o_custkey AS VARCHAR) AS kwd_id, o_orderpriority AS agroup_id, o_ord
        o_orderkey % 5 AS conv_purchase_1d, o_orderkey % 11 AS conv_purchase_7d,
        CAST(0 AS BIGINT) AS rank, 0.0 AS ctr
 FROM orders WHERE o_orderstatus <> 'P'"""
+
+QUERIES["stream_failed_counts"] = with_(QUEUE_MESSAGES, ROUTED) + """
+SELECT (TRY_CAST(sent_ms AS BIGINT) // 300000) * 300000 AS window_start_ms,
+       (TRY_CAST(sent_ms AS BIGINT) // 300000) * 300000 + 300000 AS window_end_ms,
+       platform, COUNT(*) AS n
+FROM routed WHERE sent_ms IS NOT NULL GROUP BY 1, 2, 3"""
+
+QUERIES["stream_routes"] = with_(QUEUE_MESSAGES, ROUTED) + """
+SELECT CAST(event_id AS VARCHAR) AS message_id, platform, COALESCE(receive_count, 'unknown') AS receive_count,
+       CASE WHEN platform = 'unknown' THEN 'quarantine' ELSE 'good' END AS route
+FROM routed"""
+
+QUERIES["stream_ingest"] = """
+SELECT p_brand AS camp_name, CAST(l_partkey AS VARCHAR) AS keyword_id, p_name AS keyword_text,
+       REPLACE(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), '-', '') AS basic_date,
+       CAST(l_shipdate AS DATE) AS report_date, '1234567890' AS adv_id,
+       CAST(TRUNC(l_quantity * 100 * CASE WHEN CAST(l_shipdate AS DATE) = DATE '1998-03-05' THEN 2 ELSE 1 END) AS BIGINT) AS impressions,
+       CAST(TRUNC(l_quantity) AS BIGINT) AS clicks,
+       l_extendedprice * 1000000 AS cost_micros, l_extendedprice * (1 - l_discount) AS conversions_value,
+       strftime(l_shipdate, '%Y') AS year, strftime(l_shipdate, '%m') AS month_p, strftime(l_shipdate, '%d') AS day
+FROM lineitem JOIN part ON l_partkey = p_partkey"""

@@ -8,7 +8,8 @@ from ..schemas import PARTITION_COLUMNS, TABLES
 
 
 def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
-                     max_records_per_file: int = 5_000_000) -> None:
+                     max_records_per_file: int = 5_000_000, fmt: str = "parquet",
+                     dynamic: bool = True) -> None:
     """SNK1 + SNK6: Snappy Parquet under ``year=/month_p=/day=``, replacing
     only the partitions present in ``df`` (dynamic overwrite). A rerun of a
     day replaces that day (Q10); an empty frame changes nothing (Q9), so no
@@ -25,13 +26,14 @@ def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
     before = spark.conf.get(key, "true")
     spark.conf.set(key, "false")
     try:
-        (df.hint("rebalance", *keys)
-           .write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .option("compression", "snappy")
-           .option("maxRecordsPerFile", max_records_per_file)
-           .partitionBy(*keys)
-           .parquet(path))
+        w = (df.hint("rebalance", *keys).write
+               .mode("overwrite" if dynamic else "errorifexists")
+               .option("partitionOverwriteMode", "dynamic")
+               .option("maxRecordsPerFile", max_records_per_file)
+               .partitionBy(*keys))
+        if fmt == "parquet":
+            w = w.option("compression", "snappy")
+        w.format(fmt).save(path)
     finally:
         spark.conf.set(key, before)
 

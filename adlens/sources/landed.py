@@ -67,3 +67,38 @@ def master_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword master with a Korean label column, for the CSV round trip."""
     return kakao_master(spark, sf_dir).withColumn(
         "label", F.concat(F.lit("캠페인 "), F.col("camp_name")))
+
+
+def queue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queue messages as landed by the queue (message id, body, attributes)."""
+    from .fixtures import queue_messages
+    q = queue_messages(spark, sf_dir)
+    return q.select(F.col("event_id").cast("string").alias("message_id"), "body",
+                    F.struct(F.col("receive_count").alias("ApproximateReceiveCount"),
+                             F.col("sent_ms").alias("SentTimestamp")).alias("attributes"))
+
+
+def google_day_documents(spark: SparkSession, sf_dir: str, scale_day: str | None = None) -> DataFrame:
+    """Google responses with the extract day as a column (``date``), for a
+    landing folder per day. With ``scale_day`` only that day's rows are
+    produced, with impressions doubled (a rerun of that day)."""
+    li = table(spark, sf_dir, "lineitem")
+    pa = table(spark, sf_dir, "part")
+    j = li.join(pa, li.l_partkey == pa.p_partkey)
+    day = F.col("l_shipdate").cast("date").cast("string")
+    imp = F.col("l_quantity") * 100
+    if scale_day is not None:
+        j = j.filter(day == scale_day)
+        imp = imp * 2
+    result = F.struct(
+        F.struct(F.col("p_brand").alias("name")).alias("campaign"),
+        F.struct(F.col("p_type").alias("name")).alias("adGroup"),
+        F.struct(F.col("l_partkey").cast("string").alias("criterionId"),
+                 F.struct(F.col("p_name").alias("text")).alias("keyword")).alias("adGroupCriterion"),
+        F.struct(day.alias("date")).alias("segments"),
+        F.struct(imp.cast("string").alias("impressions"), F.col("l_quantity").cast("string").alias("clicks"),
+                 (F.col("l_extendedprice") * 1000000).cast("string").alias("costMicros"),
+                 (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("string").alias("conversionsValue")
+                 ).alias("metrics"))
+    return (j.groupBy(day.alias("date"), F.floor(F.col("l_orderkey") / 100).alias("doc"))
+             .agg(F.collect_list(result).alias("results")).select("date", "results"))

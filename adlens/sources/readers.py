@@ -51,12 +51,13 @@ def read_responses(spark: SparkSession, path: str, platform: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
-def flatten_google(docs: DataFrame, customer_id: str | None = None, date: str | None = None) -> DataFrame:
+def flatten_google(docs: DataFrame, customer_id: str | None = None, date: str | None = None,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """SRC2: google response documents to the 35 columns the batch path
     writes (the five creation_* columns are never filled). Missing text is
     '', missing numbers 0, integers truncated. ``basic_date`` is ``date``
     (the extract day) or each row's segment date, as ``yyyyMMdd``."""
-    r = docs.select(F.explode("results").alias("r")).select("r.*")
+    r = docs.select(*keep, F.explode("results").alias("r")).select(*keep, "r.*")
     s = lambda n: text_or_empty(F.col(n))
     day = F.lit(date) if date else F.col("segments.date")
     cols = [
@@ -84,7 +85,7 @@ def flatten_google(docs: DataFrame, customer_id: str | None = None, date: str |
                "video_quartile_p75_rate": "videoQuartileP75Rate", "video_quartile_p100_rate": "videoQuartileP100Rate"}
     cols += [long_trunc_or_zero(F.col(f"metrics.{v}")).alias(k) for k, v in longs.items()]
     cols += [double_or_zero(F.col(f"metrics.{v}")).alias(k) for k, v in doubles.items()]
-    return r.select(*cols)
+    return r.select(*keep, *cols)
 
 
 def explode_accounts(docs: DataFrame) -> DataFrame:
@@ -92,14 +93,16 @@ def explode_accounts(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode("adAccounts").alias("a")).select(F.col("a.id").alias("account_id"))
 
 
-def flatten_kakao(docs: DataFrame, date: str | None = None, accounts: DataFrame | None = None) -> DataFrame:
+def flatten_kakao(docs: DataFrame, date: str | None = None, accounts: DataFrame | None = None,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """SRC3: per-account kakao responses to the 25 batch columns. Documents
     of failed accounts (``ok`` false) are skipped; the rest continue. With
     ``accounts`` only listed accounts are kept (semi join)."""
     d = docs.filter(F.coalesce(F.col("ok"), F.lit(False)))
     if accounts is not None:
         d = d.join(accounts, on="account_id", how="left_semi")
-    r = d.select("account_id", "date", F.explode("data").alias("k")).select("account_id", "date", "k.*")
+    r = (d.select("account_id", "date", *keep, F.explode("data").alias("k"))
+          .select("account_id", "date", *keep, "k.*"))
     longs = {"imp": "imp", "click": "click", "rimp": "rimp", "rank": "rank",
              "conv_cmpt_reg_1d": "convCmptReg1d", "conv_cmpt_reg_7d": "convCmptReg7d",
              "conv_view_cart_1d": "convViewCart1d", "conv_view_cart_7d": "convViewCart7d",
@@ -115,7 +118,7 @@ def flatten_kakao(docs: DataFrame, date: str | None = None, accounts: DataFrame
             text_or_empty(F.col("account_id")).alias("adv_id")]
     cols += [long_trunc_or_zero(F.col(f"metrics.{v}")).alias(k) for k, v in longs.items()]
     cols += [double_or_zero(F.col(f"metrics.{v}")).alias(k) for k, v in doubles.items()]
-    return r.select(*cols)
+    return r.select(*keep, *cols)
 
 
 def scan_table(spark: SparkSession, path: str, platform: str, start=None, end=None) -> DataFrame:
