@@ -38,13 +38,12 @@ def enrich_with_master(fact: DataFrame, master: DataFrame, key: str = "kwd_id",
 
 def by_date_and_media(unified: DataFrame, measures: list[str],
                       media_values=("google", "kakao")) -> DataFrame:
-    """JN4: google and kakao side by side per date. A pivot on a fixed value
-    list is one partial+final aggregate keyed by date (no join); a missing
-    side is 0."""
-    p = (unified.groupBy("report_date").pivot("media", list(media_values))
-                .agg(*[F.sum(m).alias(m) for m in measures]))
-    zero = {f"{v}_{m}": 0 for v in media_values for m in measures}
-    return p.fillna(zero)
+    """JN4: google and kakao side by side per date (a pivot on a fixed value
+    list written as conditional sums): one partial+final aggregate keyed by
+    date, no join; a missing side is 0."""
+    aggs = [F.coalesce(F.sum(F.when(F.col("media") == v, F.col(m))), F.lit(0)).alias(f"{v}_{m}")
+            for v in media_values for m in measures]
+    return unified.groupBy("report_date").agg(*aggs)
 
 
 def daily_lookup(daily: DataFrame, table: DataFrame, key: str = "report_date",

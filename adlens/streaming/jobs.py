@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json_fields import platform_of
 from ..operators.ingest import type_batch
-from ..schemas import GOOGLE_RESPONSE, KAKAO_RESPONSE, QUEUE_MESSAGE
+from ..schemas import GOOGLE_RESPONSE, KAKAO_RESPONSE, QUEUE_MESSAGE  # noqa: F401
 from ..sinks.tables import write_partitions
 from ..sources.readers import flatten_google, flatten_kakao
 
