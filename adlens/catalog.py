@@ -368,3 +368,51 @@ def stream_ingest(spark, sf_dir):
     t = readers.scan_table(spark, table, "google")
     return t.select("camp_name", "keyword_id", "keyword_text", "basic_date", "report_date", "adv_id",
                     "impressions", "clicks", "cost_micros", "conversions_value", "year", "month_p", "day")
+
+
+# ---- report documents ----------------------------------------------------
+
+from .functions.dates import display_date  # noqa: E402
+from .operators import documents  # noqa: E402
+
+
+def _report_docs(spark, sf_dir):
+    path = scratch_path(spark, "reports")
+    sinks.write_partitions(landed.report_documents(spark, sf_dir), path, keys=("report_id",),
+                           fmt="json", dynamic=False)
+    return readers.read_report_docs(spark, path)
+
+
+@register("report_datasets")
+def report_datasets(spark, sf_dir):
+    d = documents.datasets(_report_docs(spark, sf_dir))
+    return d.select("report_id", "chart_type", _F.size("rows").cast("bigint").alias("n_rows"),
+                    _F.col("message_pos").cast("bigint").alias("message_pos"))
+
+
+@register("report_texts")
+def report_texts(spark, sf_dir):
+    t = documents.texts(_report_docs(spark, sf_dir))
+    return t.select("report_id", _F.size("texts").cast("bigint").alias("n_texts"),
+                    _F.array_join("texts", " | ").alias("texts"))
+
+
+@register("report_pie")
+def report_pie(spark, sf_dir):
+    p = documents.pie_rows(documents.datasets(_report_docs(spark, sf_dir)))
+    return p.select("report_id", _F.col("pos").cast("bigint").alias("pos"), "media", "cost")
+
+
+@register("report_titles")
+def report_titles(spark, sf_dir):
+    d = _report_docs(spark, sf_dir)
+    return d.select("report_id", "title", display_date("created_at").alias("created"))
+
+
+@register("sheets_roundtrip")
+def sheets_roundtrip(spark, sf_dir):
+    u = _unified(spark, sf_dir)
+    path = scratch_path(spark, "sheets")
+    sinks.write_sheets({"daily": sheets.daily_sheet(u, W0, W1), "google": sheets.google_sheet(
+        fx.google_ads(spark, sf_dir), W0, W1)}, path)
+    return spark.read.parquet(f"{path}/daily")

@@ -450,3 +450,36 @@ SELECT p_brand AS camp_name, CAST(l_partkey AS VARCHAR) AS keyword_id, p_name AS
        l_extendedprice * 1000000 AS cost_micros, l_extendedprice * (1 - l_discount) AS conversions_value,
        strftime(l_shipdate, '%Y') AS year, strftime(l_shipdate, '%m') AS month_p, strftime(l_shipdate, '%d') AS day
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+WEEKS = """wk AS (
+  SELECT *, report_date - CAST(isodow(report_date) - 1 AS INTEGER) AS week FROM unified)"""
+
+QUERIES["report_datasets"] = with_(*BASE, WEEKS) + """
+SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, 'pie' AS chart_type,
+       CAST(COUNT(DISTINCT media) AS BIGINT) AS n_rows, CAST(6 AS BIGINT) AS message_pos FROM wk GROUP BY week
+UNION ALL
+SELECT 'w' || strftime(week, '%Y%m%d'), 'line', CAST(COUNT(DISTINCT report_date) AS BIGINT), 3 FROM wk GROUP BY week
+UNION ALL
+SELECT 'w' || strftime(week, '%Y%m%d'), 'table', CAST(COUNT(DISTINCT report_date) AS BIGINT), 5 FROM wk GROUP BY week
+UNION ALL
+SELECT 'w' || strftime(week, '%Y%m%d'), 'bar', CAST(COUNT(DISTINCT campaign) AS BIGINT), 4
+FROM wk WHERE media = 'google' GROUP BY week"""
+
+QUERIES["report_texts"] = with_(*BASE, WEEKS) + """
+SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, CAST(2 AS BIGINT) AS n_texts,
+       'week of ' || strftime(week, '%Y-%m-%d') || ' | google clicks ' ||
+       CAST(COALESCE(SUM(CASE WHEN media = 'google' THEN clicks END), 0) AS VARCHAR) AS texts
+FROM wk GROUP BY week"""
+
+QUERIES["report_pie"] = with_(*BASE, WEEKS) + """
+SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS BIGINT) AS pos,
+       media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost
+FROM wk GROUP BY week, media"""
+
+QUERIES["report_titles"] = with_(*BASE, WEEKS) + """
+SELECT DISTINCT 'w' || strftime(week, '%Y%m%d') AS report_id, '주간 리포트 ' || strftime(week, '%Y-%m-%d') AS title,
+       strftime(week + 7, '%Y년 %m월 %d일') AS created
+FROM wk"""
+
+QUERIES["sheets_roundtrip"] = QUERIES["daily_with_totals"]

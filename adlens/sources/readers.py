@@ -141,10 +141,12 @@ def sql(spark: SparkSession, text: str) -> DataFrame:
 
 
 def read_report_docs(spark: SparkSession, path: str) -> DataFrame:
-    """SRC7: report documents (``{report_id}.json``, one document per file)
-    with the id taken from the file name."""
+    """SRC7: report documents, one per file, named ``{report_id}.json`` or
+    kept in a ``report_id=<id>/`` folder; the id comes from the path."""
     d = spark.read.schema(REPORT_DOCUMENT).option("multiLine", True).json(path)
-    rid = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"report_id=([^/]+)/", 1)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
+    rid = F.when(folder != "", folder).otherwise(name)
     return d.select(rid.alias("report_id"), "title", F.col("createdAt").alias("created_at"), "messages")
 
 
