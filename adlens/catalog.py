@@ -416,3 +416,26 @@ def sheets_roundtrip(spark, sf_dir):
     sinks.write_sheets({"daily": sheets.daily_sheet(u, W0, W1), "google": sheets.google_sheet(
         fx.google_ads(spark, sf_dir), W0, W1)}, path)
     return spark.read.parquet(f"{path}/daily")
+
+
+@register("weekly_report")
+def weekly_report(spark, sf_dir):
+    return weekly.weekly_report(fx.google_ads(spark, sf_dir), fx.kakao_facts(spark, sf_dir),
+                                fx.kakao_master(spark, sf_dir), AS_OF)
+
+
+@register("row_counts")
+def row_counts(spark, sf_dir):
+    """AG15: rows per ingest stage (read, valid, quarantined, enriched) as
+    one frame of counts (each an aggregate that combines map-side)."""
+    from .operators.joins import enrich_with_master
+    raw = fx.raw_extract(spark, sf_dir)
+    typed = ingest.type_bulk(raw, "kakao")
+    good, bad = split_valid(typed)
+    enriched = enrich_with_master(fx.kakao_facts(spark, sf_dir), fx.kakao_master(spark, sf_dir), seq="seq")
+    parts = [("read", raw), ("valid", good), ("quarantined", bad), ("enriched", enriched)]
+    out = None
+    for stage, df in parts:
+        c = df.agg(_F.count(_F.lit(1)).alias("rows")).select(_F.lit(stage).alias("stage"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out

@@ -46,6 +46,48 @@ def kakao_metrics() -> list[Column]:
     ]
 
 
+GOOGLE_RAW = ["impressions", "clicks", "cost_micros", "conversions", "conversions_value"]
+KAKAO_RAW = ["imp", "click", "spending", "conv_purchase_1d", "conv_purchase_7d"]
+
+
+def raw_sums(platform: str) -> list[Column]:
+    """Exact per-group sums that the report metrics are derived from; sums
+    of these sums are again exact, so totals can be taken from groups."""
+    if platform == "google":
+        return [count_sum("impressions").alias("impressions"), count_sum("clicks").alias("clicks"),
+                F.sum(F.col("cost_micros").cast("decimal(38,0)")).alias("cost_micros"),
+                count_sum("conversions").alias("conversions"),
+                money_sum("conversions_value").alias("conversions_value")]
+    return [count_sum("imp").alias("imp"), count_sum("click").alias("click"),
+            money_sum("spending").alias("spending"),
+            count_sum("conv_purchase_1d").alias("conv_purchase_1d"),
+            count_sum("conv_purchase_7d").alias("conv_purchase_7d")]
+
+
+def sum_again(platform: str) -> list[Column]:
+    cols = GOOGLE_RAW if platform == "google" else KAKAO_RAW
+    return [F.sum(c).alias(c) for c in cols]
+
+
+def finalize(df: DataFrame, platform: str, keys: list[str]) -> DataFrame:
+    """Report metrics from raw sums (same values as google_metrics /
+    kakao_metrics applied to the rows)."""
+    if platform == "google":
+        cost = F.col("cost_micros")
+        return df.select(
+            *keys, "impressions", "clicks", pct_half_up(F.col("clicks"), F.col("impressions")).alias("ctr"),
+            round_half_up(cost / F.lit(1000000), 0).alias("cost"), "conversions",
+            round_half_up(F.col("conversions_value"), 0).alias("conversions_value"),
+            F.round(F.try_divide(cost.cast("double") / F.lit(1000000.0),
+                                 F.nullif(F.col("conversions").cast("double"), F.lit(0.0))), 0)
+             .alias("cost_per_conversion"))
+    return df.select(
+        *keys, F.col("imp").alias("impressions"), F.col("click").alias("clicks"),
+        pct_half_up(F.col("click"), F.col("imp")).alias("ctr"),
+        round_half_up(F.col("spending"), 0).alias("cost"),
+        F.col("conv_purchase_1d").alias("conversions_1d"), F.col("conv_purchase_7d").alias("conversions_7d"))
+
+
 def google_campaign_summary(google: DataFrame, start, end, n: int | None = 10) -> DataFrame:
     """AG1 + TK1: per campaign, top ``n`` by conversion value."""
     g = in_range(google, start, end).groupBy("camp_name").agg(*google_metrics())

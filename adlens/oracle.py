@@ -483,3 +483,46 @@ SELECT DISTINCT 'w' || strftime(week, '%Y%m%d') AS report_id, '주간 리포트
 FROM wk"""
 
 QUERIES["sheets_roundtrip"] = QUERIES["daily_with_totals"]
+
+QUERIES["weekly_report"] = with_(GOOGLE_ADS, KAKAO_FACTS, KAKAO_MASTER) + f""",
+g AS (
+  SELECT camp_name, GROUPING(camp_name) AS gg,
+         CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+         CAST((SUM(clicks) * 20000 + SUM(impressions)) // NULLIF(2 * SUM(impressions), 0) AS DOUBLE) / 100.0 AS ctr,
+         CAST(ROUND(SUM(CAST(cost_micros AS DECIMAL(38,0))) / 1000000.0, 0) AS DOUBLE) AS cost,
+         CAST(SUM(conversions) AS BIGINT) AS conversions,
+         CAST(ROUND(SUM(CAST(conversions_value AS DECIMAL(38,6))), 0) AS DOUBLE) AS conversions_value,
+         ROUND(CAST(SUM(CAST(cost_micros AS DECIMAL(38,0))) AS DOUBLE) / 1000000.0
+               / NULLIF(CAST(SUM(conversions) AS DOUBLE), 0), 0) AS cost_per_conversion
+  FROM google_ads WHERE report_date BETWEEN {WEEK} GROUP BY GROUPING SETS ((camp_name), ())),
+k AS (
+  SELECT camp_name, GROUPING(camp_name) AS gg,
+         CAST(SUM(imp) AS BIGINT) AS impressions, CAST(SUM(click) AS BIGINT) AS clicks,
+         CAST((SUM(click) * 20000 + SUM(imp)) // NULLIF(2 * SUM(imp), 0) AS DOUBLE) / 100.0 AS ctr,
+         CAST(ROUND(SUM(CAST(spending AS DECIMAL(38,6))), 0) AS DOUBLE) AS cost,
+         CAST(SUM(conv_purchase_1d) AS BIGINT) AS conversions_1d,
+         CAST(SUM(conv_purchase_7d) AS BIGINT) AS conversions_7d
+  FROM kakao_ads WHERE report_date BETWEEN {WEEK} GROUP BY GROUPING SETS ((camp_name), ())),
+parts AS (
+  SELECT * FROM (SELECT 'google_top' AS section, camp_name, impressions, clicks, ctr, cost, conversions,
+                        conversions_value, cost_per_conversion, CAST(NULL AS BIGINT) AS conversions_1d,
+                        CAST(NULL AS BIGINT) AS conversions_7d
+                 FROM g WHERE gg = 0
+                 ORDER BY conversions_value DESC NULLS LAST, camp_name ASC NULLS LAST LIMIT 10)
+  UNION ALL
+  SELECT 'google_total', camp_name, impressions, clicks, ctr, cost, conversions, conversions_value,
+         cost_per_conversion, NULL, NULL FROM g WHERE gg = 1
+  UNION ALL
+  SELECT * FROM (SELECT 'kakao_top', camp_name, impressions, clicks, ctr, cost, conversions_7d,
+                        CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), conversions_1d, conversions_7d
+                 FROM k WHERE gg = 0 ORDER BY cost DESC NULLS LAST, camp_name ASC NULLS LAST LIMIT 10)
+  UNION ALL
+  SELECT 'kakao_total', camp_name, impressions, clicks, ctr, cost, conversions_7d, NULL, NULL,
+         conversions_1d, conversions_7d FROM k WHERE gg = 1)
+SELECT *, DATE '1998-03-02' AS period_start, DATE '1998-03-08' AS period_end FROM parts"""
+
+QUERIES["row_counts"] = with_(RAW, KAKAO_FACTS, KAKAO_MASTER) + """
+SELECT 'read' AS stage, COUNT(*) AS rows FROM raw
+UNION ALL SELECT 'valid', COUNT(*) FROM bulk WHERE report_date IS NOT NULL
+UNION ALL SELECT 'quarantined', COUNT(*) FROM bulk WHERE report_date IS NULL
+UNION ALL SELECT 'enriched', COUNT(*) FROM kakao_ads"""

@@ -48,3 +48,41 @@ def weekly_report_inputs(google: DataFrame, kakao_facts: DataFrame, master: Data
 
 
 __all__ = ["google_top", "kakao_top", "weekly_report_inputs", "WEEK_START", "WEEK_END"]
+
+
+def _top_and_total(per_camp: DataFrame, platform: str, order: str, n: int) -> DataFrame:
+    """Top-n campaigns and the total row from one per-campaign aggregate of
+    raw sums. Both branches read the same aggregate, so Spark reuses its
+    shuffle and the facts are scanned once; the total is a sum over the
+    (small) campaign rows, exact because the raw sums are exact."""
+    from pyspark.sql import functions as F
+    top = top_n(agg.finalize(per_camp, platform, ["camp_name"]), order, tie="camp_name", n=n)
+    total = agg.finalize(per_camp.agg(*agg.sum_again(platform)).withColumn("camp_name", F.lit(None).cast("string")),
+                         platform, ["camp_name"])
+    return (top.withColumn("section", F.lit(f"{platform}_top"))
+               .unionByName(total.withColumn("section", F.lit(f"{platform}_total"))))
+
+
+def weekly_report(google: DataFrame, kakao_facts: DataFrame, master: DataFrame, as_of,
+                  tz: str = DEFAULT_TZ, n: int = 10, seq: str = "seq") -> DataFrame:
+    """RB9 in one result: for the week before ``as_of`` (in ``tz``), the
+    top-n campaigns and the overall totals of each media, with the period.
+    One scan per fact table."""
+    from pyspark.sql import functions as F
+    from ..functions.dates import in_range
+    start, end = last_week(as_of, tz)
+    gc = in_range(google, start, end).groupBy("camp_name").agg(*agg.raw_sums("google"))
+    g = (_top_and_total(gc, "google", "conversions_value", n)
+         .withColumn("conversions_1d", F.lit(None).cast("bigint"))
+         .withColumn("conversions_7d", F.lit(None).cast("bigint")))
+    per_kwd = agg.kakao_keyword_totals(kakao_facts, start, end)
+    m = latest_master(master, seq).select("kwd_id", "camp_name")
+    kc = per_kwd.join(m, on="kwd_id", how="left").groupBy("camp_name").agg(*agg.sum_again("kakao"))
+    k = (_top_and_total(kc, "kakao", "cost", n)
+         .withColumn("conversions", F.col("conversions_7d"))
+         .withColumn("conversions_value", F.lit(None).cast("double"))
+         .withColumn("cost_per_conversion", F.lit(None).cast("double")))
+    cols = ["section", "camp_name", "impressions", "clicks", "ctr", "cost", "conversions", "conversions_value",
+            "cost_per_conversion", "conversions_1d", "conversions_7d"]
+    out = g.select(*cols).unionByName(k.select(*cols))
+    return out.withColumn("period_start", start).withColumn("period_end", end)
