@@ -439,3 +439,19 @@ def row_counts(spark, sf_dir):
         c = df.agg(_F.count(_F.lit(1)).alias("rows")).select(_F.lit(stage).alias("stage"), "rows")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("doc_kpi")
+def doc_kpi(spark, sf_dir):
+    """RB5 KPI block of every report document, from its pie and table
+    datasets (AG12 -> AG6)."""
+    sets = documents.datasets(_report_docs(spark, sf_dir))
+    return sheets.kpi(documents.pie_rows(sets), documents.table_rows(sets), by=("report_id",))
+
+
+@register("doc_week_of_month")
+def doc_week_of_month(spark, sf_dir):
+    """RB5 week block of every report document, from its table dataset in
+    dataset order (AG12 -> AG7, WN2)."""
+    sets = documents.datasets(_report_docs(spark, sf_dir))
+    return sheets.week_of_month(documents.table_rows(sets), by=("report_id",), pos="pos")

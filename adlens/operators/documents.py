@@ -51,3 +51,21 @@ def pie_rows(sets: DataFrame) -> DataFrame:
     name = F.col("row")[KEY_MEDIA]
     mapped = F.coalesce(*[F.when(name == k, F.lit(v)) for k, v in MEDIA_NAMES.items()], name)
     return r.select("report_id", "pos", mapped.alias("media"), safe_float(F.col("row")[KEY_COST]).alias("cost"))
+
+
+# The keys of the daily table dataset.
+TABLE_KEYS = {"google_cost": "구글 광고비(원)", "kakao_cost": "카카오 광고비(원)",
+              "google_impressions": "구글 노출", "google_clicks": "구글 클릭",
+              "kakao_impressions": "카카오 노출", "kakao_clicks": "카카오 클릭"}
+# End of fixed values.
+
+
+def table_rows(sets: DataFrame) -> DataFrame:
+    """Table dataset rows as a typed daily table: the date text parsed
+    (``report_date`` NULL when unreadable, the text kept in ``date_text``),
+    every measure a lenient number (PF7), and the row position."""
+    r = dataset_rows(sets, "table")
+    row = F.col("row")
+    return r.select("report_id", "pos", row[KEY_DATE].alias("date_text"),
+                    F.try_to_date(row[KEY_DATE], "yyyy-MM-dd").alias("report_date"),
+                    *[safe_float(row[v]).alias(k) for k, v in TABLE_KEYS.items()])

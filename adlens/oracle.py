@@ -526,3 +526,51 @@ SELECT 'read' AS stage, COUNT(*) AS rows FROM raw
 UNION ALL SELECT 'valid', COUNT(*) FROM bulk WHERE report_date IS NOT NULL
 UNION ALL SELECT 'quarantined', COUNT(*) FROM bulk WHERE report_date IS NULL
 UNION ALL SELECT 'enriched', COUNT(*) FROM kakao_ads"""
+
+DOC_WEEK = """dd AS (
+  SELECT week, report_date,
+         CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN media = 'google' THEN cost END), 0), 0) AS DOUBLE) AS gc,
+         CAST(ROUND_EVEN(COALESCE(SUM(CASE WHEN media = 'kakao' THEN cost END), 0), 0) AS DOUBLE) AS kc,
+         CAST(COALESCE(SUM(CASE WHEN media = 'google' THEN impressions END), 0) AS DOUBLE) AS gi,
+         CAST(COALESCE(SUM(CASE WHEN media = 'google' THEN clicks END), 0) AS DOUBLE) AS gk,
+         CAST(COALESCE(SUM(CASE WHEN media = 'kakao' THEN impressions END), 0) AS DOUBLE) AS ki,
+         CAST(COALESCE(SUM(CASE WHEN media = 'kakao' THEN clicks END), 0) AS DOUBLE) AS kk
+  FROM wk GROUP BY week, report_date),
+pm AS (
+  SELECT week,
+         COALESCE(SUM(CASE WHEN media = 'google' THEN c END), 0) AS g_pie,
+         COALESCE(SUM(CASE WHEN media = 'kakao' THEN c END), 0) AS k_pie
+  FROM (SELECT week, media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS c FROM wk GROUP BY week, media)
+  GROUP BY week)"""
+
+QUERIES["doc_kpi"] = with_(*BASE, WEEKS, DOC_WEEK) + """,
+s AS (
+  SELECT pm.week, g_pie, k_pie, SUM(gc) AS g_tab, SUM(kc) AS k_tab, SUM(gi) + SUM(ki) AS imp, SUM(gk) + SUM(kk) AS clk
+  FROM pm JOIN dd ON pm.week = dd.week GROUP BY pm.week, g_pie, k_pie),
+v AS (
+  SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
+         CASE WHEN g_pie = 0 AND k_pie = 0 THEN g_tab ELSE g_pie END AS g,
+         CASE WHEN g_pie = 0 AND k_pie = 0 THEN k_tab ELSE k_pie END AS k, imp, clk FROM s)
+SELECT report_id, 'total_cost' AS metric, g + k AS value FROM v
+UNION ALL SELECT report_id, 'total_impressions', imp FROM v
+UNION ALL SELECT report_id, 'total_clicks', clk FROM v
+UNION ALL SELECT report_id, 'avg_ctr', CASE WHEN imp > 0 THEN CAST((CAST(clk AS BIGINT) * 20000 + CAST(imp AS BIGINT))
+                                                   // (2 * CAST(imp AS BIGINT)) AS DOUBLE) / 10000.0 ELSE 0.0 END FROM v
+UNION ALL SELECT report_id, 'google_cost', g FROM v
+UNION ALL SELECT report_id, 'kakao_cost', k FROM v"""
+
+QUERIES["doc_week_of_month"] = with_(*BASE, WEEKS, DOC_WEEK) + """,
+lab AS (
+  SELECT week, report_date, gc, kc, gk, kk,
+         CAST(month(report_date) AS VARCHAR) || '월 ' || CAST((day(report_date) - 1) // 7 + 1 AS VARCHAR) || '주차' AS week_label
+  FROM dd),
+g AS (
+  SELECT week, week_label, SUM(gc) AS google_cost, SUM(kc) AS kakao_cost, SUM(gk) AS google_clicks,
+         SUM(kk) AS kakao_clicks, MIN(report_date) AS first_date
+  FROM lab GROUP BY week, week_label),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY week ORDER BY first_date, week_label) AS rn FROM g)
+SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, week_label, google_cost, kakao_cost,
+       google_cost + kakao_cost AS total_cost, google_clicks, kakao_clicks,
+       google_clicks + kakao_clicks AS total_clicks, first_date,
+       (google_cost + kakao_cost) / NULLIF(SUM(google_cost + kakao_cost) OVER (PARTITION BY week), 0) AS share
+FROM r WHERE rn <= 5"""

@@ -63,64 +63,77 @@ def daily_sheet(unified: DataFrame, start, end) -> DataFrame:
     return with_totals(daily_table(unified, start, end), ["report_date"], DAILY_SUMS)
 
 
-def kpi(pie: DataFrame, table: DataFrame) -> DataFrame:
-    """AG6 / RB5 KPI block: metric, value.
+def kpi(pie: DataFrame, table: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """AG6 / RB5 KPI block: metric, value (per ``by`` keys, e.g. a report).
 
     Media costs come from the pie; when both are 0 they come from the table
     sums. Built as one aggregate over the union of the two inputs (no join)."""
     z = F.lit(0.0)
+    keys = [F.col(k) for k in by]
     pie_part = pie.select(
+        *keys,
         F.when(F.col("media") == "google", F.col("cost")).otherwise(z).alias("g_pie"),
         F.when(F.col("media") == "kakao", F.col("cost")).otherwise(z).alias("k_pie"))
     tab_part = table.select(
+        *keys,
         F.col("google_cost").cast("double").alias("g_tab"), F.col("kakao_cost").cast("double").alias("k_tab"),
         F.col("google_impressions").alias("g_imp"), F.col("google_clicks").alias("g_click"),
         F.col("kakao_impressions").alias("k_imp"), F.col("kakao_clicks").alias("k_click"))
     both = pie_part.unionByName(tab_part, allowMissingColumns=True)
-    s = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
-                   ["g_pie", "k_pie", "g_tab", "k_tab", "g_imp", "g_click", "k_imp", "k_click"]])
+    s = both.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
+                                ["g_pie", "k_pie", "g_tab", "k_tab", "g_imp", "g_click", "k_imp", "k_click"]])
     use_tab = (F.col("g_pie") == 0) & (F.col("k_pie") == 0)
     g_cost = F.when(use_tab, F.col("g_tab")).otherwise(F.col("g_pie"))
     k_cost = F.when(use_tab, F.col("k_tab")).otherwise(F.col("k_pie"))
     imp = F.col("g_imp") + F.col("k_imp")
     clk = F.col("g_click") + F.col("k_click")
-    wide = s.select((g_cost + k_cost).alias("total_cost"), imp.cast("double").alias("total_impressions"),
+    wide = s.select(*keys, (g_cost + k_cost).alias("total_cost"), imp.cast("double").alias("total_impressions"),
                     clk.cast("double").alias("total_clicks"), ratio_half_up(clk, imp, 4).alias("avg_ctr"),
                     g_cost.alias("google_cost"), k_cost.alias("kakao_cost"))
-    names = wide.columns
+    names = [c for c in wide.columns if c not in by]
     stack = "stack({}, {}) AS (metric, value)".format(
         len(names), ", ".join(f"'{n}', {n}" for n in names))
-    return wide.selectExpr(stack)
+    return wide.selectExpr(*[f"`{k}`" for k in by], stack)
 
 
-def week_of_month(table: DataFrame, n: int = 5) -> DataFrame:
+def week_of_month(table: DataFrame, n: int = 5, by: tuple[str, ...] = (),
+                  pos: str = "report_date") -> DataFrame:
     """AG7 + TK4 + WN2: weekly totals by ``M월 N주차`` label (no year, as in
-    the reference, Q15); the first ``n`` labels in first-seen order; share of
-    total cost over the shown weeks. Five zero rows W1..W5 when empty."""
-    t = table.select(week_of_month_label(dashed_date_text("report_date")).alias("week_label"),
-                     F.col("report_date").alias("pos"),
+    the reference, Q15); the first ``n`` labels in first-seen order (``pos``);
+    share of total cost over the shown weeks. Five zero rows W1..W5 when
+    there are no rows. Per ``by`` keys (e.g. one report) when given: then
+    the first-n cut ranks labels within a key, a handful of rows each."""
+    t = table.select(*by, week_of_month_label(dashed_date_text("report_date")).alias("week_label"),
+                     F.col(pos).alias("_pos"), "report_date",
                      "google_cost", "kakao_cost", "google_clicks", "kakao_clicks")
-    g = t.groupBy("week_label").agg(
+    g = t.groupBy(*by, "week_label").agg(
         F.sum("google_cost").alias("google_cost"), F.sum("kakao_cost").alias("kakao_cost"),
         F.sum("google_clicks").cast("double").alias("google_clicks"),
         F.sum("kakao_clicks").cast("double").alias("kakao_clicks"),
-        F.min("pos").alias("first_date"))
-    shown = first_groups(g, "first_date", n)
-    spark = table.sparkSession
-    empty = spark.createDataFrame([(w,) for w in EMPTY_WEEK_LABELS], "week_label string").select(
-        "week_label", *[F.lit(0.0).alias(c) for c in ["google_cost", "kakao_cost", "google_clicks", "kakao_clicks"]],
-        F.lit(None).cast("date").alias("first_date"))
-    # Defaults are kept only when there is no real row (a bounded frame:
-    # at most n + 5 rows).
-    marked = shown.withColumn("_real", F.lit(1)).unionByName(empty.withColumn("_real", F.lit(0)))
-    any_real = F.max("_real").over(Window.partitionBy())
-    rows = marked.withColumn("_any", any_real).filter(F.col("_real") == F.col("_any")).drop("_real", "_any")
-    rows = rows.select("week_label", "google_cost", "kakao_cost",
+        F.min("_pos").alias("first_pos"), F.min("report_date").alias("first_date"))
+    if by:
+        w = Window.partitionBy(*by).orderBy(F.col("first_pos").asc_nulls_last(), F.col("week_label"))
+        shown = g.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
+        rows = shown
+    else:
+        shown = first_groups(g, "first_pos", n)
+        spark = table.sparkSession
+        empty = spark.createDataFrame([(w,) for w in EMPTY_WEEK_LABELS], "week_label string").select(
+            "week_label", *[F.lit(0.0).alias(c) for c in ["google_cost", "kakao_cost", "google_clicks",
+                                                          "kakao_clicks"]],
+            F.lit(None).cast(g.schema["first_pos"].dataType).alias("first_pos"),
+            F.lit(None).cast("date").alias("first_date"))
+        # Defaults are kept only when there is no real row (a bounded frame:
+        # at most n + 5 rows).
+        marked = shown.withColumn("_real", F.lit(1)).unionByName(empty.withColumn("_real", F.lit(0)))
+        rows = (marked.withColumn("_any", F.max("_real").over(Window.partitionBy()))
+                      .filter(F.col("_real") == F.col("_any")).drop("_real", "_any"))
+    rows = rows.select(*by, "week_label", "google_cost", "kakao_cost",
                        (F.col("google_cost") + F.col("kakao_cost")).alias("total_cost"),
                        "google_clicks", "kakao_clicks",
                        (F.col("google_clicks") + F.col("kakao_clicks")).alias("total_clicks"),
-                       "first_date")
-    return with_share(rows, "total_cost", "share")
+                       "first_date").drop("first_pos")
+    return with_share(rows, "total_cost", "share", within=tuple(by))
 
 
 def week_over_week(unified: DataFrame, this_start, this_end, prev_start, prev_end) -> DataFrame:
