@@ -171,7 +171,10 @@ def failed_counts(messages: DataFrame, platform: str = "platform") -> DataFrame:
     return messages.groupBy(platform).agg(F.count(F.lit(1)).alias("n"))
 
 
-def observed(df: DataFrame, name: str) -> DataFrame:
-    """AG15: row count of a stage as an observed metric (no extra job);
-    read it from ``df.observe`` after the action via the returned handle."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+def observed(df: DataFrame, name: str):
+    """AG15: row count of a stage as an observed metric, collected by the
+    action that runs the plan anyway (no extra job). Returns the frame to
+    keep using and the Observation; ``obs.get["rows"]`` after the action."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
