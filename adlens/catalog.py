@@ -455,3 +455,10 @@ def doc_week_of_month(spark, sf_dir):
     dataset order (AG12 -> AG7, WN2)."""
     sets = documents.datasets(_report_docs(spark, sf_dir))
     return sheets.week_of_month(documents.table_rows(sets), by=("report_id",), pos="pos")
+
+
+@register("doc_daily_sheet")
+def doc_daily_sheet(spark, sf_dir):
+    """RB6 of every report document, from its line and table datasets."""
+    sets = documents.datasets(_report_docs(spark, sf_dir))
+    return sheets.daily_sheet_from_documents(documents.line_rows(sets), documents.table_rows(sets))

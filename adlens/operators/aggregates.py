@@ -140,20 +140,20 @@ def overall_by_media(google: DataFrame, kakao: DataFrame, start, end) -> DataFra
 
 
 def with_totals(df: DataFrame, keys: list[str], sums: list[str],
-                keep: list[str] | None = None) -> DataFrame:
-    """AG9: detail rows plus one grand-total row, from GROUPING SETS
-    ((keys), ()). ``row_type`` comes from grouping(), not from a label.
-    Columns in ``keep`` are carried on detail rows and NULL on the total."""
+                keep: list[str] | None = None, within: tuple[str, ...] = ()) -> DataFrame:
+    """AG9: detail rows plus a totals row (per ``within`` keys, e.g. one per
+    report; else one grand total), from one ROLLUP. ``row_type`` comes from
+    grouping_id(), not from a label. Columns in ``keep`` are carried on
+    detail rows and NULL on totals."""
     keep = keep or []
+    within = tuple(within)
     aggs = [F.sum(c).alias(c) for c in sums] + [F.first(c).alias(c) for c in keep]
-    g = F.grouping(keys[0])
-    out = df.rollup(*keys).agg(*aggs, g.alias("_g"))
-    # rollup over k>1 keys also yields partial subtotals; keep detail + grand.
-    if len(keys) > 1:
-        out = out.filter((F.col("_g") == 1) | F.col(keys[-1]).isNotNull())
+    out = df.rollup(*within, *keys).agg(*aggs, F.grouping_id().alias("_g"))
+    total_id = (1 << len(keys)) - 1          # all detail keys rolled up, ``within`` kept
+    out = out.filter(F.col("_g").isin(0, total_id))
     for c in keep:
-        out = out.withColumn(c, F.when(F.col("_g") == 1, F.lit(None)).otherwise(F.col(c)))
-    return (out.withColumn("row_type", F.when(F.col("_g") == 1, F.lit("total")).otherwise(F.lit("detail")))
+        out = out.withColumn(c, F.when(F.col("_g") != 0, F.lit(None)).otherwise(F.col(c)))
+    return (out.withColumn("row_type", F.when(F.col("_g") != 0, F.lit("total")).otherwise(F.lit("detail")))
                .drop("_g"))
 
 

@@ -69,3 +69,16 @@ def table_rows(sets: DataFrame) -> DataFrame:
     return r.select("report_id", "pos", row[KEY_DATE].alias("date_text"),
                     F.try_to_date(row[KEY_DATE], "yyyy-MM-dd").alias("report_date"),
                     *[safe_float(row[v]).alias(k) for k, v in TABLE_KEYS.items()])
+
+
+# The keys of the line dataset.
+LINE_KEYS = {"google_cost": "구글 광고비(원)", "kakao_cost": "카카오 광고비(원)"}
+# End of fixed values.
+
+
+def line_rows(sets: DataFrame) -> DataFrame:
+    """Line dataset rows: date text, per-media cost (PF7), position."""
+    r = dataset_rows(sets, "line")
+    row = F.col("row")
+    return r.select("report_id", "pos", row[KEY_DATE].alias("date_text"),
+                    *[safe_float(row[v]).alias(k) for k, v in LINE_KEYS.items()])

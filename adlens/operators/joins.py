@@ -46,13 +46,14 @@ def by_date_and_media(unified: DataFrame, measures: list[str],
     return unified.groupBy("report_date").agg(*aggs)
 
 
-def daily_lookup(daily: DataFrame, table: DataFrame, key: str = "report_date",
+def daily_lookup(daily: DataFrame, table: DataFrame, key="report_date",
                  seq: str | None = None, fill: dict | None = None) -> DataFrame:
     """JN2: each daily row with the table row of the same date (the last one
     by ``seq`` when dates repeat); unmatched measures become 0."""
-    t = last_per_key(table, [key], seq).drop(seq) if seq else table
-    out = daily.join(t, on=key, how="left")
-    return out.fillna(fill or {c: 0 for c in t.columns if c != key})
+    keys = [key] if isinstance(key, str) else list(key)
+    t = last_per_key(table, keys, seq).drop(seq) if seq else table
+    out = daily.join(t, on=keys, how="left")
+    return out.fillna(fill or {c: 0 for c in t.columns if c not in keys})
 
 
 def media_value(pie: DataFrame, media: str, name_col: str = "media",

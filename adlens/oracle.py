@@ -574,3 +574,12 @@ SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, week_label, google_cost, ka
        google_clicks + kakao_clicks AS total_clicks, first_date,
        (google_cost + kakao_cost) / NULLIF(SUM(google_cost + kakao_cost) OVER (PARTITION BY week), 0) AS share
 FROM r WHERE rn <= 5"""
+
+QUERIES["doc_daily_sheet"] = with_(*BASE, WEEKS, DOC_WEEK) + """
+SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
+       CASE WHEN GROUPING(report_date) = 1 THEN NULL ELSE strftime(report_date, '%Y-%m-%d') END AS date,
+       SUM(gc) AS google_cost, SUM(kc) AS kakao_cost, SUM(gi) AS google_impressions, SUM(gk) AS google_clicks,
+       SUM(ki) AS kakao_impressions, SUM(kk) AS kakao_clicks, SUM(gc + kc) AS total_cost,
+       SUM(gi + ki) AS total_impressions, SUM(gk + kk) AS total_clicks,
+       CASE WHEN GROUPING(report_date) = 1 THEN 'total' ELSE 'detail' END AS row_type
+FROM dd GROUP BY GROUPING SETS ((week, report_date), (week))"""

@@ -15,7 +15,7 @@ from ..functions.dates import dashed_date_text, in_range, week_of_month_label
 from ..functions.ratios import (count_sum, div_or_zero, money_sum, ratio_half_up,
                                 round_half_even, safe_div)
 from ..operators.aggregates import kakao_keyword_totals, with_totals
-from ..operators.joins import by_date_and_media, latest_master
+from ..operators.joins import by_date_and_media, daily_lookup, latest_master
 from ..operators.topk import first_groups
 from ..operators.windows import with_share
 
@@ -118,7 +118,8 @@ def week_of_month(table: DataFrame, n: int = 5, by: tuple[str, ...] = (),
     else:
         shown = first_groups(g, "first_pos", n)
         spark = table.sparkSession
-        empty = spark.createDataFrame([(w,) for w in EMPTY_WEEK_LABELS], "week_label string").select(
+        labels = F.array(*[F.lit(w) for w in EMPTY_WEEK_LABELS])
+        empty = spark.range(1).select(F.explode(labels).alias("week_label")).select(
             "week_label", *[F.lit(0.0).alias(c) for c in ["google_cost", "kakao_cost", "google_clicks",
                                                           "kakao_clicks"]],
             F.lit(None).cast(g.schema["first_pos"].dataType).alias("first_pos"),
@@ -208,3 +209,28 @@ def kakao_sheet(facts: DataFrame, master: DataFrame, start, end) -> DataFrame:
                  "cost", safe_div("cost", "clicks").alias("cpc"),
                  safe_div(F.col("cost") * 1000, F.col("impressions")).alias("cpm"))
     return with_totals(d, ["campaign"], ["impressions", "clicks", "cost"], keep=["ctr", "cpc", "cpm"])
+
+
+def daily_totals(line: DataFrame, table: DataFrame, by: tuple[str, ...] = ("report_id",)) -> DataFrame:
+    """JN2 + AG8 (RB6 from a document): costs per date summed from the line
+    rows (rows without a date skipped), impressions and clicks from the table
+    row of the same date (the last one wins; none gives 0), values rounded
+    half-even, row totals added, dates ascending."""
+    costs = (line.filter(F.coalesce(F.col("date_text"), F.lit("")) != "")
+                 .groupBy(*by, "date_text")
+                 .agg(F.sum("google_cost").alias("google_cost"), F.sum("kakao_cost").alias("kakao_cost")))
+    counts = ["google_impressions", "google_clicks", "kakao_impressions", "kakao_clicks"]
+    t = table.filter(F.coalesce(F.col("date_text"), F.lit("")) != "").select(*by, "date_text", "pos", *counts)
+    j = daily_lookup(costs, t, key=[*by, "date_text"] if by else "date_text", seq="pos",
+                     fill={c: 0.0 for c in counts})
+    r = {c: round_half_even(c, 0) for c in ["google_cost", "kakao_cost", *counts]}
+    return j.select(*by, F.col("date_text").alias("date"), *[v.alias(k) for k, v in r.items()],
+                    (r["google_cost"] + r["kakao_cost"]).alias("total_cost"),
+                    (r["google_impressions"] + r["kakao_impressions"]).alias("total_impressions"),
+                    (r["google_clicks"] + r["kakao_clicks"]).alias("total_clicks"))
+
+
+def daily_sheet_from_documents(line: DataFrame, table: DataFrame, by: tuple[str, ...] = ("report_id",)) -> DataFrame:
+    """RB6 from report documents: the daily table of each report with that
+    report's totals row."""
+    return with_totals(daily_totals(line, table, by), ["date"], DAILY_SUMS, within=by)

@@ -77,3 +77,20 @@ def test_append_report(spark, tmp_dir):
     sinks.append_report(report_row(r.withColumn("report_id", F.lit("r2"))), tmp_dir)
     got = sorted((x.report_id, x.expires_at) for x in spark.read.parquet(tmp_dir).collect())
     assert got == [("r1", dt.datetime(2024, 3, 31)), ("r2", dt.datetime(2024, 3, 31))]
+
+
+def test_daily_totals_from_documents(spark):
+    from adlens.plans import sheets
+    msgs = [
+        ("assistant", "", "line", [{"날짜": "2024-03-05", "구글 광고비(원)": "10.4", "카카오 광고비(원)": "1"},
+                                   {"날짜": "2024-03-05", "구글 광고비(원)": "0.2"},
+                                   {"날짜": "2024-03-06", "카카오 광고비(원)": "2.5"},
+                                   {"날짜": "", "구글 광고비(원)": "99"}]),
+        ("assistant", "", "table", [{"날짜": "2024-03-05", "구글 클릭": "1"}, {"날짜": "2024-03-05", "구글 클릭": "4"}]),
+    ]
+    sets = documents.datasets(_doc(spark, msgs))
+    out = sheets.daily_sheet_from_documents(documents.line_rows(sets), documents.table_rows(sets)).collect()
+    rows = {r.date: (r.google_cost, r.kakao_cost, r.total_cost, r.google_clicks, r.row_type) for r in out}
+    assert rows == {"2024-03-05": (11.0, 1.0, 12.0, 4.0, "detail"),
+                    "2024-03-06": (0.0, 2.0, 2.0, 0.0, "detail"),
+                    None: (11.0, 3.0, 14.0, 4.0, "total")}
