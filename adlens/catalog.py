@@ -462,3 +462,16 @@ def doc_daily_sheet(spark, sf_dir):
     """RB6 of every report document, from its line and table datasets."""
     sets = documents.datasets(_report_docs(spark, sf_dir))
     return sheets.daily_sheet_from_documents(documents.line_rows(sets), documents.table_rows(sets))
+
+
+@register("google_top10_from_table")
+def google_top10_from_table(spark, sf_dir):
+    """The production path: facts stored as the partitioned table, then the
+    weekly top-10 read back with the week as a partition filter (only the
+    seven day folders are listed and read)."""
+    g = fx.google_ads(spark, sf_dir)
+    cols = ["camp_name", "agroup_name", "keyword_id", "keyword_text", "device", "network_type", "basic_date",
+            "impressions", "clicks", "cost_micros", "conversions", "conversions_value"]
+    path = scratch_path(spark, "google_ad_performance")
+    sinks.write_partitions(g.select(*cols, *partition_keys("report_date")), path)
+    return weekly.google_top(readers.scan_table(spark, path, "google", W0, W1))

@@ -583,3 +583,5 @@ SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
        SUM(gi + ki) AS total_impressions, SUM(gk + kk) AS total_clicks,
        CASE WHEN GROUPING(report_date) = 1 THEN 'total' ELSE 'detail' END AS row_type
 FROM dd GROUP BY GROUPING SETS ((week, report_date), (week))"""
+
+QUERIES["google_top10_from_table"] = QUERIES["google_campaign_top10"]

@@ -31,3 +31,16 @@ def test_column_pruning(spark):
     df = QUERIES["google_campaign_top10"](spark, SF)
     p = plan_of(df)
     assert "l_tax" not in p and "p_retailprice" not in p
+
+
+def test_weekly_report_scans_each_table_once(spark):
+    df = QUERIES["weekly_report"](spark, SF)
+    df.collect()
+    p = plan_of(df)
+    assert "isFinalPlan=true" in p and p.count("ReusedExchange") >= 2
+
+
+def test_table_path_prunes_partitions(spark):
+    df = QUERIES["google_top10_from_table"](spark, SF)
+    p = plan_of(df)
+    assert "PartitionFilters: [" in p and "PartitionFilters: []" not in p.split("google_ad_performance")[-1]
