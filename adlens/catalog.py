@@ -475,3 +475,21 @@ def google_top10_from_table(spark, sf_dir):
     path = scratch_path(spark, "google_ad_performance")
     sinks.write_partitions(g.select(*cols, *partition_keys("report_date")), path)
     return weekly.google_top(readers.scan_table(spark, path, "google", W0, W1))
+
+
+@register("bulk_load_kakao")
+def bulk_load_kakao(spark, sf_dir):
+    """The bulk path end to end: keyword CSV (UTF-8) and master CSV (MS949)
+    -> typing (half-even integers, dashed dates) -> latest master per
+    keyword (left join) -> table by day; undated rows quarantined."""
+    from .plans.loads import bulk_load
+    kw_path, m_path = scratch_path(spark, "kakao_keyword_csv"), scratch_path(spark, "kakao_master_csv")
+    landed.keyword_extract(spark, sf_dir).write.option("header", True).csv(kw_path)
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    (landed.master_rows(spark, sf_dir).drop("label").write.option("header", True)
+           .option("encoding", "MS949").csv(m_path))
+    table, quarantine = scratch_path(spark, "kakao_ad_performance"), scratch_path(spark, "kakao_quarantine")
+    bulk_load(spark, "kakao", kw_path, table, quarantine, master_path=m_path)
+    t = readers.scan_table(spark, table, "kakao")
+    return t.select("kwd_id", "adv_id", "imp", "click", "spending", "basic_date", "kwd_name", "camp_name",
+                    "report_date", "year", "month_p", "day")

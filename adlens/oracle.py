@@ -26,7 +26,7 @@ KAKAO_FACTS = """kakao_facts AS (
          o_orderkey % 5 AS conv_purchase_1d, o_orderkey % 11 AS conv_purchase_7d
   FROM orders)"""
 
-KAKAO_MASTER = """kakao_master AS (
+MASTER = """kakao_master AS (
   SELECT CAST(c_custkey AS VARCHAR) AS kwd_id, c_name AS kwd_name, c_mktsegment AS camp_name, 1 AS seq
   FROM customer WHERE c_custkey % 10 <> 0
   UNION ALL
@@ -34,7 +34,9 @@ KAKAO_MASTER = """kakao_master AS (
   FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 10 <> 0),
 latest_master AS (
   SELECT kwd_id, kwd_name, camp_name FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY kwd_id ORDER BY seq DESC) AS rn FROM kakao_master) WHERE rn = 1),
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY kwd_id ORDER BY seq DESC) AS rn FROM kakao_master) WHERE rn = 1)"""
+
+KAKAO_MASTER = MASTER + """,
 kakao_ads AS (
   SELECT f.*, m.kwd_name, m.camp_name FROM kakao_facts f LEFT JOIN latest_master m ON f.kwd_id = m.kwd_id)"""
 
@@ -410,7 +412,7 @@ SELECT year, month_p, COUNT(*) AS n, CAST(SUM(imp) AS BIGINT) AS imp,
        CAST(ROUND(SUM(CAST(spending AS DECIMAL(38,6))), 0) AS DOUBLE) AS spending
 FROM krows GROUP BY year, month_p"""
 
-QUERIES["csv_roundtrip"] = with_(KAKAO_MASTER) + """
+QUERIES["csv_roundtrip"] = with_(MASTER) + """
 SELECT kwd_id, kwd_name, camp_name, '캠페인 ' || camp_name AS label FROM latest_master"""
 
 QUERIES["json_flatten"] = """
@@ -585,3 +587,11 @@ SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
 FROM dd GROUP BY GROUPING SETS ((week, report_date), (week))"""
 
 QUERIES["google_top10_from_table"] = QUERIES["google_campaign_top10"]
+
+QUERIES["bulk_load_kakao"] = with_(RAW, MASTER) + """,
+kw AS (
+  SELECT CAST(CAST(kwd_id AS BIGINT) % 2000 AS VARCHAR) AS k2, * FROM bulk)
+SELECT kw.k2 AS kwd_id, kw.adv_id, kw.imp, kw.click, kw.spending, kw.basic_date, m.kwd_name, m.camp_name,
+       kw.report_date, kw.year, kw.month_p, kw.day
+FROM kw LEFT JOIN latest_master m ON kw.k2 = m.kwd_id
+WHERE kw.report_date IS NOT NULL"""

@@ -180,3 +180,13 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("주간 리포트 "), week_text).alias("title"),
                     F.date_format(F.date_add("week", 7), "yyyy-MM-dd'T'09:00:00").alias("createdAt"),
                     messages.alias("messages"))
+
+
+def keyword_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kakao keyword extract as CSV text rows (from events, with blanks,
+    junk numbers and bad dates): kwd_id, adv_id, agroup_id, imp, click,
+    spending, basic_date."""
+    from .fixtures import raw_extract
+    r = raw_extract(spark, sf_dir)
+    return r.select((F.col("kwd_id").cast("bigint") % 2000).cast("string").alias("kwd_id"),
+                    "adv_id", F.lit("g1").alias("agroup_id"), "imp", "click", "spending", "basic_date")

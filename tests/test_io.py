@@ -74,3 +74,26 @@ def test_flatten_kakao_skips_failed_accounts(spark, tmp_dir):
     flat = readers.flatten_kakao(readers.read_responses(spark, tmp_dir, "kakao")).collect()
     assert [(r.kwd_id, r.adv_id, r.basic_date, r.imp, r.spending, r.click) for r in flat] == \
         [("k1", "A", "20240305", 3, 1.5, 0)]
+
+
+def test_batch_load_replaces_day_and_ignores_empty(spark, tmp_dir):
+    import json
+    import os
+    from adlens.plans.loads import batch_load
+
+    def land(path, impressions):
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/r.json", "w") as f:
+            results = [{"campaign": {"id": 7, "name": "c"}, "adGroupCriterion": {"criterionId": "k"},
+                        "metrics": {"impressions": str(i), "costMicros": "2500000"}} for i in impressions]
+            f.write(json.dumps({"results": results}) + "\n")
+    table = f"{tmp_dir}/table"
+    land(f"{tmp_dir}/d1", [1, 2])
+    batch_load(spark, "google", f"{tmp_dir}/d1", table, date="2024-03-05", customer_id="123-45")
+    land(f"{tmp_dir}/d2", [9])
+    batch_load(spark, "google", f"{tmp_dir}/d2", table, date="2024-03-05", customer_id="123-45")
+    land(f"{tmp_dir}/d3", [])
+    batch_load(spark, "google", f"{tmp_dir}/d3", table, date="2024-03-05", customer_id="123-45")
+    rows = readers.scan_table(spark, table, "google").collect()
+    assert [(r.impressions, r.basic_date, r.adv_id, r.camp_id, r.cost_micros, r.creation_id) for r in rows] == \
+        [(9, "20240305", "12345", "7", 2500000.0, None)]
