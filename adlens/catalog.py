@@ -74,8 +74,7 @@ def media_share(spark, sf_dir):
 
 @register("kpi_totals")
 def kpi_totals(spark, sf_dir):
-    u = _unified(spark, sf_dir)
-    return sheets.kpi(sheets.media_spend(u, W0, W1), sheets.daily_table(u, W0, W1))
+    return sheets.summary_sheet(_unified(spark, sf_dir), W0, W1)["kpi"]
 
 
 @register("week_of_month")
@@ -193,7 +192,13 @@ def _items(spark, sf_dir):
 
 
 def _reports(spark, sf_dir):
-    return lookups.report_row(fx.report_items(spark, sf_dir))
+    """Report items saved with SNK4 (append, expiry = created + 90 days),
+    then read back from the saved table."""
+    from .sinks.tables import append_report
+    from .session import scratch_path as _scratch
+    path = _scratch(spark, "reports_table")
+    append_report(lookups.report_row(fx.report_items(spark, sf_dir)), path)
+    return spark.read.parquet(path)
 
 
 @register("messages_in_order")

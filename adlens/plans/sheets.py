@@ -35,17 +35,20 @@ def media_spend(unified: DataFrame, start, end) -> DataFrame:
     return with_share(pie, "cost", "share")
 
 
-def daily_table(unified: DataFrame, start, end) -> DataFrame:
-    """RB2 + RB4 (line + table datasets) and AG8: one row per date with the
-    cost, impressions and clicks of each media and the row totals.
-    JN4 as a pivot (one aggregate keyed by date, no join)."""
-    f = in_range(unified, start, end)
-    p = by_date_and_media(f, ["cost", "impressions", "clicks"], MEDIA)
-    g_cost = round_half_even(F.coalesce(F.col("google_cost"), F.lit(0)), 0)
-    k_cost = round_half_even(F.coalesce(F.col("kakao_cost"), F.lit(0)), 0)
-    cnt = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+def daily_raw(unified: DataFrame, start, end) -> DataFrame:
+    """Exact per-date sums of cost, impressions and clicks of each media (one
+    aggregate keyed by date; JN4 as conditional sums, no join)."""
+    return by_date_and_media(in_range(unified, start, end), ["cost", "impressions", "clicks"], MEDIA)
+
+
+def daily_from_raw(raw: DataFrame) -> DataFrame:
+    """RB2 + RB4 / AG8 from the exact per-date sums: costs rounded half-even,
+    row totals added."""
+    g_cost = round_half_even("google_cost", 0)
+    k_cost = round_half_even("kakao_cost", 0)
+    cnt = {c: F.col(c).cast("bigint")
            for c in ["google_impressions", "google_clicks", "kakao_impressions", "kakao_clicks"]}
-    return p.select(
+    return raw.select(
         "report_date",
         g_cost.alias("google_cost"), k_cost.alias("kakao_cost"),
         (g_cost + k_cost).alias("total_cost"),
@@ -54,6 +57,31 @@ def daily_table(unified: DataFrame, start, end) -> DataFrame:
         (cnt["google_clicks"] + cnt["kakao_clicks"]).alias("total_clicks"))
 
 
+def daily_table(unified: DataFrame, start, end) -> DataFrame:
+    """RB2 + RB4 (line + table datasets) and AG8: one row per date with the
+    cost, impressions and clicks of each media and the row totals."""
+    return daily_from_raw(daily_raw(unified, start, end))
+
+
+def pie_from_raw(raw: DataFrame) -> DataFrame:
+    """RB1 pie from the exact per-date sums (sum of exact sums, then
+    rounding): one row per media, with its share."""
+    t = raw.agg(F.sum("google_cost").alias("g"), F.sum("kakao_cost").alias("k"))
+    pie = t.selectExpr("stack(2, 'google', g, 'kakao', k) AS (media, cost)")
+    return with_share(pie.select("media", round_half_even(F.coalesce(F.col("cost"), F.lit(0)), 0).alias("cost")),
+                      "cost", "share")
+
+
+def summary_sheet(unified: DataFrame, start, end, month_start=None, month_end=None) -> dict[str, DataFrame]:
+    """RB5: KPI block, media share and the week block. The pie and the daily
+    table come from one per-date aggregate (one scan of the facts)."""
+    raw = daily_raw(unified, start, end)
+    table = daily_from_raw(raw)
+    pie = pie_from_raw(raw)
+    weeks_table = table if month_start is None else daily_table(unified, month_start, month_end)
+    return {"kpi": kpi(pie, table), "media_share": pie, "weeks": week_of_month(weeks_table)}
+
+
 DAILY_SUMS = ["google_cost", "kakao_cost", "total_cost", "google_impressions", "google_clicks",
               "kakao_impressions", "kakao_clicks", "total_impressions", "total_clicks"]
 
