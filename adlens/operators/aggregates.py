@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_range
-from ..functions.ratios import (count_sum, micros_to_currency, money_sum,
+from ..functions.ratios import (count_sum, money_sum,
                                 pct_half_up, round_half_up)
 from .topk import top_n
 
