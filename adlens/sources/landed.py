@@ -108,52 +108,63 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One weekly report document per week of the fact tables: a user
     request, assistant texts, and chart messages (a superseded pie, line,
     bar, table, the final pie, an empty pie and an unknown chart type).
-    Every dataset is an aggregate (days of the week, media, campaigns), so a
-    document's size is bounded by those counts, not by fact rows."""
+
+    One scan of the facts: a GROUPING SETS aggregate gives per-day sums of
+    each media and per-campaign google sums in one pass; a second aggregate
+    per week packs them into the datasets. Every dataset is bounded by the
+    days, media and campaigns of a week, not by fact rows."""
     from ..functions.dates import week_start
-    from ..functions.ratios import money_sum, round_half_even
+    from ..functions.ratios import round_half_even
     from ..operators.sets import unify_media
     from .fixtures import google_ads, kakao_facts
+
     def by(field):
         return lambda a, b: F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0)
 
     u = unify_media(google_ads(spark, sf_dir), kakao_facts(spark, sf_dir)).withColumn(
         "week", week_start("report_date"))
-    s = lambda c: F.col(c).cast("string")
     g, k = F.col("media") == "google", F.col("media") == "kakao"
-    day = u.groupBy("week", "report_date").agg(
-        round_half_even(F.coalesce(F.sum(F.when(g, F.col("cost"))), F.lit(0)), 0).alias("gc"),
-        round_half_even(F.coalesce(F.sum(F.when(k, F.col("cost"))), F.lit(0)), 0).alias("kc"),
-        F.coalesce(F.sum(F.when(g, F.col("impressions"))), F.lit(0)).alias("gi"),
-        F.coalesce(F.sum(F.when(g, F.col("clicks"))), F.lit(0)).alias("gk"),
-        F.coalesce(F.sum(F.when(k, F.col("impressions"))), F.lit(0)).alias("ki"),
-        F.coalesce(F.sum(F.when(k, F.col("clicks"))), F.lit(0)).alias("kk"))
+
+    def when_sum(cond, c):
+        return F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+    levels = (u.groupingSets([["week", "report_date"], ["week", "campaign"]], "week", "report_date", "campaign")
+               .agg(when_sum(g, "cost").alias("gc"), when_sum(k, "cost").alias("kc"),
+                    when_sum(g, "impressions").alias("gi"), when_sum(g, "clicks").alias("gk"),
+                    when_sum(k, "impressions").alias("ki"), when_sum(k, "clicks").alias("kk"),
+                    when_sum(g, "conversions").alias("gv"), when_sum(g, "conv_value").alias("gcv"),
+                    F.count(F.when(g, 1)).alias("gn"), F.count(F.when(k, 1)).alias("kn"),
+                    F.grouping("report_date").alias("_by_campaign")))
+    s = lambda c: F.col(c).cast("string")
+    r = {c: round_half_even(c, 0) for c in ["gc", "kc", "gcv"]}
     d = F.date_format("report_date", "yyyy-MM-dd")
-    line = F.create_map(F.lit("날짜"), d, F.lit("구글 광고비(원)"), s("gc"), F.lit("카카오 광고비(원)"), s("kc"))
-    tab = F.create_map(F.lit("날짜"), d, F.lit("구글 광고비(원)"), s("gc"), F.lit("카카오 광고비(원)"), s("kc"),
+    line = F.create_map(F.lit("날짜"), d, F.lit("구글 광고비(원)"), r["gc"].cast("string"),
+                        F.lit("카카오 광고비(원)"), r["kc"].cast("string"))
+    tab = F.create_map(F.lit("날짜"), d, F.lit("구글 광고비(원)"), r["gc"].cast("string"),
+                       F.lit("카카오 광고비(원)"), r["kc"].cast("string"),
                        F.lit("구글 노출"), s("gi"), F.lit("구글 클릭"), s("gk"),
                        F.lit("카카오 노출"), s("ki"), F.lit("카카오 클릭"), s("kk"))
-    days = (day.groupBy("week")
-               .agg(F.array_sort(F.collect_list(F.struct("report_date", line.alias("m"))), by("report_date")).alias("l"),
-                    F.array_sort(F.collect_list(F.struct("report_date", tab.alias("m"))), by("report_date")).alias("t"),
-                    F.sum("gk").alias("clicks"))
-               .select("week", F.transform("l", lambda x: x["m"]).alias("line"),
-                       F.transform("t", lambda x: x["m"]).alias("table"), "clicks"))
-    media = u.groupBy("week", "media").agg(round_half_even(money_sum("cost"), 0).alias("cost"))
-    label = F.when(F.col("media") == "google", F.lit("구글")).otherwise(F.lit("카카오"))
-    pie = (media.groupBy("week")
-                .agg(F.array_sort(F.collect_list(F.struct("media", F.create_map(
-                    F.lit("매체"), label, F.lit("광고비(원)"), s("cost")).alias("m"))), by("media")).alias("p"))
-                .select("week", F.transform("p", lambda x: x["m"]).alias("pie")))
-    camp = (u.filter(g).groupBy("week", "campaign")
-              .agg(F.sum("impressions").alias("i"), F.sum("clicks").alias("c"),
-                   round_half_even(money_sum("cost"), 0).alias("cost"), F.sum("conversions").alias("v"),
-                   round_half_even(money_sum("conv_value"), 0).alias("cv")))
-    bar_row = F.create_map(F.lit("캠페인명"), F.col("campaign"), F.lit("노출수"), s("i"), F.lit("클릭수"), s("c"),
-                           F.lit("광고비(원)"), s("cost"), F.lit("전환수"), s("v"), F.lit("전환가치(원)"), s("cv"))
-    bars = (camp.groupBy("week").agg(F.array_sort(F.collect_list(F.struct("campaign", bar_row.alias("m"))), by("campaign")).alias("b"))
-                .select("week", F.transform("b", lambda x: x["m"]).alias("bar")))
-    w = days.join(pie, "week", "left").join(bars, "week", "left")
+    bar = F.create_map(F.lit("캠페인명"), F.col("campaign"), F.lit("노출수"), s("gi"), F.lit("클릭수"), s("gk"),
+                       F.lit("광고비(원)"), r["gc"].cast("string"), F.lit("전환수"), s("gv"),
+                       F.lit("전환가치(원)"), r["gcv"].cast("string"))
+    is_day = F.col("_by_campaign") == 0
+    is_camp = (F.col("_by_campaign") == 1) & (F.col("gn") > 0)
+    w = levels.groupBy("week").agg(
+        F.array_sort(F.collect_list(F.when(is_day, F.struct("report_date", line.alias("m")))), by("report_date"))
+         .alias("l"),
+        F.array_sort(F.collect_list(F.when(is_day, F.struct("report_date", tab.alias("m")))), by("report_date"))
+         .alias("t"),
+        F.array_sort(F.collect_list(F.when(is_camp, F.struct("campaign", bar.alias("m")))), by("campaign"))
+         .alias("b"),
+        F.sum(F.when(is_day, F.col("gc"))).alias("g_cost"), F.sum(F.when(is_day, F.col("kc"))).alias("k_cost"),
+        F.sum(F.when(is_day, F.col("gn"))).alias("g_n"), F.sum(F.when(is_day, F.col("kn"))).alias("k_n"),
+        F.sum(F.when(is_day, F.col("gk"))).alias("clicks"))
+    pie_row = lambda name, cost: F.create_map(F.lit("매체"), F.lit(name), F.lit("광고비(원)"),
+                                              round_half_even(cost, 0).cast("string"))
+    pie = F.filter(F.array(F.when(F.col("g_n") > 0, pie_row("구글", "g_cost")),
+                           F.when(F.col("k_n") > 0, pie_row("카카오", "k_cost"))), lambda x: x.isNotNull())
+    w = w.select("week", F.transform("l", lambda x: x["m"]).alias("line"),
+                 F.transform("t", lambda x: x["m"]).alias("table"),
+                 F.transform("b", lambda x: x["m"]).alias("bar"), pie.alias("pie"), "clicks")
     empty = F.array().cast("array<map<string,string>>")
     none = F.lit(None).cast("array<map<string,string>>")
 
@@ -161,20 +172,19 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(role).alias("role"), content.alias("content"),
                         (F.lit(chart) if chart else F.lit(None).cast("string")).alias("chartType"),
                         data.alias("structuredData"))
-    zero_pie = F.transform(F.coalesce(F.col("pie"), empty),
-                           lambda x: F.transform_values(
-                               x, lambda key, v: F.when(key == "광고비(원)", F.lit("0")).otherwise(v)))
+    zero_pie = F.transform(F.col("pie"), lambda x: F.transform_values(
+        x, lambda key, v: F.when(key == "광고비(원)", F.lit("0")).otherwise(v)))
     week_text = F.date_format("week", "yyyy-MM-dd")
     messages = F.array(
         msg("user", F.concat(F.lit("report for "), week_text), None, none),
         msg("assistant", F.concat(F.lit("week of "), week_text), None, none),
         msg("assistant", F.lit(""), "pie", zero_pie),
-        msg("assistant", F.lit(""), "line", F.coalesce(F.col("line"), empty)),
+        msg("assistant", F.lit(""), "line", F.col("line")),
         msg("assistant", F.lit(""), "bar", F.coalesce(F.col("bar"), empty)),
-        msg("assistant", F.lit(""), "table", F.coalesce(F.col("table"), empty)),
-        msg("assistant", F.lit(""), "pie", F.coalesce(F.col("pie"), empty)),
+        msg("assistant", F.lit(""), "table", F.col("table")),
+        msg("assistant", F.lit(""), "pie", F.col("pie")),
         msg("assistant", F.lit(""), "pie", empty),
-        msg("assistant", F.lit(""), "map", F.coalesce(F.col("pie"), empty)),
+        msg("assistant", F.lit(""), "map", F.col("pie")),
         msg("assistant", F.concat(F.lit("google clicks "), F.col("clicks").cast("string")), None, none))
     return w.select(F.concat(F.lit("w"), F.date_format("week", "yyyyMMdd")).alias("report_id"),
                     F.concat(F.lit("주간 리포트 "), week_text).alias("title"),

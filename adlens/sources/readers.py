@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import double_or_zero, long_trunc_or_zero, text_or_empty
-from ..functions.dates import compact_date_text, in_range, parse_report_date
+from ..functions.dates import in_range, parse_report_date
 from ..schemas import ACCOUNT_LIST, GOOGLE_RESPONSE, KAKAO_RESPONSE, REPORT_DOCUMENT, TABLES
 
 DEFAULT_ENCODINGS = ("UTF-8", "MS949", "EUC-KR")
@@ -151,4 +151,4 @@ def read_report_docs(spark: SparkSession, path: str) -> DataFrame:
 
 
 __all__ = ["read_csv_text", "read_responses", "flatten_google", "flatten_kakao", "explode_accounts",
-           "scan_table", "sql", "read_report_docs", "compact_date_text"]
+           "scan_table", "sql", "read_report_docs"]
