@@ -6,8 +6,12 @@ from adlens.catalog import QUERIES
 
 from .conftest import SF
 
+# queries that write documents or tables before reading them back
 WRITE_QUERIES = {"parquet_roundtrip", "rewrite_day", "catalog_scan", "csv_roundtrip", "json_flatten",
-                 "accounts", "stream_failed_counts", "stream_routes", "stream_ingest"}
+                 "accounts", "stream_failed_counts", "stream_routes", "stream_ingest", "report_datasets",
+                 "report_texts", "report_pie", "report_titles", "sheets_roundtrip", "doc_kpi",
+                 "doc_week_of_month", "doc_daily_sheet", "google_top10_from_table", "bulk_load_kakao",
+                 "active_reports", "reports_by_month", "conversations_with_report"}
 
 
 def plan_of(df):
@@ -44,3 +48,12 @@ def test_table_path_prunes_partitions(spark):
     df = QUERIES["google_top10_from_table"](spark, SF)
     p = plan_of(df)
     assert "PartitionFilters: [" in p and "PartitionFilters: []" not in p.split("google_ad_performance")[-1]
+
+
+def test_no_udf_defined_in_the_package():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parent.parent / "adlens"
+    for f in root.rglob("*.py"):
+        text = f.read_text()
+        for word in ("F.udf", "pandas_udf", "@udf", "mapInPandas", "applyInPandas", ".rdd."):
+            assert word not in text, f"{word} in {f}"
