@@ -63,3 +63,17 @@ def test_ingest_stream_rerun_replaces_day(spark):
     jobs.ingest_stream(spark, f"{landing}/run=*/date=*/", "google", table, ckpt).awaitTermination()
     got = sorted((r.day, r.impressions) for r in scan_table(spark, table, "google").collect())
     assert got == [("04", 5), ("05", 7)]
+
+
+def test_ingest_stream_kakao_skips_failed_accounts(spark):
+    landing = scratch_path(spark, "t_landing_k")
+    table, ckpt = scratch_path(spark, "t_table_k"), scratch_path(spark, "t_ckpt_k")
+    ok = {"account_id": "A", "date": "2024-03-05", "ok": True,
+          "data": [{"keywordId": "k1", "adGroupId": "g", "metrics": {"imp": "3.9", "spending": "2.5"}}]}
+    failed = {"account_id": "B", "date": "2024-03-05", "ok": False,
+              "data": [{"keywordId": "k2", "metrics": {"imp": "4"}}]}
+    _land(f"{landing}/run=001/date=2024-03-05", [ok, failed])
+    jobs.ingest_stream(spark, f"{landing}/run=*/date=*/", "kakao", table, ckpt).awaitTermination()
+    rows = scan_table(spark, table, "kakao").collect()
+    assert [(r.kwd_id, r.adv_id, r.imp, r.spending, r.basic_date, r.day) for r in rows] == \
+        [("k1", "A", 3, 2.5, "20240305", "05")]
