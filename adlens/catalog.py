@@ -498,3 +498,28 @@ def bulk_load_kakao(spark, sf_dir):
     t = readers.scan_table(spark, table, "kakao")
     return t.select("kwd_id", "adv_id", "imp", "click", "spending", "basic_date", "kwd_name", "camp_name",
                     "report_date", "year", "month_p", "day")
+
+
+@register("doc_google_sheet")
+def doc_google_sheet(spark, sf_dir):
+    """RB7 of every report document, from its bar dataset."""
+    sets = documents.datasets(_report_docs(spark, sf_dir))
+    return sheets.google_sheet_from_documents(documents.bar_rows(sets)).withColumn(
+        "pos", _F.col("pos").cast("bigint"))
+
+
+@register("doc_kakao_sheet")
+def doc_kakao_sheet(spark, sf_dir):
+    """RB8 of every report document, from its pie dataset."""
+    sets = documents.datasets(_report_docs(spark, sf_dir))
+    out = sheets.kakao_sheet_from_documents(documents.pie_rows(sets), documents.pie_listing(sets))
+    return out.withColumn("pos", _F.col("pos").cast("bigint"))
+
+
+@register("doc_media_share")
+def doc_media_share(spark, sf_dir):
+    """RB5 media block of every report document (pie, with the table as
+    fallback, then shares)."""
+    sets = documents.datasets(_report_docs(spark, sf_dir))
+    k = sheets.kpi(documents.pie_rows(sets), documents.table_rows(sets), by=("report_id",))
+    return sheets.media_share_block(k)

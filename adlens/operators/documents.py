@@ -82,3 +82,31 @@ def line_rows(sets: DataFrame) -> DataFrame:
     row = F.col("row")
     return r.select("report_id", "pos", row[KEY_DATE].alias("date_text"),
                     *[safe_float(row[v]).alias(k) for k, v in LINE_KEYS.items()])
+
+
+# The keys of the bar dataset and the default campaign name.
+BAR_KEYS = {"impressions": "노출수", "clicks": "클릭수", "cost": "광고비(원)", "conversions": "전환수",
+            "conv_value": "전환가치(원)"}
+KEY_CAMPAIGN = "캠페인명"
+UNNAMED_CAMPAIGN = "(미분류)"
+DEFAULT_MEDIA_PREFIX = "매체"
+# End of fixed values.
+
+
+def bar_rows(sets: DataFrame) -> DataFrame:
+    """Bar dataset rows: campaign (default ``(미분류)``), the five measures as
+    lenient numbers (PF7), and the row position."""
+    r = dataset_rows(sets, "bar")
+    row = F.col("row")
+    return r.select("report_id", "pos",
+                    F.coalesce(row[KEY_CAMPAIGN], F.lit(UNNAMED_CAMPAIGN)).alias("campaign"),
+                    *[safe_float(row[v]).alias(k) for k, v in BAR_KEYS.items()])
+
+
+def pie_listing(sets: DataFrame) -> DataFrame:
+    """Pie rows as listed in the kakao sheet: the name as written (a row
+    without one is ``매체N``, N its 1-based position) and the cost."""
+    r = dataset_rows(sets, "pie")
+    row = F.col("row")
+    name = F.coalesce(row[KEY_MEDIA], F.concat(F.lit(DEFAULT_MEDIA_PREFIX), (F.col("pos") + 1).cast("string")))
+    return r.select("report_id", "pos", name.alias("media_name"), safe_float(row[KEY_COST]).alias("cost"))

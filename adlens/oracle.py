@@ -595,3 +595,53 @@ SELECT kw.k2 AS kwd_id, kw.adv_id, kw.imp, kw.click, kw.spending, kw.basic_date,
        kw.report_date, kw.year, kw.month_p, kw.day
 FROM kw LEFT JOIN latest_master m ON kw.k2 = m.kwd_id
 WHERE kw.report_date IS NOT NULL"""
+
+QUERIES["doc_google_sheet"] = with_(*BASE, WEEKS) + """,
+c AS (
+  SELECT week, campaign, CAST(SUM(impressions) AS DOUBLE) AS impressions, CAST(SUM(clicks) AS DOUBLE) AS clicks,
+         CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost, CAST(SUM(conversions) AS DOUBLE) AS conversions,
+         CAST(ROUND_EVEN(SUM(conv_value), 0) AS DOUBLE) AS conv_value
+  FROM wk WHERE media = 'google' GROUP BY week, campaign),
+d AS (
+  SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
+         ROW_NUMBER() OVER (PARTITION BY week ORDER BY campaign) - 1 AS pos,
+         campaign, impressions, clicks, cost, conversions, conv_value,
+         CASE WHEN impressions = 0 THEN 0.0 ELSE clicks / impressions END AS ctr,
+         cost / NULLIF(clicks, 0) AS cpc, conv_value / NULLIF(cost, 0) AS roas
+  FROM c)
+SELECT report_id, CAST(pos AS BIGINT) AS pos,
+       SUM(impressions) AS impressions, SUM(clicks) AS clicks, SUM(cost) AS cost,
+       SUM(conversions) AS conversions, SUM(conv_value) AS conv_value,
+       CASE WHEN GROUPING(pos) = 1 THEN NULL ELSE MAX(campaign) END AS campaign,
+       CASE WHEN GROUPING(pos) = 1 THEN NULL ELSE MAX(ctr) END AS ctr,
+       CASE WHEN GROUPING(pos) = 1 THEN NULL ELSE MAX(cpc) END AS cpc,
+       CASE WHEN GROUPING(pos) = 1 THEN NULL ELSE MAX(roas) END AS roas,
+       CASE WHEN GROUPING(pos) = 1 THEN 'total' ELSE 'detail' END AS row_type
+FROM d GROUP BY GROUPING SETS ((report_id, pos), (report_id))"""
+
+QUERIES["doc_kakao_sheet"] = with_(*BASE, WEEKS) + """,
+p AS (
+  SELECT week, media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost,
+         ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS pos,
+         COUNT(*) OVER (PARTITION BY week) AS n_rows
+  FROM wk GROUP BY week, media)
+SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, 'kakao_total' AS row_type, '카카오' AS media_name,
+       COALESCE(MAX(CASE WHEN media = 'kakao' THEN cost END), 0.0) AS cost, CAST(NULL AS BIGINT) AS pos
+FROM p GROUP BY week
+UNION ALL
+SELECT 'w' || strftime(week, '%Y%m%d'), 'media', CASE media WHEN 'google' THEN '구글' ELSE '카카오' END,
+       cost, CAST(pos AS BIGINT)
+FROM p WHERE n_rows >= 2"""
+
+QUERIES["doc_media_share"] = with_(*BASE, WEEKS, DOC_WEEK) + """,
+s AS (
+  SELECT pm.week, g_pie, k_pie, SUM(gc) AS g_tab, SUM(kc) AS k_tab
+  FROM pm JOIN dd ON pm.week = dd.week GROUP BY pm.week, g_pie, k_pie),
+v AS (
+  SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
+         CASE WHEN g_pie = 0 AND k_pie = 0 THEN g_tab ELSE g_pie END AS g,
+         CASE WHEN g_pie = 0 AND k_pie = 0 THEN k_tab ELSE k_pie END AS k FROM s),
+m AS (
+  SELECT report_id, 'google' AS media, CAST(ROUND_EVEN(g, 0) AS DOUBLE) AS cost FROM v
+  UNION ALL SELECT report_id, 'kakao', CAST(ROUND_EVEN(k, 0) AS DOUBLE) FROM v)
+SELECT report_id, media, cost, cost / NULLIF(SUM(cost) OVER (PARTITION BY report_id), 0) AS share FROM m"""

@@ -262,3 +262,44 @@ def daily_sheet_from_documents(line: DataFrame, table: DataFrame, by: tuple[str,
     """RB6 from report documents: the daily table of each report with that
     report's totals row."""
     return with_totals(daily_totals(line, table, by), ["date"], DAILY_SUMS, within=by)
+
+
+def google_sheet_from_documents(bar: DataFrame, by: tuple[str, ...] = ("report_id",)) -> DataFrame:
+    """RB7 from report documents: one row per bar dataset row (campaign names
+    may repeat), cost and value rounded half-even, CTR 0 without
+    impressions, CPC / ROAS NULL ('-') without clicks / cost, and a totals
+    row per report summing counts and money only."""
+    d = bar.select(*by, "pos", "campaign", "impressions", "clicks",
+                   round_half_even("cost", 0).alias("cost"), "conversions",
+                   round_half_even("conv_value", 0).alias("conv_value"))
+    d = d.select("*", div_or_zero("clicks", "impressions").alias("ctr"), safe_div("cost", "clicks").alias("cpc"),
+                 safe_div("conv_value", "cost").alias("roas"))
+    return with_totals(d, ["pos"], ["impressions", "clicks", "cost", "conversions", "conv_value"],
+                       keep=["campaign", "ctr", "cpc", "roas"], within=by)
+
+
+def kakao_sheet_from_documents(pie: DataFrame, listing: DataFrame) -> DataFrame:
+    """RB8 from report documents (what the reference fills): the kakao total
+    taken from the first kakao pie row (JN3; 0 when there is none) and, when
+    the pie has at least two rows, every pie row with its name (AG10 default
+    ``매체N``) and rounded cost."""
+    kakao = (pie.filter(F.col("media") == "kakao").groupBy("report_id")
+                .agg(F.min_by(F.col("cost"), F.col("pos")).alias("cost")))
+    reports = pie.groupBy("report_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    total = (reports.join(kakao, "report_id", "left")
+                    .select("report_id", F.lit("kakao_total").alias("row_type"), F.lit("카카오").alias("media_name"),
+                            round_half_even(F.coalesce(F.col("cost"), F.lit(0.0)), 0).alias("cost"),
+                            F.lit(None).cast("int").alias("pos")))
+    listed = (listing.join(reports.filter(F.col("n_rows") >= 2).select("report_id"), "report_id", "left_semi")
+                     .select("report_id", F.lit("media").alias("row_type"), "media_name",
+                             round_half_even("cost", 0).alias("cost"), "pos"))
+    return total.unionByName(listed)
+
+
+def media_share_block(kpi_rows: DataFrame, by: tuple[str, ...] = ("report_id",)) -> DataFrame:
+    """RB5 media block: google and kakao cost of the week (after the KPI
+    fallback), rounded half-even, and each one's share (WN1)."""
+    m = kpi_rows.filter(F.col("metric").isin("google_cost", "kakao_cost")).select(
+        *by, F.regexp_replace("metric", "_cost$", "").alias("media"),
+        round_half_even("value", 0).alias("cost"))
+    return with_share(m, "cost", "share", within=by)

@@ -94,3 +94,18 @@ def test_daily_totals_from_documents(spark):
     assert rows == {"2024-03-05": (11.0, 1.0, 12.0, 4.0, "detail"),
                     "2024-03-06": (0.0, 2.0, 2.0, 0.0, "detail"),
                     None: (11.0, 3.0, 14.0, 4.0, "total")}
+
+
+def test_kakao_sheet_from_documents(spark):
+    from adlens.plans import sheets
+    one = [("assistant", "", "pie", [{"매체": "구글", "광고비(원)": "10"}])]
+    sets = documents.datasets(_doc(spark, one))
+    rows = [tuple(r) for r in sheets.kakao_sheet_from_documents(documents.pie_rows(sets),
+                                                                documents.pie_listing(sets)).collect()]
+    assert rows == [("r1", "kakao_total", "카카오", 0.0, None)]
+    two = [("assistant", "", "pie", [{"광고비(원)": "2.5"}, {"매체": "카카오", "광고비(원)": "7.5"}])]
+    sets = documents.datasets(_doc(spark, two))
+    rows = sorted(tuple(r) for r in sheets.kakao_sheet_from_documents(
+        documents.pie_rows(sets), documents.pie_listing(sets)).collect())
+    assert rows == [("r1", "kakao_total", "카카오", 8.0, None), ("r1", "media", "매체1", 2.0, 0),
+                    ("r1", "media", "카카오", 8.0, 1)]
