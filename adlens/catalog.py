@@ -31,7 +31,6 @@ def google_campaign_top10(spark, sf_dir):
 
 # ---- shared inputs ------------------------------------------------------
 
-from .functions.dates import last_week  # noqa: E402
 from .operators import aggregates as agg  # noqa: E402
 from .operators.filters import filter_report, search  # noqa: E402
 from .operators.sets import unify_media  # noqa: E402
@@ -84,9 +83,7 @@ def week_of_month(spark, sf_dir):
 
 @register("week_over_week")
 def week_over_week(spark, sf_dir):
-    from pyspark.sql import functions as F
-    s, e = last_week(AS_OF)
-    return sheets.week_over_week(_unified(spark, sf_dir), s, e, F.date_sub(s, 7), F.date_sub(s, 1))
+    return sheets.week_over_week_as_of(_unified(spark, sf_dir), AS_OF)
 
 
 @register("campaign_detail")

@@ -303,3 +303,11 @@ def media_share_block(kpi_rows: DataFrame, by: tuple[str, ...] = ("report_id",))
         *by, F.regexp_replace("metric", "_cost$", "").alias("media"),
         round_half_even("value", 0).alias("cost"))
     return with_share(m, "cost", "share", within=by)
+
+
+def week_over_week_as_of(unified: DataFrame, as_of, tz: str = "Asia/Seoul") -> DataFrame:
+    """WN4 with the SURVEY signature: the week before ``as_of`` (in ``tz``)
+    against the week before that."""
+    from ..functions.dates import last_week
+    s, e = last_week(as_of, tz)
+    return week_over_week(unified, s, e, F.date_sub(s, 7), F.date_sub(s, 1))
