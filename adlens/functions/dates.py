@@ -12,16 +12,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's output text.
-# Week label parts ("M월 N주차"), the fallback label, the display date
-# pattern "YYYY년 MM월 DD일", and the default report time zone (KST).
-WEEK_MONTH_SUFFIX = "월 "
-WEEK_SUFFIX = "주차"
-WEEK_FALLBACK = "기타"
-DISPLAY_DATE_PATTERN = "yyyy'년' MM'월' dd'일'"
-DEFAULT_TZ = "Asia/Seoul"
-DATE_TEXT_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
-# End of fixed values.
+from ..labels import (DATE_TEXT_PATTERN, DEFAULT_TZ, DISPLAY_DATE_PATTERN, WEEK_FALLBACK,  # noqa: F401
+                      WEEK_MONTH_SUFFIX, WEEK_SUFFIX)
 
 
 def _c(col) -> Column:

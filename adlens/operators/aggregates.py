@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_range
+from ..labels import DEFAULT_MEDIA_PREFIX
 from ..functions.ratios import (count_sum, money_sum,
                                 pct_half_up, round_half_up)
 from .topk import top_n
@@ -158,7 +159,7 @@ def with_totals(df: DataFrame, keys: list[str], sums: list[str],
 
 
 def media_totals(pie: DataFrame, media: str = "media", value: str = "cost",
-                 pos: str = "pos", default_prefix: str = "매체") -> DataFrame:
+                 pos: str = "pos", default_prefix: str = DEFAULT_MEDIA_PREFIX) -> DataFrame:
     """AG10: cost per media; a row without a media name is named
     ``매체N`` (N = its 1-based position)."""
     name = F.coalesce(F.col(media), F.concat(F.lit(default_prefix), (F.col(pos) + 1).cast("string")))

@@ -10,12 +10,8 @@ from ..functions.casts import safe_float
 
 CHART_TYPES = ("pie", "line", "bar", "table")
 
-# Dataset keys and media names as they appear in documents.
-KEY_MEDIA = "매체"
-KEY_COST = "광고비(원)"
-KEY_DATE = "날짜"
-MEDIA_NAMES = {"구글": "google", "카카오": "kakao"}
-# End of fixed values.
+from ..labels import (BAR_KEYS, DEFAULT_MEDIA_PREFIX, KEY_CAMPAIGN, KEY_COST, KEY_DATE, KEY_MEDIA, LINE_KEYS,
+                      MEDIA_IDS, TABLE_KEYS, UNNAMED_CAMPAIGN)
 
 
 def datasets(docs: DataFrame) -> DataFrame:
@@ -49,17 +45,10 @@ def pie_rows(sets: DataFrame) -> DataFrame:
     cost as a lenient number (PF7), position."""
     r = dataset_rows(sets, "pie")
     name = F.col("row")[KEY_MEDIA]
-    mapped = F.coalesce(*[F.when(name == k, F.lit(v)) for k, v in MEDIA_NAMES.items()], name)
+    mapped = F.coalesce(*[F.when(name == k, F.lit(v)) for k, v in MEDIA_IDS.items()], name)
     return r.select("report_id", "pos", mapped.alias("media"), safe_float(F.col("row")[KEY_COST]).alias("cost"))
 
 
-# The keys of the daily table dataset.
-TABLE_KEYS = {"google_cost": "구글 광고비(원)", "kakao_cost": "카카오 광고비(원)",
-              "google_impressions": "구글 노출", "google_clicks": "구글 클릭",
-              "kakao_impressions": "카카오 노출", "kakao_clicks": "카카오 클릭"}
-# End of fixed values.
-
-
 def table_rows(sets: DataFrame) -> DataFrame:
     """Table dataset rows as a typed daily table: the date text parsed
     (``report_date`` NULL when unreadable, the text kept in ``date_text``),
@@ -71,11 +60,6 @@ def table_rows(sets: DataFrame) -> DataFrame:
                     *[safe_float(row[v]).alias(k) for k, v in TABLE_KEYS.items()])
 
 
-# The keys of the line dataset.
-LINE_KEYS = {"google_cost": "구글 광고비(원)", "kakao_cost": "카카오 광고비(원)"}
-# End of fixed values.
-
-
 def line_rows(sets: DataFrame) -> DataFrame:
     """Line dataset rows: date text, per-media cost (PF7), position."""
     r = dataset_rows(sets, "line")
@@ -84,15 +68,6 @@ def line_rows(sets: DataFrame) -> DataFrame:
                     *[safe_float(row[v]).alias(k) for k, v in LINE_KEYS.items()])
 
 
-# The keys of the bar dataset and the default campaign name.
-BAR_KEYS = {"impressions": "노출수", "clicks": "클릭수", "cost": "광고비(원)", "conversions": "전환수",
-            "conv_value": "전환가치(원)"}
-KEY_CAMPAIGN = "캠페인명"
-UNNAMED_CAMPAIGN = "(미분류)"
-DEFAULT_MEDIA_PREFIX = "매체"
-# End of fixed values.
-
-
 def bar_rows(sets: DataFrame) -> DataFrame:
     """Bar dataset rows: campaign (default ``(미분류)``), the five measures as
     lenient numbers (PF7), and the row position."""

@@ -19,11 +19,7 @@ from ..operators.joins import by_date_and_media, daily_lookup, latest_master
 from ..operators.topk import first_groups
 from ..operators.windows import with_share
 
-# Default campaign name and the default week labels of an
-# empty summary (W1..W5).
-UNNAMED_CAMPAIGN = "(미분류)"
-EMPTY_WEEK_LABELS = ["W1", "W2", "W3", "W4", "W5"]
-# End of fixed values.
+from ..labels import EMPTY_WEEK_LABELS, MEDIA_KAKAO, UNNAMED_CAMPAIGN
 
 MEDIA = ("google", "kakao")
 
@@ -287,7 +283,7 @@ def kakao_sheet_from_documents(pie: DataFrame, listing: DataFrame) -> DataFrame:
                 .agg(F.min_by(F.col("cost"), F.col("pos")).alias("cost")))
     reports = pie.groupBy("report_id").agg(F.count(F.lit(1)).alias("n_rows"))
     total = (reports.join(kakao, "report_id", "left")
-                    .select("report_id", F.lit("kakao_total").alias("row_type"), F.lit("카카오").alias("media_name"),
+                    .select("report_id", F.lit("kakao_total").alias("row_type"), F.lit(MEDIA_KAKAO).alias("media_name"),
                             round_half_even(F.coalesce(F.col("cost"), F.lit(0.0)), 0).alias("cost"),
                             F.lit(None).cast("int").alias("pos")))
     listed = (listing.join(reports.filter(F.col("n_rows") >= 2).select("report_id"), "report_id", "left_semi")

@@ -11,8 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import labels as L
 from .fixtures import kakao_master, table
 
+# Text of our own fixture documents (not reference values).
+MASTER_LABEL_PREFIX = "캠페인 "
+REPORT_TITLE_PREFIX = "주간 리포트 "
+
 FAILED_ACCOUNT = "P"          # the account whose response failed
 CUSTOMER_ID = "123-456-7890"  # landed google customer id (dashes removed on ingest)
 
@@ -66,7 +71,7 @@ def account_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def master_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword master with a Korean label column, for the CSV round trip."""
     return kakao_master(spark, sf_dir).withColumn(
-        "label", F.concat(F.lit("캠페인 "), F.col("camp_name")))
+        "label", F.concat(F.lit(MASTER_LABEL_PREFIX), F.col("camp_name")))
 
 
 def queue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,15 +142,20 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = lambda c: F.col(c).cast("string")
     r = {c: round_half_even(c, 0) for c in ["gc", "kc", "gcv"]}
     d = F.date_format("report_date", "yyyy-MM-dd")
-    line = F.create_map(F.lit("날짜"), d, F.lit("구글 광고비(원)"), r["gc"].cast("string"),
-                        F.lit("카카오 광고비(원)"), r["kc"].cast("string"))
-    tab = F.create_map(F.lit("날짜"), d, F.lit("구글 광고비(원)"), r["gc"].cast("string"),
-                       F.lit("카카오 광고비(원)"), r["kc"].cast("string"),
-                       F.lit("구글 노출"), s("gi"), F.lit("구글 클릭"), s("gk"),
-                       F.lit("카카오 노출"), s("ki"), F.lit("카카오 클릭"), s("kk"))
-    bar = F.create_map(F.lit("캠페인명"), F.col("campaign"), F.lit("노출수"), s("gi"), F.lit("클릭수"), s("gk"),
-                       F.lit("광고비(원)"), r["gc"].cast("string"), F.lit("전환수"), s("gv"),
-                       F.lit("전환가치(원)"), r["gcv"].cast("string"))
+    day_values = {"google_cost": r["gc"].cast("string"), "kakao_cost": r["kc"].cast("string"),
+                  "google_impressions": s("gi"), "google_clicks": s("gk"),
+                  "kakao_impressions": s("ki"), "kakao_clicks": s("kk")}
+    camp_values = {"impressions": s("gi"), "clicks": s("gk"), "cost": r["gc"].cast("string"),
+                   "conversions": s("gv"), "conv_value": r["gcv"].cast("string")}
+
+    def as_map(first_key, first_value, keys, values):
+        pairs = [F.lit(first_key), first_value]
+        for name, key in keys.items():
+            pairs += [F.lit(key), values[name]]
+        return F.create_map(*pairs)
+    line = as_map(L.KEY_DATE, d, L.LINE_KEYS, day_values)
+    tab = as_map(L.KEY_DATE, d, L.TABLE_KEYS, day_values)
+    bar = as_map(L.KEY_CAMPAIGN, F.col("campaign"), L.BAR_KEYS, camp_values)
     is_day = F.col("_by_campaign") == 0
     is_camp = (F.col("_by_campaign") == 1) & (F.col("gn") > 0)
     w = levels.groupBy("week").agg(
@@ -158,10 +168,10 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(is_day, F.col("gc"))).alias("g_cost"), F.sum(F.when(is_day, F.col("kc"))).alias("k_cost"),
         F.sum(F.when(is_day, F.col("gn"))).alias("g_n"), F.sum(F.when(is_day, F.col("kn"))).alias("k_n"),
         F.sum(F.when(is_day, F.col("gk"))).alias("clicks"))
-    pie_row = lambda name, cost: F.create_map(F.lit("매체"), F.lit(name), F.lit("광고비(원)"),
+    pie_row = lambda name, cost: F.create_map(F.lit(L.KEY_MEDIA), F.lit(name), F.lit(L.KEY_COST),
                                               round_half_even(cost, 0).cast("string"))
-    pie = F.filter(F.array(F.when(F.col("g_n") > 0, pie_row("구글", "g_cost")),
-                           F.when(F.col("k_n") > 0, pie_row("카카오", "k_cost"))), lambda x: x.isNotNull())
+    pie = F.filter(F.array(F.when(F.col("g_n") > 0, pie_row(L.MEDIA_GOOGLE, "g_cost")),
+                           F.when(F.col("k_n") > 0, pie_row(L.MEDIA_KAKAO, "k_cost"))), lambda x: x.isNotNull())
     w = w.select("week", F.transform("l", lambda x: x["m"]).alias("line"),
                  F.transform("t", lambda x: x["m"]).alias("table"),
                  F.transform("b", lambda x: x["m"]).alias("bar"), pie.alias("pie"), "clicks")
@@ -173,7 +183,7 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.lit(chart) if chart else F.lit(None).cast("string")).alias("chartType"),
                         data.alias("structuredData"))
     zero_pie = F.transform(F.col("pie"), lambda x: F.transform_values(
-        x, lambda key, v: F.when(key == "광고비(원)", F.lit("0")).otherwise(v)))
+        x, lambda key, v: F.when(key == L.KEY_COST, F.lit("0")).otherwise(v)))
     week_text = F.date_format("week", "yyyy-MM-dd")
     messages = F.array(
         msg("user", F.concat(F.lit("report for "), week_text), None, none),
@@ -187,7 +197,7 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         msg("assistant", F.lit(""), "map", F.col("pie")),
         msg("assistant", F.concat(F.lit("google clicks "), F.col("clicks").cast("string")), None, none))
     return w.select(F.concat(F.lit("w"), F.date_format("week", "yyyyMMdd")).alias("report_id"),
-                    F.concat(F.lit("주간 리포트 "), week_text).alias("title"),
+                    F.concat(F.lit(REPORT_TITLE_PREFIX), week_text).alias("title"),
                     F.date_format(F.date_add("week", 7), "yyyy-MM-dd'T'09:00:00").alias("createdAt"),
                     messages.alias("messages"))
 
