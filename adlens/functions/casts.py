@@ -56,23 +56,3 @@ def as_text(col) -> Column:
 def all_as_text(df: DataFrame) -> DataFrame:
     """SC10 over every column of a result."""
     return df.select([as_text(c).alias(c) for c in df.columns])
-
-
-def type_columns(df: DataFrame, longs, doubles, long_fn=long_half_even,
-                 double_fn=double_or_null) -> DataFrame:
-    """PF8: type only the listed columns that the frame has (decided when the
-    plan is built, not per row)."""
-    out = []
-    for c in df.columns:
-        if c in longs:
-            out.append(long_fn(c).alias(c))
-        elif c in doubles:
-            out.append(double_fn(c).alias(c))
-        else:
-            out.append(F.col(c))
-    return df.select(out)
-
-
-def drop_if_present(df: DataFrame, *cols: str) -> DataFrame:
-    """PF10: drop columns, ignoring absent ones."""
-    return df.drop(*cols)

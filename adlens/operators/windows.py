@@ -32,25 +32,6 @@ def last_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
               .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in [seq] + rest]))
 
 
-def rank_within(df: DataFrame, keys: list[str], order_col: str, out: str = "position",
-                descending: bool = False) -> DataFrame:
-    """Row position per key in a given order (LK1/LK2 ordering)."""
-    o = F.col(order_col)
-    w = Window.partitionBy(*keys).orderBy(o.desc() if descending else o.asc())
-    return df.withColumn(out, F.row_number().over(w))
-
-
-def with_previous(df: DataFrame, keys: list[str], order_col: str, value: str,
-                  prefix: str = "prev_") -> DataFrame:
-    """WN4: previous period's value, change and change rate."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col))
-    prev = F.lag(F.col(value)).over(w)
-    return (df.withColumn(prefix + value, prev)
-              .withColumn("change", F.col(value) - F.col(prefix + value))
-              .withColumn("change_rate", F.try_divide(F.col("change").cast("double"),
-                          F.nullif(F.col(prefix + value).cast("double"), F.lit(0.0)))))
-
-
 def position_within(df: DataFrame, keys: list[str], order: list, out: str = "position") -> DataFrame:
     """Row position (1, 2, ...) within each key in the given order, without
     putting a whole key into one task.

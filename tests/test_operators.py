@@ -131,3 +131,15 @@ def test_week_of_month_first_five_and_defaults(spark):
 def test_first_groups(spark):
     df = spark.createDataFrame([("b", 2), ("a", 1), ("c", 3)], "g string, pos int")
     assert [r.g for r in first_groups(df, "pos", 2).collect()] == ["a", "b"]
+
+
+def test_kakao_preaggregated_path_equals_row_path(spark):
+    from adlens.plans.weekly import WEEK_END, WEEK_START, kakao_top
+    from adlens.sources import fixtures as fx
+
+    from .conftest import SF
+    facts, master = fx.kakao_facts(spark, SF), fx.kakao_master(spark, SF)
+    rows = enrich_with_master(facts, master, seq="seq")
+    by_rows = agg.kakao_campaign_summary(rows, WEEK_START, WEEK_END, n=None).collect()
+    by_keyword = kakao_top(facts, master, n=None).collect()
+    assert sorted(map(tuple, by_rows), key=str) == sorted(map(tuple, by_keyword), key=str)
