@@ -136,7 +136,7 @@ from pyspark.sql import functions as _F  # noqa: E402
 
 from .functions.dates import epoch_ms_text_to_time  # noqa: E402
 from .operators import ingest, lookups  # noqa: E402
-from .operators.filters import route, split_valid  # noqa: E402
+from .operators.filters import dead_letter_platform, route, split_valid  # noqa: E402
 
 TYPED_COLUMNS = ["kwd_id", "adv_id", "imp", "click", "spending", "basic_date", "report_date",
                  "year", "month_p", "day"]
@@ -171,12 +171,12 @@ def routed(spark, sf_dir):
 
 @register("failed_counts")
 def failed_counts(spark, sf_dir):
-    return agg.failed_counts(route(fx.queue_messages(spark, sf_dir)))
+    return agg.failed_counts(dead_letter_platform(fx.queue_messages(spark, sf_dir)))
 
 
 @register("dead_letters")
 def dead_letters(spark, sf_dir):
-    m = route(fx.queue_messages(spark, sf_dir))
+    m = dead_letter_platform(fx.queue_messages(spark, sf_dir))
     return m.select("event_id", "platform",
                     epoch_ms_text_to_time("sent_ms").alias("sent_time"),
                     _F.coalesce(_F.col("receive_count"), _F.lit("unknown")).alias("receive_count"))

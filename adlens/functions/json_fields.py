@@ -20,6 +20,13 @@ def json_field(col, field: str, default: str | None = None) -> Column:
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
+def message_platform(body) -> Column:
+    """SC12 for dead letters: the platform the message names, as given
+    (any value), or 'unknown' when the body is not a JSON object or has
+    none."""
+    return json_field(body, "platform", "unknown")
+
+
 def platform_of(body) -> Column:
     """SC12 + PF15: the message platform, or 'unknown' when the body is not
     JSON, has no platform, or names one that is not served."""

@@ -20,6 +20,7 @@ def datasets(docs: DataFrame) -> DataFrame:
     ``max_by`` over the message position: one partial aggregate."""
     m = docs.select("report_id", F.posexplode("messages").alias("pos", "m"))
     m = m.filter(F.col("m.chartType").isin(*CHART_TYPES) & (F.size(F.col("m.structuredData")) > 0))
+    # an empty chart type counts as none (falsy in the reference)
     return (m.groupBy("report_id", F.col("m.chartType").alias("chart_type"))
              .agg(F.max_by(F.col("m.structuredData"), F.col("pos")).alias("rows"),
                   F.max("pos").alias("message_pos")))
@@ -30,7 +31,8 @@ def texts(docs: DataFrame) -> DataFrame:
     Ordering uses the position inside each document's own array (no
     shuffle): ``filter`` then ``transform`` on the messages array."""
     kept = F.filter(F.col("messages"), lambda x: (F.coalesce(x["role"], F.lit("")) == "assistant")
-                    & x["chartType"].isNull() & (F.coalesce(x["content"], F.lit("")) != ""))
+                    & (F.coalesce(x["chartType"], F.lit("")) == "")
+                    & (F.coalesce(x["content"], F.lit("")) != ""))
     return docs.select("report_id", F.transform(kept, lambda x: x["content"]).alias("texts"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_range
-from ..functions.json_fields import platform_of
+from ..functions.json_fields import message_platform, platform_of
 
 
 def filter_report(df: DataFrame, media=None, start=None, end=None) -> DataFrame:
@@ -30,6 +30,12 @@ def split_valid(df: DataFrame, key: str = "report_date") -> tuple[DataFrame, Dat
     return df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
 
 
+def dead_letter_platform(messages: DataFrame, body: str = "body") -> DataFrame:
+    """AG14 input: the platform each failed message names (any value), or
+    'unknown' for a body that is not a JSON object or names none."""
+    return messages.withColumn("platform", message_platform(body))
+
+
 def route(messages: DataFrame, body: str = "body") -> DataFrame:
     """PF15 + SC12: the platform of each message: google, kakao or unknown
     (body not JSON, no platform, or a platform that is not served)."""

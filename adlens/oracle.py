@@ -333,14 +333,19 @@ ROUTED = """routed AS (
 
 QUERIES["routed"] = with_(QUEUE_MESSAGES, ROUTED) + "SELECT event_id, platform FROM routed"
 
-QUERIES["failed_counts"] = with_(QUEUE_MESSAGES, ROUTED) + """
-SELECT platform, COUNT(*) AS n FROM routed GROUP BY platform"""
+DEAD = """dead AS (
+  SELECT *, CASE WHEN json_valid(body) AND json_type(body) = 'OBJECT'
+                 THEN COALESCE(json_extract_string(body, '$.platform'), 'unknown') ELSE 'unknown' END AS platform
+  FROM queue_messages)"""
+
+QUERIES["failed_counts"] = with_(QUEUE_MESSAGES, DEAD) + """
+SELECT platform, COUNT(*) AS n FROM dead GROUP BY platform"""
 
-QUERIES["dead_letters"] = with_(QUEUE_MESSAGES, ROUTED) + """
+QUERIES["dead_letters"] = with_(QUEUE_MESSAGES, DEAD) + """
 SELECT event_id, platform,
        COALESCE(strftime(make_timestamp(TRY_CAST(sent_ms AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S'), 'unknown') AS sent_time,
        COALESCE(receive_count, 'unknown') AS receive_count
-FROM routed"""
+FROM dead"""
 
 ITEMS = """items AS (
   SELECT conversation_id,
@@ -432,16 +437,17 @@ SELECT CAST(o_custkey AS VARCHAR) AS kwd_id, o_orderpriority AS agroup_id, o_ord
        CAST(0 AS BIGINT) AS rank, 0.0 AS ctr
 FROM orders WHERE o_orderstatus <> 'P'"""
 
-QUERIES["stream_failed_counts"] = with_(QUEUE_MESSAGES, ROUTED) + """
+QUERIES["stream_failed_counts"] = with_(QUEUE_MESSAGES, DEAD) + """
 SELECT (TRY_CAST(sent_ms AS BIGINT) // 300000) * 300000 AS window_start_ms,
        (TRY_CAST(sent_ms AS BIGINT) // 300000) * 300000 + 300000 AS window_end_ms,
        platform, COUNT(*) AS n
-FROM routed WHERE sent_ms IS NOT NULL GROUP BY 1, 2, 3"""
+FROM dead WHERE sent_ms IS NOT NULL GROUP BY 1, 2, 3"""
 
-QUERIES["stream_routes"] = with_(QUEUE_MESSAGES, ROUTED) + """
-SELECT CAST(event_id AS VARCHAR) AS message_id, platform, COALESCE(receive_count, 'unknown') AS receive_count,
-       CASE WHEN platform = 'unknown' THEN 'quarantine' ELSE 'good' END AS route
-FROM routed"""
+QUERIES["stream_routes"] = with_(QUEUE_MESSAGES, ROUTED, DEAD) + """
+SELECT CAST(d.event_id AS VARCHAR) AS message_id, d.platform AS platform,
+       COALESCE(d.receive_count, 'unknown') AS receive_count,
+       CASE WHEN r.platform = 'unknown' THEN 'quarantine' ELSE 'good' END AS route
+FROM dead d JOIN routed r ON d.event_id = r.event_id"""
 
 QUERIES["stream_ingest"] = """
 SELECT p_brand AS camp_name, CAST(l_partkey AS VARCHAR) AS keyword_id, p_name AS keyword_text,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.json_fields import platform_of
+from ..functions.json_fields import message_platform, platform_of
 from ..operators.ingest import type_batch
 from ..schemas import GOOGLE_RESPONSE, KAKAO_RESPONSE, QUEUE_MESSAGE  # noqa: F401
 from ..sinks.tables import write_partitions
@@ -28,12 +28,14 @@ def queue_stream(spark: SparkSession, path: str, max_files: int | None = None) -
 
 
 def message_fields(messages: DataFrame) -> DataFrame:
-    """SC11/SC12/ST5 on a message stream: platform (or 'unknown'), the sent
-    instant from the epoch-ms text, and the receive count (or 'unknown')."""
+    """SC11/SC12/ST5 on a message stream: the platform the message names
+    (or 'unknown'), whether it is a served one, the sent instant from the
+    epoch-ms text, and the receive count (or 'unknown')."""
     ms = F.col("attributes.SentTimestamp").try_cast("bigint")
     return messages.select(
         "message_id", "body",
-        platform_of(F.col("body")).alias("platform"),
+        message_platform(F.col("body")).alias("platform"),
+        (platform_of(F.col("body")) != "unknown").alias("served"),
         F.timestamp_millis(ms).alias("sent"),
         F.coalesce(F.col("attributes.ApproximateReceiveCount"), F.lit("unknown")).alias("receive_count"))
 
@@ -88,7 +90,7 @@ def route_stream(messages: DataFrame, good: str, bad: str, checkpoint: str, avai
     outputs under its batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
         f = message_fields(batch)
-        known = F.col("platform") != "unknown"
+        known = F.col("served")
         f.filter(known).write.mode("overwrite").parquet(f"{good}/batch_id={batch_id}")
         f.filter(~known).write.mode("overwrite").parquet(f"{bad}/batch_id={batch_id}")
     q = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -116,3 +116,9 @@ def test_display_date_and_expiry(spark):
     assert [r[0] for r in df.select(dates.display_date("t")).collect()] == ["2024년 03월 05일", "bad text h"]
     e = spark.range(1).select(dates.plus_days(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))).first()[0]
     assert e == dt.datetime(2024, 3, 31)
+
+
+def test_message_platform_keeps_any_named_platform(spark):
+    got = col_values(spark, ['{"platform": "naver"}', "not json", '{"k": 1}', '"text"', None], "string",
+                     json_fields.message_platform)
+    assert got == ["naver", "unknown", "unknown", "unknown", "unknown"]
