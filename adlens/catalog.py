@@ -520,3 +520,15 @@ def doc_media_share(spark, sf_dir):
     sets = documents.datasets(_report_docs(spark, sf_dir))
     k = sheets.kpi(documents.pie_rows(sets), documents.table_rows(sets), by=("report_id",))
     return sheets.media_share_block(k)
+
+
+@register("stream_untimed_counts")
+def stream_untimed_counts(spark, sf_dir):
+    """ST2, second output: dead letters without a sent time cannot be
+    windowed; they are counted per platform (state: one row per platform)."""
+    landing = scratch_path(spark, "queue")
+    landed.queue_documents(spark, sf_dir).write.json(landing)
+    sink, ckpt = scratch_path(spark, "dlq_untimed"), scratch_path(spark, "dlq_untimed_ckpt")
+    streams.run_update_stream(streams.untimed_counts(streams.queue_stream(spark, landing)), sink, ckpt) \
+        .awaitTermination()
+    return streams.read_latest(spark, sink, ["platform"])

@@ -651,3 +651,6 @@ m AS (
   SELECT report_id, 'google' AS media, CAST(ROUND_EVEN(g, 0) AS DOUBLE) AS cost FROM v
   UNION ALL SELECT report_id, 'kakao', CAST(ROUND_EVEN(k, 0) AS DOUBLE) FROM v)
 SELECT report_id, media, cost, cost / NULLIF(SUM(cost) OVER (PARTITION BY report_id), 0) AS share FROM m"""
+
+QUERIES["stream_untimed_counts"] = with_(QUEUE_MESSAGES, DEAD) + """
+SELECT platform, COUNT(*) AS n FROM dead WHERE sent_ms IS NULL GROUP BY platform"""
