@@ -360,12 +360,11 @@ def stream_routes(spark, sf_dir):
 @register("stream_ingest")
 def stream_ingest(spark, sf_dir):
     landing = scratch_path(spark, "google_landing")
-    sinks.write_partitions(landed.google_day_documents(spark, sf_dir), f"{landing}/run=001",
-                           keys=("date",), fmt="json", dynamic=False)
-    sinks.write_partitions(landed.google_day_documents(spark, sf_dir, REWRITE_DAY), f"{landing}/run=002",
-                           keys=("date",), fmt="json", dynamic=False)
+    # run 001 lands every day; run 002 is a later rerun of one day
+    landed.google_day_documents(spark, sf_dir).drop("date").write.json(f"{landing}/run=001")
+    landed.google_day_documents(spark, sf_dir, REWRITE_DAY).drop("date").write.json(f"{landing}/run=002")
     table, ckpt = scratch_path(spark, "google_ad_performance"), scratch_path(spark, "ingest_ckpt")
-    streams.ingest_stream(spark, f"{landing}/run=*/date=*/", "google", table, ckpt,
+    streams.ingest_stream(spark, f"{landing}/run=*/", "google", table, ckpt,
                           customer_id=landed.CUSTOMER_ID).awaitTermination()
     t = readers.scan_table(spark, table, "google")
     return t.select("camp_name", "keyword_id", "keyword_text", "basic_date", "report_date", "adv_id",

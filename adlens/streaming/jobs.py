@@ -9,6 +9,7 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,7 +101,8 @@ def route_stream(messages: DataFrame, good: str, bad: str, checkpoint: str, avai
 
 def response_stream(spark: SparkSession, path: str, platform: str) -> DataFrame:
     schema = GOOGLE_RESPONSE if platform == "google" else KAKAO_RESPONSE
-    # an extract is the folder its files were landed in (run=.../date=...)
+    # an extract is identified by the folder its files were landed in
+    # (one folder per landing run, e.g. run=<id>/ or run=<id>/date=<day>/)
     return (spark.readStream.schema(schema).json(path)
                  .withColumn("_source", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")))
 
@@ -111,11 +113,12 @@ FILE_COLUMNS = ("_source",)
 def ingest_batch(batch: DataFrame, platform: str, table: str, customer_id: str | None = None) -> None:
     """ST1 body: a micro-batch of landed day extracts to the fact table.
 
-    One landed folder (``run=<id>/date=<day>``) is one complete extract of a
-    day, as one run of the reference fetches a whole day. When a batch holds
-    several extracts of the same day only the newest run is kept, so a rerun
-    replaces the day rather than doubling it; dynamic overwrite then
-    replaces exactly the days in the batch and leaves all others. The
+    A landing run (one folder, ``run=<id>/``, optionally split per day) holds
+    complete extracts of the days it contains, as one run of the reference
+    fetches a whole day. When a batch holds several runs for the same day
+    only the newest run (highest folder name) is kept, so a rerun replaces
+    the day rather than doubling it; dynamic overwrite then replaces exactly
+    the days in the batch and leaves all others. The
     newest extract per day comes from a small aggregate (one row per day)
     and a semi join, not from a window that would put a whole day in one
     task."""
@@ -123,10 +126,15 @@ def ingest_batch(batch: DataFrame, platform: str, table: str, customer_id: str |
         flat = flatten_google(batch, customer_id, keep=FILE_COLUMNS)
     else:
         flat = flatten_kakao(batch, keep=FILE_COLUMNS)
-    typed = type_batch(flat, platform, passthrough=FILE_COLUMNS)
-    newest = typed.groupBy("report_date").agg(F.max("_source").alias("_source"))
-    keep = typed.join(newest, on=["report_date", "_source"], how="left_semi").drop("_source", "report_date")
-    write_partitions(keep, table)
+    # the batch feeds two branches (newest extract per day, and the rows):
+    # keep it once instead of parsing the landed files twice
+    typed = type_batch(flat, platform, passthrough=FILE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        newest = typed.groupBy("report_date").agg(F.max("_source").alias("_source"))
+        keep = typed.join(newest, on=["report_date", "_source"], how="left_semi").drop("_source", "report_date")
+        write_partitions(keep, table)
+    finally:
+        typed.unpersist()
 
 
 def ingest_stream(spark: SparkSession, landing: str, platform: str, table: str, checkpoint: str,
