@@ -31,7 +31,14 @@ def enrich_with_master(fact: DataFrame, master: DataFrame, key: str = "kwd_id",
     match (deviation Q7)."""
     m = master.drop(*MASTER_DROP)
     if seq is not None:
-        m = latest_master(m, seq, key).drop(seq)
+        # The de-duplicated master is materialised in the shared checkpoint
+        # folder (a dimension-sized write). Read back, it reaches the join
+        # through its own shuffle stage, so AQE can split the fact partition
+        # of a keyword that holds a large share of the rows (a skew join
+        # cannot split when the keep-last aggregate feeds the join directly).
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(master.sparkSession)
+        m = latest_master(m, seq, key).drop(seq).checkpoint(eager=True)
     f = fact.withColumn(key, F.trim(F.col(key)))
     return f.join(m, on=key, how="left")
 

@@ -97,3 +97,25 @@ def test_batch_load_replaces_day_and_ignores_empty(spark, tmp_dir):
     rows = readers.scan_table(spark, table, "google").collect()
     assert [(r.impressions, r.basic_date, r.adv_id, r.camp_id, r.cost_micros, r.creation_id) for r in rows] == \
         [(9, "20240305", "12345", "7", 2500000.0, None)]
+
+
+def test_hot_day_is_split_across_writer_tasks(spark, tmp_dir):
+    """A day holding most rows is written by several tasks (AQE splits the
+    skewed rebalance partition), other days stay one file each."""
+    import glob
+    hot = spark.range(40000).select(F.concat(F.lit("k"), (F.col("id") % 97).cast("string")).alias("kwd_id"),
+                                    F.col("id").alias("imp"), F.lit(dt.date(2024, 3, 5)).alias("report_date"))
+    cold = spark.range(20).select(F.lit("c").alias("kwd_id"), F.col("id").alias("imp"),
+                                  F.date_add(F.lit(dt.date(2024, 4, 1)), F.col("id").cast("int")).alias("report_date"))
+    rows = hot.unionByName(cold)
+    rows = rows.select("kwd_id", "imp", *partition_keys("report_date"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        sinks.write_partitions(rows, tmp_dir)
+    finally:
+        spark.conf.set(key, before)
+    hot_files = glob.glob(f"{tmp_dir}/year=2024/month_p=03/day=05/*.parquet")
+    assert len(hot_files) > 1
+    assert readers.scan_table(spark, tmp_dir, "kakao").count() == 40020

@@ -143,3 +143,34 @@ def test_kakao_preaggregated_path_equals_row_path(spark):
     by_rows = agg.kakao_campaign_summary(rows, WEEK_START, WEEK_END, n=None).collect()
     by_keyword = kakao_top(facts, master, n=None).collect()
     assert sorted(map(tuple, by_rows), key=str) == sorted(map(tuple, by_keyword), key=str)
+
+
+def test_hot_key_left_join_is_split_by_aqe(spark):
+    """A keyword holding most fact rows: with the master too large to
+    broadcast, AQE splits the skewed join partition (results unchanged)."""
+    facts = spark.range(60000).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("kwd_id"),
+        F.col("id").alias("imp"))
+    master = spark.range(500).select(F.col("id").cast("string").alias("kwd_id"), F.lit("c").alias("camp_name"),
+                                     F.lit(1).alias("seq")).unionByName(
+        spark.range(1).select(F.lit("hot").alias("kwd_id"), F.lit("h").alias("camp_name"), F.lit(1).alias("seq")))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = enrich_with_master(facts, master, seq="seq")
+        got = dict(out.groupBy("camp_name").count().collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == {"h": 40000, "c": 20000}
+    assert "SortMergeJoin" in plan and "skew" in plan.lower()
