@@ -174,3 +174,17 @@ def test_hot_key_left_join_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
     assert got == {"h": 40000, "c": 20000}
     assert "SortMergeJoin" in plan and "skew" in plan.lower()
+
+
+def test_summary_sheet_blocks_agree(spark):
+    from adlens.catalog import AS_OF, _unified  # noqa: F401
+    from adlens.plans.weekly import WEEK_END, WEEK_START
+
+    from .conftest import SF
+    s = sheets.summary_sheet(_unified(spark, SF), WEEK_START, WEEK_END)
+    kpi = {r.metric: r.value for r in s["kpi"].collect()}
+    pie = {r.media: (r.cost, r.share) for r in s["media_share"].collect()}
+    assert kpi["google_cost"] == pie["google"][0] and kpi["kakao_cost"] == pie["kakao"][0]
+    assert kpi["total_cost"] == pie["google"][0] + pie["kakao"][0]
+    assert abs(pie["google"][1] + pie["kakao"][1] - 1.0) < 1e-12
+    assert 1 <= s["weeks"].count() <= 5
