@@ -10,9 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from .plans import weekly
+from pyspark.sql import functions as _F
+
+from .functions.dates import display_date, epoch_ms_text_to_time, in_range, partition_keys
+from .functions.ratios import count_sum, money_sum, round_half_up
+from .operators import aggregates as agg
+from .operators import documents, ingest, lookups
+from .operators.filters import dead_letter_platform, filter_report, route, search, split_valid
+from .operators.joins import enrich_with_master, latest_master
+from .operators.sets import unify_media
+from .plans import dashboard as dash
+from .plans import sheets, weekly
+from .plans.loads import bulk_load
+from .session import scratch_path
+from .sinks import tables as sinks
 from .sources import fixtures as fx
+from .sources import landed, readers
+from .streaming import jobs as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,11 +45,6 @@ def google_campaign_top10(spark, sf_dir):
 
 # ---- shared inputs ------------------------------------------------------
 
-from .operators import aggregates as agg  # noqa: E402
-from .operators.filters import filter_report, search  # noqa: E402
-from .operators.sets import unify_media  # noqa: E402
-from .plans import dashboard as dash  # noqa: E402
-from .plans import sheets  # noqa: E402
 
 W0, W1 = weekly.WEEK_START, weekly.WEEK_END
 MONTH = ("1998-03-01", "1998-03-31")
@@ -113,30 +122,21 @@ def dashboard_trend(spark, sf_dir):
 
 @register("report_filter")
 def report_filter(spark, sf_dir):
-    from pyspark.sql import functions as F
     f = filter_report(_unified(spark, sf_dir), media=["google"], start=W0, end=W1)
     return f.select("media", "report_date", "campaign", "keyword", "impressions", "clicks",
-                    F.col("cost").cast("double").alias("cost"), "conversions")
+                    _F.col("cost").cast("double").alias("cost"), "conversions")
 
 
 @register("detail_search")
 def detail_search(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from .functions.dates import in_range
-    from .functions.ratios import count_sum, round_half_up
     g = search(in_range(fx.google_ads(spark, sf_dir), W0, W1), "keyword_text", "Red")
-    return g.groupBy(F.col("keyword_text").alias("keyword")).agg(
+    return g.groupBy(_F.col("keyword_text").alias("keyword")).agg(
         count_sum("impressions").alias("impressions"), count_sum("clicks").alias("clicks"),
-        round_half_up(F.sum(F.col("cost_micros").cast("decimal(38,0)")) / F.lit(1000000), 0).alias("cost"))
+        round_half_up(_F.sum(_F.col("cost_micros").cast("decimal(38,0)")) / _F.lit(1000000), 0).alias("cost"))
 
 
 # ---- ingest typing, quarantine, routing, dead letters --------------------
 
-from pyspark.sql import functions as _F  # noqa: E402
-
-from .functions.dates import epoch_ms_text_to_time  # noqa: E402
-from .operators import ingest, lookups  # noqa: E402
-from .operators.filters import dead_letter_platform, route, split_valid  # noqa: E402
 
 TYPED_COLUMNS = ["kwd_id", "adv_id", "imp", "click", "spending", "basic_date", "report_date",
                  "year", "month_p", "day"]
@@ -191,10 +191,8 @@ def _items(spark, sf_dir):
 def _reports(spark, sf_dir):
     """Report items saved with SNK4 (append, expiry = created + 90 days),
     then read back from the saved table."""
-    from .sinks.tables import append_report
-    from .session import scratch_path as _scratch
-    path = _scratch(spark, "reports_table")
-    append_report(lookups.report_row(fx.report_items(spark, sf_dir)), path)
+    path = scratch_path(spark, "reports_table")
+    sinks.append_report(lookups.report_row(fx.report_items(spark, sf_dir)), path)
     return spark.read.parquet(path)
 
 
@@ -243,11 +241,6 @@ def active_reports(spark, sf_dir):
 
 # ---- sources and sinks: write, then read back ----------------------------
 
-from .functions.dates import partition_keys  # noqa: E402
-from .operators.joins import latest_master  # noqa: E402
-from .session import scratch_path  # noqa: E402
-from .sinks import tables as sinks  # noqa: E402
-from .sources import landed, readers  # noqa: E402
 
 KAKAO_TABLE_COLUMNS = ["kwd_id", "agroup_id", "adv_id", "basic_date", "imp", "click", "spending",
                        "conv_purchase_1d", "conv_purchase_7d"]
@@ -286,7 +279,6 @@ def rewrite_day(spark, sf_dir):
 
 @register("catalog_scan")
 def catalog_scan(spark, sf_dir):
-    from .functions.ratios import money_sum, round_half_up
     root = scratch_path(spark, "tables")
     sinks.write_partitions(_kakao_rows(spark, sf_dir), f"{root}/kakao")
     db = "ad_report"
@@ -333,8 +325,6 @@ def accounts(spark, sf_dir):
 
 # ---- streaming: run to completion (availableNow), read the sink ---------
 
-from .streaming import jobs as streams  # noqa: E402
-
 
 @register("stream_failed_counts")
 def stream_failed_counts(spark, sf_dir):
@@ -373,9 +363,6 @@ def stream_ingest(spark, sf_dir):
 
 # ---- report documents ----------------------------------------------------
 
-from .functions.dates import display_date  # noqa: E402
-from .operators import documents  # noqa: E402
-
 
 def _report_docs(spark, sf_dir):
     path = scratch_path(spark, "reports")
@@ -429,7 +416,6 @@ def weekly_report(spark, sf_dir):
 def row_counts(spark, sf_dir):
     """AG15: rows per ingest stage (read, valid, quarantined, enriched) as
     one frame of counts (each an aggregate that combines map-side)."""
-    from .operators.joins import enrich_with_master
     raw = fx.raw_extract(spark, sf_dir)
     typed = ingest.type_bulk(raw, "kakao")
     good, bad = split_valid(typed)
@@ -483,7 +469,6 @@ def bulk_load_kakao(spark, sf_dir):
     """The bulk path end to end: keyword CSV (UTF-8) and master CSV (MS949)
     -> typing (half-even integers, dashed dates) -> latest master per
     keyword (left join) -> table by day; undated rows quarantined."""
-    from .plans.loads import bulk_load
     kw_path, m_path = scratch_path(spark, "kakao_keyword_csv"), scratch_path(spark, "kakao_master_csv")
     landed.keyword_extract(spark, sf_dir).write.option("header", True).csv(kw_path)
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
