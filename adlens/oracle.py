@@ -527,7 +527,10 @@ parts AS (
   UNION ALL
   SELECT 'kakao_total', camp_name, impressions, clicks, ctr, cost, conversions_7d, NULL, NULL,
          conversions_1d, conversions_7d FROM k WHERE gg = 1)
-SELECT *, DATE '1998-03-02' AS period_start, DATE '1998-03-08' AS period_end FROM parts"""
+SELECT *, DATE '1998-03-02' AS period_start, DATE '1998-03-08' AS period_end,
+       strftime(DATE '1998-03-02', '%Y년 %m월 %d일') AS period_start_text,
+       strftime(DATE '1998-03-08', '%Y년 %m월 %d일') AS period_end_text
+FROM parts"""
 
 QUERIES["row_counts"] = with_(RAW, KAKAO_FACTS, KAKAO_MASTER) + """
 SELECT 'read' AS stage, COUNT(*) AS rows FROM raw

@@ -69,7 +69,7 @@ def weekly_report(google: DataFrame, kakao_facts: DataFrame, master: DataFrame,
     top-n campaigns and the overall totals of each media, with the period.
     One scan per fact table."""
     from pyspark.sql import functions as F
-    from ..functions.dates import in_range
+    from ..functions.dates import display_date, in_range
     start, end = last_week(as_of, tz)
     gc = in_range(google, start, end).groupBy("camp_name").agg(*agg.raw_sums("google"))
     g = (_top_and_total(gc, "google", "conversions_value", n)
@@ -85,4 +85,6 @@ def weekly_report(google: DataFrame, kakao_facts: DataFrame, master: DataFrame,
     cols = ["section", "camp_name", "impressions", "clicks", "ctr", "cost", "conversions", "conversions_value",
             "cost_per_conversion", "conversions_1d", "conversions_7d"]
     out = g.select(*cols).unionByName(k.select(*cols))
-    return out.withColumn("period_start", start).withColumn("period_end", end)
+    return (out.withColumn("period_start", start).withColumn("period_end", end)
+               .withColumn("period_start_text", display_date(start))
+               .withColumn("period_end_text", display_date(end)))

@@ -39,9 +39,13 @@ def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
 
 
 def create_tables(spark: SparkSession, root: str, database: str = "ad_report",
-                  drop_first: bool = False, platforms=("google", "kakao")) -> list[str]:
-    """SNK3: external tables with the fixed schema over ``root/{platform}``."""
+                  drop_first: bool = False, platforms=("google", "kakao"),
+                  obsolete: tuple[str, ...] = ()) -> list[str]:
+    """SNK3: external tables with the fixed schema over ``root/{platform}``;
+    tables named in ``obsolete`` are dropped."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in obsolete:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     names = []
     for p in platforms:
         name = f"{database}.{p}_ad_performance"
