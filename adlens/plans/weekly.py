@@ -1,10 +1,12 @@
-"""Weekly report inputs (RB9) and the pieces the driver checks one by one."""
+"""Weekly report (RB9): top campaigns and totals of each media for the
+week before an as-of instant, plus the single-table pieces (AG1, AG2)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.dates import DEFAULT_TZ, last_week
+from ..functions.dates import DEFAULT_TZ, display_date, in_range, last_week
 from ..operators import aggregates as agg
 from ..operators.joins import latest_master
 from ..operators.topk import top_n
@@ -32,30 +34,11 @@ def kakao_top(facts: DataFrame, master: DataFrame, start=WEEK_START, end=WEEK_EN
     return top_n(camp, "cost", tie="camp_name", n=n)
 
 
-def weekly_report_inputs(google: DataFrame, kakao_facts: DataFrame, master: DataFrame,
-                         as_of, tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
-    """RB9: period, overall by media and the two top-10 tables for the week
-    before ``as_of`` (in ``tz``; Q2)."""
-    start, end = last_week(as_of, tz)
-    period = google.sparkSession.range(1).select(start.alias("period_start"), end.alias("period_end"))
-    kakao_rows = kakao_facts  # overall uses keyword facts; no master needed
-    return {
-        "period": period,
-        "overall": agg.overall_by_media(google, kakao_rows, start, end),
-        "google_top": google_top(google, start, end),
-        "kakao_top": kakao_top(kakao_facts, master, start, end),
-    }
-
-
-__all__ = ["google_top", "kakao_top", "weekly_report_inputs", "WEEK_START", "WEEK_END"]
-
-
 def _top_and_total(per_camp: DataFrame, platform: str, order: str, n: int) -> DataFrame:
     """Top-n campaigns and the total row from one per-campaign aggregate of
     raw sums. Both branches read the same aggregate, so Spark reuses its
     shuffle and the facts are scanned once; the total is a sum over the
     (small) campaign rows, exact because the raw sums are exact."""
-    from pyspark.sql import functions as F
     top = top_n(agg.finalize(per_camp, platform, ["camp_name"]), order, tie="camp_name", n=n)
     total = agg.finalize(per_camp.agg(*agg.sum_again(platform)).withColumn("camp_name", F.lit(None).cast("string")),
                          platform, ["camp_name"])
@@ -68,8 +51,6 @@ def weekly_report(google: DataFrame, kakao_facts: DataFrame, master: DataFrame,
     """RB9 in one result: for the week before ``as_of`` (in ``tz``), the
     top-n campaigns and the overall totals of each media, with the period.
     One scan per fact table."""
-    from pyspark.sql import functions as F
-    from ..functions.dates import display_date, in_range
     start, end = last_week(as_of, tz)
     gc = in_range(google, start, end).groupBy("camp_name").agg(*agg.raw_sums("google"))
     g = (_top_and_total(gc, "google", "conversions_value", n)
@@ -88,3 +69,6 @@ def weekly_report(google: DataFrame, kakao_facts: DataFrame, master: DataFrame,
     return (out.withColumn("period_start", start).withColumn("period_end", end)
                .withColumn("period_start_text", display_date(start))
                .withColumn("period_end_text", display_date(end)))
+
+
+__all__ = ["google_top", "kakao_top", "weekly_report", "WEEK_START", "WEEK_END"]
