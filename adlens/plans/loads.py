@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import observed
 from ..operators.filters import split_valid
 from ..operators.ingest import type_batch, type_bulk
 from ..operators.joins import enrich_with_master
@@ -16,11 +17,17 @@ from ..sources.readers import (explode_accounts, flatten_google, flatten_kakao,
 
 def bulk_load(spark: SparkSession, platform: str, keyword_path: str, table: str,
               quarantine: str | None = None, master_path: str | None = None,
-              master_seq: str | None = "seq", sep: str = ",") -> dict[str, DataFrame]:
+              master_seq: str | None = "seq", sep: str = ",") -> dict:
     """CSV extract (all text) -> typed rows (-> master enrichment for kakao)
     -> rows with a date to the table (dynamic overwrite of their days), rows
-    without one to ``quarantine`` (Q6). Returns the written frames."""
-    facts = type_bulk(read_csv_text(spark, keyword_path, sep), platform)
+    without one to ``quarantine`` (Q6).
+
+    Row counts per stage (AG15: read, enriched, written, quarantined) are
+    observed metrics filled in by the writes themselves, so no extra count
+    job runs; ``result["counts"]()`` returns them after the call."""
+    read, obs = observed(read_csv_text(spark, keyword_path, sep), "read")
+    observations = {"read": obs}
+    facts = type_bulk(read, platform)
     if master_path is not None:
         master = read_csv_text(spark, master_path, sep)
         if master_seq and master_seq in master.columns:
@@ -28,11 +35,15 @@ def bulk_load(spark: SparkSession, platform: str, keyword_path: str, table: str,
             facts = enrich_with_master(facts, master, seq=master_seq)
         else:
             facts = enrich_with_master(facts, master)
+        facts, observations["enriched"] = observed(facts, "enriched")
     good, bad = split_valid(facts)
+    good, observations["written"] = observed(good, "written")
     write_partitions(good.drop("report_date"), table)
     if quarantine is not None:
+        bad, observations["quarantined"] = observed(bad, "quarantined")
         bad.write.mode("append").parquet(quarantine)
-    return {"good": good, "quarantine": bad}
+    return {"good": good, "quarantine": bad,
+            "counts": lambda: {k: o.get["rows"] for k, o in observations.items()}}
 
 
 def batch_load(spark: SparkSession, platform: str, docs_path: str, table: str, date: str | None = None,

@@ -119,3 +119,19 @@ def test_hot_day_is_split_across_writer_tasks(spark, tmp_dir):
     hot_files = glob.glob(f"{tmp_dir}/year=2024/month_p=03/day=05/*.parquet")
     assert len(hot_files) > 1
     assert readers.scan_table(spark, tmp_dir, "kakao").count() == 40020
+
+
+def test_bulk_load_counts_stages_without_extra_jobs(spark, tmp_dir):
+    import os
+    from adlens.plans.loads import bulk_load
+    os.makedirs(f"{tmp_dir}/kw", exist_ok=True)
+    os.makedirs(f"{tmp_dir}/m", exist_ok=True)
+    with open(f"{tmp_dir}/kw/a.csv", "w") as f:
+        f.write("kwd_id,imp,basic_date\n1,2.5,20240305\n2,3.5,2024-03-06\n3,x,bad\n1,1,20240305\n")
+    with open(f"{tmp_dir}/m/a.csv", "w") as f:
+        f.write("kwd_id,camp_name,seq\n1,old,1\n1,new,2\n")
+    res = bulk_load(spark, "kakao", f"{tmp_dir}/kw", f"{tmp_dir}/t", f"{tmp_dir}/q", master_path=f"{tmp_dir}/m")
+    assert res["counts"]() == {"read": 4, "enriched": 4, "written": 3, "quarantined": 1}
+    rows = sorted((r.kwd_id, r.imp, r.camp_name, r.basic_date) for r in readers.scan_table(
+        spark, f"{tmp_dir}/t", "kakao").collect())
+    assert rows == [("1", 1, "new", "2024-03-05"), ("1", 2, "new", "2024-03-05"), ("2", 4, None, "2024-03-06")]
