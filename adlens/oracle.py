@@ -657,3 +657,5 @@ SELECT report_id, media, cost, cost / NULLIF(SUM(cost) OVER (PARTITION BY report
 
 QUERIES["stream_untimed_counts"] = with_(QUEUE_MESSAGES, DEAD) + """
 SELECT platform, COUNT(*) AS n FROM dead WHERE sent_ms IS NULL GROUP BY platform"""
+
+QUERIES["dashboard_cached"] = QUERIES["dashboard"]

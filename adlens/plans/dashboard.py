@@ -45,3 +45,18 @@ def conversion_trend(unified: DataFrame, as_of, tz: str = DEFAULT_TZ, days: int
                  .select("report_date",
                          F.coalesce(F.col("conversions"), F.lit(0).cast("bigint")).alias("conversions"),
                          F.coalesce(F.col("cost"), F.lit(0.0)).alias("cost")))
+
+
+def cached_dashboard(spark, unified_fn, as_of, root: str, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Dashboard figures materialised per as-of hour under ``root`` (a shared
+    folder): the first request in an hour computes and writes them, later
+    ones read the saved table. ``unified_fn()`` builds the input only when
+    needed. Expiry of old hours is left to the storage lifecycle."""
+    from pyspark.errors import AnalysisException
+    hour = str(as_of)[:13].replace("-", "").replace(" ", "").replace("T", "")
+    path = f"{root.rstrip('/')}/as_of_hour={hour}"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        dashboard_media(unified_fn(), as_of, tz).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)

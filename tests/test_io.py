@@ -135,3 +135,20 @@ def test_bulk_load_counts_stages_without_extra_jobs(spark, tmp_dir):
     rows = sorted((r.kwd_id, r.imp, r.camp_name, r.basic_date) for r in readers.scan_table(
         spark, f"{tmp_dir}/t", "kakao").collect())
     assert rows == [("1", 1, "new", "2024-03-05"), ("1", 2, "new", "2024-03-05"), ("2", 4, None, "2024-03-06")]
+
+
+def test_cached_dashboard_reuses_the_hour(spark, tmp_dir):
+    from adlens.catalog import _unified
+    from adlens.plans.dashboard import cached_dashboard
+
+    from .conftest import SF
+    builds = []
+
+    def unified():
+        builds.append(1)
+        return _unified(spark, SF)
+    first = sorted(map(tuple, cached_dashboard(spark, unified, "1998-03-10 00:00:00", tmp_dir).collect()))
+    second = sorted(map(tuple, cached_dashboard(spark, unified, "1998-03-10 00:30:00", tmp_dir).collect()))
+    assert first == second and len(builds) == 1
+    cached_dashboard(spark, unified, "1998-03-10 01:00:00", tmp_dir).collect()
+    assert len(builds) == 2

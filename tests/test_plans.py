@@ -11,7 +11,7 @@ WRITE_QUERIES = {"parquet_roundtrip", "rewrite_day", "catalog_scan", "csv_roundt
                  "accounts", "stream_failed_counts", "stream_routes", "stream_ingest", "report_datasets",
                  "report_texts", "report_pie", "report_titles", "sheets_roundtrip", "doc_kpi",
                  "doc_week_of_month", "doc_daily_sheet", "google_top10_from_table", "bulk_load_kakao",
-                 "active_reports", "reports_by_month", "conversations_with_report", "stream_untimed_counts"}
+                 "active_reports", "reports_by_month", "conversations_with_report", "stream_untimed_counts", "dashboard_cached"}
 
 
 def plan_of(df):
