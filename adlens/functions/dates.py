@@ -43,9 +43,10 @@ def dashed_date_text(col) -> Column:
 def partition_keys(date_col) -> list[Column]:
     """year / month_p / day partition strings, zero padded."""
     d = _c(date_col)
-    return [F.date_format(d, "yyyy").alias("year"),
-            F.date_format(d, "MM").alias("month_p"),
-            F.date_format(d, "dd").alias("day")]
+    # integer parts padded with zeros: same strings as date_format, cheaper
+    return [F.lpad(F.year(d).cast("string"), 4, "0").alias("year"),
+            F.lpad(F.month(d).cast("string"), 2, "0").alias("month_p"),
+            F.lpad(F.dayofmonth(d).cast("string"), 2, "0").alias("day")]
 
 
 def partition_date(prefix: str = "") -> Column:
