@@ -6,13 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import host_rules, shard_tree
+from adlens.session import scratch_path
+
+from . import bpe_tree, host_rules, rank_order, shard_tree, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the files lie outside this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    out = rank_order.held_out(3, 1)
+    profiles = rank_order.learn(docs.where(~out))
+    rows = rank_order.identify(docs.select("doc_id", "text"), profiles)
+    return rows.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = host_rules.apply_host_rules(documents(spark, sf_dir))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -23,7 +40,20 @@ def op7_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.shard_documents(documents(spark, sf_dir), shard_tree.tree(2, 2, 2))
 
 
+def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_tree.digests(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
+def op9_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    counted = token_cache.count_tokens(docs, vocabulary("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_rank_order": op5_rank_order,
     "op6_host_rules": op6_host_rules,
     "op7_shard_tree": op7_shard_tree,
+    "op8_bpe_tree": op8_bpe_tree,
+    "op9_token_cache": op9_token_cache,
 }
