@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adlens.session import scratch_path
 
-from . import bpe_tree, host_rules, rank_order, shard_tree, token_cache
+from . import bpe_tree, host_rules, ngram_join, rank_order, shard_tree, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ngram_join.join(documents(spark, sf_dir), k=4, percent=85)
+    return rows.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = rank_order.held_out(3, 1)
@@ -51,6 +56,7 @@ def op9_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op5_rank_order": op5_rank_order,
     "op6_host_rules": op6_host_rules,
     "op7_shard_tree": op7_shard_tree,
