@@ -233,7 +233,7 @@ def tokenizer(path: str) -> Tokenizer:
     return _tokenizers[path]
 
 
-PIECES = T.StructType([T.StructField("rid", T.LongType()), T.StructField("seg", T.IntegerType()),
+PIECES = T.StructType([T.StructField("rid", T.BinaryType()), T.StructField("seg", T.IntegerType()),
                        T.StructField("k", T.IntegerType()), T.StructField("special", T.StringType()),
                        T.StructField("piece", T.StringType())])
 CODED = T.StructType([*PIECES.fields, T.StructField("ids", T.BinaryType()), T.StructField("at", T.BinaryType())])
@@ -264,8 +264,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", piece: int = PIECE, i
 
     done = rows.where(~long).mapInArrow(short, schema)
 
-    # The row number is fixed by the order of rows within the scan's partitions.
-    numbered = rows.where(long).withColumn("_rid", F.monotonically_increasing_id())
+    # A text is known by its digest, so copies and repeated rows share one encoding.
+    numbered = rows.where(long).withColumn("_rid", F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
 
     def cuts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
@@ -300,8 +300,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", piece: int = PIECE, i
                              **({} if ids_only else {"decoded": [tok.decode(ids).decode()]})})
 
     pieces = numbered.select("_rid", body.alias("t")).mapInArrow(cuts, PIECES)
-    coded = pieces.repartition(F.col("rid"), F.col("seg"), F.col("k")).mapInArrow(leaves, CODED)
-    more = T.StructType([T.StructField("_rid", T.LongType()), *schema.fields[len(keep):]])
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work, not bytes, is to be dealt out
+    coded = pieces.dropDuplicates(["rid", "seg", "k"]).repartition(parts, "rid", "seg", "k").mapInArrow(leaves, CODED)
+    more = T.StructType([T.StructField("_rid", T.BinaryType()), *schema.fields[len(keep):]])
     joined = coded.groupBy("rid").applyInPandas(together, more)
     return done.unionByName(numbered.join(joined, "_rid").drop("_rid").select(*schema.names))
 

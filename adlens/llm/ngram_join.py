@@ -182,7 +182,10 @@ def trie_links(docs: DataFrame, sk: DataFrame, met: DataFrame, k: int, percent:
     cells = (place.withColumn("o", other)
              .select("short", "block", "chunk", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"))
              .distinct())
-    return full.join(cells, "short").groupBy("block", "i", "j").applyInPandas(_cell(percent), CELL)
+    # A group's work does not show in its bytes: keep Spark from packing groups into few tasks by size.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (full.join(cells, "short").repartition(parts, "block", "i", "j")
+            .groupBy("block", "i", "j").applyInPandas(_cell(percent), CELL))
 
 
 def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", text: str = "text",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlens.session import scratch_path
 
-from . import bpe_tree, host_rules, ngram_join, rank_order, shard_tree, token_cache
+from . import (bpe_tree, conv_text, host_rules, ngram_join, ordinal, rank_order, shard_tree, surrogates, tiling,
+               token_cache)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,27 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+#: Production jobs take the key from their secret store; results under one key agree.
+SURROGATE_KEY = "corpus-key-1"
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(documents(spark, sf_dir).select("doc_id", "text"), SURROGATE_KEY)
+
+
+def op3_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return tiling.contaminated(documents(spark, sf_dir), tests).drop("row_key")
+
+
+def op4_conv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = rank_order.held_out(4, 2)
+    model = conv_text.train(docs.where(~out), labels.where(~out))
+    return conv_text.classify(docs.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = rank_order.held_out(3, 1)
@@ -55,11 +78,28 @@ def op9_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def grades(labels: DataFrame) -> DataFrame:
+    """Ratings 0..3 from the two labels: good quality counts 2, not toxic 1."""
+    grade: Column = 2 * F.col("quality") + (1 - F.col("toxic"))
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op10_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = ordinal.train(docs, grades(labels))
+    return ordinal.score(docs.select("doc_id", "text"), model, wanted=2).select(
+        "doc_id", "expected_grade", "tail_probability", "selected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_surrogates": op2_surrogates,
+    "op3_tiling": op3_tiling,
+    "op4_conv_text": op4_conv_text,
     "op5_rank_order": op5_rank_order,
     "op6_host_rules": op6_host_rules,
     "op7_shard_tree": op7_shard_tree,
     "op8_bpe_tree": op8_bpe_tree,
     "op9_token_cache": op9_token_cache,
+    "op10_ordinal": op10_ordinal,
 }

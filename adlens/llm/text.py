@@ -69,13 +69,13 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, off: np.ndarray, apart: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first word of each text + total) for texts given by ``off`` into ``data``."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(off), np.int64)
-    word = ~_SEP[data]
+    word = ~apart[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[off[off <= n]] = True
     st = word.copy()
@@ -86,20 +86,28 @@ def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, off)
 
 
-def hash_words(data: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word, first word of each text + total)."""
-    starts, ends, first = word_spans(data, off)
+def hash_words(data: np.ndarray, off: np.ndarray, apart: np.ndarray = _SEP,
+               most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, first word of each text + total).
+
+    ``apart`` marks the bytes between words; ``most`` hashes only the first
+    bytes of each word.
+    """
+    starts, ends, first = word_spans(data, off, apart)
     if not len(starts):
         return np.zeros(0, np.uint64), first
-    val = _BYTE[_LOWER[data] if lower else data]
-    val[_SEP[data]] = 0
+    val = _BYTE[_LOWER[data]]
+    val[apart[data]] = 0
     val = val[:ends[-1]]
     lens = np.diff(np.append(starts, ends[-1]))
     pos = np.arange(starts[0], ends[-1]) - np.repeat(starts, lens)
     with np.errstate(over="ignore"):
         val = val[starts[0]:] * _powers(int(lens.max()))[pos]
+        if most is not None:
+            val[pos >= most] = 0
         h = np.add.reduceat(val, starts - starts[0])
-        return mix(h + (ends - starts).astype(np.uint64)), first
+        size = ends - starts if most is None else np.minimum(ends - starts, most)
+        return mix(h + size.astype(np.uint64)), first
 
 
 def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
