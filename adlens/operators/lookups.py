@@ -10,6 +10,10 @@ from .filters import search
 from .windows import last_per_key, position_within
 
 
+#: Sequence numbers in one numbering bucket of a list.
+SEQ_RANGE = 10_000
+
+
 def conversation_items(messages: DataFrame, user_of=None) -> DataFrame:
     """Conversation items from their messages: title = the first user
     message, message count, and the last sequence as the update order."""
@@ -27,14 +31,16 @@ def conversations_of(items: DataFrame, user: str | None = None) -> DataFrame:
     """LK1: a user's conversations, newest first (``position`` 1 = newest);
     without ``user``, every user's list at once."""
     f = items if user is None else items.filter(F.col("user_id") == user)
-    return position_within(f, ["user_id"], [F.col("last_seq").desc(), F.col("conversation_id").asc()])
+    return position_within(f, ["user_id"], [F.col("last_seq").desc(), F.col("conversation_id").asc()],
+                           -F.floor(F.col("last_seq") / SEQ_RANGE))
 
 
 def messages_of(messages: DataFrame, conversation: str | None = None) -> DataFrame:
     """LK2: messages of a conversation in time order (``position`` from 1);
     without ``conversation``, every conversation at once."""
     f = messages if conversation is None else messages.filter(F.col("conversation_id") == conversation)
-    return position_within(f, ["conversation_id"], [F.col("seq").asc(), F.col("message_id").asc()])
+    return position_within(f, ["conversation_id"], [F.col("seq").asc(), F.col("message_id").asc()],
+                           F.floor(F.col("seq") / SEQ_RANGE))
 
 
 def latest_message(messages: DataFrame) -> DataFrame:
@@ -68,7 +74,8 @@ def active_reports(reports: DataFrame, as_of, user: str | None = None) -> DataFr
     f = reports.filter(F.col("expires_at") > t)
     if user is not None:
         f = f.filter(F.col("user_id") == user)
-    return position_within(f, ["user_id"], [F.col("expires_at").asc(), F.col("report_id").asc()])
+    return position_within(f, ["user_id"], [F.col("expires_at").asc(), F.col("report_id").asc()],
+                           F.col("expires_at").cast("date"))
 
 
 def report_row(df: DataFrame, days: int = 90) -> DataFrame:

@@ -32,25 +32,28 @@ def last_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
               .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in [seq] + rest]))
 
 
-def position_within(df: DataFrame, keys: list[str], order: list, out: str = "position") -> DataFrame:
+def position_within(df: DataFrame, keys: list[str], order: list, bucket, out: str = "position") -> DataFrame:
     """Row position (1, 2, ...) within each key in the given order, without
     putting a whole key into one task.
 
-    The rows are range-partitioned on (keys, order), so a key that holds a
-    large share of the rows spans several tasks. Each task numbers its rows
-    in sorted order; a small table with one row per (task, key) gives, by a
-    running sum over tasks, the count of the same key in earlier tasks,
-    which is added as an offset. ``order`` must make rows of a key distinct
-    (add a unique column as the last key), so recomputation after a lost
-    executor numbers rows the same way."""
+    ``bucket`` is a column that never falls while ``order`` goes on (a range
+    of its first column, such as ``seq div 1000`` or a day). Rows are numbered
+    within (key, bucket) and shifted by the number of the key's rows in
+    earlier buckets: a running sum over one pre-aggregated row per (key,
+    bucket). Both depend on the rows' values alone, not on where they lie, so
+    a recomputation after a lost executor numbers them the same way. NULL
+    keys are a key of their own. Choose buckets so that one holds what a task
+    can sort."""
     ordered = [o if not isinstance(o, str) else F.col(o) for o in order]
-    sort_cols = [F.col(k) for k in keys] + ordered
-    s = (df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_rid", F.monotonically_increasing_id()))
-    blocks = s.groupBy("_pid", *keys).agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    j = s.join(blocks, on=["_pid", *keys], how="inner")
-    return (j.withColumn(out, F.col("_rid") - F.col("_first") + F.col("_off") + 1)
-             .drop("_pid", "_rid", "_first", "_n", "_off"))
+    rows = df.withColumn("_bucket", bucket if not isinstance(bucket, str) else F.col(bucket))
+    sizes = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bucket").alias("_b"),
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    same = F.col("_bucket").eqNullSafe(F.col("_b"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    within = Window.partitionBy(*keys, "_bucket").orderBy(*ordered)
+    numbered = rows.withColumn("_row", F.row_number().over(within))
+    return (numbered.join(starts, same, "left").withColumn(out, F.col("_start") + F.col("_row"))
+                    .select(*[c for c in df.columns if c != out], out))
