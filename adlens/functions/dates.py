@@ -103,10 +103,11 @@ def on_day(df: DataFrame, day, col: str = "report_date") -> DataFrame:
 
 
 def week_of_month_label(date_text) -> Column:
-    """SC7: ``M월 N주차`` from ``yyyy-MM-dd`` text with week = (day-1) div 7 + 1;
-    unreadable text is kept as the label; empty or missing text is ``기타``."""
+    """SC7: ``M월 N주차`` from ``yyyy-M-d`` text (padded or not) with week =
+    (day-1) div 7 + 1; unreadable text is kept as the label; empty or missing
+    text is ``기타``."""
     t = _c(date_text).cast("string")
-    d = F.try_to_date(t, "yyyy-MM-dd")
+    d = F.try_to_date(t, "yyyy-M-d")
     wk = F.floor((F.dayofmonth(d) - 1) / 7) + 1
     label = F.concat(F.month(d).cast("string"), F.lit(WEEK_MONTH_SUFFIX),
                      wk.cast("string"), F.lit(WEEK_SUFFIX))
@@ -116,12 +117,16 @@ def week_of_month_label(date_text) -> Column:
 
 
 def display_date(col) -> Column:
-    """SC9: ``YYYY년 MM월 DD일`` from an ISO timestamp text or a date;
-    text that does not parse falls back to its first 10 characters."""
-    c = _c(col)
-    ts = F.try_to_timestamp(c.cast("string"))
-    return F.coalesce(F.date_format(ts, DISPLAY_DATE_PATTERN),
-                      F.substring(c.cast("string"), 1, 10))
+    """SC9: ``YYYY년 MM월 DD일`` from an ISO timestamp text or a date: the
+    wall-clock date that the text shows, whatever its UTC offset and the
+    session time zone; text that does not parse falls back to its first 10
+    characters."""
+    c = _c(col).cast("string")
+    # the offset names another clock, not another written date
+    wall = F.regexp_replace(F.trim(c), r"(\d)\s*(Z|z|[+-]\d{2}:?(\d{2})?)$", "$1")
+    wall = F.when(F.trim(c).rlike(r"\d[T ]\d"), wall).otherwise(F.trim(c))
+    return F.coalesce(F.date_format(wall.try_cast("timestamp_ntz"), DISPLAY_DATE_PATTERN),
+                      F.substring(c, 1, 10))
 
 
 def epoch_ms_text_to_time(col, tz: str = "UTC",

@@ -30,9 +30,10 @@ def _numeric(platform: str):
 
 def type_bulk(df: DataFrame, platform: str, date_col: str | None = None) -> DataFrame:
     """Bulk CSV typing. Only columns present are typed (PF8); the date
-    source is ``date`` for google and ``basic_date`` for kakao."""
+    source is ``basic_date``, which the reports filter on (google extracts
+    without one: ``date``)."""
     longs, doubles = _numeric(platform)
-    date_col = date_col or ("date" if platform == "google" else "basic_date")
+    date_col = date_col or ("basic_date" if "basic_date" in df.columns or platform == "kakao" else "date")
     out = []
     for c in df.columns:
         if c in longs:

@@ -8,7 +8,7 @@ a sort-merge join, and AQE splits skewed partitions of the fact side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .windows import last_per_key
@@ -24,21 +24,27 @@ def latest_master(master: DataFrame, seq: str = "seq", key: str = "kwd_id") -> D
     return last_per_key(m, [key], seq)
 
 
+def file_order(df: DataFrame) -> Column:
+    """Place of a row in its files: path, start of the file's split, place in
+    the split. Apply to the frame that reads the files, before any shuffle;
+    a split is read in order by one task, so the place grows with the row."""
+    meta = df["_metadata"]
+    return F.struct(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def enrich_with_master(fact: DataFrame, master: DataFrame, key: str = "kwd_id",
                        seq: str | None = None) -> DataFrame:
     """JN1: left join of keyword facts to the de-duplicated master, without
     the master's ``adv_id``, ``basic_date``, ``agroup_id``. NULL keys do not
-    match (deviation Q7)."""
+    match (deviation Q7).
+
+    With ``seq`` the master is de-duplicated here; without it the caller says
+    that ``master`` holds one row per key already (``latest_master``, best
+    written to a table first: a join between tables lets AQE split the fact
+    partition of a keyword that holds a large share of the rows)."""
     m = master.drop(*MASTER_DROP)
-    if seq is not None:
-        # The de-duplicated master is materialised in the shared checkpoint
-        # folder (a dimension-sized write). Read back, it reaches the join
-        # through its own shuffle stage, so AQE can split the fact partition
-        # of a keyword that holds a large share of the rows (a skew join
-        # cannot split when the keep-last aggregate feeds the join directly).
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(master.sparkSession)
-        m = latest_master(m, seq, key).drop(seq).checkpoint(eager=True)
+    m = latest_master(m, seq, key).drop(seq) if seq is not None else m.withColumn(key, F.trim(F.col(key)))
     f = fact.withColumn(key, F.trim(F.col(key)))
     return f.join(m, on=key, how="left")
 

@@ -36,7 +36,8 @@ def _struct(strings, longs, doubles, partitions=True) -> T.StructType:
     f = ([T.StructField(c, S) for c in strings] + [T.StructField(c, L) for c in longs]
          + [T.StructField(c, D) for c in doubles])
     if partitions:
-        f += [T.StructField(c, S) for c in PARTITION_COLUMNS]
+        # ours: the one date of a row, which its partition is made from
+        f += [T.StructField("report_date", T.DateType())] + [T.StructField(c, S) for c in PARTITION_COLUMNS]
     return T.StructType(f)
 
 

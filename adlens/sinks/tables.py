@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import PARTITION_COLUMNS, TABLES
+from ..session import isolated
 
 
 def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
@@ -17,25 +20,24 @@ def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
 
     The rows are rebalanced on the partition keys: AQE packs small days into
     one file and splits a day holding a large share of the rows across
-    several tasks; ``maxRecordsPerFile`` bounds file size. Coalescing of
-    the rebalanced partitions is switched off for the write: each day is
-    placed whole in one of ``spark.sql.shuffle.partitions`` tasks anyway, so
-    merging partitions would only serialise the file writes."""
+    several tasks; ``maxRecordsPerFile`` bounds file size. The write runs in a
+    session of its own with coalescing off: each day lies whole in one of the
+    tasks anyway, and merging them would only put file writes in a row."""
     spark = df.sparkSession
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
+    own = isolated(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    view = f"adlens_write_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
     try:
-        w = (df.hint("rebalance", *keys).write
-               .mode("overwrite" if dynamic else "errorifexists")
-               .option("partitionOverwriteMode", "dynamic")
-               .option("maxRecordsPerFile", max_records_per_file)
-               .partitionBy(*keys))
+        w = (own.table(f"global_temp.{view}").hint("rebalance", *keys).write
+             .mode("overwrite" if dynamic else "errorifexists")
+             .option("partitionOverwriteMode", "dynamic")
+             .option("maxRecordsPerFile", max_records_per_file)
+             .partitionBy(*keys))
         if fmt == "parquet":
             w = w.option("compression", "snappy")
         w.format(fmt).save(path)
     finally:
-        spark.conf.set(key, before)
+        spark.catalog.dropGlobalTempView(view)
 
 
 def create_tables(spark: SparkSession, root: str, database: str = "ad_report",
@@ -43,7 +45,7 @@ def create_tables(spark: SparkSession, root: str, database: str = "ad_report",
                   obsolete: tuple[str, ...] = ()) -> list[str]:
     """SNK3: external tables with the fixed schema over ``root/{platform}``;
     tables named in ``obsolete`` are dropped."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_database'")
     for name in obsolete:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     names = []
@@ -59,10 +61,18 @@ def create_tables(spark: SparkSession, root: str, database: str = "ad_report",
     return names
 
 
-def register_partitions(spark: SparkSession, table: str) -> None:
+def register_partitions(spark: SparkSession, table: str, days: DataFrame | None = None) -> None:
     """SNK2: register partition folders written outside the catalog;
-    existing ones are kept."""
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    existing ones are kept. ``days`` (year, month_p, day of the rows just
+    written: one row a day) names the folders to add; without it all folders
+    of the table are listed."""
+    if days is None:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        return
+    parts = [f"PARTITION (year='{r[0]}', month_p='{r[1]}', day='{r[2]}')"
+             for r in days.select(*PARTITION_COLUMNS).distinct().collect()]
+    for i in range(0, len(parts), 500):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(parts[i:i + 500]))
 
 
 def append_report(df: DataFrame, path: str) -> None:

@@ -3,46 +3,76 @@ tables, SQL, and report documents. Schemas are always explicit."""
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import double_or_zero, long_trunc_or_zero, text_or_empty
-from ..functions.dates import in_range, parse_report_date
+from ..functions.dates import in_range
+from ..operators.joins import file_order
+from ..session import existing, isolated, scratch_path
 from ..schemas import ACCOUNT_LIST, GOOGLE_RESPONSE, KAKAO_RESPONSE, REPORT_DOCUMENT, TABLES
 
 DEFAULT_ENCODINGS = ("UTF-8", "MS949", "EUC-KR")
 
 
-def _decodes_as_utf8(spark: SparkSession, path: str) -> bool:
-    """True when every line of the files is valid UTF-8 (the text reader
-    keeps raw bytes). One distributed scan; one boolean reaches the driver."""
-    lines = spark.read.text(path)
-    valid = F.call_function("is_valid_utf8", F.col("value"))
-    bad = lines.agg(F.max((~valid).cast("int")).alias("bad")).first()
+#: Fixed names: an encoding's name as the JVM's decoder knows it.
+_CHARSETS = {"UTF8": "UTF-8", "UTF8SIG": "UTF-8", "MS949": "MS949", "CP949": "MS949", "EUCKR": "EUC-KR"}
+#: Stands for bytes that an encoding cannot read.
+_UNREADABLE = "\ufffd"
+
+
+def _decodes(spark: SparkSession, path: str, charset: str) -> bool:
+    """True when every line of the files is valid in ``charset`` (the text
+    reader keeps raw bytes). One distributed scan; one boolean reaches the driver."""
+    line = F.col("value")
+    if charset == "UTF-8":
+        good = F.call_function("is_valid_utf8", line)
+    else:
+        text = F.decode(line.cast("binary"), charset)
+        good = ~text.contains(_UNREADABLE)
+    bad = spark.read.text(path).agg(F.max((~good).cast("int")).alias("bad")).first()
     return not (bad and bad["bad"])
 
 
-def read_csv_text(spark: SparkSession, path: str, sep: str = ",",
-                  encodings=DEFAULT_ENCODINGS) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, sep: str = ",", encodings=DEFAULT_ENCODINGS,
+                  multi_line: bool = False, place: str | None = None, corrupt: str | None = None) -> DataFrame:
     """SRC1: header CSV with every field as text, in the first encoding of
-    ``encodings`` that decodes (UTF-8 with or without BOM, else the Korean
-    code page). ``sep`` is given, not sniffed."""
-    enc = None
-    for e in encodings:
-        if e.upper().replace("-", "") in ("UTF8", "UTF8SIG"):
-            if _decodes_as_utf8(spark, path):
-                enc = "UTF-8"
-                break
-        else:
-            enc = e
-            break
-    if enc is None:
+    ``encodings`` that decodes all lines; an error if none does. With one
+    encoding it is taken as given, without a scan. ``sep`` is given, not sniffed.
+
+    Quotes inside quoted fields are doubled. ``multi_line`` admits line breaks
+    in quoted fields (a file is then read by one task). ``place`` adds a column
+    with each row's place in the files (``joins.file_order``), ``corrupt`` one
+    with the text of records that have too many or too few fields (else NULL).
+
+    Files in another encoding than UTF-8 are read once, in a session of its own
+    that admits such encodings, into a table under the shared folder."""
+    names = [_CHARSETS.get(e.upper().replace("-", "").replace("_", ""), e) for e in encodings]
+    legacy = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"}
+    own = spark if set(names) <= {"UTF-8"} else isolated(spark, legacy)
+    charset = names[0] if len(names) == 1 else next((n for n in names if _decodes(own, path, n)), None)
+    if charset is None:
         raise ValueError(f"no encoding of {encodings} decodes {path}")
-    if enc != "UTF-8":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    # no schema inference: every column stays a string
-    return (spark.read.option("header", True).option("inferSchema", False)
-                 .option("sep", sep).option("encoding", enc).option("mode", "PERMISSIVE").csv(path))
+    reader = own if charset != "UTF-8" else spark
+
+    def options(r):
+        return (r.option("sep", sep).option("encoding", charset).option("mode", "PERMISSIVE")
+                 .option("escape", '"').option("multiLine", multi_line))
+    header = options(reader.read).option("header", True).option("inferSchema", False).csv(path).columns
+    schema = ", ".join(f"`{c}` string" for c in header) + (f", `{corrupt}` string" if corrupt else "")
+    r = options(reader.read).option("header", True).schema(schema)
+    if corrupt:
+        r = r.option("columnNameOfCorruptRecord", corrupt)
+    df = r.csv(path)
+    if place:
+        df = df.withColumn(place, file_order(df))
+    if charset == "UTF-8":
+        return df
+    copy = scratch_path(spark, "decoded_csv")
+    df.write.parquet(copy)
+    return spark.read.parquet(copy)
 
 
 def read_responses(spark: SparkSession, path: str, platform: str) -> DataFrame:
@@ -121,15 +151,36 @@ def flatten_kakao(docs: DataFrame, date: str | None = None, accounts: DataFrame
     return r.select(*keep, *cols)
 
 
+def _day_folders(spark: SparkSession, path: str, start: str, end: str) -> list[str]:
+    """The existing day folders of a date range; only the months of the range are listed."""
+    first, last = _dt.date.fromisoformat(start), _dt.date.fromisoformat(end)
+    found, month = [], first.replace(day=1)
+    while month <= last:
+        after = (month + _dt.timedelta(days=31)).replace(day=1)
+        a, b = max(first, month).day, min(last, after - _dt.timedelta(days=1)).day
+        days = ",".join(f"{d:02d}" for d in range(a, b + 1))
+        found += existing(spark, f"{path.rstrip('/')}/year={month.year:04d}/month_p={month.month:02d}/day={{{days}}}")
+        month = after
+    return found
+
+
 def scan_table(spark: SparkSession, path: str, platform: str, start=None, end=None) -> DataFrame:
-    """SRC5: a partitioned fact table read with its fixed schema, plus
-    ``report_date``. A range becomes a partition filter (pruned directories)
-    and a row filter."""
+    """SRC5: a partitioned fact table read with its fixed schema. The stored
+    ``report_date`` is also the date of the row's partition.
+
+    A range given as ``yyyy-MM-dd`` texts reads only the folders of its days
+    (nothing else is listed) and filters rows by ``report_date``, which also
+    reaches the Parquet scan. Open or computed ranges read the whole folder
+    tree with a partition filter."""
     schema = TABLES[f"{platform}_ad_performance"]
+    plain = isinstance(start, str) and isinstance(end, str)
+    if plain:
+        days = _day_folders(spark, path, start, end)
+        if not days:
+            return spark.createDataFrame([], schema)
+        df = spark.read.schema(schema).option("basePath", path).parquet(*days)
+        return df.filter(F.col("report_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     df = spark.read.schema(schema).parquet(path)
-    df = df.withColumn("report_date", F.coalesce(parse_report_date("basic_date"),
-                                                 F.make_date(F.col("year").cast("int"), F.col("month_p").cast("int"),
-                                                             F.col("day").cast("int"))))
     if start is not None or end is not None:
         df = in_range(df, start or "0001-01-01", end or "9999-12-31")
     return df

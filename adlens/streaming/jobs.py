@@ -9,15 +9,15 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json_fields import message_platform, platform_of
-from ..operators.ingest import type_batch
-from ..schemas import GOOGLE_RESPONSE, KAKAO_RESPONSE, QUEUE_MESSAGE  # noqa: F401
+from ..operators.filters import split_valid
+from ..plans.loads import typed_responses
+from ..schemas import GOOGLE_RESPONSE, KAKAO_RESPONSE, QUEUE_MESSAGE
+from ..session import scratch_path
 from ..sinks.tables import write_partitions
-from ..sources.readers import flatten_google, flatten_kakao
 
 
 def queue_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -41,12 +41,18 @@ def message_fields(messages: DataFrame) -> DataFrame:
         F.coalesce(F.col("attributes.ApproximateReceiveCount"), F.lit("unknown")).alias("receive_count"))
 
 
-def dead_letter_counts(messages: DataFrame, window: str = "5 minutes", delay: str = "1 hour",
+#: The queue keeps a failed message for 14 days after its first 4: a late one is at most this old.
+RETENTION = "18 days"
+
+
+def dead_letter_counts(messages: DataFrame, window: str = "5 minutes", delay: str = RETENTION,
                        dedupe: bool = True) -> DataFrame:
     """ST2 + ST4: failed messages per platform per event-time window. The
-    watermark bounds the state; a message delivered again (same
-    ``message_id``) within the watermark is counted once. Messages without
-    a sent time cannot be windowed: see ``untimed_counts``."""
+    sent time is that of the first send, so the watermark's delay covers the
+    queues' retention: no message that a queue can still deliver is late. It
+    bounds the state, which belongs on disk (``STATE_STORE``); a message
+    delivered again (same ``message_id``) within it is counted once. Messages
+    without a sent time cannot be windowed: see ``untimed_counts``."""
     m = message_fields(messages).filter(F.col("sent").isNotNull()).withWatermark("sent", delay)
     if dedupe:
         m = m.dropDuplicatesWithinWatermark(["message_id"])
@@ -56,12 +62,18 @@ def dead_letter_counts(messages: DataFrame, window: str = "5 minutes", delay: st
 
 
 def untimed_counts(messages: DataFrame) -> DataFrame:
-    """ST2: messages without a sent time, per platform (state: one row per
-    platform)."""
-    m = message_fields(messages).filter(F.col("sent").isNull())
+    """ST2 + ST4: messages without a sent time, per platform, each
+    ``message_id`` once (state: the ids of such messages; without an event
+    time none can be let go)."""
+    m = message_fields(messages).filter(F.col("sent").isNull()).dropDuplicates(["message_id"])
     return m.groupBy("platform").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Session setting for streams with large state: keep it on the executors' disks.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
 def _batch_sink(path: str, fmt: str = "parquet"):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
@@ -79,69 +91,89 @@ def run_update_stream(stream: DataFrame, sink: str, checkpoint: str, available_n
 def read_latest(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
     """Current result of an update-mode sink: for every key the row written
     by the latest batch (later batches carry updated counts)."""
-    d = spark.read.parquet(sink)
+    return _latest(spark.read.parquet(sink), keys)
+
+
+def _latest(d: DataFrame, keys: list[str]) -> DataFrame:
     value_cols = [c for c in d.columns if c not in keys and c != "batch_id"]
     last = F.max(F.struct(F.col("batch_id"), *[F.col(c) for c in value_cols])).alias("_l")
     return d.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_l.{c}").alias(c) for c in value_cols])
 
 
-def route_stream(messages: DataFrame, good: str, bad: str, checkpoint: str, available_now: bool = True):
-    """ST3: messages for a served platform to ``good``; unparseable bodies
-    and unknown platforms to ``bad`` (quarantine). Each batch writes both
-    outputs under its batch id."""
+def compact_sink(spark: SparkSession, sink: str, keys: list[str], out: str) -> None:
+    """Bound an update-mode sink: its latest rows as one batch (number -1) in
+    a new folder ``out``, which a stream restarted with the same checkpoint
+    then writes to; the old folder can expire."""
+    read_latest(spark, sink, keys).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
+
+
+def route_stream(messages: DataFrame, routed: str, checkpoint: str, available_now: bool = True):
+    """ST3: messages for a served platform to ``routed`` under
+    ``route=good``; unparseable bodies and unknown platforms under
+    ``route=quarantine``. One write per batch, under its batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        f = message_fields(batch)
-        known = F.col("served")
-        f.filter(known).write.mode("overwrite").parquet(f"{good}/batch_id={batch_id}")
-        f.filter(~known).write.mode("overwrite").parquet(f"{bad}/batch_id={batch_id}")
+        f = message_fields(batch).withColumn("route", F.when(F.col("served"), "good").otherwise("quarantine"))
+        f.write.mode("overwrite").partitionBy("route").parquet(f"{routed}/batch_id={batch_id}")
     q = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
 
 
-def response_stream(spark: SparkSession, path: str, platform: str) -> DataFrame:
-    schema = GOOGLE_RESPONSE if platform == "google" else KAKAO_RESPONSE
-    # an extract is identified by the folder its files were landed in
-    # (one folder per landing run, e.g. run=<id>/ or run=<id>/date=<day>/)
-    return (spark.readStream.schema(schema).json(path)
-                 .withColumn("_source", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")))
-
-
-FILE_COLUMNS = ("_source",)
-
-
-def ingest_batch(batch: DataFrame, platform: str, table: str, customer_id: str | None = None) -> None:
-    """ST1 body: a micro-batch of landed day extracts to the fact table.
-
-    A landing run (one folder, ``run=<id>/``, optionally split per day) holds
-    complete extracts of the days it contains, as one run of the reference
-    fetches a whole day. When a batch holds several runs for the same day
-    only the newest run (highest folder name) is kept, so a rerun replaces
-    the day rather than doubling it; dynamic overwrite then replaces exactly
-    the days in the batch and leaves all others. The
-    newest extract per day comes from a small aggregate (one row per day)
-    and a semi join, not from a window that would put a whole day in one
-    task."""
-    if platform == "google":
-        flat = flatten_google(batch, customer_id, keep=FILE_COLUMNS)
-    else:
-        flat = flatten_kakao(batch, keep=FILE_COLUMNS)
-    # the batch feeds two branches (newest extract per day, and the rows):
-    # keep it once instead of parsing the landed files twice
-    typed = type_batch(flat, platform, passthrough=FILE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        newest = typed.groupBy("report_date").agg(F.max("_source").alias("_source"))
-        keep = typed.join(newest, on=["report_date", "_source"], how="left_semi").drop("_source", "report_date")
-        write_partitions(keep, table)
-    finally:
-        typed.unpersist()
-
-
-def ingest_stream(spark: SparkSession, landing: str, platform: str, table: str, checkpoint: str,
-                  customer_id: str | None = None, available_now: bool = True):
-    """ST1: landed response files to the partitioned fact table."""
-    docs = response_stream(spark, landing, platform)
-    q = (docs.writeStream.option("checkpointLocation", checkpoint)
-             .foreachBatch(lambda b, i: ingest_batch(b, platform, table, customer_id)))
+RUN_MANIFEST = "run bigint, path string"
+
+
+def finish_run(spark: SparkSession, manifests: str, run: int, path: str) -> None:
+    """Say that landing run ``run`` is complete: one manifest file, written
+    when all files of the run lie under ``path``."""
+    (spark.createDataFrame([(run, path)], RUN_MANIFEST).coalesce(1)
+          .write.mode("overwrite").json(f"{manifests}/run={run}"))
+
+
+def run_stream(spark: SparkSession, manifests: str, max_files: int | None = None) -> DataFrame:
+    """Manifests of complete landing runs."""
+    r = spark.readStream.schema(RUN_MANIFEST)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.json(f"{manifests}/run=*/").select("run", "path")
+
+
+def ingest_run(spark: SparkSession, platform: str, run: int, path: str, table: str, days: str, quarantine: str,
+               customer_id: str | None = None, master: DataFrame | None = None) -> None:
+    """ST1 body: one complete landing run to the fact table.
+
+    A run holds complete extracts of the days in it. Of a day, the newest run
+    (highest run number) stays: ``days`` is a small table with one row per
+    (day, run) ingested, and days that a newer run has already filled are left
+    alone, so runs may arrive in any order and a replayed run changes nothing.
+    Rows without a date go to ``quarantine/run=<run>``."""
+    docs = spark.read.schema(GOOGLE_RESPONSE if platform == "google" else KAKAO_RESPONSE).json(path)
+    typed = typed_responses(docs, platform, customer_id=customer_id, master=master)
+    rows = scratch_path(spark, "run_rows")
+    typed.write.parquet(rows)
+    good, bad = split_valid(spark.read.schema(typed.schema).parquet(rows))
+    bad.write.mode("overwrite").parquet(f"{quarantine}/run={run}")
+    spark.createDataFrame([], RUN_DAYS).write.mode("append").parquet(days)
+    newer = spark.read.schema(RUN_DAYS).parquet(days).filter(F.col("run") > run).select("report_date").distinct()
+    own = good.join(newer, "report_date", "left_anti").select(*good.columns)
+    write_partitions(own, table)
+    own.select("report_date").distinct().select("report_date", F.lit(run).cast("bigint").alias("run")) \
+       .write.mode("append").parquet(days)
+
+
+RUN_DAYS = "report_date date, run bigint"
+
+
+def ingest_stream(spark: SparkSession, manifests: str, platform: str, table: str, state: str, quarantine: str,
+                  customer_id: str | None = None, master: DataFrame | None = None, available_now: bool = True,
+                  max_files: int | None = None):
+    """ST1: complete landing runs to the partitioned fact table. ``state``
+    holds the stream's checkpoint and the table of ingested days. Each
+    micro-batch names a few runs (one manifest row each), which are ingested
+    in the order of their numbers."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for r in sorted(batch.collect()):
+            ingest_run(spark, platform, r["run"], r["path"], table, f"{state}/days", quarantine, customer_id, master)
+    q = (run_stream(spark, manifests, max_files).writeStream.option("checkpointLocation", f"{state}/checkpoint")
+         .foreachBatch(write))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 hour")
     return q.start()
