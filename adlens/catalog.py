@@ -12,17 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as _F
 
-from .functions.dates import display_date, epoch_ms_text_to_time, in_range, partition_keys
+from .functions.casts import all_as_text
+from .functions.dates import (display_date, epoch_ms_text_to_time, find_date, in_range, on_day,
+                              partition_keys)
 from .functions.ratios import count_sum, money_sum, round_half_up
 from .operators import aggregates as agg
 from .operators import documents, ingest, lookups
 from .operators.filters import dead_letter_platform, filter_report, route, search, split_valid
 from .operators.joins import enrich_with_master, latest_master
 from .operators.sets import unify_media
+from .operators.topk import order_by
 from .plans import dashboard as dash
 from .plans import sheets, weekly
-from .plans.loads import bulk_load
-from .session import scratch_path
+from .plans.loads import batch_load, bulk_load, read_master
+from .session import isolated, scratch_path
 from .sinks import tables as sinks
 from .sources import fixtures as fx
 from .sources import landed, readers
@@ -82,7 +85,7 @@ def media_share(spark, sf_dir):
 
 @register("kpi_totals")
 def kpi_totals(spark, sf_dir):
-    return sheets.summary_sheet(_unified(spark, sf_dir), W0, W1)["kpi"]
+    return sheets.kpi_of_range(_unified(spark, sf_dir), W0, W1)
 
 
 @register("week_of_month")
@@ -249,7 +252,7 @@ REWRITE_DAY = "1998-03-05"
 
 def _kakao_rows(spark, sf_dir):
     f = fx.kakao_facts(spark, sf_dir)
-    return f.select(*KAKAO_TABLE_COLUMNS, *partition_keys("report_date"))
+    return f.select(*KAKAO_TABLE_COLUMNS, "report_date", *partition_keys("report_date"))
 
 
 def _read_back(spark, path):
@@ -283,19 +286,23 @@ def catalog_scan(spark, sf_dir):
     sinks.write_partitions(_kakao_rows(spark, sf_dir), f"{root}/kakao")
     db = "ad_report"
     (name,) = sinks.create_tables(spark, root, db, drop_first=True, platforms=("kakao",))
-    sinks.register_partitions(spark, name)
+    sinks.register_partitions(spark, name, _kakao_rows(spark, sf_dir))
     t = readers.sql(spark, f"SELECT * FROM {name}")
     return (t.groupBy("year", "month_p")
              .agg(_F.count(_F.lit(1)).alias("n"), _F.sum("imp").alias("imp"),
                   round_half_up(money_sum("spending"), 0).alias("spending")))
 
 
+def _write_ms949(spark, rows_of, path):
+    """A CSV in the Korean code page, written in a session that admits it."""
+    own = isolated(spark, {"spark.sql.legacy.javaCharsets": "true"})
+    rows_of(own).write.option("header", True).option("encoding", "MS949").option("escape", '"').csv(path)
+
+
 @register("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "kakao_master_csv")
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    (landed.master_rows(spark, sf_dir).write.option("header", True).option("encoding", "MS949")
-           .csv(path))
+    _write_ms949(spark, lambda own: landed.master_rows(own, sf_dir), path)
     text = readers.read_csv_text(spark, path)
     m = latest_master(text.withColumn("seq", _F.col("seq").cast("int")), "seq")
     return m.select("kwd_id", "kwd_name", "camp_name", "label")
@@ -340,22 +347,27 @@ def stream_failed_counts(spark, sf_dir):
 def stream_routes(spark, sf_dir):
     landing = scratch_path(spark, "queue")
     landed.queue_documents(spark, sf_dir).write.json(landing)
-    good, bad, ckpt = (scratch_path(spark, n) for n in ("routed_good", "routed_bad", "routes_ckpt"))
-    streams.route_stream(streams.queue_stream(spark, landing), good, bad, ckpt).awaitTermination()
-    g = spark.read.parquet(good).withColumn("route", _F.lit("good"))
-    b = spark.read.parquet(bad).withColumn("route", _F.lit("quarantine"))
-    return g.unionByName(b).select("message_id", "platform", "receive_count", "route")
+    routed, ckpt = (scratch_path(spark, n) for n in ("routed", "routes_ckpt"))
+    streams.route_stream(streams.queue_stream(spark, landing), routed, ckpt).awaitTermination()
+    return spark.read.parquet(routed).select("message_id", "platform", "receive_count", "route")
 
 
 @register("stream_ingest")
 def stream_ingest(spark, sf_dir):
+    """ST1: landing runs out of order, one manifest per micro-batch. Run 10 (a
+    rerun of one day, lands first) is newer than run 9 (every day, in two
+    parts); run 9 must not undo it."""
     landing = scratch_path(spark, "google_landing")
-    # run 001 lands every day; run 002 is a later rerun of one day
-    landed.google_day_documents(spark, sf_dir).drop("date").write.json(f"{landing}/run=001")
-    landed.google_day_documents(spark, sf_dir, REWRITE_DAY).drop("date").write.json(f"{landing}/run=002")
-    table, ckpt = scratch_path(spark, "google_ad_performance"), scratch_path(spark, "ingest_ckpt")
-    streams.ingest_stream(spark, f"{landing}/run=*/", "google", table, ckpt,
-                          customer_id=landed.CUSTOMER_ID).awaitTermination()
+    every = landed.google_day_documents(spark, sf_dir)
+    half = _F.dayofmonth(_F.col("date").cast("date")) <= 15
+    every.filter(half).drop("date").write.json(f"{landing}/run=9/part=1")
+    every.filter(~half).drop("date").write.json(f"{landing}/run=9/part=2")
+    landed.google_day_documents(spark, sf_dir, REWRITE_DAY).drop("date").write.json(f"{landing}/run=10")
+    for run in (10, 9):
+        streams.finish_run(spark, f"{landing}/manifests", run, f"{landing}/run={run}/*" if run == 9 else f"{landing}/run=10")
+    table, state, bad = (scratch_path(spark, n) for n in ("google_ad_performance", "ingest_state", "ingest_quarantine"))
+    streams.ingest_stream(spark, f"{landing}/manifests", "google", table, state, bad,
+                          customer_id=landed.CUSTOMER_ID, max_files=1).awaitTermination()
     t = readers.scan_table(spark, table, "google")
     return t.select("camp_name", "keyword_id", "keyword_text", "basic_date", "report_date", "adv_id",
                     "impressions", "clicks", "cost_micros", "conversions_value", "year", "month_p", "day")
@@ -402,8 +414,16 @@ def sheets_roundtrip(spark, sf_dir):
     u = _unified(spark, sf_dir)
     path = scratch_path(spark, "sheets")
     sinks.write_sheets({"daily": sheets.daily_sheet(u, W0, W1), "google": sheets.google_sheet(
-        fx.google_ads(spark, sf_dir), W0, W1)}, path)
-    return spark.read.parquet(f"{path}/daily")
+        fx.google_ads(spark, sf_dir), W0, W1), "kakao": sheets.kakao_sheet(
+        fx.kakao_facts(spark, sf_dir), fx.kakao_master(spark, sf_dir), W0, W1)}, path)
+    parts = {"daily": _F.col("report_date").cast("string"), "google": _F.col("campaign"), "kakao": _F.col("campaign")}
+    cost = {"daily": "total_cost", "google": "cost", "kakao": "cost"}
+    out = None
+    for name, label in parts.items():
+        t = spark.read.parquet(f"{path}/{name}").select(_F.lit(name).alias("sheet"), label.alias("label"),
+                                                        _F.col(cost[name]).alias("cost"), "row_type")
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 @register("weekly_report")
@@ -414,18 +434,16 @@ def weekly_report(spark, sf_dir):
 
 @register("row_counts")
 def row_counts(spark, sf_dir):
-    """AG15: rows per ingest stage (read, valid, quarantined, enriched) as
-    one frame of counts (each an aggregate that combines map-side)."""
-    raw = fx.raw_extract(spark, sf_dir)
-    typed = ingest.type_bulk(raw, "kakao")
-    good, bad = split_valid(typed)
+    """AG15: rows per ingest stage (read, valid, quarantined, enriched): one
+    pass over the extract and one over the enriched facts."""
+    typed = ingest.type_bulk(fx.raw_extract(spark, sf_dir), "kakao")
+    n = typed.agg(_F.count(_F.lit(1)).alias("read"), _F.count("report_date").alias("valid"))
+    stages = n.select(_F.inline(_F.array(*[
+        _F.struct(_F.lit(k).alias("stage"), v.alias("rows")) for k, v in (
+            ("read", _F.col("read")), ("valid", _F.col("valid")), ("quarantined", _F.col("read") - _F.col("valid")))])))
     enriched = enrich_with_master(fx.kakao_facts(spark, sf_dir), fx.kakao_master(spark, sf_dir), seq="seq")
-    parts = [("read", raw), ("valid", good), ("quarantined", bad), ("enriched", enriched)]
-    out = None
-    for stage, df in parts:
-        c = df.agg(_F.count(_F.lit(1)).alias("rows")).select(_F.lit(stage).alias("stage"), "rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    return stages.unionByName(enriched.agg(_F.count(_F.lit(1)).alias("rows"))
+                              .select(_F.lit("enriched").alias("stage"), "rows"))
 
 
 @register("doc_kpi")
@@ -460,7 +478,7 @@ def google_top10_from_table(spark, sf_dir):
     cols = ["camp_name", "agroup_name", "keyword_id", "keyword_text", "device", "network_type", "basic_date",
             "impressions", "clicks", "cost_micros", "conversions", "conversions_value"]
     path = scratch_path(spark, "google_ad_performance")
-    sinks.write_partitions(g.select(*cols, *partition_keys("report_date")), path)
+    sinks.write_partitions(g.select(*cols, "report_date", *partition_keys("report_date")), path)
     return weekly.google_top(readers.scan_table(spark, path, "google", W0, W1))
 
 
@@ -471,12 +489,13 @@ def bulk_load_kakao(spark, sf_dir):
     keyword (left join) -> table by day; undated rows quarantined."""
     kw_path, m_path = scratch_path(spark, "kakao_keyword_csv"), scratch_path(spark, "kakao_master_csv")
     landed.keyword_extract(spark, sf_dir).write.option("header", True).csv(kw_path)
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    (landed.master_rows(spark, sf_dir).drop("label").write.option("header", True)
-           .option("encoding", "MS949").csv(m_path))
+    _write_ms949(spark, lambda own: landed.master_rows(own, sf_dir).drop("label"), m_path)
     table, quarantine = scratch_path(spark, "kakao_ad_performance"), scratch_path(spark, "kakao_quarantine")
-    bulk_load(spark, "kakao", kw_path, table, quarantine, master_path=m_path)
-    t = readers.scan_table(spark, table, "kakao")
+    bulk_load(spark, "kakao", kw_path, table, quarantine, master_path=m_path, master_seq="seq")
+    return _bulk_columns(readers.scan_table(spark, table, "kakao"))
+
+
+def _bulk_columns(t):
     return t.select("kwd_id", "adv_id", "imp", "click", "spending", "basic_date", "kwd_name", "camp_name",
                     "report_date", "year", "month_p", "day")
 
@@ -523,5 +542,134 @@ def dashboard_cached(spark, sf_dir):
     """RB10 with result caching: materialised per as-of hour in the shared
     folder, then served from the saved table (second call reads only)."""
     root = scratch_path(spark, "dashboard_cache")
-    dash.cached_dashboard(spark, lambda: _unified(spark, sf_dir), AS_OF, root)
-    return dash.cached_dashboard(spark, lambda: _unified(spark, sf_dir), AS_OF, root)
+    dash.cached_dashboard(spark, lambda: _unified(spark, sf_dir), AS_OF, root, source=sf_dir)
+    return dash.cached_dashboard(spark, lambda: _unified(spark, sf_dir), AS_OF, root, source=sf_dir)
+
+
+# ---- loads and tables ------------------------------------------------------
+
+
+@register("bulk_load_kakao_file_order")
+def bulk_load_kakao_file_order(spark, sf_dir):
+    """The bulk path with a master that has no sequence column: of a repeated
+    keyword the last row in file order stays (AG11), and the master's own
+    adv_id, basic_date and agroup_id are dropped (PF10)."""
+    kw_path, m_path = scratch_path(spark, "kakao_keyword_csv"), scratch_path(spark, "kakao_master_csv")
+    landed.keyword_extract(spark, sf_dir).write.option("header", True).csv(kw_path)
+    landed.master_in_file_order(spark, sf_dir).write.option("header", True).csv(m_path)
+    table, quarantine = scratch_path(spark, "kakao_ad_performance"), scratch_path(spark, "kakao_quarantine")
+    bulk_load(spark, "kakao", kw_path, table, quarantine, master_path=m_path)
+    return _bulk_columns(readers.scan_table(spark, table, "kakao"))
+
+
+@register("bulk_load_google")
+def bulk_load_google(spark, sf_dir):
+    """Google extract CSV -> table by ``basic_date`` (its segment ``date``
+    differs), then one week read back."""
+    path, table = scratch_path(spark, "google_csv"), scratch_path(spark, "google_ad_performance")
+    landed.google_extract(spark, sf_dir).write.option("header", True).csv(path)
+    bulk_load(spark, "google", path, table, scratch_path(spark, "google_quarantine"))
+    return readers.scan_table(spark, table, "google", W0, W1).select(
+        "camp_name", "keyword_id", "basic_date", "report_date", "date", "impressions", "clicks", "cost_micros",
+        "year", "month_p", "day")
+
+
+def _loaded_kakao(spark, sf_dir):
+    """Landed kakao responses and the master -> enriched rows in the table."""
+    docs, m_path = scratch_path(spark, "kakao_responses"), scratch_path(spark, "kakao_master_csv")
+    landed.kakao_padded_documents(spark, sf_dir).write.json(docs)
+    landed.master_in_file_order(spark, sf_dir).write.option("header", True).csv(m_path)
+    table = scratch_path(spark, "kakao_ad_performance")
+    batch_load(spark, "kakao", docs, table, master=read_master(spark, m_path),
+               quarantine=scratch_path(spark, "kakao_quarantine"))
+    return table
+
+
+@register("batch_load_kakao")
+def batch_load_kakao(spark, sf_dir):
+    """The daily batch for kakao, with master enrichment (Q5)."""
+    return readers.scan_table(spark, _loaded_kakao(spark, sf_dir), "kakao").select(
+        "kwd_id", "adv_id", "basic_date", "imp", "click", "spending", "camp_name", "report_date", "year",
+        "month_p", "day")
+
+
+@register("batch_load_google")
+def batch_load_google(spark, sf_dir):
+    docs, table = scratch_path(spark, "google_responses"), scratch_path(spark, "google_ad_performance")
+    landed.google_documents(spark, sf_dir).write.json(docs)
+    batch_load(spark, "google", docs, table, customer_id=landed.CUSTOMER_ID,
+               quarantine=scratch_path(spark, "google_quarantine"))
+    return readers.scan_table(spark, table, "google").select(
+        "camp_name", "keyword_id", "adv_id", "basic_date", "report_date", "impressions", "clicks")
+
+
+@register("kakao_top10_from_table")
+def kakao_top10_from_table(spark, sf_dir):
+    """AG2 from the stored, enriched table and its stored campaign names."""
+    f = enrich_with_master(fx.kakao_facts(spark, sf_dir), fx.kakao_master(spark, sf_dir), seq="seq")
+    path = scratch_path(spark, "kakao_ad_performance")
+    sinks.write_partitions(f.select(*KAKAO_TABLE_COLUMNS, "kwd_name", "camp_name", "report_date",
+                                    *partition_keys("report_date")), path)
+    return agg.kakao_campaign_summary(readers.scan_table(spark, path, "kakao", W0, W1), W0, W1)
+
+
+# ---- small operators -------------------------------------------------------
+
+
+@register("day_rows")
+def day_rows(spark, sf_dir):
+    """PF13: one day."""
+    return on_day(fx.google_ads(spark, sf_dir), REWRITE_DAY).groupBy("camp_name").agg(
+        _F.count(_F.lit(1)).alias("n"), count_sum("clicks").alias("clicks"))
+
+
+@register("detail_by_date")
+def detail_by_date(spark, sf_dir):
+    """TK3: the daily table in date order."""
+    return order_by(sheets.daily_table(_unified(spark, sf_dir), *MONTH), "report_date").select(
+        "report_date", "google_cost", "kakao_cost")
+
+
+@register("detail_sorted")
+def detail_sorted(spark, sf_dir):
+    """TK5: a detail table sorted by any column."""
+    return order_by(sheets.campaign_detail(fx.google_ads(spark, sf_dir), W0, W1), "clicks", descending=True).select(
+        "campaign", "clicks", "cost")
+
+
+@register("found_dates")
+def found_dates(spark, sf_dir):
+    """SC6: the date in a row map."""
+    r = fx.raw_extract(spark, sf_dir)
+    return r.select("kwd_id", find_date(_F.create_map(
+        _F.lit("a"), _F.lit("x"), _F.lit("basic_date"), _F.col("basic_date"))).alias("found"))
+
+
+@register("media_totals_named")
+def media_totals_named(spark, sf_dir):
+    """AG10: cost per media over all weeks; rows without a name get the default one."""
+    p = documents.pie_rows(documents.datasets(_report_docs(spark, sf_dir)))
+    named = p.withColumn("media", _F.when(_F.col("media") != "google", _F.col("media")))
+    return agg.media_totals(named).withColumn("pos", _F.col("pos").cast("bigint"))
+
+
+@register("result_texts")
+def result_texts(spark, sf_dir):
+    """SC10: a result with every value as text."""
+    typed = ingest.type_bulk(fx.raw_extract(spark, sf_dir), "kakao")
+    return all_as_text(typed.select("kwd_id", "imp", "click", "report_date"))
+
+
+@register("stream_redelivered_counts")
+def stream_redelivered_counts(spark, sf_dir):
+    """ST2 + ST4: every message delivered twice, in another file and
+    micro-batch, and files in reverse order of time: each counts once."""
+    landing = scratch_path(spark, "queue")
+    docs = landed.queue_documents(spark, sf_dir)
+    late = _F.col("attributes.SentTimestamp").try_cast("bigint") % 2
+    for part in (docs.filter(late == 1), docs.filter(~late.eqNullSafe(1)), docs):
+        part.write.mode("append").json(landing)
+    sink, ckpt = scratch_path(spark, "dlq_counts"), scratch_path(spark, "dlq_ckpt")
+    counts = streams.dead_letter_counts(streams.queue_stream(spark, landing, max_files=1), delay="20 years")
+    streams.run_update_stream(counts, sink, ckpt).awaitTermination()
+    return streams.read_latest(spark, sink, ["window_start_ms", "window_end_ms", "platform"])

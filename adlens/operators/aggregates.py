@@ -1,8 +1,9 @@
 """Aggregations (AG1-AG10, AG14, AG15).
 
-All are hash aggregates with partial (map-side) aggregation, so a hot key
-(one campaign holding a third of all rows, or the NULL campaign of
-unmatched keywords) is reduced inside each task before the shuffle.
+All combine map-side, so a hot key (one campaign holding a third of all
+rows, or the NULL campaign of unmatched keywords) is reduced inside each
+task before the shuffle. Sums and counts are hash aggregates; the keep-last
+and first-row ones (``max``/``min_by`` of packed rows) sort instead.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ KAKAO_SUM_COLUMNS = ["imp", "click", "conv_purchase_1d", "conv_purchase_7d"]
 def kakao_keyword_totals(facts: DataFrame, start, end) -> DataFrame:
     """Pre-aggregation of keyword facts to one row per keyword for the range:
     the join with the master then sees distinct keywords, not raw rows."""
-    f = in_range(facts, start, end)
+    f = in_range(facts, start, end).withColumn("kwd_id", F.trim(F.col("kwd_id")))
     return f.groupBy("kwd_id").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in KAKAO_SUM_COLUMNS],
         money_sum("spending").alias("spending"))
@@ -143,19 +144,24 @@ def overall_by_media(google: DataFrame, kakao: DataFrame, start, end) -> DataFra
 def with_totals(df: DataFrame, keys: list[str], sums: list[str],
                 keep: list[str] | None = None, within: tuple[str, ...] = ()) -> DataFrame:
     """AG9: detail rows plus a totals row (per ``within`` keys, e.g. one per
-    report; else one grand total), from one ROLLUP. ``row_type`` comes from
+    report; else one grand total), from one GROUPING SETS with these two
+    levels only. Every detail row stays a row of its own, also when keys are
+    equal: all its columns are grouped by. ``row_type`` comes from
     grouping_id(), not from a label. Columns in ``keep`` are carried on
     detail rows and NULL on totals."""
     keep = keep or []
     within = tuple(within)
-    aggs = [F.sum(c).alias(c) for c in sums] + [F.first(c).alias(c) for c in keep]
-    out = df.rollup(*within, *keys).agg(*aggs, F.grouping_id().alias("_g"))
-    total_id = (1 << len(keys)) - 1          # all detail keys rolled up, ``within`` kept
-    out = out.filter(F.col("_g").isin(0, total_id))
-    for c in keep:
-        out = out.withColumn(c, F.when(F.col("_g") != 0, F.lit(None)).otherwise(F.col(c)))
-    return (out.withColumn("row_type", F.when(F.col("_g") != 0, F.lit("total")).otherwise(F.lit("detail")))
-               .drop("_g"))
+    # equal detail rows are counted, then listed again
+    shown = [*keys, *keep, *[f"_{c}" for c in sums]]
+    rows = df.select(*within, *keys, *keep, *sums, *[F.col(c).alias(f"_{c}") for c in sums])
+    g = (rows.groupingSets([[*within, *shown], list(within)], *within, *shown)
+             .agg(*[F.sum(c).alias(c) for c in sums], F.count(F.lit(1)).alias("_n"),
+                  F.grouping(keys[0]).alias("_g")))
+    total = F.col("_g") != 0
+    one = [F.when(total, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in sums]
+    return (g.select(*within, *keys, *one, *keep, F.when(total, F.lit("total")).otherwise(F.lit("detail")).alias("row_type"),
+                     F.explode(F.when(total, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), F.col("_n").cast("int")))).alias("_i"))
+             .drop("_i"))
 
 
 def media_totals(pie: DataFrame, media: str = "media", value: str = "cost",

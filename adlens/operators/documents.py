@@ -58,7 +58,7 @@ def table_rows(sets: DataFrame) -> DataFrame:
     r = dataset_rows(sets, "table")
     row = F.col("row")
     return r.select("report_id", "pos", row[KEY_DATE].alias("date_text"),
-                    F.try_to_date(row[KEY_DATE], "yyyy-MM-dd").alias("report_date"),
+                    F.try_to_date(row[KEY_DATE], "yyyy-M-d").alias("report_date"),
                     *[safe_float(row[v]).alias(k) for k, v in TABLE_KEYS.items()])
 
 

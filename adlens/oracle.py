@@ -19,7 +19,9 @@ GOOGLE_ADS = """google_ads AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 KAKAO_FACTS = """kakao_facts AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS kwd_id, o_orderpriority AS agroup_id, o_orderstatus AS adv_id,
+  SELECT CASE WHEN o_custkey % 10 = 0 THEN 'x' || CAST(o_custkey AS VARCHAR)
+              WHEN o_custkey % 10 = 1 THEN ' ' || CAST(o_custkey AS VARCHAR) || ' '
+              ELSE CAST(o_custkey AS VARCHAR) END AS kwd_id, o_orderpriority AS agroup_id, o_orderstatus AS adv_id,
          REPLACE(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '') AS basic_date,
          CAST(o_orderdate AS DATE) AS report_date,
          o_orderkey % 1000 AS imp, o_orderkey % 37 AS click, o_totalprice AS spending,
@@ -28,17 +30,17 @@ KAKAO_FACTS = """kakao_facts AS (
 
 MASTER = """kakao_master AS (
   SELECT CAST(c_custkey AS VARCHAR) AS kwd_id, c_name AS kwd_name, c_mktsegment AS camp_name, 1 AS seq
-  FROM customer WHERE c_custkey % 10 <> 0
+  FROM customer
   UNION ALL
   SELECT CAST(c_custkey AS VARCHAR) AS kwd_id, c_name AS kwd_name, CONCAT(c_mktsegment, '_v2') AS camp_name, 2 AS seq
-  FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 10 <> 0),
+  FROM customer WHERE c_custkey % 7 = 0),
 latest_master AS (
   SELECT kwd_id, kwd_name, camp_name FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY kwd_id ORDER BY seq DESC) AS rn FROM kakao_master) WHERE rn = 1)"""
 
 KAKAO_MASTER = MASTER + """,
 kakao_ads AS (
-  SELECT f.*, m.kwd_name, m.camp_name FROM kakao_facts f LEFT JOIN latest_master m ON f.kwd_id = m.kwd_id)"""
+  SELECT f.*, m.kwd_name, m.camp_name FROM kakao_facts f LEFT JOIN latest_master m ON TRIM(f.kwd_id) = m.kwd_id)"""
 
 QUEUE_MESSAGES = """queue_messages AS (
   SELECT event_id, ts AS sent,
@@ -234,7 +236,7 @@ kw AS (
 c AS (
   SELECT m.camp_name, CAST(SUM(imp) AS BIGINT) AS impressions, CAST(SUM(click) AS BIGINT) AS clicks,
          CAST(ROUND_EVEN(SUM(spending), 0) AS DOUBLE) AS cost
-  FROM kw LEFT JOIN latest_master m ON kw.kwd_id = m.kwd_id GROUP BY m.camp_name),
+  FROM kw LEFT JOIN latest_master m ON TRIM(kw.kwd_id) = m.kwd_id GROUP BY m.camp_name),
 d AS (
   SELECT COALESCE(camp_name, '(미분류)') AS campaign, impressions, clicks,
          CASE WHEN impressions = 0 THEN 0.0 ELSE CAST(clicks AS DOUBLE) / impressions END AS ctr,
@@ -490,7 +492,11 @@ SELECT DISTINCT 'w' || strftime(week, '%Y%m%d') AS report_id, '주간 리포트
        strftime(week + 7, '%Y년 %m월 %d일') AS created
 FROM wk"""
 
-QUERIES["sheets_roundtrip"] = QUERIES["daily_with_totals"]
+QUERIES["sheets_roundtrip"] = f"""
+SELECT 'daily' AS sheet, CAST(report_date AS VARCHAR) AS label, total_cost AS cost, row_type
+FROM ({QUERIES["daily_with_totals"]})
+UNION ALL SELECT 'google', campaign, cost, row_type FROM ({QUERIES["google_sheet"]})
+UNION ALL SELECT 'kakao', campaign, cost, row_type FROM ({QUERIES["kakao_sheet"]})"""
 
 QUERIES["weekly_report"] = with_(GOOGLE_ADS, KAKAO_FACTS, KAKAO_MASTER) + f""",
 g AS (
@@ -659,3 +665,57 @@ QUERIES["stream_untimed_counts"] = with_(QUEUE_MESSAGES, DEAD) + """
 SELECT platform, COUNT(*) AS n FROM dead WHERE sent_ms IS NULL GROUP BY platform"""
 
 QUERIES["dashboard_cached"] = QUERIES["dashboard"]
+
+# ---- loads, tables and small operators registered in the second round
+
+QUERIES["kakao_top10_from_table"] = QUERIES["kakao_campaign_top10"]
+
+_KAKAO_STORED = """
+SELECT TRIM(kwd_id) AS kwd_id, adv_id, basic_date, imp, click, spending, camp_name, report_date,
+       strftime(report_date, '%Y') AS year, strftime(report_date, '%m') AS month_p, strftime(report_date, '%d') AS day
+FROM kakao_ads"""
+
+QUERIES["batch_load_kakao"] = with_(KAKAO_FACTS, KAKAO_MASTER) + _KAKAO_STORED + " WHERE adv_id <> 'P'"
+
+QUERIES["batch_load_google"] = """
+SELECT p_brand AS camp_name, CAST(l_partkey AS VARCHAR) AS keyword_id, '1234567890' AS adv_id,
+       REPLACE(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), '-', '') AS basic_date, CAST(l_shipdate AS DATE) AS report_date,
+       CAST(TRUNC(l_quantity * 100) AS BIGINT) AS impressions, CAST(TRUNC(l_quantity) AS BIGINT) AS clicks
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+QUERIES["bulk_load_google"] = with_(GOOGLE_ADS) + f"""
+SELECT camp_name, keyword_id, basic_date, report_date, strftime(report_date + 7, '%Y-%m-%d') AS date,
+       impressions, clicks, cost_micros, strftime(report_date, '%Y') AS year,
+       strftime(report_date, '%m') AS month_p, strftime(report_date, '%d') AS day
+FROM google_ads WHERE report_date BETWEEN {WEEK}"""
+
+QUERIES["bulk_load_kakao_file_order"] = QUERIES["bulk_load_kakao"]
+
+QUERIES["day_rows"] = with_(GOOGLE_ADS) + """
+SELECT camp_name, COUNT(*) AS n, CAST(SUM(clicks) AS BIGINT) AS clicks
+FROM google_ads WHERE report_date = DATE '1998-03-05' GROUP BY camp_name"""
+
+QUERIES["detail_by_date"] = with_(*BASE, daily_cte("1998-03-01", "1998-03-31")) + """
+SELECT report_date, google_cost, kakao_cost FROM daily"""
+
+QUERIES["detail_sorted"] = with_(GOOGLE_ADS, CAMPAIGN_DETAIL) + "SELECT campaign, clicks, cost FROM detail"
+
+QUERIES["found_dates"] = with_(RAW) + """
+SELECT kwd_id, CASE WHEN regexp_matches(basic_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN basic_date
+                    ELSE basic_date END AS found
+FROM raw"""
+
+QUERIES["media_totals_named"] = with_(*BASE, WEEKS) + """,
+p AS (
+  SELECT week, media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost,
+         ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS pos FROM wk GROUP BY week, media)
+SELECT CASE WHEN media = 'google' THEN '매체' || CAST(pos + 1 AS VARCHAR) ELSE media END AS media,
+       SUM(cost) AS cost, CAST(MIN(pos) AS BIGINT) AS pos
+FROM p GROUP BY 1"""
+
+QUERIES["result_texts"] = with_(RAW) + """
+SELECT COALESCE(kwd_id, '') AS kwd_id, COALESCE(CAST(imp AS VARCHAR), '') AS imp,
+       COALESCE(CAST(click AS VARCHAR), '') AS click, COALESCE(CAST(report_date AS VARCHAR), '') AS report_date
+FROM bulk"""
+
+QUERIES["stream_redelivered_counts"] = QUERIES["stream_failed_counts"]

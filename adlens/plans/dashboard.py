@@ -3,12 +3,16 @@ and spend share per media, and a 7-day conversion trend on a date spine."""
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import DEFAULT_TZ, in_range, local_date, week_start
 from ..functions.ratios import count_sum, money_sum, pct_half_up, round_half_even, safe_div
 from ..operators.windows import with_share
+from ..session import path_exists
 
 
 def dashboard_media(unified: DataFrame, as_of, tz: str = DEFAULT_TZ) -> DataFrame:
@@ -47,16 +51,17 @@ def conversion_trend(unified: DataFrame, as_of, tz: str = DEFAULT_TZ, days: int
                          F.coalesce(F.col("cost"), F.lit(0.0)).alias("cost")))
 
 
-def cached_dashboard(spark, unified_fn, as_of, root: str, tz: str = DEFAULT_TZ) -> DataFrame:
-    """Dashboard figures materialised per as-of hour under ``root`` (a shared
-    folder): the first request in an hour computes and writes them, later
-    ones read the saved table. ``unified_fn()`` builds the input only when
-    needed. Expiry of old hours is left to the storage lifecycle."""
-    from pyspark.errors import AnalysisException
+def cached_dashboard(spark, unified_fn, as_of, root: str, source: str, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Dashboard figures materialised per input, time zone and as-of hour
+    under ``root`` (a shared folder): the first request in an hour computes
+    and writes them, later ones read the saved table. ``source`` names the
+    input and its version; ``unified_fn()`` builds it only when needed. A
+    table whose write did not finish (no ``_SUCCESS``) is written again.
+    Expiry of old hours is left to the storage lifecycle."""
     hour = str(as_of)[:13].replace("-", "").replace(" ", "").replace("T", "")
-    path = f"{root.rstrip('/')}/as_of_hour={hour}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    zone, name = (re.sub(r"[^A-Za-z0-9]", "_", x) for x in (tz, source))
+    mark = hashlib.sha256(f"{tz}\n{source}".encode()).hexdigest()[:12]
+    path = f"{root.rstrip('/')}/source={name[-40:]}-{mark}/tz={zone}/as_of_hour={hour}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         dashboard_media(unified_fn(), as_of, tz).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)

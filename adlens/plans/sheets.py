@@ -70,7 +70,9 @@ def pie_from_raw(raw: DataFrame) -> DataFrame:
 
 def summary_sheet(unified: DataFrame, start, end, month_start=None, month_end=None) -> dict[str, DataFrame]:
     """RB5: KPI block, media share and the week block. The pie and the daily
-    table come from one per-date aggregate (one scan of the facts)."""
+    table are sums of the same per-date aggregate; a block that needs both
+    reads it twice unless Spark reuses its shuffle (``kpi_of_range`` takes
+    the KPI block from it in one pass)."""
     raw = daily_raw(unified, start, end)
     table = daily_from_raw(raw)
     pie = pie_from_raw(raw)
@@ -87,25 +89,37 @@ def daily_sheet(unified: DataFrame, start, end) -> DataFrame:
     return with_totals(daily_table(unified, start, end), ["report_date"], DAILY_SUMS)
 
 
-def kpi(pie: DataFrame, table: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def kpi(pie: DataFrame, table: DataFrame, by: tuple[str, ...] = (), reports: DataFrame | None = None) -> DataFrame:
     """AG6 / RB5 KPI block: metric, value (per ``by`` keys, e.g. a report).
 
-    Media costs come from the pie; when both are 0 they come from the table
-    sums. Built as one aggregate over the union of the two inputs (no join)."""
-    z = F.lit(0.0)
+    Media costs come from the first pie row of each media (by ``pos``, where
+    the pie has one); when both are 0 they come from the table sums. Built as
+    one aggregate over the union of the inputs (no join). ``reports`` lists
+    the keys that get a block even without any dataset (zeros)."""
     keys = [F.col(k) for k in by]
+    pos = F.col("pos").cast("bigint") if "pos" in pie.columns else F.lit(0).cast("bigint")
     pie_part = pie.select(
-        *keys,
-        F.when(F.col("media") == "google", F.col("cost")).otherwise(z).alias("g_pie"),
-        F.when(F.col("media") == "kakao", F.col("cost")).otherwise(z).alias("k_pie"))
+        *keys, F.col("cost").alias("pie_cost"),
+        F.when(F.col("media") == "google", pos).alias("g_pos"), F.when(F.col("media") == "kakao", pos).alias("k_pos"))
     tab_part = table.select(
         *keys,
         F.col("google_cost").cast("double").alias("g_tab"), F.col("kakao_cost").cast("double").alias("k_tab"),
         F.col("google_impressions").alias("g_imp"), F.col("google_clicks").alias("g_click"),
         F.col("kakao_impressions").alias("k_imp"), F.col("kakao_clicks").alias("k_click"))
     both = pie_part.unionByName(tab_part, allowMissingColumns=True)
-    s = both.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
-                                ["g_pie", "k_pie", "g_tab", "k_tab", "g_imp", "g_click", "k_imp", "k_click"]])
+    if reports is not None:
+        both = both.unionByName(reports.select(*keys), allowMissingColumns=True)
+    exact = lambda c: F.coalesce(money_sum(c).cast("double"), F.lit(0.0)).alias(c)
+    s = both.groupBy(*by).agg(
+        F.coalesce(F.min_by("pie_cost", "g_pos"), F.lit(0.0)).alias("g_pie"),
+        F.coalesce(F.min_by("pie_cost", "k_pos"), F.lit(0.0)).alias("k_pie"), exact("g_tab"), exact("k_tab"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ["g_imp", "g_click", "k_imp", "k_click"]])
+    return _kpi_rows(s, by)
+
+
+def _kpi_rows(s: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Metric rows from the pie costs (``g_pie``, ``k_pie``) and table sums."""
+    keys = [F.col(k) for k in by]
     use_tab = (F.col("g_pie") == 0) & (F.col("k_pie") == 0)
     g_cost = F.when(use_tab, F.col("g_tab")).otherwise(F.col("g_pie"))
     k_cost = F.when(use_tab, F.col("k_tab")).otherwise(F.col("k_pie"))
@@ -120,14 +134,34 @@ def kpi(pie: DataFrame, table: DataFrame, by: tuple[str, ...] = ()) -> DataFrame
     return wide.selectExpr(*[f"`{k}`" for k in by], stack)
 
 
+def kpi_of_range(unified: DataFrame, start, end) -> DataFrame:
+    """RB5 KPI block of the fact tables in one scan: the per-date sums give the
+    pie (rounded sums) and the table (sums of rounded days) in one aggregate."""
+    day = daily_raw(unified, start, end)
+    even = lambda c: round_half_even(F.coalesce(F.col(c), F.lit(0)), 0)
+    s = day.agg(
+        round_half_even(F.coalesce(F.sum("google_cost"), F.lit(0)), 0).alias("g_pie"),
+        round_half_even(F.coalesce(F.sum("kakao_cost"), F.lit(0)), 0).alias("k_pie"),
+        F.coalesce(F.sum(even("google_cost")), F.lit(0.0)).alias("g_tab"),
+        F.coalesce(F.sum(even("kakao_cost")), F.lit(0.0)).alias("k_tab"),
+        *[F.coalesce(F.sum(F.col(c).cast("bigint")), F.lit(0)).alias(n) for c, n in
+          (("google_impressions", "g_imp"), ("google_clicks", "g_click"),
+           ("kakao_impressions", "k_imp"), ("kakao_clicks", "k_click"))])
+    return _kpi_rows(s)
+
+
 def week_of_month(table: DataFrame, n: int = 5, by: tuple[str, ...] = (),
-                  pos: str = "report_date") -> DataFrame:
+                  pos: str = "report_date", reports: DataFrame | None = None) -> DataFrame:
     """AG7 + TK4 + WN2: weekly totals by ``M월 N주차`` label (no year, as in
     the reference, Q15); the first ``n`` labels in first-seen order (``pos``);
     share of total cost over the shown weeks. Five zero rows W1..W5 when
     there are no rows. Per ``by`` keys (e.g. one report) when given: then
-    the first-n cut ranks labels within a key, a handful of rows each."""
-    t = table.select(*by, week_of_month_label(dashed_date_text("report_date")).alias("week_label"),
+    the first-n cut ranks labels within a key, a handful of rows each;
+    ``reports`` lists the keys that get the five zero rows when they have
+    none. Labels come from ``date_text`` where the table has it (a document's
+    own text), else from ``report_date``."""
+    text = F.col("date_text") if "date_text" in table.columns else dashed_date_text("report_date")
+    t = table.select(*by, week_of_month_label(text).alias("week_label"),
                      F.col(pos).alias("_pos"), "report_date",
                      "google_cost", "kakao_cost", "google_clicks", "kakao_clicks")
     g = t.groupBy(*by, "week_label").agg(
@@ -139,6 +173,12 @@ def week_of_month(table: DataFrame, n: int = 5, by: tuple[str, ...] = (),
         w = Window.partitionBy(*by).orderBy(F.col("first_pos").asc_nulls_last(), F.col("week_label"))
         shown = g.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
         rows = shown
+        if reports is not None:
+            none = reports.select(*by).distinct().join(table.select(*by).distinct(), list(by), "left_anti")
+            zero = none.select(*by, F.explode(F.array(*[F.lit(w) for w in EMPTY_WEEK_LABELS])).alias("week_label"),
+                               *[F.lit(0.0).alias(c) for c in ["google_cost", "kakao_cost", "google_clicks",
+                                                               "kakao_clicks"]])
+            rows = rows.unionByName(zero, allowMissingColumns=True)
     else:
         shown = first_groups(g, "first_pos", n)
         spark = table.sparkSession
@@ -274,15 +314,16 @@ def google_sheet_from_documents(bar: DataFrame, by: tuple[str, ...] = ("report_i
                        keep=["campaign", "ctr", "cpc", "roas"], within=by)
 
 
-def kakao_sheet_from_documents(pie: DataFrame, listing: DataFrame) -> DataFrame:
+def kakao_sheet_from_documents(pie: DataFrame, listing: DataFrame, all_reports: DataFrame | None = None) -> DataFrame:
     """RB8 from report documents (what the reference fills): the kakao total
     taken from the first kakao pie row (JN3; 0 when there is none) and, when
     the pie has at least two rows, every pie row with its name (AG10 default
-    ``매체N``) and rounded cost."""
+    ``매체N``) and rounded cost. ``all_reports`` adds reports without a pie."""
     kakao = (pie.filter(F.col("media") == "kakao").groupBy("report_id")
                 .agg(F.min_by(F.col("cost"), F.col("pos")).alias("cost")))
     reports = pie.groupBy("report_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    total = (reports.join(kakao, "report_id", "left")
+    every = reports.select("report_id") if all_reports is None else all_reports.select("report_id").distinct()
+    total = (every.join(kakao, "report_id", "left")
                     .select("report_id", F.lit("kakao_total").alias("row_type"), F.lit(MEDIA_KAKAO).alias("media_name"),
                             round_half_even(F.coalesce(F.col("cost"), F.lit(0.0)), 0).alias("cost"),
                             F.lit(None).cast("int").alias("pos")))

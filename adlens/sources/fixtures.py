@@ -44,11 +44,14 @@ def google_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kakao_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """kakao_ad_performance keyword facts (before the master join): orders."""
+    """kakao_ad_performance keyword facts (before the master join): orders.
+    Some keys are padded with spaces, some are in no master."""
     o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    kwd = c.cast("string")
     return o.select(
-        F.col("o_custkey").cast("string").alias("kwd_id"),
+        F.when(c % 10 == 0, F.concat(F.lit("x"), kwd)).when(c % 10 == 1, F.concat(F.lit(" "), kwd, F.lit(" ")))
+         .otherwise(kwd).alias("kwd_id"),
         F.col("o_orderpriority").alias("agroup_id"),
         F.col("o_orderstatus").alias("adv_id"),
         _date_text("o_orderdate").alias("basic_date"),
@@ -62,13 +65,13 @@ def kakao_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kakao_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyword master with gaps and later duplicate rows: customer."""
+    """Keyword master with later duplicate rows: customer."""
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
-    first = c.filter(key % 10 != 0).select(
+    first = c.select(
         key.cast("string").alias("kwd_id"), F.col("c_name").alias("kwd_name"),
         F.col("c_mktsegment").alias("camp_name"), F.lit(1).alias("seq"))
-    second = c.filter((key % 7 == 0) & (key % 10 != 0)).select(
+    second = c.filter(key % 7 == 0).select(
         key.cast("string").alias("kwd_id"), F.col("c_name").alias("kwd_name"),
         F.concat(F.col("c_mktsegment"), F.lit("_v2")).alias("camp_name"), F.lit(2).alias("seq"))
     return first.unionByName(second)

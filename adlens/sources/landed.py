@@ -210,3 +210,36 @@ def keyword_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = raw_extract(spark, sf_dir)
     return r.select((F.col("kwd_id").cast("bigint") % 2000).cast("string").alias("kwd_id"),
                     "adv_id", F.lit("g1").alias("agroup_id"), "imp", "click", "spending", "basic_date")
+
+
+def google_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Google extract as CSV text rows; the segment ``date`` is a week after
+    ``basic_date``, the date that reports go by."""
+    from .fixtures import google_ads
+    s = lambda c: F.col(c).cast("string").alias(c)
+    return google_ads(spark, sf_dir).select(
+        "camp_name", "keyword_id", "keyword_text", "basic_date",
+        F.date_add("report_date", 7).cast("string").alias("date"), s("impressions"), s("clicks"), s("cost_micros"))
+
+
+def master_in_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword master without a sequence column: the later row of a keyword
+    stands later in the files. Carries the columns that the join drops."""
+    m = kakao_master(spark, sf_dir).withColumn("adv_id", F.lit("master")).withColumn(
+        "basic_date", F.lit("19000101")).withColumn("agroup_id", F.lit("master"))
+    return m.repartitionByRange("seq", "kwd_id").sortWithinPartitions("seq", "kwd_id").drop("seq")
+
+
+def kakao_padded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kakao responses whose keyword ids are those of the facts (some padded, some unknown)."""
+    from .fixtures import kakao_facts
+    f = kakao_facts(spark, sf_dir)
+    row = F.struct(F.col("kwd_id").alias("keywordId"), F.col("agroup_id").alias("adGroupId"),
+                   F.struct(*[F.col(c).cast("string").alias(n) for c, n in (
+                       ("imp", "imp"), ("click", "click"), ("spending", "spending"),
+                       ("conv_purchase_1d", "convPurchase1d"), ("conv_purchase_7d", "convPurchase7d"))]).alias("metrics"))
+    day = F.col("report_date").cast("string")
+    part = F.pmod(F.xxhash64("kwd_id", "imp", "click"), F.lit(64))
+    return (f.groupBy(F.col("adv_id").alias("account_id"), day.alias("date"), part.alias("doc"))
+             .agg(F.collect_list(row).alias("data"))
+             .select("account_id", "date", (F.col("account_id") != FAILED_ACCOUNT).alias("ok"), "data"))

@@ -14,7 +14,7 @@ from adlens.sources import readers
 def _rows(spark, items):
     df = spark.createDataFrame(items, "kwd_id string, imp long, report_date date")
     return df.select("kwd_id", "imp", F.regexp_replace(F.col("report_date").cast("string"), "-", "").alias("basic_date"),
-                     *partition_keys("report_date"))
+                     "report_date", *partition_keys("report_date"))
 
 
 def _read(spark, path):
@@ -37,8 +37,28 @@ def test_partition_strings_keep_zero_and_range_prunes(spark, tmp_dir):
     sinks.write_partitions(_rows(spark, [("a", 1, dt.date(2024, 3, 4)), ("b", 2, dt.date(2024, 4, 5))]), tmp_dir)
     df = readers.scan_table(spark, tmp_dir, "kakao", "2024-03-01", "2024-03-31")
     assert [r.month_p for r in df.collect()] == ["03"]
+    assert len(df.inputFiles()) == 1 and "month_p=03" in df.inputFiles()[0]   # other days are not listed
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert "PushedFilters: [IsNotNull(report_date)" in plan
+    none = readers.scan_table(spark, tmp_dir, "kakao", "2025-01-01", "2025-01-31")
+    assert none.count() == 0 and none.columns == df.columns
+
+
+def test_csv_quotes_line_breaks_and_encodings_in_order(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/q", exist_ok=True)
+    with open(f"{tmp_dir}/q/a.csv", "w") as f:
+        f.write('k,v\n1,"a ""b"", c"\n2,"two\nlines"\n3,x,too many\n')
+    df = readers.read_csv_text(spark, f"{tmp_dir}/q", encodings=("UTF-8",), multi_line=True, corrupt="bad")
+    rows = {r.k: r.v for r in df.collect()}
+    assert rows["1"] == 'a "b", c' and rows["2"] == "two\nlines"
+    assert [r.bad is not None for r in df.orderBy("k").collect()] == [False, False, True]
+    os.makedirs(f"{tmp_dir}/bad", exist_ok=True)
+    with open(f"{tmp_dir}/bad/a.csv", "wb") as f:
+        f.write(b"k,v\n1,\xff\xfe\xff\n")
+    import pytest
+    with pytest.raises(ValueError):
+        readers.read_csv_text(spark, f"{tmp_dir}/bad").collect()
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "false"
 
 
 def test_csv_encodings(spark, tmp_dir):
@@ -108,7 +128,7 @@ def test_hot_day_is_split_across_writer_tasks(spark, tmp_dir):
     cold = spark.range(20).select(F.lit("c").alias("kwd_id"), F.col("id").alias("imp"),
                                   F.date_add(F.lit(dt.date(2024, 4, 1)), F.col("id").cast("int")).alias("report_date"))
     rows = hot.unionByName(cold)
-    rows = rows.select("kwd_id", "imp", *partition_keys("report_date"))
+    rows = rows.select("kwd_id", "imp", "report_date", *partition_keys("report_date"))
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key)
     spark.conf.set(key, "16k")
@@ -130,7 +150,8 @@ def test_bulk_load_counts_stages_without_extra_jobs(spark, tmp_dir):
         f.write("kwd_id,imp,basic_date\n1,2.5,20240305\n2,3.5,2024-03-06\n3,x,bad\n1,1,20240305\n")
     with open(f"{tmp_dir}/m/a.csv", "w") as f:
         f.write("kwd_id,camp_name,seq\n1,old,1\n1,new,2\n")
-    res = bulk_load(spark, "kakao", f"{tmp_dir}/kw", f"{tmp_dir}/t", f"{tmp_dir}/q", master_path=f"{tmp_dir}/m")
+    res = bulk_load(spark, "kakao", f"{tmp_dir}/kw", f"{tmp_dir}/t", f"{tmp_dir}/q", master_path=f"{tmp_dir}/m",
+                    master_seq="seq")
     assert res["counts"]() == {"read": 4, "enriched": 4, "written": 3, "quarantined": 1}
     rows = sorted((r.kwd_id, r.imp, r.camp_name, r.basic_date) for r in readers.scan_table(
         spark, f"{tmp_dir}/t", "kakao").collect())
@@ -147,8 +168,34 @@ def test_cached_dashboard_reuses_the_hour(spark, tmp_dir):
     def unified():
         builds.append(1)
         return _unified(spark, SF)
-    first = sorted(map(tuple, cached_dashboard(spark, unified, "1998-03-10 00:00:00", tmp_dir).collect()))
-    second = sorted(map(tuple, cached_dashboard(spark, unified, "1998-03-10 00:30:00", tmp_dir).collect()))
+    first = sorted(map(tuple, cached_dashboard(spark, unified, "1998-03-10 00:00:00", tmp_dir, SF).collect()))
+    second = sorted(map(tuple, cached_dashboard(spark, unified, "1998-03-10 00:30:00", tmp_dir, SF).collect()))
     assert first == second and len(builds) == 1
-    cached_dashboard(spark, unified, "1998-03-10 01:00:00", tmp_dir).collect()
+    cached_dashboard(spark, unified, "1998-03-10 01:00:00", tmp_dir, SF).collect()
     assert len(builds) == 2
+    cached_dashboard(spark, unified, "1998-03-10 00:00:00", tmp_dir, SF, tz="UTC").collect()
+    cached_dashboard(spark, unified, "1998-03-10 00:00:00", tmp_dir, "other").collect()
+    assert len(builds) == 4
+
+
+def test_master_without_sequence_keeps_the_last_row_in_file_order(spark, tmp_dir):
+    from adlens.plans.loads import read_master
+    os.makedirs(tmp_dir, exist_ok=True)
+    for name, rows in (("a.csv", ["1,old", "2,x", "1,mid"]), ("b.csv", [" 1 ,new", "3,y"])):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("kwd_id,camp_name\n" + "\n".join(rows) + "\n")
+    got = sorted(map(tuple, read_master(spark, tmp_dir).collect()))
+    assert got == [("1", "new"), ("2", "x"), ("3", "y")]
+
+
+def test_undated_batch_rows_go_to_quarantine(spark, tmp_dir):
+    import json
+    from adlens.plans.loads import batch_load
+    os.makedirs(f"{tmp_dir}/d", exist_ok=True)
+    with open(f"{tmp_dir}/d/r.json", "w") as f:
+        f.write(json.dumps({"results": [{"segments": {"date": d}, "metrics": {"impressions": "1"}}
+                                        for d in ("2024-03-05", "never")]}) + "\n")
+    for _ in range(2):
+        batch_load(spark, "google", f"{tmp_dir}/d", f"{tmp_dir}/t", quarantine=f"{tmp_dir}/q")
+    assert [r.day for r in readers.scan_table(spark, f"{tmp_dir}/t", "google").collect()] == ["05"]
+    assert [r.basic_date for r in spark.read.parquet(f"{tmp_dir}/q").collect()] == ["never"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from adlens.operators import aggregates as agg
 from adlens.operators.joins import by_date_and_media, daily_lookup, enrich_with_master, latest_master, media_value
 from adlens.operators.topk import first_groups, top_n
+from adlens.session import scratch_path
 from adlens.operators.windows import last_per_key, position_within, with_share
 from adlens.plans import sheets
 
@@ -64,12 +65,29 @@ def test_position_within_matches_brute_force_on_skewed_keys(spark):
         k = "hot" if i % 3 == 0 else f"k{rnd.randint(0, 50)}"
         rows.append((k, rnd.randint(0, 500), i))
     df = spark.createDataFrame(rows, "k string, v long, id long").repartition(6)
-    got = {r.id: r.position for r in position_within(df, ["k"], [F.col("v").desc(), F.col("id")]).collect()}
+    got = {r.id: r.position for r in position_within(df, ["k"], [F.col("v").desc(), F.col("id")],
+                                                     -F.floor(F.col("v") / 50)).collect()}
     w = Window.partitionBy("k").orderBy(F.col("v").desc(), F.col("id"))
     want = {r.id: r.p for r in df.select("id", F.row_number().over(w).alias("p")).collect()}
     assert got == want
 
 
+def test_position_within_on_many_rows_with_null_keys_and_extra_columns(spark):
+    """Past the sizes at which sampled partition bounds would differ: a hot
+    key, a NULL key, and a column that only the rows carry."""
+    n = 600_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.lit(None).cast("string"))
+         .otherwise((F.col("id") % 1000).cast("string")).alias("k"),
+        (F.hash("id") % 100_000).alias("v"), "id", F.concat(F.lit("text "), F.col("id")).alias("extra")).repartition(7)
+    got = position_within(df, ["k"], [F.col("v"), F.col("id")], F.floor(F.col("v") / 1000))
+    w = Window.partitionBy("k").orderBy("v", "id")
+    both = got.withColumn("want", F.row_number().over(w)).agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("want") != F.col("position")).cast("int")).alias("bad"),
+        F.sum((F.col("extra") != F.concat(F.lit("text "), F.col("id"))).cast("int")).alias("mixed")).first()
+    assert (both.n, both.bad, both.mixed) == (n, 0, 0)
+
+
 def test_last_per_key_deterministic_on_ties(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 0, "z")], "k string, seq int, v string")
     assert last_per_key(df, ["k"], "seq").first().v == "y"
@@ -161,7 +179,9 @@ def test_hot_key_left_join_is_split_by_aqe(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        out = enrich_with_master(facts, master, seq="seq")
+        path = scratch_path(spark, "one_master")
+        latest_master(master, "seq").drop("seq").write.parquet(path)
+        out = enrich_with_master(facts, spark.read.parquet(path))
         got = dict(out.groupBy("camp_name").count().collect())
         plan = out._jdf.queryExecution().executedPlan().toString()
         out.collect()
@@ -176,6 +196,46 @@ def test_hot_key_left_join_is_split_by_aqe(spark):
     assert "SortMergeJoin" in plan and "skew" in plan.lower()
 
 
+def test_kpi_takes_the_first_pie_row_of_each_media_and_lists_empty_reports(spark):
+    pie = spark.createDataFrame([("r", 0, "google", 100.0), ("r", 1, "google", 50.0), ("r", 2, "kakao", 7.0)],
+                                "report_id string, pos int, media string, cost double")
+    table = spark.createDataFrame([], "report_id string, report_date date, google_cost double, kakao_cost double, "
+                                      "google_impressions long, google_clicks long, kakao_impressions long, kakao_clicks long")
+    reports = spark.createDataFrame([("r",), ("empty",)], "report_id string")
+    got = {(r.report_id, r.metric): r.value for r in sheets.kpi(pie, table, ("report_id",), reports).collect()}
+    assert got["r", "google_cost"] == 100.0 and got["r", "kakao_cost"] == 7.0 and got["r", "total_cost"] == 107.0
+    assert got["empty", "total_cost"] == 0.0 and got["empty", "avg_ctr"] == 0.0
+    weeks = sheets.week_of_month(table, by=("report_id",), reports=reports).collect()
+    assert sorted((r.report_id, r.week_label) for r in weeks) == sorted(
+        (k, f"W{i}") for k in ("r", "empty") for i in range(1, 6))
+
+
+def test_week_labels_from_document_text(spark):
+    t = spark.createDataFrame([("r", 0, "2024-3-5", dt.date(2024, 3, 5)), ("r", 1, "3월 합", None), ("r", 2, "", None)],
+                              "report_id string, pos int, date_text string, report_date date")
+    t = t.select("*", *[F.lit(1.0).alias(c) for c in ("google_cost", "kakao_cost", "google_clicks", "kakao_clicks")])
+    got = {r.week_label for r in sheets.week_of_month(t, by=("report_id",), pos="pos").collect()}
+    assert got == {"3월 1주차", "3월 합", "기타"}
+
+
+def test_totals_keep_rows_with_equal_names_apart(spark):
+    df = spark.createDataFrame([("(미분류)", 5, 20, 0.25), ("(미분류)", 1, 10, 0.1), ("(미분류)", 1, 10, 0.1), ("a", 2, 4, 0.5)],
+                               "campaign string, clicks long, impressions long, ctr double")
+    out = agg.with_totals(df, ["campaign"], ["clicks", "impressions"], keep=["ctr"]).collect()
+    detail = sorted((r.campaign, r.clicks, r.impressions, r.ctr) for r in out if r.row_type == "detail")
+    assert detail == [("(미분류)", 1, 10, 0.1), ("(미분류)", 1, 10, 0.1), ("(미분류)", 5, 20, 0.25), ("a", 2, 4, 0.5)]
+    (total,) = [r for r in out if r.row_type == "total"]
+    assert (total.clicks, total.impressions, total.ctr, total.campaign) == (9, 44, None, None)
+
+
+def test_padded_keys_match_in_both_paths(spark):
+    facts = spark.createDataFrame([(" 1 ", dt.date(2024, 3, 5), 3, 1, 2.0, 0, 0), ("1", dt.date(2024, 3, 5), 4, 1, 2.0, 0, 0)],
+                                  "kwd_id string, report_date date, imp long, click long, spending double, "
+                                  "conv_purchase_1d long, conv_purchase_7d long")
+    one = agg.kakao_keyword_totals(facts, "2024-03-01", "2024-03-31").collect()
+    assert [(r.kwd_id, r.imp) for r in one] == [("1", 7)]
+
+
 def test_summary_sheet_blocks_agree(spark):
     from adlens.catalog import AS_OF, _unified  # noqa: F401
     from adlens.plans.weekly import WEEK_END, WEEK_START
