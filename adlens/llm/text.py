@@ -124,7 +124,7 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
         return np.zeros(0, np.uint64), out_first
     with np.errstate(over="ignore"):
         full = np.zeros(n, np.uint64)
-        for j in range(k):
+        for j in range(min(k, n)):
             full[:n - j] += words[j:] * c[j]
         short = np.flatnonzero((count > 0) & (count < k))
         for d in short:  # fewer than k words: the whole sequence, marked by its length
