@@ -6,7 +6,7 @@ scaled to length one. One weight vector is shared by all grades; ordered
 thresholds cut the line into grades: P(grade > j) = sigmoid(w.x - threshold_j).
 The result is the expected grade and the tail probability of a wanted grade.
 
-The model is fitted in numpy on at most ``per_grade`` texts of each grade;
+The model is fitted in numpy on about ``per_grade`` texts of each grade;
 their features are made by Spark tasks, whole texts. Scoring reads every
 document whole.
 
@@ -124,7 +124,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, bits: in
 
 def train(docs: DataFrame, ratings: DataFrame, grade: str = "grade", per_grade: int = PER_GRADE, bits: int = BITS,
           id: str = "doc_id", text: str = "text") -> Model:
-    """Fit on at most ``per_grade`` rated texts of each grade."""
+    """Fit on about ``per_grade`` rated texts of each grade."""
     rows = labelled_sample(docs, ratings, grade, per_grade, id, text).select("t", F.col("y").cast("int").alias("y"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

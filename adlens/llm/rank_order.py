@@ -6,8 +6,8 @@ compared with each profile: every n-gram of the document costs the difference
 of its two ranks, or ``top`` where the profile lacks it; the language with the
 least sum wins.
 
-Profiles are learned from at most ``per_lang`` labelled documents of each
-language (the ones with the smallest hashes of id and text), read whole.
+Profiles are learned from about ``per_lang`` labelled documents of each
+language (chosen by a hash of id and text), read whole.
 Prediction reads every document whole.
 
 Defined results
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sample import thinned
 from .text import constants
 
 TOP = 400
@@ -135,19 +136,13 @@ class Profiles:
 
 def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang",
           per_lang: int = PER_LANG, top: int = TOP) -> Profiles:
-    """Profiles from at most ``per_lang`` labelled documents of each language.
+    """Profiles from about ``per_lang`` labelled documents of each language.
 
     Only ``top`` n-grams of each language reach the driver.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id).alias("i"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"))
-    slim = rows.select("lang", "i", F.xxhash64("i", "t").alias("h"))
-    first = Window.partitionBy("lang").orderBy("h", "i")
-    chosen = slim.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select("lang", "i", "h")
-    same = (F.col("r.i").eqNullSafe(F.col("c.i")) & (F.col("r.lang") == F.col("c.lang"))
-            & (F.col("r.h") == F.col("c.h")))
-    sample = (rows.withColumn("h", F.xxhash64("i", "t")).alias("r")
-              .join(chosen.alias("c"), same, "left_semi").dropDuplicates(["lang", "h"]).select("lang", "t"))
+    sample = thinned(rows, "lang", per_lang, F.col("i"), F.col("t")).select("lang", "t")
 
     def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import saved
+
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, y: str, per_class: int, id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """(t, y): at most ``per_class`` labelled texts of each value of ``y``.
+    """(i, t, y): about ``per_class`` labelled texts of each value of ``y``, or
+    all where there are fewer.
 
-    The rows with the smallest hashes of their id are taken, so a sample does
-    not depend on the order or the partitioning of the input. Only ids travel
-    until the sample is chosen. An id labelled twice counts with its larger label.
+    An id is taken if its hash falls under the share of its class that is
+    wanted, so a sample does not depend on the order or the partitioning of
+    the input, and no class is gathered or sorted to choose it. An id labelled
+    twice counts with its larger label.
     """
     known = (labels.where(F.col(y).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).alias("i"))
              .agg(F.max(y).alias("y")))
-    h = F.xxhash64("i", F.lit("sample"))
-    slim = docs.where(F.col(text).isNotNull()).select(F.col(id).alias("i")).distinct().join(known, "i")
-    first = Window.partitionBy("y").orderBy("h", "i")
-    chosen = slim.withColumn("h", h).withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_class)
     texts = docs.select(F.col(id).alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
-    return texts.join(chosen.select("i", "y"), "i").select("i", "t", "y")
+    known = known.join(texts.select("i"), "i", "left_semi")
+    chosen = thinned(known, "y", per_class, F.col("i"))
+    return texts.join(chosen, "i").select("i", "t", "y")
+
+
+def thinned(rows: DataFrame, group: str, most: int, *key: Column) -> DataFrame:
+    """About ``most`` rows of each value of ``group``, chosen by the hash of ``key``."""
+    counts = saved(rows.groupBy(group).agg(F.count("*").alias("_n")), "counts")
+    place = F.pmod(F.xxhash64(*key, F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return rows.join(counts, group).where(place * F.col("_n") < most).drop("_n")
