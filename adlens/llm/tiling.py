@@ -142,7 +142,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = K, coverage: fl
     # Marked words are at most k per matching item place: pairs with too few places cannot reach the coverage.
     able = (pairs.groupBy("row_key", "item_key", "item_words").agg(F.countDistinct("item_pos").alias("places"))
             .where(F.col("places") * k >= F.col("item_words") * coverage).select("row_key", "item_key"))
-    hit = pairs.join(able, ["row_key", "item_key"], "left_semi")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work, not bytes, is to be dealt out
+    hit = pairs.join(able, ["row_key", "item_key"], "left_semi").repartition(parts, "row_key", "item_key")
     return hit.groupBy("row_key", "item_key").applyInPandas(_cover(k, coverage), OUT)
 
 
