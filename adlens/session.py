@@ -90,7 +90,9 @@ def isolated(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     """Another session of the same application with its own SQL settings, for
     a step that needs one set; the caller's session stays as it is."""
     own = spark.newSession()
-    same = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.") and spark.conf.isModifiable(k)}
+    fresh = own.conf.getAll
+    same = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.") and fresh.get(k) != v}
     for k, v in {**same, **settings}.items():
-        own.conf.set(k, v)
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
     return own
