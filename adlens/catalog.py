@@ -450,16 +450,18 @@ def row_counts(spark, sf_dir):
 def doc_kpi(spark, sf_dir):
     """RB5 KPI block of every report document, from its pie and table
     datasets (AG12 -> AG6)."""
-    sets = documents.datasets(_report_docs(spark, sf_dir))
-    return sheets.kpi(documents.pie_rows(sets), documents.table_rows(sets), by=("report_id",))
+    docs = _report_docs(spark, sf_dir)
+    sets = documents.datasets(docs)
+    return sheets.kpi(documents.pie_rows(sets), documents.table_rows(sets), ("report_id",), docs.select("report_id"))
 
 
 @register("doc_week_of_month")
 def doc_week_of_month(spark, sf_dir):
     """RB5 week block of every report document, from its table dataset in
     dataset order (AG12 -> AG7, WN2)."""
-    sets = documents.datasets(_report_docs(spark, sf_dir))
-    return sheets.week_of_month(documents.table_rows(sets), by=("report_id",), pos="pos")
+    docs = _report_docs(spark, sf_dir)
+    rows = documents.table_rows(documents.datasets(docs))
+    return sheets.week_of_month(rows, by=("report_id",), pos="pos", reports=docs.select("report_id"))
 
 
 @register("doc_daily_sheet")
@@ -511,8 +513,9 @@ def doc_google_sheet(spark, sf_dir):
 @register("doc_kakao_sheet")
 def doc_kakao_sheet(spark, sf_dir):
     """RB8 of every report document, from its pie dataset."""
-    sets = documents.datasets(_report_docs(spark, sf_dir))
-    out = sheets.kakao_sheet_from_documents(documents.pie_rows(sets), documents.pie_listing(sets))
+    docs = _report_docs(spark, sf_dir)
+    sets = documents.datasets(docs)
+    out = sheets.kakao_sheet_from_documents(documents.pie_rows(sets), documents.pie_listing(sets), docs)
     return out.withColumn("pos", _F.col("pos").cast("bigint"))
 
 
@@ -520,8 +523,9 @@ def doc_kakao_sheet(spark, sf_dir):
 def doc_media_share(spark, sf_dir):
     """RB5 media block of every report document (pie, with the table as
     fallback, then shares)."""
-    sets = documents.datasets(_report_docs(spark, sf_dir))
-    k = sheets.kpi(documents.pie_rows(sets), documents.table_rows(sets), by=("report_id",))
+    docs = _report_docs(spark, sf_dir)
+    sets = documents.datasets(docs)
+    k = sheets.kpi(documents.pie_rows(sets), documents.table_rows(sets), ("report_id",), docs.select("report_id"))
     return sheets.media_share_block(k)
 
 

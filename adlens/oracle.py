@@ -466,31 +466,36 @@ WEEKS = """wk AS (
 
 QUERIES["report_datasets"] = with_(*BASE, WEEKS) + """
 SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, 'pie' AS chart_type,
-       CAST(COUNT(DISTINCT media) AS BIGINT) AS n_rows, CAST(6 AS BIGINT) AS message_pos FROM wk GROUP BY week
+       CAST(COUNT(DISTINCT media) + 1 AS BIGINT) AS n_rows, CAST(6 AS BIGINT) AS message_pos FROM wk GROUP BY week
 UNION ALL
 SELECT 'w' || strftime(week, '%Y%m%d'), 'line', CAST(COUNT(DISTINCT report_date) AS BIGINT), 3 FROM wk GROUP BY week
 UNION ALL
-SELECT 'w' || strftime(week, '%Y%m%d'), 'table', CAST(COUNT(DISTINCT report_date) AS BIGINT), 5 FROM wk GROUP BY week
+SELECT 'w' || strftime(week, '%Y%m%d'), 'table', CAST(COUNT(DISTINCT report_date) + 1 AS BIGINT), 5 FROM wk GROUP BY week
 UNION ALL
-SELECT 'w' || strftime(week, '%Y%m%d'), 'bar', CAST(COUNT(DISTINCT campaign) AS BIGINT), 4
-FROM wk WHERE media = 'google' GROUP BY week"""
+SELECT 'w' || strftime(week, '%Y%m%d'), 'bar',
+       CAST(COUNT(DISTINCT CASE WHEN media = 'google' THEN campaign END) + 2 AS BIGINT), 4
+FROM wk GROUP BY week"""
 
 QUERIES["report_texts"] = with_(*BASE, WEEKS) + """
 SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, CAST(2 AS BIGINT) AS n_texts,
        'week of ' || strftime(week, '%Y-%m-%d') || ' | google clicks ' ||
        CAST(COALESCE(SUM(CASE WHEN media = 'google' THEN clicks END), 0) AS VARCHAR) AS texts
-FROM wk GROUP BY week"""
+FROM wk GROUP BY week
+UNION ALL SELECT 'empty', 1, 'no data in regions ' || CAST(COUNT(*) AS VARCHAR) FROM region"""
 
 QUERIES["report_pie"] = with_(*BASE, WEEKS) + """
 SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
        CAST(ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS BIGINT) AS pos,
        media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost
-FROM wk GROUP BY week, media"""
+FROM wk GROUP BY week, media
+UNION ALL
+SELECT 'w' || strftime(week, '%Y%m%d'), COUNT(DISTINCT media), 'google', 7.0 FROM wk GROUP BY week"""
 
 QUERIES["report_titles"] = with_(*BASE, WEEKS) + """
 SELECT DISTINCT 'w' || strftime(week, '%Y%m%d') AS report_id, '주간 리포트 ' || strftime(week, '%Y-%m-%d') AS title,
        strftime(week + 7, '%Y년 %m월 %d일') AS created
-FROM wk"""
+FROM wk
+UNION ALL SELECT 'empty', '주간 리포트 empty', '1998년 12월 31일'"""
 
 QUERIES["sheets_roundtrip"] = f"""
 SELECT 'daily' AS sheet, CAST(report_date AS VARCHAR) AS label, total_cost AS cost, row_type
@@ -555,17 +560,19 @@ DOC_WEEK = """dd AS (
   FROM wk GROUP BY week, report_date),
 pm AS (
   SELECT week,
-         COALESCE(SUM(CASE WHEN media = 'google' THEN c END), 0) AS g_pie,
+         COALESCE(SUM(CASE WHEN media = 'google' THEN c END), 7) AS g_pie,
          COALESCE(SUM(CASE WHEN media = 'kakao' THEN c END), 0) AS k_pie
   FROM (SELECT week, media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS c FROM wk GROUP BY week, media)
   GROUP BY week)"""
 
 QUERIES["doc_kpi"] = with_(*BASE, WEEKS, DOC_WEEK) + """,
 s AS (
-  SELECT pm.week, g_pie, k_pie, SUM(gc) AS g_tab, SUM(kc) AS k_tab, SUM(gi) + SUM(ki) AS imp, SUM(gk) + SUM(kk) AS clk
-  FROM pm JOIN dd ON pm.week = dd.week GROUP BY pm.week, g_pie, k_pie),
+  SELECT pm.week, g_pie, k_pie, SUM(gc) + 5 AS g_tab, SUM(kc) AS k_tab, SUM(gi) + SUM(ki) AS imp,
+         SUM(gk) + SUM(kk) + 1 AS clk
+  FROM pm JOIN dd ON pm.week = dd.week GROUP BY pm.week, g_pie, k_pie
+  UNION ALL SELECT NULL, 0, 0, 0, 0, 0, 0),
 v AS (
-  SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
+  SELECT COALESCE('w' || strftime(week, '%Y%m%d'), 'empty') AS report_id,
          CASE WHEN g_pie = 0 AND k_pie = 0 THEN g_tab ELSE g_pie END AS g,
          CASE WHEN g_pie = 0 AND k_pie = 0 THEN k_tab ELSE k_pie END AS k, imp, clk FROM s)
 SELECT report_id, 'total_cost' AS metric, g + k AS value FROM v
@@ -580,26 +587,32 @@ QUERIES["doc_week_of_month"] = with_(*BASE, WEEKS, DOC_WEEK) + """,
 lab AS (
   SELECT week, report_date, gc, kc, gk, kk,
          CAST(month(report_date) AS VARCHAR) || '월 ' || CAST((day(report_date) - 1) // 7 + 1 AS VARCHAR) || '주차' AS week_label
-  FROM dd),
+  FROM dd
+  UNION ALL SELECT DISTINCT week, NULL::DATE, 5, 0, 1, 0, '합계' FROM dd),
 g AS (
   SELECT week, week_label, SUM(gc) AS google_cost, SUM(kc) AS kakao_cost, SUM(gk) AS google_clicks,
          SUM(kk) AS kakao_clicks, MIN(report_date) AS first_date
   FROM lab GROUP BY week, week_label),
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY week ORDER BY first_date, week_label) AS rn FROM g)
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY week ORDER BY first_date NULLS LAST, week_label) AS rn FROM g)
 SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, week_label, google_cost, kakao_cost,
        google_cost + kakao_cost AS total_cost, google_clicks, kakao_clicks,
        google_clicks + kakao_clicks AS total_clicks, first_date,
        (google_cost + kakao_cost) / NULLIF(SUM(google_cost + kakao_cost) OVER (PARTITION BY week), 0) AS share
-FROM r WHERE rn <= 5"""
+FROM r WHERE rn <= 5
+UNION ALL
+SELECT 'empty', 'W' || CAST(k AS VARCHAR), 0, 0, 0, 0, 0, 0, NULL, NULL FROM (SELECT unnest(range(1, 6)) AS k)"""
 
 QUERIES["doc_daily_sheet"] = with_(*BASE, WEEKS, DOC_WEEK) + """
 SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
        CASE WHEN GROUPING(report_date) = 1 THEN NULL ELSE strftime(report_date, '%Y-%m-%d') END AS date,
-       SUM(gc) AS google_cost, SUM(kc) AS kakao_cost, SUM(gi) AS google_impressions, SUM(gk) AS google_clicks,
-       SUM(ki) AS kakao_impressions, SUM(kk) AS kakao_clicks, SUM(gc + kc) AS total_cost,
-       SUM(gi + ki) AS total_impressions, SUM(gk + kk) AS total_clicks,
+       SUM(gc) AS google_cost, SUM(kc) AS kakao_cost, SUM(m * gi) AS google_impressions, SUM(m * gk) AS google_clicks,
+       SUM(m * ki) AS kakao_impressions, SUM(m * kk) AS kakao_clicks, SUM(gc + kc) AS total_cost,
+       SUM(m * (gi + ki)) AS total_impressions, SUM(m * (gk + kk)) AS total_clicks,
        CASE WHEN GROUPING(report_date) = 1 THEN 'total' ELSE 'detail' END AS row_type
-FROM dd GROUP BY GROUPING SETS ((week, report_date), (week))"""
+FROM (SELECT *, CASE WHEN isodow(report_date) = 1
+                      AND strftime(report_date, '%Y-%m-%d') <> CAST(year(report_date) AS VARCHAR) || '-'
+                          || CAST(month(report_date) AS VARCHAR) || '-' || CAST(day(report_date) AS VARCHAR)
+                     THEN 0.0 ELSE 1.0 END AS m FROM dd) GROUP BY GROUPING SETS ((week, report_date), (week))"""
 
 QUERIES["google_top10_from_table"] = QUERIES["google_campaign_top10"]
 
@@ -616,11 +629,14 @@ c AS (
   SELECT week, campaign, CAST(SUM(impressions) AS DOUBLE) AS impressions, CAST(SUM(clicks) AS DOUBLE) AS clicks,
          CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost, CAST(SUM(conversions) AS DOUBLE) AS conversions,
          CAST(ROUND_EVEN(SUM(conv_value), 0) AS DOUBLE) AS conv_value
-  FROM wk WHERE media = 'google' GROUP BY week, campaign),
+  FROM wk WHERE media = 'google' GROUP BY week, campaign
+  UNION ALL SELECT DISTINCT week, NULL, 10, 2, 3, 1, 4 FROM wk
+  UNION ALL SELECT DISTINCT week, '(미분류)', 10, 2, 3, 1, 4 FROM wk),
 d AS (
   SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
-         ROW_NUMBER() OVER (PARTITION BY week ORDER BY campaign) - 1 AS pos,
-         campaign, impressions, clicks, cost, conversions, conv_value,
+         ROW_NUMBER() OVER (PARTITION BY week ORDER BY campaign IS NULL OR campaign = '(미분류)', campaign IS NOT NULL,
+                            campaign) - 1 AS pos,
+         COALESCE(campaign, '(미분류)') AS campaign, impressions, clicks, cost, conversions, conv_value,
          CASE WHEN impressions = 0 THEN 0.0 ELSE clicks / impressions END AS ctr,
          cost / NULLIF(clicks, 0) AS cpc, conv_value / NULLIF(cost, 0) AS roas
   FROM c)
@@ -637,8 +653,7 @@ FROM d GROUP BY GROUPING SETS ((report_id, pos), (report_id))"""
 QUERIES["doc_kakao_sheet"] = with_(*BASE, WEEKS) + """,
 p AS (
   SELECT week, media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost,
-         ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS pos,
-         COUNT(*) OVER (PARTITION BY week) AS n_rows
+         ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS pos
   FROM wk GROUP BY week, media)
 SELECT 'w' || strftime(week, '%Y%m%d') AS report_id, 'kakao_total' AS row_type, '카카오' AS media_name,
        COALESCE(MAX(CASE WHEN media = 'kakao' THEN cost END), 0.0) AS cost, CAST(NULL AS BIGINT) AS pos
@@ -646,14 +661,17 @@ FROM p GROUP BY week
 UNION ALL
 SELECT 'w' || strftime(week, '%Y%m%d'), 'media', CASE media WHEN 'google' THEN '구글' ELSE '카카오' END,
        cost, CAST(pos AS BIGINT)
-FROM p WHERE n_rows >= 2"""
+FROM p
+UNION ALL SELECT 'w' || strftime(week, '%Y%m%d'), 'media', '구글', 7.0, COUNT(*) FROM p GROUP BY week
+UNION ALL SELECT 'empty', 'kakao_total', '카카오', 0.0, NULL"""
 
 QUERIES["doc_media_share"] = with_(*BASE, WEEKS, DOC_WEEK) + """,
 s AS (
-  SELECT pm.week, g_pie, k_pie, SUM(gc) AS g_tab, SUM(kc) AS k_tab
-  FROM pm JOIN dd ON pm.week = dd.week GROUP BY pm.week, g_pie, k_pie),
+  SELECT pm.week, g_pie, k_pie, SUM(gc) + 5 AS g_tab, SUM(kc) AS k_tab
+  FROM pm JOIN dd ON pm.week = dd.week GROUP BY pm.week, g_pie, k_pie
+  UNION ALL SELECT NULL, 0, 0, 0, 0),
 v AS (
-  SELECT 'w' || strftime(week, '%Y%m%d') AS report_id,
+  SELECT COALESCE('w' || strftime(week, '%Y%m%d'), 'empty') AS report_id,
          CASE WHEN g_pie = 0 AND k_pie = 0 THEN g_tab ELSE g_pie END AS g,
          CASE WHEN g_pie = 0 AND k_pie = 0 THEN k_tab ELSE k_pie END AS k FROM s),
 m AS (
@@ -708,7 +726,8 @@ FROM raw"""
 QUERIES["media_totals_named"] = with_(*BASE, WEEKS) + """,
 p AS (
   SELECT week, media, CAST(ROUND_EVEN(SUM(cost), 0) AS DOUBLE) AS cost,
-         ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS pos FROM wk GROUP BY week, media)
+         ROW_NUMBER() OVER (PARTITION BY week ORDER BY media) - 1 AS pos FROM wk GROUP BY week, media
+  UNION ALL SELECT week, 'google', 7.0, COUNT(DISTINCT media) FROM wk GROUP BY week)
 SELECT CASE WHEN media = 'google' THEN '매체' || CAST(pos + 1 AS VARCHAR) ELSE media END AS media,
        SUM(cost) AS cost, CAST(MIN(pos) AS BIGINT) AS pos
 FROM p GROUP BY 1"""

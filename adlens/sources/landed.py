@@ -17,6 +17,7 @@ from .fixtures import kakao_master, table
 # Text of our own fixture documents (not reference values).
 MASTER_LABEL_PREFIX = "캠페인 "
 REPORT_TITLE_PREFIX = "주간 리포트 "
+SUM_LABEL = "합계"
 
 FAILED_ACCOUNT = "P"          # the account whose response failed
 CUSTOMER_ID = "123-456-7890"  # landed google customer id (dashes removed on ingest)
@@ -112,7 +113,11 @@ def google_day_documents(spark: SparkSession, sf_dir: str, scale_day: str | None
 def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One weekly report document per week of the fact tables: a user
     request, assistant texts, and chart messages (a superseded pie, line,
-    bar, table, the final pie, an empty pie and an unknown chart type).
+    bar, table, the final pie, an empty pie and an unknown chart type); and
+    one report without any dataset. The datasets hold what real ones do: a
+    repeated media row, a row named by a text instead of a date, dates without
+    zeros (Mondays in the table), and a campaign without a name beside one
+    that bears the default name.
 
     One scan of the facts: a GROUPING SETS aggregate gives per-day sums of
     each media and per-campaign google sums in one pass; a second aggregate
@@ -154,7 +159,8 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             pairs += [F.lit(key), values[name]]
         return F.create_map(*pairs)
     line = as_map(L.KEY_DATE, d, L.LINE_KEYS, day_values)
-    tab = as_map(L.KEY_DATE, d, L.TABLE_KEYS, day_values)
+    plain = F.when(F.weekday("report_date") == 0, F.date_format("report_date", "yyyy-M-d")).otherwise(d)
+    tab = as_map(L.KEY_DATE, plain, L.TABLE_KEYS, day_values)
     bar = as_map(L.KEY_CAMPAIGN, F.col("campaign"), L.BAR_KEYS, camp_values)
     is_day = F.col("_by_campaign") == 0
     is_camp = (F.col("_by_campaign") == 1) & (F.col("gn") > 0)
@@ -172,9 +178,16 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               round_half_even(cost, 0).cast("string"))
     pie = F.filter(F.array(F.when(F.col("g_n") > 0, pie_row(L.MEDIA_GOOGLE, "g_cost")),
                            F.when(F.col("k_n") > 0, pie_row(L.MEDIA_KAKAO, "k_cost"))), lambda x: x.isNotNull())
+    num = lambda **kv: {**{k: F.lit("0") for k in L.TABLE_KEYS}, **{k: F.lit(v) for k, v in kv.items()}}
+    sum_row = as_map(L.KEY_DATE, F.lit(SUM_LABEL), L.TABLE_KEYS, num(google_cost="5", google_clicks="1"))
+    odd = {"impressions": "10", "clicks": "2", "cost": "3", "conversions": "1", "conv_value": "4"}
+    no_name = F.create_map(*[F.lit(x) for k, v in odd.items() for x in (L.BAR_KEYS[k], v)])
+    default = F.map_concat(F.create_map(F.lit(L.KEY_CAMPAIGN), F.lit(L.UNNAMED_CAMPAIGN)), no_name)
+    again = F.create_map(F.lit(L.KEY_MEDIA), F.lit(L.MEDIA_GOOGLE), F.lit(L.KEY_COST), F.lit("7"))
     w = w.select("week", F.transform("l", lambda x: x["m"]).alias("line"),
-                 F.transform("t", lambda x: x["m"]).alias("table"),
-                 F.transform("b", lambda x: x["m"]).alias("bar"), pie.alias("pie"), "clicks")
+                 F.concat(F.transform("t", lambda x: x["m"]), F.array(sum_row)).alias("table"),
+                 F.concat(F.transform("b", lambda x: x["m"]), F.array(no_name, default)).alias("bar"),
+                 F.concat(pie, F.array(again)).alias("pie"), "clicks")
     empty = F.array().cast("array<map<string,string>>")
     none = F.lit(None).cast("array<map<string,string>>")
 
@@ -196,10 +209,15 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         msg("assistant", F.lit(""), "pie", empty),
         msg("assistant", F.lit(""), "map", F.col("pie")),
         msg("assistant", F.concat(F.lit("google clicks "), F.col("clicks").cast("string")), None, none))
-    return w.select(F.concat(F.lit("w"), F.date_format("week", "yyyyMMdd")).alias("report_id"),
-                    F.concat(F.lit(REPORT_TITLE_PREFIX), week_text).alias("title"),
-                    F.date_format(F.date_add("week", 7), "yyyy-MM-dd'T'09:00:00").alias("createdAt"),
-                    messages.alias("messages"))
+    weekly = w.select(F.concat(F.lit("w"), F.date_format("week", "yyyyMMdd")).alias("report_id"),
+                      F.concat(F.lit(REPORT_TITLE_PREFIX), week_text).alias("title"),
+                      F.date_format(F.date_add("week", 7), "yyyy-MM-dd'T'09:00:00").alias("createdAt"),
+                      messages.alias("messages"))
+    bare = table(spark, sf_dir, "region").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("empty").alias("report_id"), F.lit(REPORT_TITLE_PREFIX + "empty").alias("title"),
+        F.lit("1998-12-31T23:30:00+09:00").alias("createdAt"),
+        F.array(msg("assistant", F.concat(F.lit("no data in regions "), F.col("n").cast("string")), None, none)).alias("messages"))
+    return weekly.unionByName(bare)
 
 
 def keyword_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
