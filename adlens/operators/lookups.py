@@ -78,6 +78,14 @@ def active_reports(reports: DataFrame, as_of, user: str | None = None) -> DataFr
                            F.col("expires_at").cast("date"))
 
 
-def report_row(df: DataFrame, days: int = 90) -> DataFrame:
-    """SNK4 row shape: ``expires_at`` = ``created_at`` + 90 days (SC15)."""
+def report_row(df: DataFrame, days: int = 90, as_of=None) -> DataFrame:
+    """SNK4 row shape: ``expires_at`` = ``created_at`` + 90 days (SC15). Where
+    the columns are missing, ``report_id`` is made from the user, the type and
+    the period (the same report gets the same id on a rerun) and
+    ``created_at`` is ``as_of``."""
+    if "report_id" not in df.columns:
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "type", "period_start", "period_end")]
+        df = df.withColumn("report_id", F.sha2(F.concat_ws("\n", *parts), 256).substr(1, 32))
+    if "created_at" not in df.columns:
+        df = df.withColumn("created_at", F.lit(str(as_of)).cast("timestamp_ntz"))
     return df.withColumn("expires_at", plus_days("created_at", days))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import PARTITION_COLUMNS, TABLES
-from ..session import isolated
+from ..session import isolated, path_exists
 
 
 def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
@@ -76,7 +76,11 @@ def register_partitions(spark: SparkSession, table: str, days: DataFrame | None
 
 
 def append_report(df: DataFrame, path: str) -> None:
-    """SNK4: append report rows."""
+    """SNK4: append the report rows whose ``report_id`` is not saved yet, so a
+    rerun of a report job adds nothing."""
+    spark = df.sparkSession
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        df = df.join(spark.read.parquet(path).select("report_id"), "report_id", "left_anti").select(*df.columns)
     df.write.mode("append").parquet(path)
 
 

@@ -79,6 +79,19 @@ def test_append_report(spark, tmp_dir):
     assert got == [("r1", dt.datetime(2024, 3, 31)), ("r2", dt.datetime(2024, 3, 31))]
 
 
+def test_saved_report_gets_an_id_and_a_rerun_adds_nothing(spark, tmp_dir):
+    from adlens.operators.lookups import report_row
+    r = spark.createDataFrame([("u1", "weekly", dt.date(2024, 3, 4), dt.date(2024, 3, 10)),
+                               ("u2", "weekly", dt.date(2024, 3, 4), dt.date(2024, 3, 10))],
+                              "user_id string, type string, period_start date, period_end date")
+    for as_of in ("2024-03-11 00:00:00", "2024-03-11 06:00:00"):
+        sinks.append_report(report_row(r, as_of=as_of), tmp_dir)
+    got = spark.read.parquet(tmp_dir).collect()
+    assert len(got) == 2 and len({x.report_id for x in got}) == 2
+    assert {x.created_at for x in got} == {dt.datetime(2024, 3, 11)}
+    assert {x.expires_at for x in got} == {dt.datetime(2024, 6, 9)}
+
+
 def test_daily_totals_from_documents(spark):
     from adlens.plans import sheets
     msgs = [
