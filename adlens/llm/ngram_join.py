@@ -9,11 +9,14 @@ is exact on the sets; equal sets are one set throughout and never paired.
    length n - ceil(percent * n / 100) + 1 and ``slack`` percent more. Two
    linked sets share at least one token of the prefix, and at least
    1 + slack/100 * (smaller size) tokens of the longer one.
-2. Filter. Tokens of only one set are dropped; sets left with fewer tokens
-   than that second bound can have no partner. Most documents end here.
-3. Blocks. The sets that share a prefix token and are of similar size meet in
-   the block of their least member, so the many tokens shared by a family
-   lead to one block, not one each.
+2. Filter. Tokens of only one set do not count; sets left with fewer tokens
+   than that second bound can have no partner. Most documents end here. The
+   sets of the others are read whole, and the same test with a longer prefix
+   (``SLACK_MORE``) among them leaves few but the linked ones.
+3. Blocks. The sets that share a prefix token and are of similar size are a
+   group; a group is placed in the block of its least member, and then of the
+   least member of any group that its members are in (``ROUNDS`` times), so
+   the many tokens shared by a family lead to one block, not one each.
 4. Trie join. Blocks are cut into chunks of bounded size; each pair of chunks
    is one group, where one chunk is stored in a trie and the other descends it
    (``trie.similar_pairs``). Groups return one row per set: its links and the
@@ -45,12 +48,16 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .graph import components
-from .store import saved
+from .idmap import marked
+from .store import SMALL_BATCHES, saved
 from .trie import similar_pairs, spanning
 
 SLACK = 5
-CHUNK_SETS = 256
-CHUNK_TOKENS = 200_000
+SLACK_MORE = 30
+ROUNDS = 1
+#: Bounds of a chunk: a group of the trie join holds two of them at most.
+CHUNK_SETS = 2048
+CHUNK_TOKENS = 500_000
 SKETCH = "doc_id bigint, row_key bigint, n bigint, short bigint, sid binary, tokens array<bigint>"
 
 
@@ -94,7 +101,7 @@ def sketch(docs: DataFrame, k: int, percent: int, slack: int, id: str, text: str
                 d = _digest(s) if len(s) else None
                 sid.append(d)
                 short.append(int(np.frombuffer(d, np.int64)[0]) if d else None)
-                tokens.append(s[:prefix(len(s), percent) + slack * len(s) // 100].view(np.int64))
+                tokens.append(s[:prefix(len(s), percent) + slack * len(s) // 100].view(np.int64).copy())
             ends = np.concatenate([[0], np.cumsum([len(x) for x in tokens])]).astype(np.int32)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -105,23 +112,42 @@ def sketch(docs: DataFrame, k: int, percent: int, slack: int, id: str, text: str
     return rows.mapInArrow(run, SKETCH)
 
 
-def blocks(sk: DataFrame, percent: int, slack: int) -> DataFrame:
-    """(short, n, block): the sets that may have partners and where they meet them."""
-    tokens = sk.where("n > 0").select("short", "n", F.posexplode("tokens").alias("pos", "token"))
+def sharing(sets: DataFrame, percent: int, slack: int, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(short, n) of the sets that may have partners, and (short, token) of
+    their prefix tokens that another set has too.
+
+    ``sets`` (short, n, tokens) may hold copies of a set: they have equal
+    tokens, so a set of c copies is found c times as often. ``keep`` writes the
+    shared tokens, for a caller that goes on with them.
+    """
+    tokens = sets.select("short", "n", F.posexplode("tokens").alias("pos", "token")).select(
+        "short", "token", F.expr(f"pos < n - (({percent} * n + 99) div 100) + 1").alias("inner"))
+    sizes = sets.groupBy("short").agg(F.min("n").alias("n"), F.count("*").alias("copies"))
     common = saved(tokens.groupBy("token").agg(F.min("short").alias("a"), F.max("short").alias("b"))
                    .where("a < b").select("token"), "common_tokens")
-    held = saved(tokens.join(common, "token").distinct(), "held_tokens")
-    able = saved(held.groupBy("short", "n").count().where(F.col("count") >= _needed(percent, slack))
-                 .select("short"), "able")
+    held = tokens.join(common, "token")
+    if keep:
+        held = saved(held, "held_tokens")
+    able = saved(held.groupBy("short").count().join(sizes, "short")
+                 .where(F.col("count") >= _needed(percent, slack) * F.col("copies")).select("short", "n"), "able")
+    return able, held.where("inner").select("short", "token")
+
+
+def blocks(able: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """(short, n, block): where the sets meet those that they may be linked with."""
     # Linked sets differ in size by the factor percent/100 at most: their bands are equal or next to each other.
     step = math.log(100 / percent) * 1.0001
     band = F.floor(F.log(F.col("n")) / F.lit(step))
-    near = saved(held.where(F.expr(f"pos < n - (({percent} * n + 99) div 100) + 1")).join(able, "short", "left_semi")
-                 .select("short", "n", "token", F.explode(F.array(band, band + 1)).alias("band")), "near")
-    leaders = saved(near.groupBy("token", "band").agg(F.min("short").alias("leader"), F.max("short").alias("last"))
-                    .where("leader < last").select("token", "band", "leader"), "leaders")
-    return (near.join(leaders, ["token", "band"])
-            .select("short", "n", F.xxhash64("leader", "band").alias("block")).distinct())
+    near = saved(held.join(able, "short").select("short", F.explode(
+        F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("meeting")), "near")
+    least = saved(near.groupBy("meeting").agg(F.min("short").alias("block"), F.max("short").alias("last"))
+                  .where("block < last").select("meeting", "block"), "least")
+    member = saved(near.join(least, "meeting"), "members")
+    for _ in range(ROUNDS):  # any one block for all sets of a group will do: take one that they share with others
+        low = saved(member.groupBy("short").agg(F.min("block").alias("low")), "low")
+        moved = saved(member.join(low, "short").groupBy("meeting").agg(F.min("low").alias("block")), "moved")
+        member = saved(member.drop("block").join(moved, "meeting"), "members")
+    return member.select("short", "block").distinct().join(able, "short").select("short", "n", "block")
 
 
 CELL = "sid binary, links bigint, root binary"
@@ -152,40 +178,49 @@ def _cell(percent: int):
     return run
 
 
-def trie_links(docs: DataFrame, sk: DataFrame, met: DataFrame, k: int, percent: int, id: str, text: str) -> DataFrame:
-    """(sid, links, root) of the linked sets; several rows a set."""
-    size = met.groupBy("block").agg(F.count("*").alias("m"), F.sum("n").alias("w")).select(
-        "block", F.greatest(F.ceil(F.col("m") / CHUNK_SETS), F.ceil(F.col("w") / CHUNK_TOKENS)).cast("int").alias("c"))
-    size = saved(size, "block_sizes")
-    all_blocks = met.groupBy("short").agg(F.collect_set("block").alias("blocks"))
-    place = saved(met.join(size, "block").select(
-        "short", "block", "c", F.expr("cast(pmod(xxhash64(short, block), c) as int)").alias("chunk")), "placed")
-    sets = saved(sk.select("sid", "short", "doc_id").join(met.select("short").distinct(), "short", "left_semi")
-                 .groupBy("sid", "short").agg(F.min("doc_id").alias("i"), F.count("*").alias("copies"))
-                 .join(all_blocks, "short"), "candidates")
+FULL = "sid binary, short bigint, n bigint, copies bigint, head array<bigint>, tokens binary"
+
+
+def whole_sets(docs: DataFrame, sk: DataFrame, able: DataFrame, k: int, percent: int, id: str, text: str) -> DataFrame:
+    """The sets of ``able``, read whole from one document each (repeated rows repeat them)."""
+    sets = saved(sk.select("sid", "short", "doc_id").join(able.select("short"), "short", "left_semi")
+                 .groupBy("sid", "short").agg(F.min("doc_id").alias("i"), F.count("*").alias("copies")), "candidates")
     texts = docs.select(F.col(id).cast("bigint").alias("d"), F.col(text).cast("string").alias("t"))
-    read = texts.join(sets, F.col("d").eqNullSafe(F.col("i"))).select("t", "sid", "short", "copies", "blocks")
+    read = marked(texts, "d", sets.select("i")).join(sets, F.col("d").eqNullSafe(F.col("i"))).select(
+        "t", "sid", "short", "copies")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, tokens = [], []
+            rows, n, head, tokens = [], [], [], []
             for r, (s, sid) in enumerate(zip(_sets(b.column("t"), k), b.column("sid").to_pylist())):
                 if len(s) and _digest(s) == sid:  # another text under a repeated id is not the set's
                     rows.append(r)
+                    n.append(len(s))
+                    head.append(s[:prefix(len(s), percent) + SLACK_MORE * len(s) // 100].view(np.int64))
                     tokens.append(s.tobytes())
-            some = b.select(["sid", "short", "copies", "blocks"]).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(tokens, pa.binary())],
-                                             names=["sid", "short", "copies", "blocks", "tokens"])
+            some = b.select(["sid", "short", "copies"]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [some.column("sid"), some.column("short"), pa.array(n, pa.int64()), some.column("copies"),
+                 pa.array(head, pa.list_(pa.int64())), pa.array(tokens, pa.binary())],
+                names=["sid", "short", "n", "copies", "head", "tokens"])
+
+    return saved(read.mapInArrow(run, FULL), "sets", SMALL_BATCHES)
 
-    full = saved(read.mapInArrow(run, "sid binary, short bigint, copies bigint, blocks array<bigint>, tokens binary"), "sets")
-    other = F.explode(F.sequence(F.lit(0), F.col("c") - 1))
-    cells = (place.withColumn("o", other)
+
+def trie_links(full: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """(sid, links, root) of the linked sets; several rows a set."""
+    size = saved(met.groupBy("block").agg(F.count("*").alias("m"), F.sum("n").alias("w")).select(
+        "block", F.greatest(F.ceil(F.col("m") / CHUNK_SETS), F.ceil(F.col("w") / CHUNK_TOKENS)).cast("int").alias("c")), "block_sizes")
+    place = met.join(size, "block").select(
+        "short", "block", "c", F.expr("cast(pmod(xxhash64(short, block), c) as int)").alias("chunk"))
+    cells = (place.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
              .select("short", "block", "chunk", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"))
              .distinct())
+    all_blocks = met.groupBy("short").agg(F.collect_set("block").alias("blocks"))
     # A group's work does not show in its bytes: keep Spark from packing groups into few tasks by size.
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (full.join(cells, "short").repartition(parts, "block", "i", "j")
-            .groupBy("block", "i", "j").applyInPandas(_cell(percent), CELL))
+    parts = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (full.select("sid", "short", "copies", "tokens").join(all_blocks, "short").join(cells, "short")
+            .repartition(parts, "block", "i", "j").groupBy("block", "i", "j").applyInPandas(_cell(percent), CELL))
 
 
 def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", text: str = "text",
@@ -194,9 +229,12 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", tex
 
     ``row_key`` is a hash of id and text, ``sid`` names the set (null if empty).
     """
-    sk = saved(sketch(docs, k, percent, slack, id, text), "sketch")
-    met = saved(blocks(sk, percent, slack), "blocks")
-    linked = saved(trie_links(docs, sk, met, k, percent, id, text), "links")
+    sk = saved(sketch(docs, k, percent, slack, id, text), "sketch", SMALL_BATCHES)
+    able, _ = sharing(sk.where("n > 0").select("short", "n", "tokens"), percent, slack)
+    full = whole_sets(docs, sk, able, k, percent, id, text)
+    able, held = sharing(full.select("short", "n", F.col("head").alias("tokens")), percent, SLACK_MORE, keep=True)
+    met = saved(blocks(able, held, percent), "blocks")
+    linked = saved(trie_links(full, met, percent), "links")
     roots = components(linked.select(F.col("sid").alias("u"), F.col("root").alias("v")))
     sets = sk.where("n > 0").groupBy("sid").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"))
     links = linked.groupBy("sid").agg(F.sum("links").alias("links"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .idmap import marked
 from .store import saved
 
 
@@ -22,8 +23,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, y: str, per_class: int,
              .agg(F.max(y).alias("y")))
     texts = docs.select(F.col(id).alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
     known = known.join(texts.select("i"), "i", "left_semi")
-    chosen = thinned(known, "y", per_class, F.col("i"))
-    return texts.join(chosen, "i").select("i", "t", "y")
+    chosen = saved(thinned(known, "y", per_class, F.col("i")), "chosen")
+    return marked(texts, "i", chosen.select("i")).join(chosen, "i").select("i", "t", "y")
 
 
 def thinned(rows: DataFrame, group: str, most: int, *key: Column) -> DataFrame:

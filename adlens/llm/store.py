@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
-from adlens.session import scratch_path
+from adlens.session import isolated, scratch_path
+
+#: Arrow batches of a Python step over whole texts, where memory is tight.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor costs no recomputation of what is
     already written) and gives later joins plain scans, whose shuffles Spark
-    can split when a key is hot.
+    can split when a key is hot. With ``settings`` the write runs in a session
+    of its own that has them; the caller's session stays as it is.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if not settings:
+        df.write.parquet(path)
+    else:
+        view = f"adlens_saved_{uuid.uuid4().hex}"
+        df.createGlobalTempView(view)
+        try:
+            isolated(spark, settings).table(f"global_temp.{view}").write.parquet(path)
+        finally:
+            spark.catalog.dropGlobalTempView(view)
+    return spark.read.schema(df.schema).parquet(path)

@@ -28,20 +28,20 @@ def _shared(sets: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+#: Bytes of the table that says which probe holds which token.
+TABLE = 1 << 24
+
+
 def similar_pairs(sets: list[np.ndarray], stored: np.ndarray, probes: np.ndarray, percent: int) -> np.ndarray:
     """Rows (stored set, probe) with 100 * intersection >= percent * union.
 
     ``stored`` and ``probes`` are indices into ``sets`` (arrays of distinct
     tokens). When both name the same set it is not paired with itself, and a
-    pair named in both orders is returned in both.
+    pair named in both orders is returned in both. The trie is built once;
+    the probes descend it in parties that keep their table small.
     """
     size = np.array([len(s) for s in sets])
     ranks = _shared(sets)
-    width = 1 + max((int(r[-1]) for r in ranks if len(r)), default=-1)
-    has = np.zeros((width, len(probes)), dtype=np.uint8)
-    for j, p in enumerate(probes):
-        has[ranks[p], j] = 1
-    p_size, p_len = size[probes], np.array([len(ranks[p]) for p in probes])
     # Paths in lexicographic order; neighbours' common lengths give the tree.
     order = sorted(stored, key=lambda s: ranks[s].astype(">u4").tobytes())
     paths = [ranks[s] for s in order]
@@ -52,6 +52,18 @@ def similar_pairs(sets: list[np.ndarray], stored: np.ndarray, probes: np.ndarray
         n = min(lens[k - 1], lens[k])
         diff = np.flatnonzero(paths[k - 1][:n] != paths[k][:n])
         common[k] = diff[0] if len(diff) else n
+    width = 1 + max((int(r[-1]) for r in ranks if len(r)), default=-1)
+    party = max(16, TABLE // max(width, 1))
+    out = [_descend(ranks, size, order, paths, lens, full, common, probes[i:i + party], width, percent)
+           for i in range(0, len(probes), party)]
+    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+
+def _descend(ranks, size, order, paths, lens, full, common, probes, width: int, percent: int) -> np.ndarray:
+    has = np.zeros((width, len(probes)), dtype=np.uint8)
+    for j, p in enumerate(probes):
+        has[ranks[p], j] = 1
+    p_size, p_len = size[probes], np.array([len(ranks[p]) for p in probes])
     found = []
     stack = [(0, len(paths), 0, np.zeros(len(probes), np.int64), np.arange(len(probes)))]
     while stack:
