@@ -11,8 +11,8 @@ is exact on the sets; equal sets are one set throughout and never paired.
    1 + slack/100 * (smaller size) tokens of the longer one.
 2. Filter. Tokens of only one set do not count; sets left with fewer tokens
    than that second bound can have no partner. Most documents end here. The
-   sets of the others are read whole, and the same test with a longer prefix
-   (``SLACK_MORE``) among them leaves few but the linked ones.
+   sets of the others are read whole, and only those with the wanted percentage
+   of their tokens in other such sets go on: few but the linked ones.
 3. Blocks. The sets that share a prefix token and are of similar size are a
    group; a group is placed in the block of its least member, and then of the
    least member of any group that its members are in (``ROUNDS`` times), so
@@ -53,7 +53,6 @@ from .store import SMALL_BATCHES, saved
 from .trie import similar_pairs, spanning
 
 SLACK = 5
-SLACK_MORE = 30
 ROUNDS = 1
 #: Bounds of a chunk: a group of the trie join holds two of them at most.
 CHUNK_SETS = 2048
@@ -112,13 +111,13 @@ def sketch(docs: DataFrame, k: int, percent: int, slack: int, id: str, text: str
     return rows.mapInArrow(run, SKETCH)
 
 
-def sharing(sets: DataFrame, percent: int, slack: int, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+def sharing(sets: DataFrame, percent: int, slack: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(short, n) of the sets that may have partners, and (short, token) of
     their prefix tokens that another set has too.
 
     ``sets`` (short, n, tokens) may hold copies of a set: they have equal
-    tokens, so a set of c copies is found c times as often. ``keep`` writes the
-    shared tokens, for a caller that goes on with them.
+    tokens, so a set of c copies is found c times as often. ``tokens`` is the
+    prefix with its ``slack``; without one it is the whole set.
     """
     tokens = sets.select("short", "n", F.posexplode("tokens").alias("pos", "token")).select(
         "short", "token", F.expr(f"pos < n - (({percent} * n + 99) div 100) + 1").alias("inner"))
@@ -126,10 +125,11 @@ def sharing(sets: DataFrame, percent: int, slack: int, keep: bool = False) -> tu
     common = saved(tokens.groupBy("token").agg(F.min("short").alias("a"), F.max("short").alias("b"))
                    .where("a < b").select("token"), "common_tokens")
     held = tokens.join(common, "token")
-    if keep:
-        held = saved(held, "held_tokens")
+    least = F.expr(f"({percent} * n + 99) div 100")  # tokens that a set shares with any partner
+    if slack is not None:
+        least = _needed(percent, slack)
     able = saved(held.groupBy("short").count().join(sizes, "short")
-                 .where(F.col("count") >= _needed(percent, slack) * F.col("copies")).select("short", "n"), "able")
+                 .where(F.col("count") >= least * F.col("copies")).select("short", "n"), "able")
     return able, held.where("inner").select("short", "token")
 
 
@@ -157,7 +157,7 @@ def _cell(percent: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         block, i, j = key[:3]
         pdf = pdf.drop_duplicates("sid").sort_values("sid").reset_index(drop=True)
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["tokens"]]
+        sets = [np.asarray(x, np.int64) for x in pdf["tokens"]]
         chunk = pdf["chunk"].to_numpy()
         if len(sets) < 2:
             return pd.DataFrame({"sid": [], "links": [], "root": []})
@@ -178,10 +178,10 @@ def _cell(percent: int):
     return run
 
 
-FULL = "sid binary, short bigint, n bigint, copies bigint, head array<bigint>, tokens binary"
+FULL = "sid binary, short bigint, n bigint, copies bigint, tokens array<bigint>"
 
 
-def whole_sets(docs: DataFrame, sk: DataFrame, able: DataFrame, k: int, percent: int, id: str, text: str) -> DataFrame:
+def whole_sets(docs: DataFrame, sk: DataFrame, able: DataFrame, k: int, id: str, text: str) -> DataFrame:
     """The sets of ``able``, read whole from one document each (repeated rows repeat them)."""
     sets = saved(sk.select("sid", "short", "doc_id").join(able.select("short"), "short", "left_semi")
                  .groupBy("sid", "short").agg(F.min("doc_id").alias("i"), F.count("*").alias("copies")), "candidates")
@@ -191,18 +191,16 @@ def whole_sets(docs: DataFrame, sk: DataFrame, able: DataFrame, k: int, percent:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, n, head, tokens = [], [], [], []
+            rows, n, tokens = [], [], []
             for r, (s, sid) in enumerate(zip(_sets(b.column("t"), k), b.column("sid").to_pylist())):
                 if len(s) and _digest(s) == sid:  # another text under a repeated id is not the set's
                     rows.append(r)
                     n.append(len(s))
-                    head.append(s[:prefix(len(s), percent) + SLACK_MORE * len(s) // 100].view(np.int64))
-                    tokens.append(s.tobytes())
+                    tokens.append(s.view(np.int64))
             some = b.select(["sid", "short", "copies"]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [some.column("sid"), some.column("short"), pa.array(n, pa.int64()), some.column("copies"),
-                 pa.array(head, pa.list_(pa.int64())), pa.array(tokens, pa.binary())],
-                names=["sid", "short", "n", "copies", "head", "tokens"])
+                 pa.array(tokens, pa.list_(pa.int64()))], names=["sid", "short", "n", "copies", "tokens"])
 
     return saved(read.mapInArrow(run, FULL), "sets", SMALL_BATCHES)
 
@@ -231,8 +229,8 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85, id: str = "doc_id", tex
     """
     sk = saved(sketch(docs, k, percent, slack, id, text), "sketch", SMALL_BATCHES)
     able, _ = sharing(sk.where("n > 0").select("short", "n", "tokens"), percent, slack)
-    full = whole_sets(docs, sk, able, k, percent, id, text)
-    able, held = sharing(full.select("short", "n", F.col("head").alias("tokens")), percent, SLACK_MORE, keep=True)
+    full = whole_sets(docs, sk, able, k, id, text)
+    able, held = sharing(full.select("short", "n", "tokens"), percent)
     met = saved(blocks(able, held, percent), "blocks")
     linked = saved(trie_links(full, met, percent), "links")
     roots = components(linked.select(F.col("sid").alias("u"), F.col("root").alias("v")))
