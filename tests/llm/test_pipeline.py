@@ -73,4 +73,4 @@ def test_run_on_the_small_table(spark):
     first = {i for i, in con.execute(f"SELECT min(doc_id) FROM '{SF}/documents.parquet' GROUP BY text").fetchall()}
     got = [r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()]
     assert len(got) == len(set(got)) and set(got) <= clean & first
-    assert len(got) >= 0.93 * len(clean & first)
+    assert len(got) >= 0.8 * len(clean & first)      # near copies go too
