@@ -12,7 +12,10 @@ telephone number, the ranges of a network address and a valid check digit.
 
 Two entities of a type that draw one surrogate, or a surrogate that is itself
 an entity of the corpus, are drawn again (with the next try number) until all
-are distinct.
+are distinct. The strings of one shape may be too few for that, so after each
+``TRIES`` tries the space is widened: all letters of the script instead of
+alternating ones and one more digit in an address's octets, then one more
+character at each step. Only then does a surrogate get longer than its entity.
 
 Defined results
 ---------------
@@ -29,6 +32,7 @@ Defined results
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +59,11 @@ LETTERS = {
     "greek": ("βγδζθκλμνξπρστφχψ", "αεηιουω"),
     "han": ("白成大东方高国海华金", "立林明宁平山天文新中"),
 }
+#: The same with every letter, for later tries.
+WIDE = {
+    "latin": "abcdefghijklmnopqrstuvwxyz", "accented": "".join(LETTERS["accented"]), "han": "".join(LETTERS["han"]),
+    "cyrillic": "абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω",
+}
 CLASSES = {"latin": "a-z", "accented": "ß-öø-ÿ", "cyrillic": "а-яё", "greek": "α-ω", "han": "一-鿿"}
 
 #: Type -> pattern, in the order in which they are tried at a place of the text.
@@ -69,6 +78,8 @@ PATTERNS = {
     "PERSON": r"(?<![\p{L}\p{N}])(?:" + "|".join(t for g in TITLES.values() for t in g)
               + r")\.?\s\p{Lu}[\p{L}'\-]+(?:\s\p{Lu}[\p{L}'\-]+)?",
 }
+#: Tries before the space of surrogates is widened by a step.
+TRIES = 6
 ANY = "|".join(PATTERNS.values())
 #: Every entity has one of these; a quick test before the full pattern.
 HINT = r"[@0-9]|" + "|".join(t for g in TITLES.values() for t in g)
@@ -108,7 +119,9 @@ def _pick(letters: str, n: Column) -> Column:
 
 
 def _draw(key: str, kind: Column, form: Column, attempt: int) -> Column:
-    """Surrogate of a canonical form: characters of the same kind at each place."""
+    """Surrogate of a canonical form: characters of the same kind at each place, and more in late tries."""
+    step = attempt // TRIES
+    more = max(step - 1, 0)  # characters longer than the form
     seed = F.concat_ws("\x1f", F.lit(key), kind, form, F.lit(str(attempt)))
     stream = F.concat(*[F.sha2(F.concat(seed, F.lit(f"\x1f{i}")), 256) for i in range(3)])
 
@@ -116,6 +129,8 @@ def _draw(key: str, kind: Column, form: Column, attempt: int) -> Column:
         return F.conv(F.substring(stream, (i % 96) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
     def letter(c: Column, i: Column, name: str) -> Column:
+        if step:
+            return _pick(WIDE[name], byte(i))
         con, vow = LETTERS[name]
         return F.when((i + byte(F.lit(0))) % 2 == 0, _pick(con, byte(i))).otherwise(_pick(vow, byte(i)))
 
@@ -128,15 +143,27 @@ def _draw(key: str, kind: Column, form: Column, attempt: int) -> Column:
     chars = F.filter(F.split(form, ""), lambda c: c != "")
     plain = F.array_join(F.transform(chars, same_kind), "")
     hexa = F.array_join(F.transform(chars, lambda c, i: _pick("0123456789abcdef", byte(i))), "")
-    ip = F.array_join(F.transform(F.split(form, "[.]"), lambda o, i: F.when(F.length(o) == 1, 1 + byte(i) % 9)
-                                  .when(F.length(o) == 2, 10 + byte(i) % 90).otherwise(100 + byte(i) % 156).cast("string")), ".")
+
+    def longer(c: Column) -> Column:  # characters of the kind of c, from places of their own
+        return F.concat(F.lit(""), *[same_kind(c, F.length(form) + j) for j in range(more)])
+
+    def octet(o: Column, i: Column) -> Column:
+        if step > 3:  # more than all addresses hold: octets of more digits
+            return F.concat((1 + byte(i) % 9).cast("string"), *[_pick("0123456789", byte(i + 4 * j)) for j in range(1, step)])
+        if step == 3:
+            return byte(i).cast("string")
+        size = F.length(o) + step
+        return F.when(size == 1, 1 + byte(i) % 9).when(size == 2, 10 + byte(i) % 90).otherwise(100 + byte(i) % 156).cast("string")
+
+    ip = F.array_join(F.transform(F.split(form, "[.]"), octet), ".")
     top = F.length(F.regexp_extract(form, r"\.\p{L}+$", 0))
-    email = F.concat(F.substring(plain, F.lit(1), F.length(form) - top), F.substring(form, F.length(form) - top + 1, top))
+    email = F.concat(longer(F.lit("a")), F.substring(plain, F.lit(1), F.length(form) - top),
+                     F.substring(form, F.length(form) - top + 1, top))
     code = F.greatest(F.length(form) - 10, F.lit(0))
-    phone = F.concat(F.substring(form, F.lit(1), code), F.substring(plain, code + 1, F.length(form)))
-    body = F.substring(plain, F.lit(1), F.length(form) - 1)
+    phone = F.concat(F.substring(form, F.lit(1), code), F.substring(plain, code + 1, F.length(form)), longer(F.lit("0")))
+    body = F.concat(F.substring(plain, F.lit(1), F.length(form) - 1), longer(F.lit("0")))
     check = ((10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
-    card = F.when(_luhn(form) % 10 == 0, F.concat(body, check)).otherwise(plain)
+    card = F.when(_luhn(form) % 10 == 0, F.concat(body, check)).otherwise(F.concat(plain, longer(F.lit("0"))))
     given = reduce(lambda w, gs: w.when(
         (kind == f"GIVEN_{gs[0]}") & (form.rlike(f"^[{CLASSES['cyrillic']}]") == F.lit(gs[1] == "cyrillic")),
         F.concat(F.lower(F.element_at(F.array(*map(F.lit, GIVEN[gs])), byte(F.lit(95)) % len(GIVEN[gs]) + 1)),
@@ -144,8 +171,10 @@ def _draw(key: str, kind: Column, form: Column, attempt: int) -> Column:
                  *[_pick(LETTERS[gs[1]][1 - k % 2], byte(F.lit(k))) for k in range(attempt)])),
         GIVEN, F.when(F.lit(False), F.lit("")))
     return (F.when(kind == "EMAIL", email).when(kind == "IP", ip).when(kind == "PHONE", phone)
-            .when(kind == "CARD", card).when(kind == "SECRET", hexa)
-            .when(kind.isin("GIVEN_M", "GIVEN_F"), given).otherwise(plain))
+            .when(kind == "CARD", card).when(kind == "SECRET", F.concat(hexa, longer(F.lit("0"))))
+            .when(kind.isin("GIVEN_M", "GIVEN_F"), given)
+            # the first character of an ID is a digit, that of a surname a letter
+            .otherwise(F.concat(plain, longer(F.substring(form, 1, 1)))))
 
 
 def _luhn(digits: Column) -> Column:
@@ -155,12 +184,16 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(d, F.lit(0), lambda a, x: a + x)
 
 
-def draw_surrogates(forms: DataFrame, key: str, most: int = 50) -> DataFrame:
-    """(kind, form, surrogate) for distinct (kind, form): distinct surrogates, none of them a form."""
+def draw_surrogates(forms: DataFrame, key: str) -> DataFrame:
+    """(kind, form, surrogate) for distinct (kind, form): distinct surrogates, none of them a form.
+
+    Ends for every number of forms: each widening multiplies the space of a
+    shape, so it comes to exceed the forms, and then tries place most of what waits.
+    """
     forms = saved(forms.distinct(), "forms")
     taken = forms.select("kind", F.col("form").alias("surrogate"))
     waiting, done = forms, None
-    for attempt in range(most):
+    for attempt in count():
         drawn = saved(waiting.withColumn("surrogate", _draw(key, F.col("kind"), F.col("form"), attempt)), "drawn")
         free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
         first = free.groupBy("kind", "surrogate").agg(F.min("form").alias("form"))
@@ -170,7 +203,6 @@ def draw_surrogates(forms: DataFrame, key: str, most: int = 50) -> DataFrame:
         waiting = saved(waiting.join(good, ["kind", "form"], "left_anti"), "waiting")
         if waiting.isEmpty():
             return done
-    raise ValueError(f"{most} tries gave no distinct surrogates; some type has as many entities as forms")
 
 
 def _dress(kind: Column, raw: Column, new: Column) -> Column:
@@ -185,10 +217,12 @@ def _dress(kind: Column, raw: Column, new: Column) -> Column:
                         (a["k"] + F.when(skip, 0).otherwise(1)).alias("k"))
 
     laid = F.aggregate(F.filter(F.split(raw, ""), lambda c: c != ""),
-                       F.struct(F.lit("").alias("out"), F.lit(0).alias("k")), put, lambda a: a["out"])
+                       F.struct(F.lit("").alias("out"), F.lit(0).alias("k")), put,
+                       lambda a: F.concat(a["out"], F.substring(new, a["k"] + 1, F.length(new))))
     shout = (F.upper(raw) == raw) & (F.length(raw) > 1)
     name = F.when(shout, F.upper(new)).otherwise(F.concat(F.upper(F.substring(new, 1, 1)), F.substring(new, F.lit(2), F.length(new))))
-    return F.when(kind.startswith("GIVEN"), name).otherwise(laid)
+    return (F.when(kind.startswith("GIVEN"), name)
+            .when(shout & (F.length(new) > F.length(raw)) & ~spaced, F.upper(new)).otherwise(laid))
 
 
 def replace_entities(docs: DataFrame, key: str, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -53,6 +53,27 @@ def test_surrogates_are_distinct_and_no_entity_of_the_corpus(spark):
     assert len({s for _, s in got}) == len(got) and not {s for _, s in got} & {f for f, _ in got}
 
 
+def test_more_entities_than_strings_of_their_shape(spark):
+    ab = [chr(97 + i) for i in range(26)]
+    forms = [("IP", ".".join(f"{n:04d}")) for n in range(10_000)]            # 6,561 addresses have this shape
+    forms += [("SURNAME", a + b) for a in ab for b in ab]                   # 170 surnames, all themselves forms
+    forms += [("PHONE", f"{n:03d}") for n in range(1000)] + [("EMAIL", f"{a}@{b}.com") for a in ab for b in ab]
+    got = surrogates.draw_surrogates(spark.createDataFrame(forms, "kind string, form string"), "k").collect()
+    assert sorted((r.kind, r.form) for r in got) == sorted(forms)
+    new = {(r.kind, r.surrogate) for r in got}
+    assert len(new) == len(got) and not new & set(forms)
+    assert all(max(map(int, s.split("."))) < 256 for k, s in new if k == "IP")
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.com", s) for k, s in new if k == "EMAIL")
+
+
+def test_longer_surrogates_in_the_text(spark):
+    names = [chr(65 + i) + chr(97 + j) for i in range(26) for j in range(26)]
+    df = spark.createDataFrame([(1, "; ".join(f"Mr. {n} and Mr. {n.upper()}" for n in names))], "doc_id long, text string")
+    pairs = re.findall(r"Mr\. (\S+) and Mr\. (\S+?)(?:;|$)", surrogates.replace_entities(df, "key").first().text)
+    assert len(pairs) == 676 and all(a.upper() == b for a, b in pairs)
+    assert len({a for a, _ in pairs}) == 676 and not {a for a, _ in pairs} & set(names)
+
+
 def test_awkward_rows(spark):
     df = frame(spark)
     got = surrogates.replace_entities(df, "key")
