@@ -53,6 +53,51 @@ def test_surrogates_are_distinct_and_no_entity_of_the_corpus(spark):
     assert len({s for _, s in got}) == len(got) and not {s for _, s in got} & {f for f, _ in got}
 
 
+STAY = "on 2024-05-06, 06.05.2024, 01.02.2024 10:20:30, v10.15.7, 3.14.159, 1.2.3-4, 12345, a::b, x[1::2], AB12 3456"
+FOUND = {
+    "phones": r"415-555-0132 415.555.0132 1-415-555-0132 0171 2345678 030/1234567 020 7946 0958 01 23 45 67 89 0049 171 2345678",
+    "cards": "3782 822463 10005 3782-822463-10005",
+    "iban": "DE89 3704 0044 0532 0130 00 PLUS GB82WEST12345698765432",
+    "ipv6": "2001:db8::ff00:42:8329 FE80::1 2001:0db8:0000:0000:0000:ff00:0042:8329 ::ffff:192.168.10.12 [::1]",
+}
+
+
+@pytest.mark.parametrize("name", FOUND)
+def test_more_forms_next_to_what_stays(spark, name):
+    text = f"{STAY}; {FOUND[name]}; {STAY}"
+    new = surrogates.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string"), "key").first()
+    got = re.fullmatch(re.escape(STAY) + "; (.*); " + re.escape(STAY), new.text)[1]
+    left = [w for w in re.split("[ /]", FOUND[name]) if len(w) > 4 and w in got]
+    assert left in ([], ["0049"]) and new.n_entities == {"phones": 8, "cards": 2, "iban": 2, "ipv6": 5}[name], got
+    shape = re.compile(r"\d" if name in ("phones", "cards") else "[0-9A-Za-z]")
+    assert shape.sub("x", got) == shape.sub("x", FOUND[name])
+    if name == "iban":
+        for x in re.fullmatch(r"(DE.*) (?:PLUS) (GB.*)", got).groups():
+            x = x.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+    if name == "ipv6":
+        import ipaddress
+        assert all(ipaddress.ip_address(x.strip("[]")) for x in got.split())
+
+
+def test_what_only_looks_like_an_iban(spark):
+    text = "DE88 3704 0044 0532 0130 00 and DE12 4111 1111 1111 1111 12 and AT12 1234 5678 123-45-6789"
+    new = surrogates.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string"), "key").first()
+    assert new.text.startswith("DE88 ") and "4111 1111" not in new.text and "123-45-6789" not in new.text
+
+
+def test_initials_titles_and_scripts(spark):
+    text = ("Mr. J. Smith, Dr. Anna Smith, Prof. Dr. J.R.R. Smith, Mrs. Anna K. Smith, MR. PAUL SMITH, "
+            "κύριος Νίκος Παππάς, Доктор И. Петров.")
+    new = surrogates.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string"), "key").first()
+    m = re.fullmatch(r"Mr\. (\w)\. (\w+), Dr\. (\w+) (\w+), Prof\. Dr\. (\w\.\w\.\w\.) (\w+), Mrs\. (\w+) (\w)\. (\w+), "
+                     r"MR\. ([A-Z]+) ([A-Z]+), κύριος ([Α-ώ]+) ([Α-ώ]+), Доктор ([А-Я])\. ([А-я]+)\.", new.text)
+    assert m and new.n_entities == 7, new.text
+    assert m[1] != "J" and m[5] == f"{m[1]}.{m[5][2]}.{m[5][2]}." and m[5][2] != "R" and m[8] != "K" and m[14] != "И"
+    assert m[2] == m[4] == m[6] == m[9] == m[11].capitalize() != "Smith" and m[3] == m[7] != "Anna"
+    assert m[12] != "Νίκος" and m[13] != "Παππάς" and m[15] != "Петров" and m[10] != "PAUL"
+
+
 def test_more_entities_than_strings_of_their_shape(spark):
     ab = [chr(97 + i) for i in range(26)]
     forms = [("IP", ".".join(f"{n:04d}")) for n in range(10_000)]            # 6,561 addresses have this shape
