@@ -1,7 +1,7 @@
 """Operator 3: benchmark decontamination by greedy string tiling.
 
-Words (letters and digits, lower-cased, other ASCII characters apart) of
-documents and test items are fingerprinted in windows of ``k`` words with a
+Words (runs of Unicode letters, marks and digits, lower-cased; in scripts
+without spaces, such as Chinese, Japanese and Thai, each letter) of documents and test items are fingerprinted in windows of ``k`` words with a
 Karp-Rabin style hash. Equal fingerprints are the seeds of a document and an
 item; runs of seeds on one diagonal are matches of more than ``k`` words. The
 longest match is marked again and again, cut where words are already marked,
@@ -10,7 +10,8 @@ coverage, whatever the order of the tiles, so reordered passages count.
 
 Defined results
 ---------------
-* items of fewer than ``k`` words are too short to be found and match nothing.
+* items of fewer than ``k`` words match nothing, or with ``short`` (as in the
+  query and the pipeline) every document that holds their whole sequence.
 * null or empty texts match nothing; empty tables give an empty result.
 * repeated rows of documents count once; repeated items once per item id and text.
 * null doc_id or item_id: carried as null; rows are told apart by their text too.
@@ -28,7 +29,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -39,30 +40,49 @@ COVERAGE = 0.5
 #: Test sets up to this many seeds are sent to the scanning tasks as a filter (8 bytes each).
 MAX_FILTER = 2_000_000
 
+#: A letter of a script without spaces, with its marks.
+_UNSPACED = (r"([[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\u30fc\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]&&[\p{L}\p{N}]]"
+             r"\p{M}*)")
 _APART = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def _windows(column, k: int) -> Iterator[tuple[np.ndarray, int]]:
-    """(fingerprints of the k-word windows, number of words) of each text."""
+def _spaced(t: Column) -> Column:
+    """Text whose words are apart by ASCII characters."""
+    plain = F.regexp_replace(t, r"[^\p{L}\p{M}\p{N}\x00-\x7f]", " ")
+    return F.when(t.rlike(r"[^\x00-\x7f]"), F.regexp_replace(plain, _UNSPACED, " $1 ")).otherwise(t)
+
+
+def _windows(column, k: int, sizes: Iterable[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(fingerprints of the windows of k words, then of ``sizes``, their places, number of words) of each text."""
     data, off = tx.utf8(column)
     for i, j in tx.slices(off):
         words, first = tx.hash_words(data[off[i]:off[j]], off[i:j + 1] - off[i], apart=_APART)
-        h, at = tx.shingles(words, first, k)
+        of = [(m, *tx.shingles(words, first, m)) for m in (k, *sizes)]
         for d in range(j - i):
             n = int(first[d + 1] - first[d])
-            yield (h[at[d]:at[d + 1]] if n >= k else h[:0]), n
+            own = [h[at[d]:at[d + 1]] for m, h, at in of if n >= m]
+            yield (np.concatenate([np.zeros(0, np.uint64), *own]),
+                   np.concatenate([np.zeros(0, np.int64), *[np.arange(len(h)) for h in own]]), n)
 
 
 SEEDS = "doc_id bigint, row_key bigint, n bigint, seed bigint, pos int"
 
 
-def seeds(rows: DataFrame, k: int, only: np.ndarray | None) -> DataFrame:
-    """Fingerprints of rows (doc_id, row_key, t) with their places; ``only`` (sorted) keeps those."""
+def seeds(rows: DataFrame, k: int, only: np.ndarray | None, sizes: Iterable[int] = (), whole: bool = False) -> DataFrame:
+    """Fingerprints of rows (doc_id, row_key, t) with their places; ``only`` (sorted) keeps those.
+
+    Windows have k words and those of ``sizes``; with ``whole`` a text of fewer words is one window.
+    """
+    sizes = range(1, k) if whole else sizes
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             r, n, h, p = [], [], [], []
-            for row, (f, words) in enumerate(_windows(b.column("t"), k)):
+            for row, (f, places, words) in enumerate(_windows(b.column("t"), k, sizes)):
                 f = f.view(np.int64)
+                if whole:  # the windows as long as the text, or of k words
+                    f = f[:words - k + 1] if words >= k else f[len(f) - 1:]
+                    places = np.arange(len(f))
                 at = np.arange(len(f))
                 if only is not None:
                     at = at[only[np.minimum(np.searchsorted(only, f), len(only) - 1)] == f] if len(only) else at[:0]
@@ -70,7 +90,7 @@ def seeds(rows: DataFrame, k: int, only: np.ndarray | None) -> DataFrame:
                     r.append(np.full(len(at), row))
                     n.append(np.full(len(at), words))
                     h.append(f[at])
-                    p.append(at)
+                    p.append(places[at])
             if r:
                 some = b.select(["doc_id", "row_key"]).take(pa.array(np.concatenate(r)))
                 yield pa.RecordBatch.from_arrays(
@@ -113,8 +133,9 @@ OUT = "doc_id bigint, row_key bigint, item_id bigint, item_words bigint, matched
 def _cover(k: int, least: float):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["pos", "item_pos"])
-        found = tiles(pdf["pos"].to_numpy(np.int64), pdf["item_pos"].to_numpy(np.int64), k)
-        n, total = sum(t[2] for t in found), int(pdf["item_words"].iloc[0])
+        total = int(pdf["item_words"].iloc[0])
+        found = tiles(pdf["pos"].to_numpy(np.int64), pdf["item_pos"].to_numpy(np.int64), min(k, total))
+        n = sum(t[2] for t in found)
         if n < least * total:
             return pd.DataFrame(columns=["doc_id", "row_key", "item_id", "item_words", "matched_words", "n_tiles", "coverage"])
         return pd.DataFrame({"doc_id": [pdf["doc_id"].iloc[0]], "row_key": [key[0]], "item_id": [pdf["item_id"].iloc[0]],
@@ -125,17 +146,18 @@ def _cover(k: int, least: float):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = K, coverage: float = COVERAGE, id: str = "doc_id",
-                 text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+                 text: str = "text", item: str = "item_id", item_text: str = "text", short: bool = False) -> DataFrame:
     """One row for each document and test item covered to ``coverage`` or more."""
     def rows(df: DataFrame, i: str, t: str) -> DataFrame:
         return df.select(F.col(i).cast("bigint").alias("doc_id"), F.xxhash64(F.col(i), F.col(t)).alias("row_key"),
-                         F.lower(F.col(t).cast("string")).alias("t")).where("t is not null")
+                         _spaced(F.lower(F.col(t).cast("string"))).alias("t")).where("t is not null")
 
-    tests = saved(seeds(rows(benchmark, item, item_text), k, None).distinct(), "test_seeds")
+    tests = saved(seeds(rows(benchmark, item, item_text), k, None, whole=short).distinct(), "test_seeds")
+    sizes = sorted(r.n for r in tests.where(F.col("n") < k).select("n").distinct().collect())  # fewer than k values
     # The filter only thins out what is sent on; a larger test set goes without it.
     few = tests.select("seed").distinct().limit(MAX_FILTER + 1).toArrow()["seed"].to_numpy()
     only = np.sort(few) if len(few) <= MAX_FILTER else None
-    found = seeds(rows(docs, id, text), k, only)
+    found = seeds(rows(docs, id, text), k, only, sizes)
     tests = tests.select(F.col("doc_id").alias("item_id"), F.col("row_key").alias("item_key"),
                          F.col("n").alias("item_words"), "seed", F.col("pos").alias("item_pos"))
     pairs = saved(found.drop("n").join(tests, "seed").drop("seed").distinct(), "seed_pairs")
@@ -148,8 +170,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = K, coverage: fl
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = K, coverage: float = COVERAGE, id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", short: bool = False) -> DataFrame:
     """``docs`` without the documents that cover a test item."""
-    bad = contaminated(docs, benchmark, k, coverage, id, text).select(F.col("row_key").alias("_rk")).distinct()
+    bad = contaminated(docs, benchmark, k, coverage, id, text, short=short).select(F.col("row_key").alias("_rk")).distinct()
     own = docs.withColumn("_rk", F.xxhash64(F.col(id), F.col(text)))
     return own.join(saved(bad, "contaminated"), "_rk", "left_anti").select(*docs.columns)

@@ -37,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that cover a test item."""
-    return tiling.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return tiling.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), short=True)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,3 +84,15 @@ def test_awkward_rows(spark):
     assert kept.columns == df.columns and kept.count() == df.count() - 4
     assert tiling.contaminated(empty(spark), b).count() == 0
     assert tiling.decontaminate(df, b.limit(0)).count() == df.count()
+
+
+def test_scripts_without_spaces_other_punctuation_and_short_items(spark):
+    items = [(1, "北京是中国的首都。"), (2, "กรุงเทพเป็นเมืองหลวง"), (3, "“alpha beta”—gamma delta epsilon zeta"),
+             (4, "two words"), (5, "one"), (6, "東京です"), (7, "??")]
+    docs = [(1, "他说：北京是中国的首都，对吗？"), (2, "วันนี้กรุงเทพเป็นเมืองหลวงครับ"), (3, 'so "alpha\u00a0beta" - gamma delta epsilon zeta'),
+            (4, "these Two, words! and two words"), (5, "twowords two of words"), (6, "首都東京です。"), (7, "one"), (8, "北京 首都 ??")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.coverage) for r in tiling.contaminated(d, b, short=True).collect())
+    assert got == [(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (4, 4, 1.0), (6, 6, 1.0), (7, 5, 1.0)]
+    assert sorted(r.doc_id for r in tiling.decontaminate(d, b, short=True).collect()) == [5, 8]
