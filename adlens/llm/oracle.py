@@ -83,7 +83,101 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
 FROM placed
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_OP11 = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS MATERIALIZED (
+  SELECT r, i, l[i] AS line,
+         translate(trim(l[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS k
+  FROM (SELECT r, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+many AS (SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10),
+kept AS (
+  SELECT r, string_agg(line, chr(10) ORDER BY i) AS t, count(*) AS n
+  FROM lines WHERE k NOT IN (SELECT k FROM many) GROUP BY r)
+SELECT doc_id, len(l)::BIGINT AS n_lines, (len(l) - coalesce(n, 0))::BIGINT AS n_dropped,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+def _round(n: int) -> str:
+    """Assignment number ``n`` and the centroids that follow from it."""
+    return f"""
+a{n} AS MATERIALIZED (
+  SELECT r, b.c, b.d FROM (
+    SELECT r, min({{'d': list_sum(list_transform(list_zip(kept.v, c{n}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))),
+                    'c': c}}) AS b
+    FROM kept, c{n} GROUP BY r)),
+c{n + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.v, c{n}.v) AS v FROM c{n} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+      SELECT c, i, sum(x)::HUGEINT AS s, count(*) AS n
+      FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS i FROM kept JOIN a{n} USING (r)) GROUP BY c, i)
+    GROUP BY c) AS m USING (c))"""
+
+
+_OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h NULLS LAST, v LIMIT 16)),
+{",".join(_round(n) for n in range(4))},
+sums AS (SELECT c, sum(d) AS s FROM a3 GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d::BIGINT AS distance, s::BIGINT AS cluster_inertia,
+       (SELECT sum(s) FROM sums)::BIGINT AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM kept JOIN a3 USING (r) JOIN sums USING (c) JOIN c3 USING (c)
+"""
+
+_OP13 = f"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+         lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table),
+runs AS (
+  SELECT r, k, w, count(*) AS n FROM (
+    SELECT r, k, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), '{_UPPER}', '{_LOWER}') AS w
+    FROM (SELECT row_number() OVER () AS r, coalesce(doc_id::VARCHAR, '') AS k, text FROM documents))
+  WHERE length(w) >= 6 GROUP BY r, k, w),
+hashed AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(encode(k || ':' || w))),
+             lambda i: ('0x' || substr(hex(encode(k || ':' || w)), 2 * i + 1, 2))::BIGINT)),
+             lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, bits),
+damaged AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) || chr(1) || substr(word, i + 2) AS replaced, left(word, i) || substr(word, i + 2) AS less
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+shorter AS (SELECT DISTINCT c.word AS longer, c.n AS longer_n, w.word, w.n FROM cuts c JOIN words w ON c.less = w.word),
+near AS (
+  SELECT a.word, b.word AS v, b.n FROM cuts a JOIN cuts b USING (replaced) WHERE a.word <> b.word
+  UNION ALL SELECT longer, word, n FROM shorter
+  UNION ALL SELECT word, longer, longer_n FROM shorter),
+best AS (
+  SELECT word, count(*) AS n_near, min({{'m': -n, 'v': v}}) AS b FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 5 * n THEN b.v END AS form,
+         CASE WHEN -b.m >= 5 * n THEN -b.m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, 0 AS step FROM words
+  UNION ALL
+  SELECT chain.word, forms.form, step + 1 FROM chain JOIN forms ON chain.root = forms.word WHERE forms.form IS NOT NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM forms JOIN (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word) USING (word)
+"""
+
 SQL: dict[str, str] = {
     "op6_host_rules": _OP6,
     "op7_shard_tree": _OP7,
+    "op11_line_index": _OP11,
+    "op12_vp_clusters": _OP12,
+    "op13_kd_words": _OP13,
 }

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from adlens.session import scratch_path
 
-from . import (bpe_tree, conv_text, host_rules, ngram_join, ordinal, rank_order, shard_tree, surrogates, tiling,
-               token_cache)
+from . import (bpe_tree, conv_text, host_rules, kd_words, line_index, ngram_join, ordinal, rank_order, shard_tree,
+               surrogates, tiling, token_cache, vp_clusters)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +91,19 @@ def op10_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "expected_grade", "tail_probability", "selected")
 
 
+def op11_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_index.digests(documents(spark, sf_dir), min_docs=10, chars=1)
+
+
+def op12_vp_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3)
+
+
+def op13_kd_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = kd_words.word_counts(documents(spark, sf_dir), least_chars=6, least_n=5, damage=199)
+    return kd_words.group_variants(words, ratio=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_surrogates": op2_surrogates,
@@ -102,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_tree": op8_bpe_tree,
     "op9_token_cache": op9_token_cache,
     "op10_ordinal": op10_ordinal,
+    "op11_line_index": op11_line_index,
+    "op12_vp_clusters": op12_vp_clusters,
+    "op13_kd_words": op13_kd_words,
 }
