@@ -32,3 +32,11 @@ def saved(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> D
         finally:
             spark.catalog.dropGlobalTempView(view)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

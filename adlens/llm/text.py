@@ -110,6 +110,24 @@ def hash_words(data: np.ndarray, off: np.ndarray, apart: np.ndarray = _SEP,
         return mix(h + size.astype(np.uint64)), first
 
 
+_POINT = constants(0x10000, 11)  # of code points; the first 256 are those of bytes
+
+
+def hash_points(points: np.ndarray, apart: np.ndarray, starts: np.ndarray, lens: np.ndarray,
+                size: np.ndarray) -> np.ndarray:
+    """64-bit hash of every word of code points (already lower-cased); equal to ``hash_words`` for ASCII words.
+
+    A word has ``size`` code points and ``lens`` with the places up to the next word, which ``apart`` marks.
+    """
+    with np.errstate(over="ignore"):
+        val = _POINT[np.minimum(points, 0xFFFF)]
+        far = np.flatnonzero(points > 0xFFFF)
+        val[far] = mix((points[far].astype(np.uint64) + np.uint64(1)) * _BASE + np.uint64(11)) | np.uint64(1)
+        val[apart] = 0
+        val = val[starts[0]:] * _powers(int(lens.max()))[np.arange(starts[0], len(points)) - np.repeat(starts, lens)]
+        return mix(np.add.reduceat(val, starts - starts[0]) + size.astype(np.uint64))
+
+
 def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each k-word window, first window of each text + total).
 

@@ -3,6 +3,9 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from adlens.llm import tiling
 
 from .cases import empty, frame
@@ -65,12 +68,41 @@ def test_reordered_passage_is_caught_and_spread_words_are_not(spark):
     assert got == [(1, 7, 30, 2), (3, 7, 30, 1)]
 
 
-def test_without_the_filter_the_result_is_the_same(spark, monkeypatch):
-    item = " ".join(f"t{i}" for i in range(30))
-    d = spark.createDataFrame([(1, "x " + item), (2, "nothing here at all to find")], "doc_id long, text string")
-    b = spark.createDataFrame([(7, item)], "item_id long, text string")
-    monkeypatch.setattr(tiling, "MAX_FILTER", 3)
-    assert [(r.doc_id, r.matched_words) for r in tiling.contaminated(d, b).collect()] == [(1, 30)]
+def test_more_seeds_than_bits_of_the_map(spark, monkeypatch):
+    monkeypatch.setattr(tiling, "MAP_BITS", 1 << 15)
+    items = [(n, " ".join(f"t{n}x{i}" for i in range(2000))) for n in range(40)]
+    docs = [(n, "x " + t) for n, t in items] + [(100, "nothing here at all to find")] * 2
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    b = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    got = sorted((r.doc_id, r.item_id, r.matched_words) for r in tiling.contaminated(d, b).collect())
+    assert got == [(n, n, 2000) for n in range(40)]
+
+
+def test_equal_fingerprints_of_other_words_do_not_count(spark, monkeypatch):
+    monkeypatch.setattr(tiling.Words, "windows", lambda self, m: np.zeros(max(0, len(self.hashes) - m + 1), np.uint64))
+    item = " ".join(f"t{i}" for i in range(12))
+    w = [tiling.Words(*tiling.tx.utf8(pa.array([t]))) for t in (item, "É x " + item.upper())]
+    assert w[0].text(3, 5) == w[1].text(5, 5) == "t3 t4 t5 t6 t7"
+    rows = spark.createDataFrame([(1, 2, item)], "doc_id long, row_key long, t string")
+    assert {r.words for r in tiling.seeds(rows, 5).collect()} == {" ".join(f"t{j}" for j in range(i, i + 5)) for i in range(8)}
+
+
+def test_windows_roll_and_words_agree_in_all_scripts():
+    texts = ["the Quick brown-fox", "", "été ÉTÉ naïve", "a b 日本語 c d", "…", "the quick Brown fox é", "кот Кот 𝒳𝒴 𝒳𝒴"]
+    w = tiling.Words(*tiling.tx.utf8(pa.array(texts)))
+    assert w.first.tolist() == [0, 4, 4, 7, 14, 14, 19, 23]
+    h = w.hashes
+    assert h[4] == h[5] != h[6] and (h[:4] == h[14:18]).all() and h[19] == h[20] and h[21] == h[22]
+    plain = tiling.Words(*tiling.tx.utf8(pa.array(texts[:2])))
+    assert (plain.hashes == h[:4]).all()                                # bytes and code points agree
+    assert [w.text(i, 1) for i in range(7, 14)] == ["a", "b", "日", "本", "語", "c", "d"]
+    for m in (1, 3, 5):
+        f = w.windows(m)
+        for i in range(len(f)):
+            total = 0
+            for j in range(m):
+                total += int(h[i + j]) * pow(int(tiling._BACK), j, 1 << 64)
+            assert int(f[i]) == int(tiling.tx.mix(np.array([(total + m) % (1 << 64)], np.uint64))[0])
 
 
 def test_awkward_rows(spark):
@@ -80,6 +112,8 @@ def test_awkward_rows(spark):
                                (1, " ".join(f"w{i}" for i in range(20)))], "item_id long, text string")
     got = sorted(((r.doc_id, r.item_id, r.coverage) for r in tiling.contaminated(df, b).collect()), key=str)
     assert got == sorted(((d, i, 1.0) for d in (1, 2, 7, 8) for i in (1, None)), key=str)
+    clash = tiling.decontaminate(df.withColumns({c: df.n for c in ("row_key", "_rk", "seed", "pos")}), b)
+    assert {tuple(r[-4:]) for r in clash.collect()} <= {(1,) * 4, (None,) * 4} and clash.count() == df.count() - 4
     kept = tiling.decontaminate(df, b)
     assert kept.columns == df.columns and kept.count() == df.count() - 4
     assert tiling.contaminated(empty(spark), b).count() == 0
