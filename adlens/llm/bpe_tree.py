@@ -265,12 +265,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", piece: int = PIECE, i
     done = rows.where(~long).mapInArrow(short, schema)
 
     # A text is known by its digest, so copies and repeated rows share one encoding.
-    numbered = rows.where(long).withColumn("_rid", F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
+    own = fresh(rows, "rid")
+    numbered = rows.where(long).withColumn(own, F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
 
     def cuts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
         for b in batches:
-            for rid, x in zip(b.column("_rid").to_pylist(), b.column("t").to_pylist()):
+            for rid, x in zip(b.column("rid").to_pylist(), b.column("t").to_pylist()):
                 out = [(rid, s, k, part if special else None, p) for s, (special, part) in enumerate(tok.segments(x))
                        for k, p in enumerate([""] if special else cut(part, piece))]
                 if out:
@@ -299,12 +300,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", piece: int = PIECE, i
         return pd.DataFrame({"_rid": [key[0]], "ids": [ids.tobytes()],
                              **({} if ids_only else {"decoded": [tok.decode(ids).decode()]})})
 
-    pieces = numbered.select("_rid", body.alias("t")).mapInArrow(cuts, PIECES)
+    pieces = numbered.select(F.col(own).alias("rid"), body.alias("t")).mapInArrow(cuts, PIECES)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work, not bytes, is to be dealt out
     coded = pieces.dropDuplicates(["rid", "seg", "k"]).repartition(parts, "rid", "seg", "k").mapInArrow(leaves, CODED)
     more = T.StructType([T.StructField("_rid", T.BinaryType()), *schema.fields[len(keep):]])
     joined = coded.groupBy("rid").applyInPandas(together, more)
-    return done.unionByName(numbered.join(joined, "_rid").drop("_rid").select(*schema.names))
+    return done.unionByName(numbered.join(joined.withColumnRenamed("_rid", own), own).drop(own).select(*schema.names))
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:

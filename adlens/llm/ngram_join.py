@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from . import text as tx
 from .graph import components
 from .idmap import marked
-from .store import SMALL_BATCHES, saved
+from .store import SMALL_BATCHES, fresh, saved
 from .trie import similar_pairs, spanning
 
 SLACK = 5
@@ -258,9 +258,10 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id: str = "doc_id",
     first = found.where(alone | (F.col("component_id") == F.col("doc_id")))
     chosen = first.groupBy("doc_id", "row_key").agg(F.count("*").alias("m"), F.max(F.col("n_shingles") > 0).alias("w"),
                                                     F.min(F.struct("sid")).alias("s"))
-    kept = saved(chosen.select(F.col("doc_id").alias("_d"), F.col("row_key").alias("_k"),
-                               (F.col("w") & (F.col("m") > 1)).alias("_again")), "kept")
-    own = docs.withColumn("_rk", F.xxhash64(F.col(id), F.col(text)))
-    rows = own.join(kept, F.col(id).cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_rk") == F.col("_k")))
-    return (rows.where(~F.col("_again")).select(*docs.columns)
-            .union(rows.where("_again").dropDuplicates(["_d", "_k"]).select(*docs.columns)))
+    key = fresh(docs, "kept")
+    kept = saved(chosen.select(F.struct(F.col("doc_id").alias("d"), F.col("row_key").alias("k"),
+                                        (F.col("w") & (F.col("m") > 1)).alias("again")).alias(key)), "kept")
+    of = F.col(key)
+    rows = docs.join(kept, F.col(id).cast("bigint").eqNullSafe(of["d"]) & (F.xxhash64(F.col(id), F.col(text)) == of["k"]))
+    return (rows.where(~of["again"]).select(*docs.columns)
+            .union(rows.where(of["again"]).dropDuplicates([key]).select(*docs.columns)))

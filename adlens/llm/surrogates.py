@@ -45,7 +45,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import fresh, saved
 
 #: Titles that tell a person, by the person's gender (N: not told). Fixed values.
 TITLES = {
@@ -93,13 +93,16 @@ IBAN = {
 _APART, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _TITLE = (r"(?:(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?|(?:"
           + "|".join(t for g in SHOUTED.values() for t in g) + r")\.)[\s\xa0]")
-_NAME = r"\p{Lu}[\p{L}'’\-]+"
+_NAME = r"\p{Lu}[\p{L}'’\-]{1,99}(?!\p{L})"
 _INITIALS = r"(?:\p{Lu}(?:\.[\s\xa0]?|[\s\xa0])){1,3}"
 _HEX, _V4 = "[0-9a-fA-F]{1,4}", r"\d{1,3}(?:\.\d{1,3}){3}"
 
 #: Type -> pattern, in the order in which they are tried at a place of the text.
 PATTERNS = {
-    "EMAIL": r"[\p{L}\p{N}._%+\-]*[\p{L}\p{N}_%+\-]@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
+    # a local part starts where its characters do, or right after another entity, and is taken whole: one look at
+    # each character of a long run; parts that no address has (over 256, 63 and 127 labels) are none
+    "EMAIL": r"(?:\G|(?<![\p{L}\p{N}._%+\-]))[\p{L}\p{N}._%+\-]{1,256}+(?<!\.)@"
+             r"[\p{L}\p{N}\-]{1,63}(?:\.[\p{L}\p{N}\-]{1,63}){0,126}\.\p{L}{2,63}(?!\p{L})",
     "IP": r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?[\p{L}\p{N}])",
     # compressed ones have a digit or three groups (a::b is code, and x[1::2] as well)
     "IP6": r"(?<![\p{L}\p{N}:.])(?<![\p{L}\p{N}_)\]]\[)(?:(?:H:){7}H|(?:H:){6}V"
@@ -345,15 +348,15 @@ def replace_entities(docs: DataFrame, key: str, id: str = "doc_id", text: str =
         .otherwise(_dress(F.col("kind"), F.col("raw"), F.col("surrogate"))).alias("new"))
     by_match = dressed.groupBy("p", "pos").agg(F.sort_array(F.collect_list(F.struct("j", "new"))).alias("x"), F.sum("e").alias("e")).select(
         "p", "pos", "e", F.array_join(F.col("x.new"), "").alias("new"))
+    ours, told = fresh(rows, "place"), fresh(rows, "replaced")
     by_row = saved(by_match.groupBy("p").agg(F.sort_array(F.collect_list(F.struct("pos", "new"))).alias("x"),
-                                              F.sum("e").alias("_e"))
-                   .select(F.col("p.i").alias("_i"), F.col("p.h").alias("_h"), F.col("x.new").alias("_new"), "_e"), "replacements")
-    held = rows.where(hint).withColumn("_h2", F.xxhash64(F.col(id), F.col(text))).join(
-        by_row, F.col(id).cast("string").eqNullSafe(F.col("_i")) & (F.col("_h2") == F.col("_h")), "left")
+                                              F.sum("e").alias("e"))
+                   .select(F.col("p").alias(ours), F.struct(F.col("x.new").alias("new"), "e").alias(told)), "replacements")
+    held = rows.where(hint).join(by_row, place["i"].eqNullSafe(F.col(ours)["i"]) & (place["h"] == F.col(ours)["h"]), "left")
     between = F.split(F.col(text), ANY, -1)
-    woven = F.array_join(F.flatten(F.zip_with(between, F.coalesce(F.col("_new"), F.array().cast("array<string>")),
+    woven = F.array_join(F.flatten(F.zip_with(between, F.coalesce(F.col(told)["new"], F.array().cast("array<string>")),
                                               lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    changed = held.withColumn("n_entities", F.coalesce("_e", F.lit(0)).cast("long")).withColumn(
-        text, F.when(F.col("_new").isNull(), F.col(text)).otherwise(woven))
+    changed = held.withColumn("n_entities", F.coalesce(F.col(told)["e"], F.lit(0)).cast("long")).withColumn(
+        text, F.when(F.col(told)["new"].isNull(), F.col(text)).otherwise(woven))
     return (changed.select(*cols, "n_entities")
             .unionByName(rows.where(~hint).select(*cols, F.lit(0).cast("long").alias("n_entities"))))

@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_tree import _byte_chars
-from .store import saved
+from .store import fresh as own_name, saved
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens bigint"
-RESERVED = ("n_bytes", "n_tokens", "over_limit", "_digest")
+RESERVED = ("n_bytes", "n_tokens", "over_limit")
 
 _encoders: dict[str, Counter] = {}
 
@@ -112,7 +112,8 @@ def count_tokens(docs: DataFrame, path: str, cache_dir: str, id: str = "doc_id",
     (fresh.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # rows repeated with their id
      .select(F.lit(tokenizer).alias("tokenizer"), "digest", "n_tokens")
      .write.mode("append").parquet(cache_dir))
-    counts = saved(_known(spark, cache_dir, tokenizer).withColumnRenamed("digest", "_digest"), "token_counts")
+    key = own_name(rows, "digest")
+    counts = saved(_known(spark, cache_dir, tokenizer).withColumnRenamed("digest"), "token_counts")
     out = rows.withColumn("_digest", F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
-    return (out.withColumn("n_bytes", F.octet_length(body).cast("long")).join(counts, "_digest", "left")
-            .withColumn("over_limit", F.col("n_tokens") > limit).drop("_digest"))
+    return (out.withColumn("n_bytes", F.octet_length(body).cast("long")).join(counts, key, "left")
+            .withColumn("over_limit", F.col("n_tokens") > limit).drop(key))

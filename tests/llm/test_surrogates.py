@@ -1,8 +1,11 @@
 """Operator 2: nothing found is left, forms and coreference are kept."""
 
+import random
 import re
+import time
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from adlens.llm import surrogates
@@ -139,3 +142,36 @@ def test_repeated_rows_and_very_long_text(spark):
 def test_native_plan(spark):
     plan = surrogates.replace_entities(frame(spark), "key")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_long_runs_take_time_in_proportion(spark):
+    n = 1_000_000
+    texts = ["a" * n + " 1", "a" * n + "@", "a." * (n // 2) + "1@", "x@" * (n // 2) + "1", "@" + "b." * (n // 2) + "1",
+             "ab@" + "c" * n + " 2", "1" * n, "1." * (n // 2), "f" * n + "0", "a:" * (n // 2) + "1", "Mr. " * (n // 8) + "1",
+             "x" * n + "@mail.example 1", "x" * 200 + "@mail.example 1", "a@b." + "c" * n + " 1", "Mr. A" + "a" * n]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    began = time.time()
+    got = {r.doc_id: r for r in surrogates.replace_entities(df, "key").collect()}
+    assert time.time() - began < 120
+    assert got[12].n_entities == 1 and got[12].text.endswith("example 1") and not got[12].text.startswith("xxxx")
+    assert all(got[i].text == texts[i] for i in (0, 1, 6, 8, 11, 13, 14))
+
+
+def test_places_equal_a_plain_search(spark):
+    rnd = random.Random(8)
+    bits = ["a.b+c@mail.example", "x@y.z.co-d@e.com", ".a@b.co", "a.@b.co", "97.51.17.173", "1.2.3.4.5", "fe80::1", "x[1::2]",
+            "(017) 555-7713", "415-555-0132", "2024-05-06", "4111 1111 1111 1111", "123-45-6789", "Dr. Anna Smith", "Mr. J. Smith",
+            "Drink", "word", ",", "\\n", "é@ü.example", "0171 2345678", "MR. JOHN SMITH", "12345", "@", "a" * 40 + "1"]
+    texts = ["".join(rnd.choice(bits) + rnd.choice([" ", " ", "", "; "]) for _ in range(rnd.randint(1, 14))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in surrogates.replace_entities(df, "key").collect()}
+    plain = regex.compile(surrogates.ANY)
+    found = 0
+    for i, t in enumerate(texts):
+        ends = [0, *[x for m in plain.finditer(t) for x in m.span()], len(t)]
+        between = [t[a:b] for a, b in zip(ends[::2], ends[1::2])]
+        found += len(between) - 1
+        assert re.fullmatch("(.+)".join(map(re.escape, between)), got[i], re.S), (t, got[i])
+        if len(between) == 1:
+            assert got[i] == t
+    assert found > 500
