@@ -18,7 +18,7 @@ from ..sources.readers import (explode_accounts, flatten_google, flatten_kakao,
 PLACE = "_place"
 
 
-def read_master(spark: SparkSession, path: str, seq: str | None = None, sep: str = ",", **csv) -> DataFrame:
+def read_master(spark: SparkSession, path: str, seq: str | None = None, sep: str | None = None, **csv) -> DataFrame:
     """Keyword master CSV with one row per keyword, as a written table: the
     row with the highest ``seq`` (a number) where that column is named, else
     the last one in file order (files by path, rows by place)."""
@@ -33,7 +33,7 @@ def read_master(spark: SparkSession, path: str, seq: str | None = None, sep: str
 
 def bulk_load(spark: SparkSession, platform: str, keyword_path: str, table: str,
               quarantine: str | None = None, master_path: str | None = None,
-              master_seq: str | None = None, sep: str = ",", **csv) -> dict:
+              master_seq: str | None = None, sep: str | None = None, **csv) -> dict:
     """CSV extract (all text) -> typed rows (-> master enrichment for kakao)
     -> rows with a date to the table (dynamic overwrite of their days), rows
     without one to ``quarantine`` (Q6), which a rerun replaces.

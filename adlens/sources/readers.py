@@ -12,6 +12,7 @@ from ..functions.casts import double_or_zero, long_trunc_or_zero, text_or_empty
 from ..functions.dates import in_range
 from ..operators.joins import file_order
 from ..session import existing, isolated, scratch_path
+from . import dialect
 from ..schemas import ACCOUNT_LIST, GOOGLE_RESPONSE, KAKAO_RESPONSE, REPORT_DOCUMENT, TABLES
 
 DEFAULT_ENCODINGS = ("UTF-8", "MS949", "EUC-KR")
@@ -19,60 +20,68 @@ DEFAULT_ENCODINGS = ("UTF-8", "MS949", "EUC-KR")
 
 #: Fixed names: an encoding's name as the JVM's decoder knows it.
 _CHARSETS = {"UTF8": "UTF-8", "UTF8SIG": "UTF-8", "MS949": "MS949", "CP949": "MS949", "EUCKR": "EUC-KR"}
-#: Stands for bytes that an encoding cannot read.
-_UNREADABLE = "\ufffd"
 
 
-def _decodes(spark: SparkSession, path: str, charset: str) -> bool:
-    """True when every line of the files is valid in ``charset`` (the text
-    reader keeps raw bytes). One distributed scan; one boolean reaches the driver."""
-    line = F.col("value")
-    if charset == "UTF-8":
-        good = F.call_function("is_valid_utf8", line)
-    else:
-        text = F.decode(line.cast("binary"), charset)
-        good = ~text.contains(_UNREADABLE)
-    bad = spark.read.text(path).agg(F.max((~good).cast("int")).alias("bad")).first()
-    return not (bad and bad["bad"])
-
-
-def read_csv_text(spark: SparkSession, path: str, sep: str = ",", encodings=DEFAULT_ENCODINGS,
+def read_csv_text(spark: SparkSession, path: str, sep: str | None = None, encodings=DEFAULT_ENCODINGS,
                   multi_line: bool = False, place: str | None = None, corrupt: str | None = None) -> DataFrame:
-    """SRC1: header CSV with every field as text, in the first encoding of
-    ``encodings`` that decodes all lines; an error if none does. With one
-    encoding it is taken as given, without a scan. ``sep`` is given, not sniffed.
+    """SRC1: header CSV with every field as text.
+
+    One scan finds, for every file, the first encoding of ``encodings`` that
+    decodes all its lines, its separator (comma, semicolon, tab or bar, unless
+    ``sep`` is given) and its header (``dialect.survey``); a file that no
+    encoding decodes, or whose separator is not clear, is an error. Files are
+    then read in groups that look alike, and columns are matched by name: a
+    column that a file lacks is NULL in its rows.
 
     Quotes inside quoted fields are doubled. ``multi_line`` admits line breaks
-    in quoted fields (a file is then read by one task). ``place`` adds a column
-    with each row's place in the files (``joins.file_order``), ``corrupt`` one
-    with the text of records that have too many or too few fields (else NULL).
+    in quoted fields, also within a file that several tasks read
+    (``dialect.joined_records``). ``place`` adds a column with each row's place
+    in the files (``joins.file_order``), ``corrupt`` one with the text of
+    records that have too many or too few fields (else NULL).
 
     Files in another encoding than UTF-8 are read once, in a session of its own
     that admits such encodings, into a table under the shared folder."""
     names = [_CHARSETS.get(e.upper().replace("-", "").replace("_", ""), e) for e in encodings]
     legacy = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"}
     own = spark if set(names) <= {"UTF-8"} else isolated(spark, legacy)
-    charset = names[0] if len(names) == 1 else next((n for n in names if _decodes(own, path, n)), None)
-    if charset is None:
-        raise ValueError(f"no encoding of {encodings} decodes {path}")
-    reader = own if charset != "UTF-8" else spark
-
-    def options(r):
-        return (r.option("sep", sep).option("encoding", charset).option("mode", "PERMISSIVE")
-                 .option("escape", '"').option("multiLine", multi_line))
-    header = options(reader.read).option("header", True).option("inferSchema", False).csv(path).columns
+    rows = dialect.lines(own, path)
+    alike = dialect.groups(dialect.survey(dialect.joined_records(rows) if multi_line else rows, names, sep))
+    for g in alike:
+        if g["charset"] is None:
+            raise ValueError(f"no encoding of {encodings} decodes {g['files'][0]}")
+        if g["sep"] is None:
+            raise ValueError(f"the separator of {g['files'][0]} is not clear: pass sep")
+    if not alike:
+        raise ValueError(f"no records in {path}")
+    parts = [_read_alike(spark if g["charset"] == "UTF-8" else own, g, multi_line, place, corrupt) for g in alike]
+    if any(g["charset"] != "UTF-8" for g in alike):
+        copies = [scratch_path(spark, "decoded_csv") for _ in parts]
+        for part, copy in zip(parts, copies):
+            part.write.parquet(copy)
+        parts = [spark.read.parquet(copy) for copy in copies]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _read_alike(spark: SparkSession, group, multi_line: bool, place: str | None, corrupt: str | None) -> DataFrame:
+    """Files of one encoding, separator and header."""
+    options = {"sep": group["sep"], "mode": "PERMISSIVE", "escape": '"', **({"columnNameOfCorruptRecord": corrupt} if corrupt else {})}
+    files, charset = group["files"], group["charset"]
+    r = spark.read.options(**options).option("encoding", charset).option("header", True)
+    header = r.option("inferSchema", False).option("multiLine", multi_line).csv(files[0]).columns
     schema = ", ".join(f"`{c}` string" for c in header) + (f", `{corrupt}` string" if corrupt else "")
-    r = options(reader.read).option("header", True).schema(schema)
-    if corrupt:
-        r = r.option("columnNameOfCorruptRecord", corrupt)
-    df = r.csv(path)
-    if place:
-        df = df.withColumn(place, file_order(df))
-    if charset == "UTF-8":
-        return df
-    copy = scratch_path(spark, "decoded_csv")
-    df.write.parquet(copy)
-    return spark.read.parquet(copy)
+    if not multi_line:
+        df = r.schema(schema).csv(files)
+        return df.withColumn(place, file_order(df)) if place else df
+    rows = dialect.joined_records(dialect.lines(spark, files)).where(F.trim(F.col("record")) != "")
+    first = rows.groupBy("file").agg(F.min("row").alias("row"))
+    text = F.col("record") if charset == "UTF-8" else F.decode(F.col("record").cast("binary"), charset)
+    body = rows.join(first, ["file", "row"], "left_anti").select(
+        F.from_csv(F.regexp_replace(text, "\r$", ""), F.lit(schema), options).alias("r"),
+        F.struct("file", F.col("split").alias("block"), "row").alias("at"))
+    return body.select("r.*", *([F.col("at").alias(place)] if place else []))
 
 
 def read_responses(spark: SparkSession, path: str, platform: str) -> DataFrame:
