@@ -7,6 +7,7 @@ tables.
 
 from __future__ import annotations
 
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,13 @@ from .operators.sets import unify_media
 from .operators.topk import order_by
 from .plans import dashboard as dash
 from .plans import sheets, weekly
+from .plans import partials
 from .plans.loads import batch_load, bulk_load, read_master
 from .session import isolated, scratch_path
 from .sinks import tables as sinks
 from .sources import fixtures as fx
 from .sources import landed, readers
+from .streaming import deliveries
 from .streaming import jobs as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -664,16 +667,107 @@ def result_texts(spark, sf_dir):
     return all_as_text(typed.select("kwd_id", "imp", "click", "report_date"))
 
 
-@register("stream_redelivered_counts")
-def stream_redelivered_counts(spark, sf_dir):
-    """ST2 + ST4: every message delivered twice, in another file and
-    micro-batch, and files in reverse order of time: each counts once."""
+def _counted(spark, sf_dir, days: int):
+    """Received queue messages, all delivered again in a later micro-batch, counted by ``count_stream``."""
     landing = scratch_path(spark, "queue")
-    docs = landed.queue_documents(spark, sf_dir)
-    late = _F.col("attributes.SentTimestamp").try_cast("bigint") % 2
-    for part in (docs.filter(late == 1), docs.filter(~late.eqNullSafe(1)), docs):
+    docs = landed.received_documents(spark, sf_dir, days)
+    later = _F.col("message_id").cast("bigint") % 2
+    for part in (docs.filter(later == 1), docs.filter(later == 0), docs):
         part.write.mode("append").json(landing)
     sink, ckpt = scratch_path(spark, "dlq_counts"), scratch_path(spark, "dlq_ckpt")
-    counts = streams.dead_letter_counts(streams.queue_stream(spark, landing, max_files=1), delay="20 years")
-    streams.run_update_stream(counts, sink, ckpt).awaitTermination()
-    return streams.read_latest(spark, sink, ["window_start_ms", "window_end_ms", "platform"])
+    deliveries.count_stream(streams.queue_stream(spark, landing, max_files=8), sink, ckpt).awaitTermination()
+    return sink
+
+
+@register("stream_redelivered_counts")
+def stream_redelivered_counts(spark, sf_dir):
+    """ST2 + ST4: every message delivered twice, in another file, and sent times in no order: each counts once, with
+    the default retention."""
+    return deliveries.read_counts(spark, _counted(spark, sf_dir, 18)).where("window_start_ms IS NOT NULL")
+
+
+@register("stream_all_counts")
+def stream_all_counts(spark, sf_dir):
+    """ST2: timed and untimed messages from one stream; late ones are in an output of their own."""
+    return deliveries.read_counts(spark, _counted(spark, sf_dir, 30))
+
+
+@register("stream_late_messages")
+def stream_late_messages(spark, sf_dir):
+    """ST2: the messages received later than the retention after they were sent, each once."""
+    late = deliveries.read_late(spark, _counted(spark, sf_dir, 30))
+    return late.select("message_id", "platform", _F.unix_millis("sent").alias("sent_ms"), _F.unix_millis("received").alias("received_ms"))
+
+
+@register("stream_outcomes")
+def stream_outcomes(spark, sf_dir):
+    """ST4: deliveries of the queue, a third of them twice: what succeeds goes on once, what fails three times goes to
+    the dead letters once."""
+    landing = scratch_path(spark, "deliveries")
+    docs = landed.deliveries(spark, sf_dir)
+    for part in (docs.where("receive = 1"), docs.where("receive = 2"), docs.where("receive = 1"), docs.where("receive = 3")):
+        part.drop("receive").write.mode("append").json(landing)
+    sink, ckpt = scratch_path(spark, "outcomes"), scratch_path(spark, "outcomes_ckpt")
+    deliveries.retry_stream(deliveries.delivery_stream(spark, landing, max_files=8), sink, ckpt).awaitTermination()
+    return deliveries.read_outcomes(spark, sink).select("message_id", "platform", "route", _F.col("receives").cast("bigint").alias("receives"))
+
+
+# ---- CSV files that differ ---------------------------------------------------
+
+
+@register("csv_dialects")
+def csv_dialects(spark, sf_dir):
+    """SRC1: extracts with four separators and their columns in other orders, read by name without ``sep``."""
+    path = scratch_path(spark, "dialect_csv")
+    rows = landed.keyword_extract(spark, sf_dir)
+    part = _F.pmod(_F.xxhash64("adv_id"), _F.lit(4))
+    for i, sep in enumerate((",", ";", "\t", "|")):
+        cols = rows.columns[i:] + rows.columns[:i]
+        w = rows.where(part == i).select(*cols).write.mode("append").option("header", True).option("sep", sep)
+        w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_csv_text(spark, path).select(*rows.columns)
+
+
+@register("csv_line_breaks")
+def csv_line_breaks(spark, sf_dir):
+    """SRC1: chat texts with line breaks, quotes and separators in quoted fields."""
+    path = scratch_path(spark, "messages_csv")
+    text = _F.concat(_F.col("content"), _F.lit('\n"'), _F.col("role"), _F.lit('"\n\n, ; end'))
+    fx.chat_messages(spark, sf_dir).select("message_id", "role", text.alias("content")).write.option("header", True).option(
+        "quoteAll", True).option("escape", '"').csv(path)
+    return readers.read_csv_text(spark, path, encodings=("UTF-8",), multi_line=True)
+
+
+# ---- stored daily sums ---------------------------------------------------------
+
+
+def _partials(spark, sf_dir):
+    """Daily sums of both media, first with one day's rows doubled, then with that day refreshed."""
+    root = scratch_path(spark, "daily_sums")
+    for media, facts in (("google", fx.google_ads(spark, sf_dir)), ("kakao", fx.kakao_facts(spark, sf_dir))):
+        day = facts.where(_F.col("report_date") == _F.lit(REWRITE_DAY).cast("date"))
+        partials.refresh(facts.unionByName(day), media, f"{root}/{media}")
+        partials.refresh(day, media, f"{root}/{media}")
+    return root
+
+
+@register("weekly_report_from_partials")
+def weekly_report_from_partials(spark, sf_dir):
+    """RB9 from seven days of stored sums."""
+    return partials.weekly_report(spark, _partials(spark, sf_dir), fx.kakao_master(spark, sf_dir), AS_OF)
+
+
+@register("overall_from_partials")
+def overall_from_partials(spark, sf_dir):
+    """AG3-AG5 from stored sums."""
+    return partials.overall_by_media(spark, _partials(spark, sf_dir), W0, W1)
+
+
+@register("bound_sql")
+def bound_sql(spark, sf_dir):
+    """SRC6 with bound values, one of them a text with quotes."""
+    view = f"ads_{_uuid.uuid4().hex}"
+    fx.google_ads(spark, sf_dir).createOrReplaceTempView(view)
+    return readers.sql(spark, f"""SELECT camp_name, CAST(SUM(clicks) AS BIGINT) AS clicks FROM {view}
+        WHERE report_date BETWEEN CAST(:first AS DATE) AND CAST(:last AS DATE) AND camp_name <> :odd GROUP BY camp_name""",
+                       first=W0, last=W1, odd="Brand' OR '1'='1")

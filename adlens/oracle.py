@@ -738,3 +738,34 @@ SELECT COALESCE(kwd_id, '') AS kwd_id, COALESCE(CAST(imp AS VARCHAR), '') AS imp
 FROM bulk"""
 
 QUERIES["stream_redelivered_counts"] = QUERIES["stream_failed_counts"]
+
+_TIMED = """, timed AS (
+  SELECT event_id, platform, TRY_CAST(sent_ms AS BIGINT) AS ms, (event_id % 30) > 18 AND sent_ms IS NOT NULL AS late FROM dead)"""
+
+QUERIES["stream_all_counts"] = with_(QUEUE_MESSAGES, DEAD) + _TIMED + """
+SELECT (ms // 300000) * 300000 AS window_start_ms, (ms // 300000) * 300000 + 300000 AS window_end_ms, platform, COUNT(*) AS n
+FROM timed WHERE NOT late GROUP BY 1, 2, 3"""
+
+QUERIES["stream_late_messages"] = with_(QUEUE_MESSAGES, DEAD) + _TIMED + """
+SELECT CAST(event_id AS VARCHAR) AS message_id, platform, ms AS sent_ms, ms + (event_id % 30) * 86400000 AS received_ms
+FROM timed WHERE late"""
+
+QUERIES["stream_outcomes"] = with_(QUEUE_MESSAGES, DEAD) + """
+SELECT CAST(event_id AS VARCHAR) AS message_id, platform,
+       CASE WHEN event_id % 5 < 3 THEN 'good' ELSE 'dead-letter' END AS route, LEAST(event_id % 5 + 1, 3) AS receives
+FROM dead"""
+
+QUERIES["csv_dialects"] = with_(RAW) + """
+SELECT CAST(CAST(kwd_id AS BIGINT) % 2000 AS VARCHAR) AS kwd_id, adv_id, 'g1' AS agroup_id, NULLIF(imp, '') AS imp, click,
+       spending, NULLIF(basic_date, '') AS basic_date
+FROM raw"""
+
+QUERIES["csv_line_breaks"] = with_(CHAT_MESSAGES) + """
+SELECT message_id, role, content || chr(10) || '"' || role || '"' || chr(10) || chr(10) || ', ; end' AS content
+FROM chat_messages"""
+
+QUERIES["weekly_report_from_partials"] = QUERIES["weekly_report"]
+QUERIES["overall_from_partials"] = QUERIES["overall_by_media"]
+QUERIES["bound_sql"] = with_(GOOGLE_ADS) + f"""
+SELECT camp_name, CAST(SUM(clicks) AS BIGINT) AS clicks FROM google_ads
+WHERE report_date BETWEEN {WEEK} GROUP BY camp_name"""

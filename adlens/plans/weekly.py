@@ -53,12 +53,17 @@ def weekly_report(google: DataFrame, kakao_facts: DataFrame, master: DataFrame,
     One scan per fact table."""
     start, end = last_week(as_of, tz)
     gc = in_range(google, start, end).groupBy("camp_name").agg(*agg.raw_sums("google"))
-    g = (_top_and_total(gc, "google", "conversions_value", n)
+    return from_sums(gc, agg.kakao_keyword_totals(kakao_facts, start, end), master, start, end, n, seq)
+
+
+def from_sums(google_camps: DataFrame, kakao_keywords: DataFrame, master: DataFrame, start, end, n: int = 10,
+              seq: str = "seq") -> DataFrame:
+    """RB9 from the raw sums of the week: google's by campaign, kakao's by keyword."""
+    g = (_top_and_total(google_camps, "google", "conversions_value", n)
          .withColumn("conversions_1d", F.lit(None).cast("bigint"))
          .withColumn("conversions_7d", F.lit(None).cast("bigint")))
-    per_kwd = agg.kakao_keyword_totals(kakao_facts, start, end)
     m = latest_master(master, seq).select("kwd_id", "camp_name")
-    kc = per_kwd.join(m, on="kwd_id", how="left").groupBy("camp_name").agg(*agg.sum_again("kakao"))
+    kc = kakao_keywords.join(m, on="kwd_id", how="left").groupBy("camp_name").agg(*agg.sum_again("kakao"))
     k = (_top_and_total(kc, "kakao", "cost", n)
          .withColumn("conversions", F.col("conversions_7d"))
          .withColumn("conversions_value", F.lit(None).cast("double"))

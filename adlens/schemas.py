@@ -85,7 +85,13 @@ ACCOUNT_LIST = T.StructType([T.StructField("adAccounts", T.ArrayType(T.StructTyp
 QUEUE_MESSAGE = T.StructType([
     T.StructField("message_id", S), T.StructField("body", S),
     T.StructField("attributes", T.StructType([
-        T.StructField("ApproximateReceiveCount", S), T.StructField("SentTimestamp", S)]))])
+        T.StructField("ApproximateReceiveCount", S), T.StructField("SentTimestamp", S),
+        T.StructField("ApproximateFirstReceiveTimestamp", S)]))])
+
+#: One delivery of a queue message to a job, and whether the job succeeded.
+DELIVERY = T.StructType([
+    T.StructField("message_id", S), T.StructField("body", S), T.StructField("receipt", S),
+    T.StructField("received_ms", T.LongType()), T.StructField("ok", T.BooleanType())])
 
 REPORT_DOCUMENT = T.StructType([
     T.StructField("title", S), T.StructField("createdAt", S),

@@ -84,6 +84,28 @@ def queue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("sent_ms").alias("SentTimestamp")).alias("attributes"))
 
 
+def received_documents(spark: SparkSession, sf_dir: str, days: int = 30) -> DataFrame:
+    """``queue_documents`` with the time of first receipt: up to ``days`` days after the message was sent."""
+    q = queue_documents(spark, sf_dir)
+    wait = (F.col("message_id").cast("bigint") % days) * 86_400_000
+    received = (F.col("attributes.SentTimestamp").try_cast("bigint") + wait).cast("string")
+    return q.withColumn("attributes", F.col("attributes").withField("ApproximateFirstReceiveTimestamp", received))
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries of the queue messages: a job succeeds at receive ``event_id % 5 + 1``, and a message that fails
+    is delivered again five minutes later, three times in all."""
+    from .fixtures import queue_messages
+    q = queue_messages(spark, sf_dir)
+    works = F.col("event_id") % 5 + 1
+    receive = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(works, F.lit(3).cast("bigint"))))
+    return q.select("event_id", "body", "sent", works.alias("works"), receive.alias("receive")).select(
+        F.col("event_id").cast("string").alias("message_id"), "body", "receive",
+        F.concat_ws("-", "event_id", "receive").alias("receipt"),
+        (F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("sent"))
+         + F.col("receive") * 300_000).alias("received_ms"), (F.col("receive") == F.col("works")).alias("ok"))
+
+
 def google_day_documents(spark: SparkSession, sf_dir: str, scale_day: str | None = None) -> DataFrame:
     """Google responses with the extract day as a column (``date``), for a
     landing folder per day. With ``scale_day`` only that day's rows are

@@ -195,9 +195,35 @@ def scan_table(spark: SparkSession, path: str, platform: str, start=None, end=No
     return df
 
 
-def sql(spark: SparkSession, text: str) -> DataFrame:
-    """SRC6: ad-hoc SQL over catalog tables and temp views; errors raise."""
-    return spark.sql(text)
+#: Statements that only read. First words of Spark SQL queries.
+READING = ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "SHOW", "DESCRIBE", "DESC", "EXPLAIN", "(")
+
+
+def sql(spark: SparkSession, text: str, **values) -> DataFrame:
+    """SRC6: ad-hoc SQL over catalog tables and temp views; errors raise.
+
+    ``values`` are bound to ``:name`` markers as literals, so a text with
+    quotes is a value and never a part of the statement. Only statements that
+    read are admitted: the parsed plan may hold no command, wherever it stands
+    (a WITH clause in front of an INSERT, too)."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    first = text.lstrip().upper()
+    if not first.startswith(READING) or _writes(plan):
+        raise ValueError("only statements that read are admitted")
+    return spark.sql(text, args=values) if values else spark.sql(text)
+
+
+def _writes(plan) -> bool:
+    """Whether a node of a parsed plan is an insert, or a command that does more than tell."""
+    name = plan.nodeName()
+    if name.startswith(("Show", "Describe", "Explain")):
+        return False
+    if name.startswith(("Insert", "Create", "Drop", "Replace", "Delete", "Update", "Merge", "Alter", "Append", "Overwrite",
+                        "Truncate", "Set", "Reset", "Cache", "Uncache", "Refresh", "Load", "Add", "Analyze", "Repair",
+                        "Recover", "Rename", "CTAS", "Compound")) or name.endswith("Command"):
+        return True
+    children = plan.children()
+    return any(_writes(children.apply(i)) for i in range(children.size()))
 
 
 def read_report_docs(spark: SparkSession, path: str) -> DataFrame:

@@ -28,7 +28,7 @@ def queue_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     return r.json(path)
 
 
-def message_fields(messages: DataFrame) -> DataFrame:
+def message_fields(messages: DataFrame, keep: tuple = ()) -> DataFrame:
     """SC11/SC12/ST5 on a message stream: the platform the message names
     (or 'unknown'), whether it is a served one, the sent instant from the
     epoch-ms text, and the receive count (or 'unknown')."""
@@ -38,7 +38,7 @@ def message_fields(messages: DataFrame) -> DataFrame:
         message_platform(F.col("body")).alias("platform"),
         (platform_of(F.col("body")) != "unknown").alias("served"),
         F.timestamp_millis(ms).alias("sent"),
-        F.coalesce(F.col("attributes.ApproximateReceiveCount"), F.lit("unknown")).alias("receive_count"))
+        F.coalesce(F.col("attributes.ApproximateReceiveCount"), F.lit("unknown")).alias("receive_count"), *keep)
 
 
 #: The queue keeps a failed message for 14 days after its first 4: a late one is at most this old.
