@@ -28,6 +28,7 @@ from .plans import sheets, weekly
 from .plans import partials
 from .plans.loads import batch_load, bulk_load, read_master
 from .session import isolated, scratch_path
+from .sinks import ordered
 from .sinks import tables as sinks
 from .sources import fixtures as fx
 from .sources import landed, readers
@@ -771,3 +772,53 @@ def bound_sql(spark, sf_dir):
     return readers.sql(spark, f"""SELECT camp_name, CAST(SUM(clicks) AS BIGINT) AS clicks FROM {view}
         WHERE report_date BETWEEN CAST(:first AS DATE) AND CAST(:last AS DATE) AND camp_name <> :odd GROUP BY camp_name""",
                        first=W0, last=W1, odd="Brand' OR '1'='1")
+
+
+# ---- lookups by stored order ---------------------------------------------------
+
+
+def _ordered(rows, name, key, order):
+    table = f"{name}_{_uuid.uuid4().hex}"
+    ordered.store_ordered(rows, table, scratch_path(rows.sparkSession, name), key, order)
+    return table
+
+
+@register("stored_conversations")
+def stored_conversations(spark, sf_dir):
+    """LK1 of one user from the table stored by user."""
+    table = _ordered(_items(spark, sf_dir), "conversations", "user_id", ["last_seq", "conversation_id"])
+    return ordered.conversations_of(spark, table, "u5").select(
+        "conversation_id", "user_id", "n_messages", "last_seq", _F.col("position").cast("bigint").alias("position"))
+
+
+@register("stored_messages")
+def stored_messages(spark, sf_dir):
+    """LK2 of one conversation from the table stored by conversation."""
+    table = _ordered(fx.chat_messages(spark, sf_dir), "messages", "conversation_id", ["seq", "message_id"])
+    return ordered.messages_of(spark, table, "7").select(
+        "message_id", "conversation_id", "seq", "role", _F.col("position").cast("bigint").alias("position"))
+
+
+@register("stored_reports")
+def stored_reports(spark, sf_dir):
+    """LK6 of one user from the table stored by user."""
+    table = _ordered(lookups.report_row(fx.report_items(spark, sf_dir)), "reports", "user_id", ["expires_at", "report_id"])
+    return ordered.active_reports_of(spark, table, "u5", "1999-06-01 00:00:00").select(
+        "user_id", "report_id", "expires_at", _F.col("position").cast("bigint").alias("position"))
+
+
+@register("dashboard_from_table")
+def dashboard_from_table(spark, sf_dir):
+    """RB10 cached by the version of the stored days: a rewritten day is seen at the next call."""
+    root, table = scratch_path(spark, "dashboard_cache"), scratch_path(spark, "unified")
+    u = _unified(spark, sf_dir).where(_F.col("report_date").between("1998-03-01", "1998-03-15"))
+    u = u.select("media", "report_date", "cost", "conv_value", "impressions", "clicks", *partition_keys("report_date"))
+    day = _F.col("report_date") == _F.lit("1998-03-10").cast("date")
+
+    def cached():
+        return dash.cached_by_version(spark, table, AS_OF, root)
+
+    sinks.write_partitions(u.withColumn("clicks", _F.when(day, 1).otherwise(_F.col("clicks"))), table)
+    cached()
+    sinks.write_partitions(u.where(day), table)
+    return cached()

@@ -769,3 +769,8 @@ QUERIES["overall_from_partials"] = QUERIES["overall_by_media"]
 QUERIES["bound_sql"] = with_(GOOGLE_ADS) + f"""
 SELECT camp_name, CAST(SUM(clicks) AS BIGINT) AS clicks FROM google_ads
 WHERE report_date BETWEEN {WEEK} GROUP BY camp_name"""
+
+QUERIES["stored_conversations"] = f"SELECT * FROM ({QUERIES['conversations_by_user']}) WHERE user_id = 'u5'"
+QUERIES["stored_messages"] = f"SELECT * FROM ({QUERIES['messages_in_order']}) WHERE conversation_id = '7'"
+QUERIES["stored_reports"] = f"SELECT * FROM ({QUERIES['active_reports']}) WHERE user_id = 'u5'"
+QUERIES["dashboard_from_table"] = QUERIES["dashboard"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import DEFAULT_TZ, in_range, local_date, week_start
 from ..functions.ratios import count_sum, money_sum, pct_half_up, round_half_even, safe_div
 from ..operators.windows import with_share
-from ..session import path_exists
+from ..session import existing, path_exists
+from ..sources.readers import day_folders
 
 
 def dashboard_media(unified: DataFrame, as_of, tz: str = DEFAULT_TZ) -> DataFrame:
@@ -65,3 +67,38 @@ def cached_dashboard(spark, unified_fn, as_of, root: str, source: str, tz: str =
     if not path_exists(spark, f"{path}/_SUCCESS"):
         dashboard_media(unified_fn(), as_of, tz).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def days_version(spark, table: str, start: str, end: str) -> str:
+    """Digest of the files (name, size, time of change) in a table's day folders from ``start`` to ``end``."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf, told = spark.sparkContext._jsc.hadoopConfiguration(), []
+    for folder in day_folders(spark, table, start, end):
+        p = fs_path(folder)
+        told += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in p.getFileSystem(conf).listStatus(p)]
+    return hashlib.sha256("\n".join(sorted(told)).encode()).hexdigest()[:16]
+
+
+def cached_by_version(spark, table: str, as_of, root: str, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Dashboard figures of a unified table stored by day, kept for one hour of ``as_of`` and one version of the days
+    that they read (the week up to today): a rewritten day makes a new version.
+
+    A writer fills a folder of its own, which counts when it is complete
+    (``_SUCCESS``); of several, written at once, all read the one with the
+    least name, which holds the same figures as the others."""
+    today = local_date(as_of, tz)
+    r = spark.range(1).select(week_start(today).cast("string").alias("a"), today.cast("string").alias("b")).first()
+    hour = re.sub(r"[^0-9]", "", str(as_of)[:13])
+    zone = re.sub(r"[^A-Za-z0-9]", "_", tz)
+    at = f"{root.rstrip('/')}/tz={zone}/as_of_hour={hour}/version={days_version(spark, table, r['a'], r['b'])}"
+
+    def whole() -> list[str]:
+        return sorted(p.rsplit("/", 1)[0] for p in existing(spark, f"{at}/run=*/_SUCCESS"))
+
+    if not whole():
+        days = day_folders(spark, table, r["a"], r["b"])
+        if not days:
+            raise ValueError(f"{table} has no days from {r['a']} to {r['b']}")
+        unified = spark.read.option("basePath", table).parquet(*days)
+        dashboard_media(unified, as_of, tz).write.parquet(f"{at}/run={uuid.uuid4().hex}")
+    return spark.read.parquet(whole()[0])

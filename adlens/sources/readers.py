@@ -160,7 +160,7 @@ def flatten_kakao(docs: DataFrame, date: str | None = None, accounts: DataFrame
     return r.select(*keep, *cols)
 
 
-def _day_folders(spark: SparkSession, path: str, start: str, end: str) -> list[str]:
+def day_folders(spark: SparkSession, path: str, start: str, end: str) -> list[str]:
     """The existing day folders of a date range; only the months of the range are listed."""
     first, last = _dt.date.fromisoformat(start), _dt.date.fromisoformat(end)
     found, month = [], first.replace(day=1)
@@ -184,7 +184,7 @@ def scan_table(spark: SparkSession, path: str, platform: str, start=None, end=No
     schema = TABLES[f"{platform}_ad_performance"]
     plain = isinstance(start, str) and isinstance(end, str)
     if plain:
-        days = _day_folders(spark, path, start, end)
+        days = day_folders(spark, path, start, end)
         if not days:
             return spark.createDataFrame([], schema)
         df = spark.read.schema(schema).option("basePath", path).parquet(*days)
