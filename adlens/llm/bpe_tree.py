@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .store import fresh
+
 PIECE = 65536
 CACHE = 300_000
 #: Characters that a word rule of the tokenizer can look ahead, and some more.

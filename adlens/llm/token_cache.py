@@ -113,7 +113,7 @@ def count_tokens(docs: DataFrame, path: str, cache_dir: str, id: str = "doc_id",
      .select(F.lit(tokenizer).alias("tokenizer"), "digest", "n_tokens")
      .write.mode("append").parquet(cache_dir))
     key = own_name(rows, "digest")
-    counts = saved(_known(spark, cache_dir, tokenizer).withColumnRenamed("digest"), "token_counts")
-    out = rows.withColumn("_digest", F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
+    counts = saved(_known(spark, cache_dir, tokenizer).withColumnRenamed("digest", key), "token_counts")
+    out = rows.withColumn(key, F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
     return (out.withColumn("n_bytes", F.octet_length(body).cast("long")).join(counts, key, "left")
             .withColumn("over_limit", F.col("n_tokens") > limit).drop(key))
