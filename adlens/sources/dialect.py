@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 #: Separators that are tried, in no order of preference.
 SEPARATORS = (",", ";", "\t", "|")
-#: Share of a file's records that must have as many separators as its header.
-AGREEMENT = 0.9
+#: Share of a file's records that must have as many separators as its header, where the header holds other candidates
+#: too, and where it holds no other.
+AGREEMENT, ALONE = 0.9, 0.5
 #: Stands for bytes that an encoding cannot read.
 UNREADABLE = "�"
 
@@ -70,7 +71,7 @@ def survey(rows: DataFrame, charsets: list[str], sep: str | None = None) -> Data
     charset: the first that decodes all records (NULL: none). sep: the
     candidate that stands outside quotes as often in the records as in the
     header, in the largest share of them; NULL where the best two agree equally
-    or the best has less than ``AGREEMENT``; a file without any is one column.
+    or the best has too little of them (``AGREEMENT``, ``ALONE``); a file without any is one column.
     header: the first record, raw."""
     cands = SEPARATORS if sep is None else (sep,)
     plain = F.regexp_replace(F.col("record"), '"[^"]*"', "")
@@ -93,7 +94,8 @@ def survey(rows: DataFrame, charsets: list[str], sep: str | None = None) -> Data
         F.struct((-F.col(f"agree{i}") / F.col("total")).alias("share"), F.lit(c).alias("sep"), F.col("head.counts")[i].alias("n"))
         for i, c in enumerate(cands)]), lambda x: x["n"] > 0))
     best, second = F.get(scores, F.lit(0)), F.get(scores, F.lit(1))
-    clear = (-best["share"] >= AGREEMENT) & (second.isNull() | (second["share"] > best["share"]))
+    clear = F.when(second.isNull(), -best["share"] >= ALONE).otherwise(
+        (-best["share"] >= AGREEMENT) & (second["share"] > best["share"]))
     found = F.lit(sep) if sep is not None else F.when(F.size(scores) == 0, F.lit(",")).when(clear, best["sep"])
     charset = F.coalesce(*[F.when(F.col(b) == 0, F.lit(c)) for b, c in zip(bad, good)])
     return per.select("file", charset.alias("charset"), found.alias("sep"), F.col("head.first.record").alias("header"))
