@@ -16,7 +16,7 @@ from .cases import SCHEMA, frame
 
 
 def test_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_join", "tiling", "surrogates", "bpe_tree"]
 
