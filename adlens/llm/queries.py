@@ -74,7 +74,11 @@ def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    counted = token_cache.count_tokens(docs, vocabulary("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+    path, cache = vocabulary("byte_bpe_50k.json"), scratch_path(spark, "token-cache")
+    # Two deliveries share the cache: the counts of the first one are joined, not made again, when all are counted.
+    first = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    token_cache.fill_cache(docs.where(first), path, cache)
+    counted = token_cache.count_tokens(docs, path, cache)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 

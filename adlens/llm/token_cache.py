@@ -29,10 +29,11 @@ import json
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_tree import _byte_chars
+from .idmap import marked
 from .store import fresh as own_name, saved
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens bigint"
@@ -83,22 +84,29 @@ def _known(spark, cache_dir: str, tokenizer: str) -> DataFrame:
             .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
 
 
-def count_tokens(docs: DataFrame, path: str, cache_dir: str, id: str = "doc_id", text: str = "text",
-                 limit: int = 512) -> DataFrame:
-    """``docs`` with n_bytes, n_tokens and over_limit; ``cache_dir`` gains the new counts.
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(F.encode(_body(text), "UTF-8"), 256))
 
-    The cache is a Parquet folder in shared storage; it is made if missing.
+
+def _body(text: str) -> Column:
+    return F.coalesce(F.col(text).cast("string"), F.lit(""))
+
+
+def fill_cache(docs: DataFrame, path: str, cache_dir: str, id: str = "doc_id", text: str = "text") -> None:
+    """Appends the counts of the distinct texts of ``docs`` that ``cache_dir`` does not hold.
+
+    Only ids and digests are grouped and joined. A fixed-size map of the ids
+    of the copies to encode then thins out the documents, so that texts whose
+    count is stored, and further copies of a text, are not shuffled.
     """
     spark = docs.sparkSession
     tokenizer = version(path)
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(*[c for c in docs.columns if c not in RESERVED])
-    keyed = rows.select(F.col(id).alias("i"), F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)).alias("digest"))
+    keyed = docs.select(F.col(id).alias("i"), _digest(text).alias("digest"))
     reps = keyed.groupBy("digest").agg(F.min("i").alias("i"))
     misses = saved(reps.join(_known(spark, cache_dir, tokenizer), "digest", "left_anti"), "token_misses")
-    texts = rows.select(F.col(id).alias("i"), body.alias("t"),
-                        F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)).alias("digest"))
+    near = marked(docs.select(F.col(id).alias("i"), F.col(text).alias("x")), "i", misses.select("i"))
+    texts = near.select("i", _body("x").alias("t"), _digest("x").alias("digest"))
     todo = texts.alias("a").join(misses.alias("m"), (F.col("a.digest") == F.col("m.digest"))
                                  & F.col("a.i").eqNullSafe(F.col("m.i")), "left_semi")
 
@@ -112,8 +120,18 @@ def count_tokens(docs: DataFrame, path: str, cache_dir: str, id: str = "doc_id",
     (fresh.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # rows repeated with their id
      .select(F.lit(tokenizer).alias("tokenizer"), "digest", "n_tokens")
      .write.mode("append").parquet(cache_dir))
+
+
+def count_tokens(docs: DataFrame, path: str, cache_dir: str, id: str = "doc_id", text: str = "text",
+                 limit: int = 512) -> DataFrame:
+    """``docs`` with n_bytes, n_tokens and over_limit; ``cache_dir`` gains the new counts.
+
+    The cache is a Parquet folder in shared storage; it is made if missing.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(*[c for c in docs.columns if c not in RESERVED])
+    fill_cache(rows, path, cache_dir, id, text)
     key = own_name(rows, "digest")
-    counts = saved(_known(spark, cache_dir, tokenizer).withColumnRenamed("digest", key), "token_counts")
-    out = rows.withColumn(key, F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
-    return (out.withColumn("n_bytes", F.octet_length(body).cast("long")).join(counts, key, "left")
-            .withColumn("over_limit", F.col("n_tokens") > limit).drop(key))
+    counts = saved(_known(spark, cache_dir, version(path)).withColumnRenamed("digest", key), "token_counts")
+    return (rows.withColumn(key, _digest(text)).withColumn("n_bytes", F.octet_length(_body(text)).cast("long"))
+            .join(counts, key, "left").withColumn("over_limit", F.col("n_tokens") > limit).drop(key))

@@ -104,3 +104,20 @@ def test_counts_of_another_tokenizer_are_not_used(spark):
     digest = hashlib.sha256(b"some text").digest()
     spark.createDataFrame([("other", bytearray(digest), 999)], token_cache.CACHE_SCHEMA).write.parquet(cache)
     assert token_cache.count_tokens(df, path, cache).first().n_tokens == 2
+
+
+def test_only_unknown_texts_are_encoded(spark):
+    """A count that is stored is joined as it is, wrong or not; other copies and texts are encoded once."""
+    path, cache = vocabulary("byte_bpe_50k.json"), scratch_path(spark, "t_cache")
+    token_cache.fill_cache(spark.createDataFrame([(1, "one text")], "doc_id long, text string"), path, cache)
+    stored = spark.createDataFrame([(token_cache.version(path), bytearray(hashlib.sha256(b"known").digest()), 777)],
+                                   token_cache.CACHE_SCHEMA)
+    stored.write.mode("append").parquet(cache)
+    docs = spark.createDataFrame([(2, "known"), (None, "known"), (3, "one text"), (4, "new"), (None, "new"), (5, "other new")],
+                                 "doc_id long, text string")
+    got = {(r.doc_id, r.text): r.n_tokens for r in token_cache.count_tokens(docs, path, cache).collect()}
+    lib = Library.from_file(path)
+    assert got[2, "known"] == got[None, "known"] == 777
+    for k in ((3, "one text"), (4, "new"), (None, "new"), (5, "other new")):
+        assert got[k] == len(lib.encode(k[1], add_special_tokens=False).ids)
+    assert spark.read.parquet(cache).count() == 4
