@@ -28,7 +28,7 @@ from .plans import sheets, weekly
 from .plans import partials
 from .plans.loads import batch_load, bulk_load, read_master
 from .session import isolated, scratch_path
-from .sinks import ordered
+from .sinks import grams, ordered
 from .sinks import tables as sinks
 from .sources import fixtures as fx
 from .sources import landed, readers
@@ -288,7 +288,7 @@ def rewrite_day(spark, sf_dir):
 def catalog_scan(spark, sf_dir):
     root = scratch_path(spark, "tables")
     sinks.write_partitions(_kakao_rows(spark, sf_dir), f"{root}/kakao")
-    db = "ad_report"
+    db = f"ad_report_{_uuid.uuid4().hex}"
     (name,) = sinks.create_tables(spark, root, db, drop_first=True, platforms=("kakao",))
     sinks.register_partitions(spark, name, _kakao_rows(spark, sf_dir))
     t = readers.sql(spark, f"SELECT * FROM {name}")
@@ -356,8 +356,7 @@ def stream_routes(spark, sf_dir):
     return spark.read.parquet(routed).select("message_id", "platform", "receive_count", "route")
 
 
-@register("stream_ingest")
-def stream_ingest(spark, sf_dir):
+def _ingested(spark, sf_dir):
     """ST1: landing runs out of order, one manifest per micro-batch. Run 10 (a
     rerun of one day, lands first) is newer than run 9 (every day, in two
     parts); run 9 must not undo it."""
@@ -372,6 +371,13 @@ def stream_ingest(spark, sf_dir):
     table, state, bad = (scratch_path(spark, n) for n in ("google_ad_performance", "ingest_state", "ingest_quarantine"))
     streams.ingest_stream(spark, f"{landing}/manifests", "google", table, state, bad,
                           customer_id=landed.CUSTOMER_ID, max_files=1).awaitTermination()
+    return table, state
+
+
+@register("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    """ST1: the table that two landing runs, out of order, leave."""
+    table, _ = _ingested(spark, sf_dir)
     t = readers.scan_table(spark, table, "google")
     return t.select("camp_name", "keyword_id", "keyword_text", "basic_date", "report_date", "adv_id",
                     "impressions", "clicks", "cost_micros", "conversions_value", "year", "month_p", "day")
@@ -822,3 +828,46 @@ def dashboard_from_table(spark, sf_dir):
     cached()
     sinks.write_partitions(u.where(day), table)
     return cached()
+
+
+# ---- search by stored trigrams ---------------------------------------------------
+
+
+@register("title_search_stored")
+def title_search_stored(spark, sf_dir):
+    """LK3 by the postings of stored titles."""
+    path = scratch_path(spark, "titles")
+    grams.store_searchable(_items(spark, sf_dir).select("conversation_id", "title"), path, "title", blocks=32)
+    return grams.find(spark, path, "title", "Pour").select("conversation_id", "title")
+
+
+@register("detail_search_stored")
+def detail_search_stored(spark, sf_dir):
+    """PF17 by the postings of stored keyword texts: the week's sums of the keywords found."""
+    path = scratch_path(spark, "keywords")
+    sums = in_range(fx.google_ads(spark, sf_dir), W0, W1).groupBy(_F.col("keyword_text").alias("keyword")).agg(
+        count_sum("impressions").alias("impressions"), count_sum("clicks").alias("clicks"),
+        round_half_up(_F.sum(_F.col("cost_micros").cast("decimal(38,0)")) / _F.lit(1000000), 0).alias("cost"))
+    grams.store_searchable(sums, path, "keyword", blocks=32)
+    return grams.find(spark, path, "keyword", "Red")
+
+
+# ---- observed row counts ------------------------------------------------------------
+
+
+@register("stream_ingest_counts")
+def stream_ingest_counts(spark, sf_dir):
+    """AG15 on a stream: rows read, written, superseded and quarantined by landing run."""
+    _, state = _ingested(spark, sf_dir)
+    return streams.read_run_counts(spark, state).select("run", "read", "written", "superseded", "quarantined")
+
+
+@register("bulk_load_counts")
+def bulk_load_counts(spark, sf_dir):
+    """AG15 on the bulk load: the counts that its own writes observed."""
+    kw_path, m_path = scratch_path(spark, "kakao_keyword_csv"), scratch_path(spark, "kakao_master_csv")
+    landed.keyword_extract(spark, sf_dir).write.option("header", True).csv(kw_path)
+    landed.master_in_file_order(spark, sf_dir).write.option("header", True).csv(m_path)
+    done = bulk_load(spark, "kakao", kw_path, scratch_path(spark, "kakao_ad_performance"),
+                     scratch_path(spark, "kakao_quarantine"), master_path=m_path)
+    return spark.createDataFrame(list(done["counts"]().items()), "stage string, rows bigint")

@@ -774,3 +774,18 @@ QUERIES["stored_conversations"] = f"SELECT * FROM ({QUERIES['conversations_by_us
 QUERIES["stored_messages"] = f"SELECT * FROM ({QUERIES['messages_in_order']}) WHERE conversation_id = '7'"
 QUERIES["stored_reports"] = f"SELECT * FROM ({QUERIES['active_reports']}) WHERE user_id = 'u5'"
 QUERIES["dashboard_from_table"] = QUERIES["dashboard"]
+
+QUERIES["title_search_stored"] = QUERIES["title_search"]
+QUERIES["detail_search_stored"] = QUERIES["detail_search"]
+
+QUERIES["stream_ingest_counts"] = """
+WITH n AS (SELECT COUNT(*) AS every, COUNT(*) FILTER (CAST(l_shipdate AS DATE) = DATE '1998-03-05') AS one
+           FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT CAST(9 AS BIGINT) AS run, every AS read, every - one AS written, one AS superseded, CAST(0 AS BIGINT) AS quarantined FROM n
+UNION ALL SELECT 10, one, one, 0, 0 FROM n"""
+
+QUERIES["bulk_load_counts"] = with_(RAW) + """
+SELECT 'read' AS stage, COUNT(*) AS rows FROM raw
+UNION ALL SELECT 'enriched', COUNT(*) FROM raw
+UNION ALL SELECT 'written', COUNT(*) FROM bulk WHERE report_date IS NOT NULL
+UNION ALL SELECT 'quarantined', COUNT(*) FROM bulk WHERE report_date IS NULL"""

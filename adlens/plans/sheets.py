@@ -165,7 +165,8 @@ def week_of_month(table: DataFrame, n: int = 5, by: tuple[str, ...] = (),
                      F.col(pos).alias("_pos"), "report_date",
                      "google_cost", "kakao_cost", "google_clicks", "kakao_clicks")
     g = t.groupBy(*by, "week_label").agg(
-        F.sum("google_cost").alias("google_cost"), F.sum("kakao_cost").alias("kakao_cost"),
+        money_sum("google_cost").cast("double").alias("google_cost"),
+        money_sum("kakao_cost").cast("double").alias("kakao_cost"),
         F.sum("google_clicks").cast("double").alias("google_clicks"),
         F.sum("kakao_clicks").cast("double").alias("kakao_clicks"),
         F.min("_pos").alias("first_pos"), F.min("report_date").alias("first_date"))
@@ -282,7 +283,8 @@ def daily_totals(line: DataFrame, table: DataFrame, by: tuple[str, ...] = ("repo
     half-even, row totals added, dates ascending."""
     costs = (line.filter(F.coalesce(F.col("date_text"), F.lit("")) != "")
                  .groupBy(*by, "date_text")
-                 .agg(F.sum("google_cost").alias("google_cost"), F.sum("kakao_cost").alias("kakao_cost")))
+                 .agg(money_sum("google_cost").cast("double").alias("google_cost"),
+                      money_sum("kakao_cost").cast("double").alias("kakao_cost")))
     counts = ["google_impressions", "google_clicks", "kakao_impressions", "kakao_clicks"]
     t = table.filter(F.coalesce(F.col("date_text"), F.lit("")) != "").select(*by, "date_text", "pos", *counts)
     j = daily_lookup(costs, t, key=[*by, "date_text"] if by else "date_text", seq="pos",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,9 +40,32 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """This package as an archive for the Python workers, once an application:
+    machines of a cluster need not have it installed. Sessions that were not
+    made by ``build_session`` call it before operators with Python steps."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    # a file of the driver's own, which Spark copies to every machine
+    archive = os.path.join(tempfile.mkdtemp(prefix="adlens-"), "adlens.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(here):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(here)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -9,7 +9,7 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json_fields import message_platform, platform_of
@@ -138,16 +138,23 @@ def run_stream(spark: SparkSession, manifests: str, max_files: int | None = None
 
 
 def ingest_run(spark: SparkSession, platform: str, run: int, path: str, table: str, days: str, quarantine: str,
-               customer_id: str | None = None, master: DataFrame | None = None) -> None:
+               customer_id: str | None = None, master: DataFrame | None = None, counts: str | None = None,
+               batch_id: int = 0) -> None:
     """ST1 body: one complete landing run to the fact table.
 
     A run holds complete extracts of the days in it. Of a day, the newest run
     (highest run number) stays: ``days`` is a small table with one row per
     (day, run) ingested, and days that a newer run has already filled are left
     alone, so runs may arrive in any order and a replayed run changes nothing.
-    Rows without a date go to ``quarantine/run=<run>``."""
+    Rows without a date go to ``quarantine/run=<run>``.
+
+    AG15: the rows read, quarantined, written and superseded (of days that a
+    newer run has filled) are observed metrics of these writes; with
+    ``counts`` they are kept there, one row a run, which a replay rewrites."""
     docs = spark.read.schema(GOOGLE_RESPONSE if platform == "google" else KAKAO_RESPONSE).json(path)
     typed = typed_responses(docs, platform, customer_id=customer_id, master=master)
+    read, kept = Observation("run_read"), Observation("run_kept")
+    typed = typed.observe(read, F.count(F.lit(1)).alias("rows"), F.count("report_date").alias("dated"))
     rows = scratch_path(spark, "run_rows")
     typed.write.parquet(rows)
     good, bad = split_valid(spark.read.schema(typed.schema).parquet(rows))
@@ -156,23 +163,35 @@ def ingest_run(spark: SparkSession, platform: str, run: int, path: str, table: s
     newer = spark.read.schema(RUN_DAYS).parquet(days).filter(F.col("run") > run).select("report_date").distinct()
     own = good.join(newer, "report_date", "left_anti").select(*good.columns)
     write_partitions(own, table)
-    own.select("report_date").distinct().select("report_date", F.lit(run).cast("bigint").alias("run")) \
-       .write.mode("append").parquet(days)
+    filled = own.groupBy("report_date").agg(F.count(F.lit(1)).alias("n")).observe(kept, F.sum("n").alias("rows"))
+    filled.select("report_date", F.lit(run).cast("bigint").alias("run")).write.mode("append").parquet(days)
+    if counts is not None:
+        n, written = read.get, kept.get["rows"] or 0
+        row = (batch_id, n["rows"], written, n["dated"] - written, n["rows"] - n["dated"])
+        spark.createDataFrame([row], RUN_COUNTS).coalesce(1).write.mode("overwrite").parquet(f"{counts}/run={run}")
 
 
 RUN_DAYS = "report_date date, run bigint"
+RUN_COUNTS = "batch_id bigint, read bigint, written bigint, superseded bigint, quarantined bigint"
+
+
+def read_run_counts(spark: SparkSession, state: str) -> DataFrame:
+    """AG15 of an ingest stream: row counts by run, with the micro-batch that ingested it last."""
+    return spark.read.schema(RUN_COUNTS + ", run bigint").parquet(f"{state}/counts")
 
 
 def ingest_stream(spark: SparkSession, manifests: str, platform: str, table: str, state: str, quarantine: str,
                   customer_id: str | None = None, master: DataFrame | None = None, available_now: bool = True,
                   max_files: int | None = None):
     """ST1: complete landing runs to the partitioned fact table. ``state``
-    holds the stream's checkpoint and the table of ingested days. Each
+    holds the stream's checkpoint, the table of ingested days and the row
+    counts of each run (``read_run_counts``). Each
     micro-batch names a few runs (one manifest row each), which are ingested
     in the order of their numbers."""
     def write(batch: DataFrame, batch_id: int) -> None:
         for r in sorted(batch.collect()):
-            ingest_run(spark, platform, r["run"], r["path"], table, f"{state}/days", quarantine, customer_id, master)
+            ingest_run(spark, platform, r["run"], r["path"], table, f"{state}/days", quarantine, customer_id, master,
+                       f"{state}/counts", batch_id)
     q = (run_stream(spark, manifests, max_files).writeStream.option("checkpointLocation", f"{state}/checkpoint")
          .foreachBatch(write))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 hour")
