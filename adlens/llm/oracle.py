@@ -23,14 +23,19 @@ m AS (
   SELECT doc_id, source, len(w)::BIGINT AS n_words,
          coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-         (len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+         len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
+         (n_lines
           - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))))
          )::BIGINT AS n_dup_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM lines LEFT JOIN cover USING (r)),
-b AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM m),
+b AS (
+  SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+         (base_failed::INT + (word_chars < 2 * n_words OR word_chars > 10 * n_words)::INT
+          + (100 * n_symbols > 10 * n_words)::INT + (100 * n_dup_lines > 30 * n_lines)::INT)::BIGINT AS n_rules_failed
+  FROM m),
 hosts AS (
-  SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS f FROM b
+  SELECT source, count(*)::DOUBLE AS n, sum((n_rules_failed > 0)::INT)::DOUBLE AS f FROM b
   WHERE source IS NOT NULL GROUP BY source),
 sums AS (SELECT count(*) AS h, sum(n) AS n, sum(f) AS f, sum(f * f / n) AS rr FROM hosts),
 prior AS (
@@ -39,7 +44,7 @@ prior AS (
 strength AS (
   SELECT p, CASE WHEN spread > 0 THEN least(greatest(noise / spread - 1, 2), 1e6) ELSE 1e6 END AS s FROM prior),
 rates AS (SELECT source, (f + p * s) / (n + s) AS host_rate FROM hosts, strength)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_rules_failed,
        (NOT base_failed AND coalesce(host_rate, 0) <= 0.5) AS kept
 FROM b LEFT JOIN rates USING (source)
 """

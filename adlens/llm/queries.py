@@ -61,7 +61,7 @@ def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = host_rules.apply_host_rules(documents(spark, sf_dir))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       "base_failed", "kept")
+                       "base_failed", "n_rules_failed", "kept")
 
 
 def op7_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,20 @@ def test_hosts_are_shrunk_and_joined_back(spark):
     assert rates["tiny"].host_rate != 0.5
 
 
+def test_every_rule_counts_against_the_host(spark):
+    good = " ".join(f"word{i}" for i in range(20))
+    bad = {"symbols": good + " # $ % &", "long": " ".join(f"averyverylongword{i}" for i in range(20)),
+           "short": " ".join("abcdefghijklmnopqrst"), "lines": "\n".join([good, "again", "again", "again"])}
+    data = [(n, name, f"{n} {t}") for name, t in bad.items() for n in range(60)]
+    data += [(n, name, f"{good} {n}") for name in bad for n in range(60, 70)] + [(n, "fine", f"{good} {n}") for n in range(300)]
+    data += [(n, "clean", f"# $ % {good}") for n in range(300, 310)] + [(n, "clean", f"{good} {n}") for n in range(310, 400)]
+    got = host_rules.apply_host_rules(spark.createDataFrame(data, "doc_id long, source string, text string")).collect()
+    assert not any(r.base_failed for r in got)                 # the base rules see nothing in any of them
+    assert {(r.host, r.n_rules_failed) for r in got if r.doc_id < 60 and r.host != "fine"} == {(h, 1) for h in bad}
+    assert {r.host for r in got if r.kept} == {"fine", "clean"}
+    assert all(r.kept for r in got if r.host in ("fine", "clean"))  # symbols alone speak against the host only
+
+
 def test_host_rules_awkward(spark):
     out = host_rules.apply_host_rules(frame(spark))
     assert out.count() == frame(spark).count()
