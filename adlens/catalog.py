@@ -770,6 +770,30 @@ def overall_from_partials(spark, sf_dir):
     return partials.overall_by_media(spark, _partials(spark, sf_dir), W0, W1)
 
 
+@register("dashboard_from_partials")
+def dashboard_from_partials(spark, sf_dir):
+    """RB10 from two days of stored sums."""
+    return partials.dashboard_media(spark, _partials(spark, sf_dir), AS_OF)
+
+
+@register("trend_from_partials")
+def trend_from_partials(spark, sf_dir):
+    """RB10's trend from seven days of stored sums."""
+    return partials.conversion_trend(spark, _partials(spark, sf_dir), AS_OF)
+
+
+@register("daily_from_partials")
+def daily_from_partials(spark, sf_dir):
+    """RB2 + RB4 with totals from stored sums."""
+    return partials.daily_sheet(spark, _partials(spark, sf_dir), W0, W1)
+
+
+@register("week_over_week_from_partials")
+def week_over_week_from_partials(spark, sf_dir):
+    """WN4 from fourteen days of stored sums."""
+    return partials.week_over_week(spark, _partials(spark, sf_dir), AS_OF)
+
+
 @register("bound_sql")
 def bound_sql(spark, sf_dir):
     """SRC6 with bound values, one of them a text with quotes."""

@@ -766,6 +766,10 @@ FROM chat_messages"""
 
 QUERIES["weekly_report_from_partials"] = QUERIES["weekly_report"]
 QUERIES["overall_from_partials"] = QUERIES["overall_by_media"]
+QUERIES["dashboard_from_partials"] = QUERIES["dashboard"]
+QUERIES["trend_from_partials"] = QUERIES["dashboard_trend"]
+QUERIES["daily_from_partials"] = QUERIES["daily_with_totals"]
+QUERIES["week_over_week_from_partials"] = QUERIES["week_over_week"]
 QUERIES["bound_sql"] = with_(GOOGLE_ADS) + f"""
 SELECT camp_name, CAST(SUM(clicks) AS BIGINT) AS clicks FROM google_ads
 WHERE report_date BETWEEN {WEEK} GROUP BY camp_name"""

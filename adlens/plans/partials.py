@@ -1,4 +1,4 @@
-"""Reports from stored daily sums (RB9, AG1-AG5).
+"""Reports and the dashboard from stored daily sums (RB1, RB2, RB4, RB9, RB10, AG1-AG5, WN4).
 
 A table of sums holds, for every day, the exact raw sums of each campaign
 (google) or keyword (kakao, whose campaigns come from a master that changes).
@@ -15,13 +15,14 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import DEFAULT_TZ, last_week
+from ..functions.dates import DEFAULT_TZ, last_week, local_date, week_start
 from ..functions.ratios import round_half_up
 from ..operators import aggregates as agg
+from ..operators.sets import unify_media
 from ..session import existing
 from ..sinks.tables import write_partitions
 from ..sources.readers import scan_table
-from . import weekly
+from . import dashboard, sheets, weekly
 
 #: What the sums of each media are kept by.
 KEYS = {"google": "camp_name", "kakao": "kwd_id"}
@@ -81,16 +82,15 @@ def range_sums(spark: SparkSession, path: str, platform: str, start: str, end: s
     return stored(spark, path, platform, start, end).groupBy(KEYS[platform]).agg(*agg.sum_again(platform))
 
 
-def _week(spark: SparkSession, as_of, tz: str) -> tuple[str, str]:
-    start, end = last_week(as_of, tz)
-    r = spark.range(1).select(start.cast("string").alias("a"), end.cast("string").alias("b")).first()
+def _days(spark: SparkSession, first, last) -> tuple[str, str]:
+    r = spark.range(1).select(first.cast("string").alias("a"), last.cast("string").alias("b")).first()
     return r["a"], r["b"]
 
 
 def weekly_report(spark: SparkSession, root: str, master: DataFrame, as_of, tz: str = DEFAULT_TZ, n: int = 10,
                   seq: str = "seq") -> DataFrame:
     """RB9 from the sums under ``root/google`` and ``root/kakao``: the seven days before the week of ``as_of``."""
-    first, last = _week(spark, as_of, tz)
+    first, last = _days(spark, *last_week(as_of, tz))
     return weekly.from_sums(range_sums(spark, f"{root}/google", "google", first, last),
                             range_sums(spark, f"{root}/kakao", "kakao", first, last), master, *last_week(as_of, tz), n, seq)
 
@@ -113,3 +113,40 @@ def overall_by_media(spark: SparkSession, root: str, start: str, end: str) -> Da
         round_half_up(F.col("spending"), 0).alias("cost"), F.col("conv_purchase_7d").alias("conversions"),
         F.lit(None).cast("double").alias("conversions_value"))
     return g.unionByName(k)
+
+
+def unified(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
+    """SO2 over the stored sums of a range: what the unified facts sum up to by day and media, for every table that
+    needs no keyword (a row a day and campaign of google, a row a day and keyword of kakao)."""
+    return unify_media(stored(spark, f"{root}/google", "google", start, end),
+                       stored(spark, f"{root}/kakao", "kakao", start, end))
+
+
+def dashboard_media(spark: SparkSession, root: str, as_of, tz: str = DEFAULT_TZ) -> DataFrame:
+    """RB10 from the stored sums of Monday to today."""
+    today = local_date(as_of, tz)
+    return dashboard.dashboard_media(unified(spark, root, *_days(spark, week_start(today), today)), as_of, tz)
+
+
+def conversion_trend(spark: SparkSession, root: str, as_of, tz: str = DEFAULT_TZ, days: int = 7) -> DataFrame:
+    """RB10's trend from the stored sums of its days."""
+    today = local_date(as_of, tz)
+    rows = unified(spark, root, *_days(spark, F.date_sub(today, days - 1), today))
+    return dashboard.conversion_trend(rows, as_of, tz, days)
+
+
+def daily_sheet(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
+    """RB2 + RB4 with the totals row, from stored sums."""
+    return sheets.daily_sheet(unified(spark, root, start, end), start, end)
+
+
+def media_spend(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
+    """RB1 from stored sums."""
+    return sheets.media_spend(unified(spark, root, start, end), start, end)
+
+
+def week_over_week(spark: SparkSession, root: str, as_of, tz: str = DEFAULT_TZ) -> DataFrame:
+    """WN4 from the stored sums of the last two whole weeks."""
+    start, end = last_week(as_of, tz)
+    rows = unified(spark, root, *_days(spark, F.date_sub(start, 7), end))
+    return sheets.week_over_week_as_of(rows, as_of, tz)

@@ -5,7 +5,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from adlens.plans import partials, weekly
+from adlens.operators.sets import unify_media
+from adlens.plans import dashboard, partials, sheets, weekly
 from adlens.session import existing, scratch_path
 from adlens.sinks.tables import write_partitions
 from adlens.functions.dates import partition_keys
@@ -37,6 +38,20 @@ def test_reports_equal_the_scan(spark, root):
     assert partials.overall_by_media(spark, root, "2050-01-01", "2050-01-02").count() == 2
 
 
+def test_dashboard_and_sheets_equal_the_scan(spark, root):
+    u = unify_media(fx.google_ads(spark, SF), fx.kakao_facts(spark, SF))
+    for as_of in (AS_OF, "1998-03-15 18:00:00", "1992-01-01 00:00:00"):
+        assert rows(partials.dashboard_media(spark, root, as_of)) == rows(dashboard.dashboard_media(u, as_of))
+        assert rows(partials.conversion_trend(spark, root, as_of)) == rows(dashboard.conversion_trend(u, as_of))
+        assert rows(partials.week_over_week(spark, root, as_of)) == rows(sheets.week_over_week_as_of(u, as_of))
+    week = ("1998-02-23", "1998-03-08")
+    assert rows(partials.media_spend(spark, root, *week)) == rows(sheets.media_spend(u, *week))
+    assert rows(partials.daily_sheet(spark, root, *week)) == rows(sheets.daily_sheet(u, *week))
+    assert partials.dashboard_media(spark, root, "2050-01-05 00:00:00").count() == 0
+    two = partials.unified(spark, root, "1998-03-09", "1998-03-10").inputFiles()
+    assert two and {f.split("report_date=")[1][:10] for f in two} <= {"1998-03-09", "1998-03-10"}
+
+
 def test_a_week_reads_its_days_only(spark, root):
     week = partials.stored(spark, f"{root}/google", "google", "1998-02-26", "1998-03-04")
     files = week.inputFiles()
