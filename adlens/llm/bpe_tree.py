@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .store import fresh
 
 PIECE = 65536
-CACHE = 300_000
+CACHE = 100_000
 #: Characters that a word rule of the tokenizer can look ahead, and some more.
 AHEAD = 8
 RESERVED = ("ids", "decoded")
@@ -229,7 +229,7 @@ _tokenizers: dict[str, Tokenizer] = {}
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of this Python worker."""
+    """The tokenizer of this Python worker, for steps that are called group by group."""
     if path not in _tokenizers:
         _tokenizers[path] = Tokenizer(path)
     return _tokenizers[path]
@@ -254,7 +254,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", piece: int = PIECE, i
                            *([] if ids_only else [T.StructField("decoded", T.StringType())])])
 
     def short(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(path)
+        tok = Tokenizer(path)  # goes with the task: workers live on, in other stages
         for b in batches:
             for s in range(0, b.num_rows, 500):
                 part = b.slice(s, 500)
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", piece: int = PIECE, i
     numbered = rows.where(long).withColumn(own, F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)))
 
     def cuts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(path)
+        tok = Tokenizer(path)  # goes with the task: workers live on, in other stages
         for b in batches:
             for rid, x in zip(b.column("rid").to_pylist(), b.column("t").to_pylist()):
                 out = [(rid, s, k, part if special else None, p) for s, (special, part) in enumerate(tok.segments(x))
@@ -280,7 +280,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", piece: int = PIECE, i
                     yield pa.RecordBatch.from_pylist([dict(zip(PIECES.names, o)) for o in out], _arrow(PIECES))
 
     def leaves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(path)
+        tok = Tokenizer(path)  # goes with the task: workers live on, in other stages
         for b in batches:
             for i in range(b.num_rows):
                 one = b.slice(i, 1)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .store import fresh, saved
+from .store import SMALL_BATCHES, fresh, saved
 from .text import constants
 
 K = 5
@@ -240,7 +240,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = K, coverage: fl
 
     tests = saved(seeds(rows(benchmark, item, item_text), k, whole=short).distinct(), "test_seeds")
     sizes = sorted(r.n for r in tests.where(F.col("n") < k).select("n").distinct().collect())  # fewer than k values
-    found = saved(seeds(rows(docs, id, text), k, seed_map(tests), sizes).drop("n").distinct(), "seeds")
+    found = saved(seeds(rows(docs, id, text), k, seed_map(tests), sizes).drop("n").distinct(), "seeds", SMALL_BATCHES)
     tests = tests.select(F.col("doc_id").alias("item_id"), F.col("row_key").alias("item_key"),
                          F.col("n").alias("item_words"), "seed", "words", F.col("pos").alias("item_pos"))
     # Equal fingerprints count only where the words are equal too.
