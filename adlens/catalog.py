@@ -715,7 +715,8 @@ def stream_outcomes(spark, sf_dir):
     for part in (docs.where("receive = 1"), docs.where("receive = 2"), docs.where("receive = 1"), docs.where("receive = 3")):
         part.drop("receive").write.mode("append").json(landing)
     sink, ckpt = scratch_path(spark, "outcomes"), scratch_path(spark, "outcomes_ckpt")
-    deliveries.retry_stream(deliveries.delivery_stream(spark, landing, max_files=8), sink, ckpt).awaitTermination()
+    own = isolated(spark, streams.STATE_STORE)
+    deliveries.retry_stream(deliveries.delivery_stream(own, landing, max_files=8), sink, ckpt).awaitTermination()
     return deliveries.read_outcomes(spark, sink).select("message_id", "platform", "route", _F.col("receives").cast("bigint").alias("receives"))
 
 

@@ -111,6 +111,13 @@ def existing(spark: SparkSession, pattern: str) -> list[str]:
     return [f.getPath().toString() for f in found] if found is not None else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the job's own."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def isolated(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     """Another session of the same application with its own SQL settings, for
     a step that needs one set; the caller's session stays as it is."""

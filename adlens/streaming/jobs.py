@@ -69,9 +69,11 @@ def untimed_counts(messages: DataFrame) -> DataFrame:
     return m.groupBy("platform").agg(F.count(F.lit(1)).alias("n"))
 
 
-#: Session setting for streams with large state: keep it on the executors' disks.
+#: Session settings for streams with large state: keep it on the executors' disks, its buffers within a fixed size.
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
-               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+               "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "500"}
 
 
 def _batch_sink(path: str, fmt: str = "parquet"):

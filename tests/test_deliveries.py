@@ -4,7 +4,7 @@ import json
 import os
 import time
 
-from adlens.session import scratch_path
+from adlens.session import existing, scratch_path
 from adlens.streaming import deliveries as dl
 from adlens.streaming import jobs
 
@@ -114,3 +114,20 @@ def test_messages_nothing_is_heard_of_expire_once(spark):
     got = sorted((r.message_id, r.route) for r in dl.read_outcomes(spark, sink).collect())
     assert got[:2] == [("m0", "expired"), ("m1", "expired")] and max(state) <= 6
     assert len({g[0] for g in got}) == len(got) and [g for g in got if g[1] == "good"] == [(f"ok{n}", "good") for n in range(4)]
+
+
+def test_messages_known_are_a_table_of_bounded_versions(spark):
+    """The outcomes of retries come from joins, not from a Python call for each message."""
+    landing, sink, ckpt = (scratch_path(spark, n) for n in ("t_in", "t_out", "t_ckpt"))
+    for n in range(4):
+        copies = [delivery("hot", f"r{n}", n, False)] * 50
+        land(landing, str(n), [*copies, delivery(f"m{n}", "1", n, True), delivery(f"m{n}", "1", n + 1, False, "later copy")])
+        dl.retry_stream(dl.delivery_stream(spark, landing), sink, ckpt).awaitTermination()
+    kept = existing(spark, f"{ckpt}/messages/batch_id=*")
+    assert len(kept) == 2
+    now = spark.read.schema(dl.MESSAGES).parquet(max(kept, key=lambda v: int(v.rsplit("=", 1)[1])))
+    assert sorted(r.message_id for r in now.collect()) == ["hot", "m0", "m1", "m2", "m3"]
+    got = sorted((r.message_id, r.route, r.receives) for r in dl.read_outcomes(spark, sink).collect())
+    assert got[0] == ("hot", "dead-letter", 3) and len(got) == 5
+    assert "Python" not in dl.retried(spark.createDataFrame([], "message_id string, body string, receipt string, received_ms long, ok boolean, arrived_ms long"),
+                                      spark.createDataFrame([], dl.MESSAGES), 3, 1)._jdf.queryExecution().toString()
