@@ -315,7 +315,7 @@ def csv_roundtrip(spark, sf_dir):
 @register("json_flatten")
 def json_flatten(spark, sf_dir):
     path = scratch_path(spark, "google_responses")
-    landed.google_documents(spark, sf_dir).write.json(path)
+    landed.google_documents(spark, sf_dir).write.options(**landed.LANDED).json(path)
     flat = readers.flatten_google(readers.read_responses(spark, path, "google"), landed.CUSTOMER_ID)
     return flat.select("camp_name", "keyword_id", "keyword_text", "device", "network_type", "date",
                        "basic_date", "adv_id", "impressions", "clicks", "cost_micros", "conversions",
@@ -363,9 +363,9 @@ def _ingested(spark, sf_dir):
     landing = scratch_path(spark, "google_landing")
     every = landed.google_day_documents(spark, sf_dir)
     half = _F.dayofmonth(_F.col("date").cast("date")) <= 15
-    every.filter(half).drop("date").write.json(f"{landing}/run=9/part=1")
-    every.filter(~half).drop("date").write.json(f"{landing}/run=9/part=2")
-    landed.google_day_documents(spark, sf_dir, REWRITE_DAY).drop("date").write.json(f"{landing}/run=10")
+    every.filter(half).drop("date").write.options(**landed.LANDED).json(f"{landing}/run=9/part=1")
+    every.filter(~half).drop("date").write.options(**landed.LANDED).json(f"{landing}/run=9/part=2")
+    landed.google_day_documents(spark, sf_dir, REWRITE_DAY).drop("date").write.options(**landed.LANDED).json(f"{landing}/run=10")
     for run in (10, 9):
         streams.finish_run(spark, f"{landing}/manifests", run, f"{landing}/run={run}/*" if run == 9 else f"{landing}/run=10")
     table, state, bad = (scratch_path(spark, n) for n in ("google_ad_performance", "ingest_state", "ingest_quarantine"))
@@ -610,7 +610,7 @@ def batch_load_kakao(spark, sf_dir):
 @register("batch_load_google")
 def batch_load_google(spark, sf_dir):
     docs, table = scratch_path(spark, "google_responses"), scratch_path(spark, "google_ad_performance")
-    landed.google_documents(spark, sf_dir).write.json(docs)
+    landed.google_documents(spark, sf_dir).write.options(**landed.LANDED).json(docs)
     batch_load(spark, "google", docs, table, customer_id=landed.CUSTOMER_ID,
                quarantine=scratch_path(spark, "google_quarantine"))
     return readers.scan_table(spark, table, "google").select(

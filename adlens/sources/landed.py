@@ -23,28 +23,43 @@ FAILED_ACCOUNT = "P"          # the account whose response failed
 CUSTOMER_ID = "123-456-7890"  # landed google customer id (dashes removed on ingest)
 
 
+#: Landed documents are text that says the same names in every row; they are written compressed.
+LANDED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
+def _packed(rows: DataFrame, result, *keys) -> DataFrame:
+    """Documents of ``rows`` by ``keys``: the plain values are moved and gathered, and ``result`` makes a row of them
+    inside its document, so names and fixed texts are not shuffled."""
+    values = F.struct(*[F.col(c) for c in rows.columns])
+    return rows.groupBy(*keys).agg(F.collect_list(values).alias("rows")).withColumn("results", F.transform("rows", result))
+
+
 def google_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     pa = table(spark, sf_dir, "part")
-    j = li.join(pa, li.l_partkey == pa.p_partkey)
-    s = lambda c: F.col(c).cast("string")
-    result = F.struct(
-        F.struct(s("p_size").alias("id"), F.col("p_brand").alias("name"),
-                 F.lit("SEARCH").alias("advertisingChannelType"), F.lit("ENABLED").alias("status")).alias("campaign"),
-        F.struct(F.col("p_type").alias("id"), F.col("p_type").alias("name"), F.lit("STANDARD").alias("type")).alias("adGroup"),
-        F.struct(s("l_partkey").alias("criterionId"),
-                 F.struct(F.col("p_name").alias("text"), F.lit("EXACT").alias("matchType")).alias("keyword")
-                 ).alias("adGroupCriterion"),
-        F.struct(F.col("l_returnflag").alias("device"), F.col("l_linestatus").alias("network"),
-                 F.col("l_shipdate").cast("date").cast("string").alias("date")).alias("segments"),
-        F.struct((F.col("l_quantity") * 100).cast("string").alias("impressions"),
-                 s("l_quantity").alias("clicks"),
-                 (F.col("l_linenumber") - 1).cast("string").alias("conversions"),
-                 (F.col("l_extendedprice") * 1000000).cast("string").alias("costMicros"),
-                 (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("string").alias("conversionsValue")
-                 ).alias("metrics"))
-    doc = F.floor(F.col("l_orderkey") / 100)
-    return j.groupBy(doc.alias("doc")).agg(F.collect_list(result).alias("results")).select("results")
+    j = li.join(pa, li.l_partkey == pa.p_partkey).select(
+        "l_orderkey", "p_size", "p_brand", "p_type", "l_partkey", "p_name", "l_returnflag", "l_linestatus",
+        F.col("l_shipdate").cast("date").alias("day"), "l_quantity", "l_linenumber", "l_extendedprice", "l_discount")
+
+    def result(r):
+        s = lambda c: r[c].cast("string")
+        return F.struct(
+            F.struct(s("p_size").alias("id"), r["p_brand"].alias("name"),
+                     F.lit("SEARCH").alias("advertisingChannelType"), F.lit("ENABLED").alias("status")).alias("campaign"),
+            F.struct(r["p_type"].alias("id"), r["p_type"].alias("name"), F.lit("STANDARD").alias("type")).alias("adGroup"),
+            F.struct(s("l_partkey").alias("criterionId"),
+                     F.struct(r["p_name"].alias("text"), F.lit("EXACT").alias("matchType")).alias("keyword")
+                     ).alias("adGroupCriterion"),
+            F.struct(r["l_returnflag"].alias("device"), r["l_linestatus"].alias("network"),
+                     s("day").alias("date")).alias("segments"),
+            F.struct((r["l_quantity"] * 100).cast("string").alias("impressions"),
+                     s("l_quantity").alias("clicks"),
+                     (r["l_linenumber"] - 1).cast("string").alias("conversions"),
+                     (r["l_extendedprice"] * 1000000).cast("string").alias("costMicros"),
+                     (r["l_extendedprice"] * (1 - r["l_discount"])).cast("string").alias("conversionsValue")
+                     ).alias("metrics"))
+
+    return _packed(j, result, F.floor(F.col("l_orderkey") / 100).alias("doc")).select("results")
 
 
 def kakao_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,24 +127,27 @@ def google_day_documents(spark: SparkSession, sf_dir: str, scale_day: str | None
     produced, with impressions doubled (a rerun of that day)."""
     li = table(spark, sf_dir, "lineitem")
     pa = table(spark, sf_dir, "part")
-    j = li.join(pa, li.l_partkey == pa.p_partkey)
-    day = F.col("l_shipdate").cast("date").cast("string")
-    imp = F.col("l_quantity") * 100
+    j = li.join(pa, li.l_partkey == pa.p_partkey).select(
+        "l_orderkey", "p_brand", "p_type", "l_partkey", "p_name", F.col("l_shipdate").cast("date").cast("string").alias("date"),
+        "l_quantity", "l_extendedprice", "l_discount")
+    times = 100
     if scale_day is not None:
-        j = j.filter(day == scale_day)
-        imp = imp * 2
-    result = F.struct(
-        F.struct(F.col("p_brand").alias("name")).alias("campaign"),
-        F.struct(F.col("p_type").alias("name")).alias("adGroup"),
-        F.struct(F.col("l_partkey").cast("string").alias("criterionId"),
-                 F.struct(F.col("p_name").alias("text")).alias("keyword")).alias("adGroupCriterion"),
-        F.struct(day.alias("date")).alias("segments"),
-        F.struct(imp.cast("string").alias("impressions"), F.col("l_quantity").cast("string").alias("clicks"),
-                 (F.col("l_extendedprice") * 1000000).cast("string").alias("costMicros"),
-                 (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("string").alias("conversionsValue")
-                 ).alias("metrics"))
-    return (j.groupBy(day.alias("date"), F.floor(F.col("l_orderkey") / 100).alias("doc"))
-             .agg(F.collect_list(result).alias("results")).select("date", "results"))
+        j = j.filter(F.col("date") == scale_day)
+        times = 200
+
+    def result(r):
+        return F.struct(
+            F.struct(r["p_brand"].alias("name")).alias("campaign"),
+            F.struct(r["p_type"].alias("name")).alias("adGroup"),
+            F.struct(r["l_partkey"].cast("string").alias("criterionId"),
+                     F.struct(r["p_name"].alias("text")).alias("keyword")).alias("adGroupCriterion"),
+            F.struct(r["date"].alias("date")).alias("segments"),
+            F.struct((r["l_quantity"] * times).cast("string").alias("impressions"), r["l_quantity"].cast("string").alias("clicks"),
+                     (r["l_extendedprice"] * 1000000).cast("string").alias("costMicros"),
+                     (r["l_extendedprice"] * (1 - r["l_discount"])).cast("string").alias("conversionsValue")
+                     ).alias("metrics"))
+
+    return _packed(j, result, "date", F.floor(F.col("l_orderkey") / 100).alias("doc")).select("date", "results")
 
 
 def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

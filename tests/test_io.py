@@ -199,3 +199,15 @@ def test_undated_batch_rows_go_to_quarantine(spark, tmp_dir):
         batch_load(spark, "google", f"{tmp_dir}/d", f"{tmp_dir}/t", quarantine=f"{tmp_dir}/q")
     assert [r.day for r in readers.scan_table(spark, f"{tmp_dir}/t", "google").collect()] == ["05"]
     assert [r.basic_date for r in spark.read.parquet(f"{tmp_dir}/q").collect()] == ["never"]
+
+
+def test_landed_google_documents_are_compressed_and_packed_from_plain_values(spark):
+    """What is shuffled and written for a row does not hold the names and fixed texts of its document."""
+    from adlens.catalog import QUERIES
+    from adlens.sources import landed
+    sf = "/root/testdata/sf0.001"
+    files = QUERIES["json_flatten"](spark, sf).inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
+    for docs in (landed.google_documents(spark, sf), landed.google_day_documents(spark, sf)):
+        gathered = docs._jdf.queryExecution().optimizedPlan().toString().split("collect_list(")[1].split("\n")[0]
+        assert "costMicros" not in gathered and "cast(" not in gathered
