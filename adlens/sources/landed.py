@@ -3,7 +3,7 @@ the readers: google responses from lineitem x part, kakao per-account
 responses and the account list from orders, the keyword master as CSV.
 
 Rows are packed into documents of bounded size (a document holds the rows
-of at most 100 order keys), so no document grows with a hot key or day.
+of at most 100 order keys, or of one day of 10,000), so no document grows with a hot key or day.
 """
 
 from __future__ import annotations
@@ -147,7 +147,7 @@ def google_day_documents(spark: SparkSession, sf_dir: str, scale_day: str | None
                      (r["l_extendedprice"] * (1 - r["l_discount"])).cast("string").alias("conversionsValue")
                      ).alias("metrics"))
 
-    return _packed(j, result, "date", F.floor(F.col("l_orderkey") / 100).alias("doc")).select("date", "results")
+    return _packed(j, result, "date", F.floor(F.col("l_orderkey") / 10_000).alias("doc")).select("date", "results")
 
 
 def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

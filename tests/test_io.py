@@ -201,13 +201,20 @@ def test_undated_batch_rows_go_to_quarantine(spark, tmp_dir):
     assert [r.basic_date for r in spark.read.parquet(f"{tmp_dir}/q").collect()] == ["never"]
 
 
-def test_landed_google_documents_are_compressed_and_packed_from_plain_values(spark):
+def test_landed_google_documents_are_compressed_and_packed_from_plain_values(spark, tmp_dir):
     """What is shuffled and written for a row does not hold the names and fixed texts of its document."""
     from adlens.catalog import QUERIES
     from adlens.sources import landed
-    sf = "/root/testdata/sf0.001"
-    files = QUERIES["json_flatten"](spark, sf).inputFiles()
-    assert files and all(f.endswith(".json.gz") for f in files)
-    for docs in (landed.google_documents(spark, sf), landed.google_day_documents(spark, sf)):
-        gathered = docs._jdf.queryExecution().optimizedPlan().toString().split("collect_list(")[1].split("\n")[0]
-        assert "costMicros" not in gathered and "cast(" not in gathered
+    spark.sql("""SELECT id AS l_orderkey, id % 3 AS l_partkey, 1 AS l_linenumber, 2.0D AS l_quantity, 3.5D AS l_extendedprice,
+        0.1D AS l_discount, 'A' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP_NTZ'1998-03-05 00:00:00' AS l_shipdate
+        FROM range(250)""").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.sql("SELECT id AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 1 AS p_size FROM range(3)").write.parquet(
+        f"{tmp_dir}/part.parquet")
+    flat = QUERIES["json_flatten"](spark, tmp_dir)
+    assert flat.count() == 250 and flat.inputFiles() and all(f.endswith(".json.gz") for f in flat.inputFiles())
+    assert sorted(len(r.results) for r in landed.google_documents(spark, tmp_dir).collect()) == [50, 100, 100]
+    assert [len(r.results) for r in landed.google_day_documents(spark, tmp_dir).collect()] == [250]
+    for docs in (landed.google_documents(spark, tmp_dir), landed.google_day_documents(spark, tmp_dir)):
+        plan = docs._jdf.queryExecution().optimizedPlan().toString()
+        gathered = plan.split("collect_list(")[1].split("lambdafunction")[0]
+        assert "transform(collect_list(" in plan and "costMicros" not in gathered
