@@ -6,8 +6,8 @@ scaled to length one. One weight vector is shared by all grades; ordered
 thresholds cut the line into grades: P(grade > j) = sigmoid(w.x - threshold_j).
 The result is the expected grade and the tail probability of a wanted grade.
 
-The model is fitted in numpy on about ``per_grade`` texts of each grade;
-their features are made by Spark tasks, whole texts. Scoring reads every
+The model is fitted on all rated texts, whole: Spark tasks fit a part each and
+the results are averaged after every round (``labelled``). Scoring reads every
 document whole.
 
 Defined results
@@ -32,10 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
-from .sample import labelled_sample
+from .labelled import PART_BYTES, WIDE, averaged, labelled_parts
 
 BITS = 18
-PER_GRADE = 1500
 RESERVED = ("expected_grade", "tail_probability", "selected")
 
 
@@ -83,25 +82,27 @@ class Model:
         return 1 / (1 + np.exp(self.thresholds - (self.weights[f] * v).sum()))
 
 
-def fit(texts: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, bits: int = BITS, epochs: int = 12,
-        rate: float = 0.5, decay: float = 1e-5) -> Model:
-    """Likelihood ascent with per-weight step sizes; thresholds stay ordered
-    because they are a first value plus positive gaps."""
-    values = sorted(set(grades.tolist()))
-    y = np.searchsorted(values, grades)
-    k = len(values)
-    w = np.zeros(1 << bits)
-    if k < 2:
-        return Model(w, np.zeros(0), values)
-    above = np.array([(y > j).mean() for j in range(k - 1)])
+def _start(share: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values, sums of squared gradients) before the first step: weights, then
+    the first threshold and the logarithms of the gaps, from the grades' shares."""
+    above = 1 - np.cumsum(share)[:-1]
     start = -np.log(above / (1 - above))
-    first, gaps = start[0], np.log(np.maximum(np.diff(start), 1e-3))
-    seen_w, seen_t = np.full(1 << bits, 1e-8), np.full(k - 1, 1e-8)
-    rng = np.random.default_rng(7)
+    t = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-3))])
+    values = np.zeros(((1 << bits) // WIDE + -(-len(t) // WIDE), WIDE))
+    values.reshape(-1)[1 << bits:][:len(t)] = t
+    return values, np.full(values.shape, 1e-8)
+
+
+def _steps(values: np.ndarray, seen: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, rng,
+           bits: int, epochs: int, rate: float = 0.5, decay: float = 1e-5) -> None:
+    """Likelihood ascent with per-weight step sizes on grades 0 to ``k - 1``;
+    thresholds stay ordered because they are a first value plus positive gaps."""
+    (w, cuts), (seen_w, seen_t) = ((x.reshape(-1)[:1 << bits], x.reshape(-1)[1 << bits:][:k - 1]) for x in (values, seen))
     for _ in range(epochs):
         for n in rng.permutation(len(y)):
             f, v = texts[n]
-            t = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+            gaps = cuts[1:]
+            t = cuts[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
             s = 1 / (1 + np.exp(t - (w[f] * v).sum()))  # P(grade > j)
             up = 1.0 if y[n] == 0 else s[y[n] - 1]
             down = 0.0 if y[n] == k - 1 else s[y[n]]
@@ -117,28 +118,45 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, bits: in
             w[f] += rate * gw / np.sqrt(seen_w[f])
             gt = np.concatenate([[g.sum()], np.cumsum(g[::-1])[::-1][1:] * np.exp(gaps)])
             seen_t += gt * gt
-            step = 0.05 * gt / np.sqrt(seen_t)
-            first, gaps = first + step[0], gaps + step[1:]
-    return Model(w, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]), values)
+            cuts += 0.05 * gt / np.sqrt(seen_t)
 
 
-def train(docs: DataFrame, ratings: DataFrame, grade: str = "grade", per_grade: int = PER_GRADE, bits: int = BITS,
-          id: str = "doc_id", text: str = "text") -> Model:
-    """Fit on about ``per_grade`` rated texts of each grade."""
-    rows = labelled_sample(docs, ratings, grade, per_grade, id, text).select("t", F.col("y").cast("int").alias("y"))
+def _model(values: np.ndarray, grades: list[int], bits: int) -> Model:
+    flat, k = values.reshape(-1), len(grades)
+    cuts = flat[1 << bits:][:k - 1]
+    return Model(flat[:1 << bits], cuts[0] + np.concatenate([[0.0], np.cumsum(np.exp(cuts[1:]))]), grades)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def fit(texts: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, bits: int = BITS, epochs: int = 12) -> Model:
+    """The model of texts in memory."""
+    found, y, n = np.unique(grades, return_inverse=True, return_counts=True)
+    if len(found) < 2:
+        return Model(np.zeros(1 << bits), np.zeros(0), found.tolist())
+    values, seen = _start(n / len(y), bits)
+    _steps(values, seen, texts, y, len(found), np.random.default_rng(7), bits, epochs)
+    return _model(values, found.tolist(), bits)
+
+
+def train(docs: DataFrame, ratings: DataFrame, grade: str = "grade", bits: int = BITS, id: str = "doc_id",
+          text: str = "text", rounds: int = 3, epochs: int = 4, part_bytes: int = PART_BYTES) -> Model:
+    """Fit on every rated text: ``rounds`` averages of the parts' models, each after ``epochs`` passes over a part."""
+    rows = labelled_parts(docs, ratings, grade, id, text, part_bytes)
+    n = sorted((r["y"], r["n"]) for r in rows.groupBy(F.col("y").cast("int").alias("y")).agg(F.count("*").alias("n")).collect())
+    grades = [g for g, _ in n]
+    if len(grades) < 2:
+        return Model(np.zeros(1 << bits), np.zeros(0), grades)
+    values, seen = _start(np.array([c for _, c in n]) / sum(c for _, c in n), bits)
+
+    def learn(own: np.ndarray, sums: np.ndarray, batches: Iterable[pa.RecordBatch], seed: tuple[int, ...]) -> None:
+        texts, y = [], []
         for b in batches:
-            got = list(features(b.column("t"), bits))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("y"), pa.array([f for f, _ in got], pa.list_(pa.int64())),
-                 pa.array([v for _, v in got], pa.list_(pa.float64()))], names=["y", "f", "v"])
-
-    got = rows.mapInArrow(run, "y int, f array<bigint>, v array<double>").toArrow()
-    texts = [(np.array(f, np.int64), np.array(v)) for f, v in zip(got["f"].to_pylist(), got["v"].to_pylist())]
-    y = got["y"].to_numpy()
-    order = sorted(range(len(y)), key=lambda n: (y[n], len(texts[n][0]), texts[n][0].tobytes()))
-    return fit([texts[n] for n in order], y[order], bits)
+            texts += [(f.astype(np.int32), v) for f, v in features(b.column("t"), bits)]
+            y.append(b.column("y").to_numpy())
+        _steps(own, sums, texts, np.searchsorted(grades, np.concatenate(y)), len(grades), np.random.default_rng((7, *seed)),
+               bits, epochs)
+
+    averaged(rows.select("part", "t", F.col("y").cast("int").alias("y")), values, seen, learn, rounds)
+    return _model(values, grades, bits)
 
 
 def score(docs: DataFrame, model: Model, wanted: int, cutoff: float = 0.5, text: str = "text") -> DataFrame:

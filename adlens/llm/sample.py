@@ -1,32 +1,13 @@
-"""Bounded labelled samples for fitting classifiers."""
+"""Bounded samples chosen by a hash."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .idmap import marked
 from .store import saved
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, y: str, per_class: int, id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """(i, t, y): about ``per_class`` labelled texts of each value of ``y``, or
-    all where there are fewer.
-
-    An id is taken if its hash falls under the share of its class that is
-    wanted, so a sample does not depend on the order or the partitioning of
-    the input, and no class is gathered or sorted to choose it. An id labelled
-    twice counts with its larger label.
-    """
-    known = (labels.where(F.col(y).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).alias("i"))
-             .agg(F.max(y).alias("y")))
-    texts = docs.select(F.col(id).alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
-    known = known.join(texts.select("i"), "i", "left_semi")
-    chosen = saved(thinned(known, "y", per_class, F.col("i")), "chosen")
-    return marked(texts, "i", chosen.select("i")).join(chosen, "i").select("i", "t", "y")
-
-
 def thinned(rows: DataFrame, group: str, most: int, *key: Column) -> DataFrame:
     """About ``most`` rows of each value of ``group``, chosen by the hash of ``key``."""
     counts = saved(rows.groupBy(group).agg(F.count("*").alias("_n")), "counts")

@@ -12,13 +12,14 @@ from adlens.session import isolated, scratch_path
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
-def saved(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame:
+def saved(df: DataFrame, name: str, settings: dict[str, str] | None = None, read: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor costs no recomputation of what is
     already written) and gives later joins plain scans, whose shuffles Spark
     can split when a key is hot. With ``settings`` the write runs in a session
-    of its own that has them; the caller's session stays as it is.
+    of its own that has them, with ``read`` the result is read in such a one;
+    the caller's session stays as it is.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -31,7 +32,7 @@ def saved(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> D
             isolated(spark, settings).table(f"global_temp.{view}").write.parquet(path)
         finally:
             spark.catalog.dropGlobalTempView(view)
-    return spark.read.schema(df.schema).parquet(path)
+    return (isolated(spark, read) if read else spark).read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, name: str) -> str:

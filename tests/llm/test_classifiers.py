@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from adlens.llm import conv_text, ordinal, queries, rank_order
+from adlens.llm import conv_text, labelled, ordinal, queries, rank_order
 
 from ..conftest import SF
 from .cases import empty, frame
@@ -135,3 +135,60 @@ def test_ordinal_awkward(spark):
 
 def test_small_tables_run(spark):
     assert queries.op4_conv_text(spark, SF).count() == 200 and queries.op10_ordinal(spark, SF).count() == 200
+
+
+def test_every_labelled_text_is_learned(spark):
+    rows = spark.createDataFrame([(i, "calm words here", 0) for i in range(9000)], "doc_id long, text string, y int")
+    got = labelled.labelled_parts(rows, rows.select("doc_id", "y"), "y", part_bytes=20_000)
+    assert got.count() == 9000 and got.select("i").distinct().count() == 9000
+    parts = got.groupBy("part").count().collect()
+    assert len(parts) > 5 and max(r["count"] for r in parts) < 2500
+
+
+def test_frequent_words_are_counted_over_every_labelled_text(spark, monkeypatch):
+    seen = []
+    told = conv_text.frequent_words
+    monkeypatch.setattr(conv_text, "frequent_words", lambda rows, n: seen.append(rows.count()) or told(rows, n))
+    n = 7000                                    # more texts of one class than the bounded sample took
+    rows = spark.createDataFrame([(i, f"w{i % 7} bad" if i % 100 == 0 else f"w{i % 7}", "en", int(i % 100 == 0)) for i in range(n)],
+                                 "doc_id long, text string, lang string, toxic int")
+    model = conv_text.train(rows, rows.select("doc_id", "toxic"), epochs=1)
+    assert seen == [n] and np.isclose(model.share, 0.01)
+
+
+def test_labelled_parts_awkward(spark):
+    labels = spark.createDataFrame([(1, 0), (1, 2), (2, None), (6, 1), (None, 1), (3, 1), (99, 1)], "doc_id long, y int")
+    got = [(r.i, r.y) for r in labelled.labelled_parts(frame(spark), labels, "y").collect()]
+    assert sorted(got) == [(1, 2), (6, 1), (6, 1)]    # the larger label; a null text and an unlabelled one teach nothing
+    assert labelled.labelled_parts(empty(spark), labels, "y").count() == 0
+
+
+def test_averaged_changes_by_the_mean_of_the_parts_that_changed_a_row(spark):
+    rows = spark.createDataFrame([(0, 1.0), (1, 3.0), (1, 2.0), (2, 4.0)], "part int, x double").repartition(1).sortWithinPartitions("part")
+    values, seen = np.zeros((3, labelled.WIDE)), np.zeros((3, labelled.WIDE))
+
+    def learn(v, s, batches, seed):
+        x = sum(sum(b.column("x").to_pylist()) for b in batches)
+        v[0] += x
+        v[seed[1] % 2] += x
+        s[0, 0] += 1
+
+    labelled.averaged(rows, values, seen, learn, 2)
+    # sums 1, 5, 4: row 0 changes by 2, 5 and 8 in each round, row 1 by 5 in part 1 alone
+    assert np.allclose(values[0], 10) and np.allclose(values[1], 10) and not values[2].any()
+    assert seen[0, 0] == 2 and not seen[0, 1:].any()
+
+
+def test_models_learn_over_several_parts(spark, toxic_model):
+    d, lab, _ = toxic_model
+    model = conv_text.train(d.where("doc_id < 700"), lab, part_bytes=15_000)
+    got = {r.doc_id: r.predicted for r in conv_text.classify(d.where("doc_id >= 700"), model).collect()}
+    assert sum(got[i] == int(i % 4 == 0) for i in got) >= 0.95 * len(got)
+    graded = ordinal.train(d.where("doc_id < 700"), lab.withColumnRenamed("toxic", "grade"), part_bytes=40_000)
+    told = {r.doc_id: r.selected for r in ordinal.score(d.where("doc_id >= 700"), graded, 1).collect()}
+    assert graded.grades == [0, 1] and sum(told[i] == (i % 4 == 0) for i in told) >= 0.95 * len(told)
+
+
+def test_threshold_by_groups_of_scores():
+    # cut between 0.7 and 0.4: both texts of label 1 above, one of label 0 below
+    assert np.isclose(conv_text.best_threshold(*map(np.array, ([0.4, 0.9, 0.7], [0.4, 0.9, 0.7], [0, 1, 1], [1, 1, 1]))), 0.55)
