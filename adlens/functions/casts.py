@@ -39,7 +39,7 @@ def long_half_even(col) -> Column:
     """PF5 (bulk CSV): text to nullable bigint, rounding half to even.
     Unreadable text, '' and NaN become NULL."""
     d = _c(col).try_cast("double")
-    return F.bround(d, 0).try_cast("bigint")
+    return F.rint(d).try_cast("bigint")
 
 
 def double_or_null(col) -> Column:

@@ -14,11 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 #: Separators that are tried, in no order of preference.
 SEPARATORS = (",", ";", "\t", "|")
 #: Share of a file's records that must have as many separators as its header, where the header holds other candidates
 #: too, and where it holds no other.
 AGREEMENT, ALONE = 0.9, 0.5
+#: Encodings in which bytes below 128 are the characters of ASCII.
+ASCII_BASED = {"UTF-8", "MS949", "EUC-KR"}
 #: Stands for bytes that an encoding cannot read.
 UNREADABLE = "�"
 
@@ -74,9 +78,12 @@ def survey(rows: DataFrame, charsets: list[str], sep: str | None = None) -> Data
     or the best has too little of them (``AGREEMENT``, ``ALONE``); a file without any is one column.
     header: the first record, raw."""
     cands = SEPARATORS if sep is None else (sep,)
-    plain = F.regexp_replace(F.col("record"), '"[^"]*"', "")
-    good = {c: F.call_function("is_valid_utf8", F.col("record")) if c == "UTF-8" else
-            ~F.decode(F.col("record").cast("binary"), c).contains(UNREADABLE) for c in charsets}
+    record = F.col("record")
+    plain = F.when(F.contains(record, F.lit('"')), F.regexp_replace(record, '"[^"]*"', "")).otherwise(record)
+    valid = F.call_function("is_valid_utf8", record)
+    # Plain ASCII reads the same in these encodings and need not be decoded.
+    ascii = F.lit(set(charsets) <= ASCII_BASED) & valid & (F.octet_length(record) == F.char_length(record))
+    good = {c: valid if c == "UTF-8" else ascii | ~F.decode(record.cast("binary"), c).contains(UNREADABLE) for c in charsets}
     full = rows.where(F.trim(F.col("record")) != "")
     told = full.select("file", F.struct("split", "row", "record").alias("place"),
                        F.array(*[_count(plain, c) for c in cands]).alias("counts"),
@@ -85,6 +92,9 @@ def survey(rows: DataFrame, charsets: list[str], sep: str | None = None) -> Data
     # Distinct counts are few; their first places make the header's the least.
     hist = told.groupBy("file", "counts").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"),
                                               *[F.max(b).alias(b) for b in bad])
+    out = scratch_path(rows.sparkSession, "csv_survey")   # written, as the steps below read it three times
+    hist.write.parquet(out)
+    hist = rows.sparkSession.read.schema(hist.schema).parquet(out)
     head = hist.groupBy("file").agg(F.min(F.struct("first", "counts")).alias("head"), F.sum("n").alias("total"),
                                     *[F.max(b).alias(b) for b in bad])
     agree = hist.join(head.select("file", "head"), "file").groupBy("file").agg(

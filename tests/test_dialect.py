@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from adlens.session import isolated
 from adlens.sources import dialect, readers
 
 
@@ -99,3 +100,24 @@ def test_a_quote_never_closed_is_an_error(spark, tmp_dir):
     put(tmp_dir, "a.csv", 'id,text\n1,"open\n2,x\n')
     with pytest.raises(ValueError, match="never closed"):
         readers.read_csv_text(spark, tmp_dir, multi_line=True)
+
+
+def test_survey_reads_the_files_once(spark, tmp_path):
+    for k, text in enumerate(["a,b\n1,2\n", "a;b\n1;2\n"]):
+        (tmp_path / f"{k}.csv").write_text(text)
+    told = dialect.survey(dialect.lines(spark, str(tmp_path)), ["UTF-8", "MS949"])
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "FileScan parquet" in plan
+    assert sorted((r["sep"], r["header"], r["charset"]) for r in told.collect()) == [(",", "a,b", "UTF-8"), (";", "a;b", "UTF-8")]
+
+
+def test_survey_plain_records_beside_others(spark, tmp_path):
+    rows = ["a,b", "plain,1", "가나,2", 'x,"q,r"']
+    for name, charset in (("u", "UTF-8"), ("m", "MS949"), ("plain", "ascii")):
+        own = [r for r in rows if charset != "ascii" or r.isascii()]
+        (tmp_path / f"{name}.csv").write_bytes("\n".join(own).encode("cp949" if charset == "MS949" else charset))
+    (tmp_path / "none.csv").write_bytes(b"a,b\n\xff\xff,1\n")
+    own = isolated(spark, {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"})
+    told = dialect.survey(dialect.lines(own, str(tmp_path)), ["UTF-8", "MS949", "EUC-KR"]).collect()
+    assert {r["file"].rsplit("/", 1)[1]: (r["charset"], r["sep"]) for r in told} == {
+        "u.csv": ("UTF-8", ","), "m.csv": ("MS949", ","), "plain.csv": ("UTF-8", ","), "none.csv": (None, ",")}

@@ -122,3 +122,11 @@ def test_message_platform_keeps_any_named_platform(spark):
     got = col_values(spark, ['{"platform": "naver"}', "not json", '{"k": 1}', '"text"', None], "string",
                      json_fields.message_platform)
     assert got == ["naver", "unknown", "unknown", "unknown", "unknown"]
+
+
+def test_long_half_even_is_bround(spark):
+    rows = ["0.5", "1.5", "2.5", "-0.5", "-1.5", "0.49999999999999994", "4503599627370497.5", "1e17", "9.3e18", "1e300", "NaN",
+            "Infinity", "-0.2", "", "x", None]
+    d = spark.createDataFrame([(r,) for r in rows], "t string")
+    both = d.select(casts.long_half_even("t").alias("got"), F.bround(F.col("t").try_cast("double"), 0).try_cast("bigint").alias("want"))
+    assert all(r.got == r.want for r in both.collect()) and both.first().got == 0
