@@ -315,7 +315,7 @@ def csv_roundtrip(spark, sf_dir):
 @register("json_flatten")
 def json_flatten(spark, sf_dir):
     path = scratch_path(spark, "google_responses")
-    landed.google_documents(spark, sf_dir).write.options(**landed.LANDED).json(path)
+    landed.land_google(spark, sf_dir, path)
     flat = readers.flatten_google(readers.read_responses(spark, path, "google"), landed.CUSTOMER_ID)
     return flat.select("camp_name", "keyword_id", "keyword_text", "device", "network_type", "date",
                        "basic_date", "adv_id", "impressions", "clicks", "cost_micros", "conversions",
@@ -610,7 +610,7 @@ def batch_load_kakao(spark, sf_dir):
 @register("batch_load_google")
 def batch_load_google(spark, sf_dir):
     docs, table = scratch_path(spark, "google_responses"), scratch_path(spark, "google_ad_performance")
-    landed.google_documents(spark, sf_dir).write.options(**landed.LANDED).json(docs)
+    landed.land_google(spark, sf_dir, docs)
     batch_load(spark, "google", docs, table, customer_id=landed.CUSTOMER_ID,
                quarantine=scratch_path(spark, "google_quarantine"))
     return readers.scan_table(spark, table, "google").select(

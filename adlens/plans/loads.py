@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import compact_date_text, partition_keys
 from ..operators.aggregates import observed
 from ..operators.filters import split_valid
 from ..operators.ingest import type_batch, type_bulk
 from ..operators.joins import enrich_with_master, latest_master
+from ..schemas import PARTITION_COLUMNS
 from ..session import scratch_path
 from ..sinks.tables import write_partitions
 from ..sources.readers import (explode_accounts, flatten_google, flatten_kakao, read_csv_text,
@@ -79,14 +81,20 @@ def batch_load(spark: SparkSession, platform: str, docs_path: str, table: str, d
                master: DataFrame | None = None, quarantine: str | None = None) -> DataFrame:
     """Landed responses of one day -> typed (and, for kakao, enriched) rows ->
     the table (the day's partition replaced; an empty extract changes
-    nothing); rows without a date go to ``quarantine``, which a rerun replaces."""
+    nothing); rows without a date go to ``quarantine``, which a rerun replaces.
+
+    The typed rows are written once to the shared folder, without the partition
+    columns, and both outputs are read from there. What the date of a row tells
+    (partition columns, ``basic_date``) is not shuffled but made again."""
     docs = read_responses(spark, docs_path, platform)
     acc = explode_accounts(read_responses(spark, accounts_path, "accounts")) if accounts_path else None
     typed = typed_responses(docs, platform, date, customer_id, acc, master)
     rows = scratch_path(spark, "typed_rows")
-    typed.write.parquet(rows)
-    good, bad = split_valid(spark.read.schema(typed.schema).parquet(rows))
-    write_partitions(good, table)
+    plain = typed.drop(*PARTITION_COLUMNS)
+    plain.write.option("compression", "zstd").parquet(rows)
+    keys = dict(zip(PARTITION_COLUMNS, partition_keys("report_date")))
+    good, bad = split_valid(spark.read.schema(plain.schema).parquet(rows).withColumns(keys).select(*typed.columns))
+    write_partitions(good, table, by="report_date", remade={"basic_date": compact_date_text("report_date"), **keys})
     if quarantine is not None:
         bad.write.mode("overwrite").parquet(quarantine)
     return good

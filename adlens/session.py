@@ -128,3 +128,7 @@ def isolated(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
         if spark.conf.isModifiable(k):
             own.conf.set(k, v)
     return own
+
+
+#: Shuffle files go when the write that made them ends; by default they stay until the driver happens to collect its garbage.
+FREEING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}

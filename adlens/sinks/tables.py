@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..schemas import PARTITION_COLUMNS, TABLES
-from ..session import isolated, path_exists
+from ..session import FREEING, isolated, path_exists
 
 
 def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
                      max_records_per_file: int = 5_000_000, fmt: str = "parquet",
-                     dynamic: bool = True) -> None:
+                     dynamic: bool = True, by: str | None = None, remade: dict[str, Column] | None = None) -> None:
     """SNK1 + SNK6: Snappy Parquet under ``year=/month_p=/day=``, replacing
     only the partitions present in ``df`` (dynamic overwrite). A rerun of a
     day replaces that day (Q10); an empty frame changes nothing (Q9), so no
@@ -22,13 +22,21 @@ def write_partitions(df: DataFrame, path: str, keys=tuple(PARTITION_COLUMNS),
     one file and splits a day holding a large share of the rows across
     several tasks; ``maxRecordsPerFile`` bounds file size. The write runs in a
     session of its own with coalescing off: each day lies whole in one of the
-    tasks anyway, and merging them would only put file writes in a row."""
+    tasks anyway, and merging them would only put file writes in a row. The
+    shuffle files go when the write ends.
+
+    With ``by`` the rows are dealt out by that column, one value of which has
+    one value of each key; ``remade`` columns (made of others of ``df``, keys
+    or not) are left out of the shuffle and made after it."""
     spark = df.sparkSession
-    own = isolated(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    own = isolated(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", **FREEING})
+    remade = remade or {}
+    order = df.columns + [c for c in remade if c not in df.columns]
     view = f"adlens_write_{uuid.uuid4().hex}"
     df.createGlobalTempView(view)
     try:
-        w = (own.table(f"global_temp.{view}").hint("rebalance", *keys).write
+        dealt = own.table(f"global_temp.{view}").drop(*remade).hint("rebalance", *([by] if by else keys))
+        w = (dealt.select(*[remade[c].alias(c) if c in remade else c for c in order]).write
              .mode("overwrite" if dynamic else "errorifexists")
              .option("partitionOverwriteMode", "dynamic")
              .option("maxRecordsPerFile", max_records_per_file)

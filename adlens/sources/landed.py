@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import labels as L
+from ..session import FREEING, isolated
 from .fixtures import kakao_master, table
 
 # Text of our own fixture documents (not reference values).
@@ -29,9 +30,11 @@ LANDED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 def _packed(rows: DataFrame, result, *keys) -> DataFrame:
     """Documents of ``rows`` by ``keys``: the plain values are moved and gathered, and ``result`` makes a row of them
-    inside its document, so names and fixed texts are not shuffled."""
+    inside its document, so names and fixed texts are not shuffled. Rows are moved before they are gathered: few of a
+    document meet in a task before."""
     values = F.struct(*[F.col(c) for c in rows.columns])
-    return rows.groupBy(*keys).agg(F.collect_list(values).alias("rows")).withColumn("results", F.transform("rows", result))
+    gathered = rows.repartition(*keys).groupBy(*keys).agg(F.collect_list(values).alias("rows"))
+    return gathered.withColumn("results", F.transform("rows", result))
 
 
 def google_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +65,14 @@ def google_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packed(j, result, F.floor(F.col("l_orderkey") / 100).alias("doc")).select("results")
 
 
+def land_google(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``google_documents`` written to ``path``, compressed at gzip's usual level; the shuffle files of their making go
+    when they are written. Rows are gathered after one sort by document, which may spill: maps of lists are given up
+    after 128 documents, and the rows are sorted twice then."""
+    own = isolated(spark, {**FREEING, "spark.sql.execution.useObjectHashAggregateExec": "false"})
+    google_documents(own, sf_dir).write.option("compression", LANDED["compression"]).json(path)
+
+
 def kakao_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")

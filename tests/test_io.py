@@ -218,3 +218,63 @@ def test_landed_google_documents_are_compressed_and_packed_from_plain_values(spa
         plan = docs._jdf.queryExecution().optimizedPlan().toString()
         gathered = plan.split("collect_list(")[1].split("lambdafunction")[0]
         assert "transform(collect_list(" in plan and "costMicros" not in gathered
+
+
+def _google_tables(spark, path, rows=250):
+    spark.sql(f"""SELECT id AS l_orderkey, id % 3 AS l_partkey, 1 AS l_linenumber, 2.0D AS l_quantity, 3.5D AS l_extendedprice,
+        0.1D AS l_discount, 'A' AS l_returnflag, 'F' AS l_linestatus,
+        TIMESTAMP_NTZ'1998-03-05 00:00:00' + make_dt_interval(CAST(id % 4 AS INT)) AS l_shipdate
+        FROM range({rows})""").write.parquet(f"{path}/lineitem.parquet")
+    spark.sql("SELECT id AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 1 AS p_size FROM range(3)").write.parquet(
+        f"{path}/part.parquet")
+
+
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(blocks.size()) if (name := blocks.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_a_load_leaves_no_shuffle_files(spark, tmp_dir):
+    """Documents and table are written with shuffles whose files go when each write ends."""
+    import time
+    from adlens.catalog import QUERIES
+    _google_tables(spark, tmp_dir)
+    known = _shuffle_files(spark)
+    loaded = QUERIES["batch_load_google"](spark, tmp_dir)
+    time.sleep(2)      # they are removed in the background
+    assert not _shuffle_files(spark) - known
+    assert loaded.count() == 250 and loaded.select("basic_date").distinct().count() == 4
+
+
+def test_a_load_moves_and_stages_no_column_that_the_date_tells(spark, tmp_dir, monkeypatch):
+    import json
+    from adlens.plans import loads
+    from adlens.sinks import tables
+    staged, dealt = [], []
+    monkeypatch.setattr(loads, "scratch_path", lambda s, name: staged.append(f"{tmp_dir}/{name}") or staged[-1])
+    write = loads.write_partitions
+    monkeypatch.setattr(loads, "write_partitions", lambda df, path, **kw: dealt.append(kw) or write(df, path, **kw))
+    os.makedirs(f"{tmp_dir}/d", exist_ok=True)
+    with open(f"{tmp_dir}/d/r.json", "w") as f:
+        f.write(json.dumps({"results": [{"segments": {"date": d}, "metrics": {"impressions": "1"}}
+                                        for d in ("2024-03-05", "20240306", "never", None)]}) + "\n")
+    good = loads.batch_load(spark, "google", f"{tmp_dir}/d", f"{tmp_dir}/t", quarantine=f"{tmp_dir}/q")
+    kept = spark.read.parquet(staged[0])
+    assert not set(tables.PARTITION_COLUMNS) & set(kept.columns) and "basic_date" in kept.columns
+    assert dealt[0]["by"] == "report_date" and set(dealt[0]["remade"]) == {"basic_date", *tables.PARTITION_COLUMNS}
+    rows = lambda df: sorted(map(tuple, df.select("basic_date", "date", "report_date", "year", "month_p", "day").collect()))
+    expected = [("20240305", "2024-03-05", dt.date(2024, 3, 5), "2024", "03", "05"),
+                ("20240306", "20240306", dt.date(2024, 3, 6), "2024", "03", "06")]
+    assert rows(good) == expected == rows(readers.scan_table(spark, f"{tmp_dir}/t", "google"))
+    assert good.columns[-4:] == ["report_date", "year", "month_p", "day"]
+    assert sorted((r.basic_date, r.report_date, r.year, r.day) for r in spark.read.parquet(f"{tmp_dir}/q").collect()) == \
+        [("", None, None, None), ("never", None, None, None)]
+
+
+def test_rows_are_moved_to_their_document_before_they_are_gathered(spark, tmp_dir):
+    from adlens.sources import landed
+    _google_tables(spark, tmp_dir)
+    for docs in (landed.google_documents(spark, tmp_dir), landed.google_day_documents(spark, tmp_dir)):
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+        partial = plan.index("partial_collect_list")
+        assert partial < plan.index("REPARTITION_BY_COL") and plan.count("Exchange hashpartitioning") == plan[partial:].count("Exchange hashpartitioning")
